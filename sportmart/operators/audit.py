@@ -5,10 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-AUDIT_DDL = "table STRING, operation STRING, ts TIMESTAMP, rows_inserted BIGINT, rows_updated BIGINT"
+from sportmart.sources.frames import literal_rows
+
+AUDIT_DDL = "table STRING, operation STRING, ts TIMESTAMP_NTZ, rows_inserted BIGINT, rows_updated BIGINT"
+
 
 
 def audit_row(counts: DataFrame, table: str, ts: datetime | Column, operation: str = "UPDATE") -> DataFrame:
@@ -29,14 +32,14 @@ def freshness(
     """
     ts_type = audit.schema["ts"].dataType.simpleString()
     last = audit.where(F.col("table").isin(list(tables))).groupBy("table").agg(F.max("ts").alias("last_ts"))
-    wanted = audit.sparkSession.createDataFrame([(name,) for name in tables], "table STRING")
+    wanted = literal_rows(audit.sparkSession, [(name,) for name in tables], "table STRING")
     oldest = F.lit(now - max_age).cast(ts_type)
     return wanted.join(last, "table", "left").select(
         "table", "last_ts", F.coalesce(F.col("last_ts") >= oldest, F.lit(False)).alias("fresh")
     )
 
 
-def lineage(spark, inputs: dict[str, Sequence[str]]) -> DataFrame:
+def lineage(spark: SparkSession, inputs: dict[str, Sequence[str]]) -> DataFrame:
     """Mapping rows (source, table) from table -> sources."""
     pairs = [(source, table) for table, sources in inputs.items() for source in sources]
-    return spark.createDataFrame(pairs, "source STRING, table STRING")
+    return literal_rows(spark, pairs, "source STRING, table STRING")

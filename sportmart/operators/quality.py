@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sportmart.functions.paths import path_type
-from sportmart.schemas import Columns
+from sportmart.schemas import Columns, to_ddl
 
 RESULT_DDL = (
     "dataset STRING, check STRING, column STRING, passed BOOLEAN, "
@@ -82,10 +82,7 @@ class Suite:
 
     def column_types(self, columns: Columns, strict: bool = False) -> Suite:
         """Types by column name; type parameters count only if ``strict``."""
-        wanted = self.df.sparkSession.createDataFrame(
-            [], ", ".join(f"`{name}` {dtype}" for name, dtype in columns)
-        ).schema
-        for expected in wanted:
+        for expected in T.StructType.fromDDL(to_ddl(columns)):
             if expected.name not in self.df.columns:
                 self._schema("column_type", expected.name, False, "column is missing")
                 continue

@@ -35,18 +35,20 @@ def long_to_wide(
     names: Sequence[str],
     agg: str = "sum",
     listed_only: bool = False,
+    null_keys: bool = False,
 ) -> DataFrame:
     """One row per key, one column per name in ``names``.
 
     A name without rows for a key gives null, not 0. Names outside the list
     give no column; a key with only such names stays, with nulls, unless
     ``listed_only`` drops those rows before the aggregate. Rows with a null
-    key part are dropped: they match nothing in the joins that follow.
+    key part are dropped, as they match nothing in the joins that follow,
+    unless ``null_keys`` keeps them as a group.
     Aggregates combine before the shuffle, so a hot key costs one row per task.
     """
     fold = AGGREGATES[agg]
-    for key in keys:
-        df = df.where(F.col(key).isNotNull())
+    if not null_keys:
+        df = df.dropna("any", subset=list(keys))
     if listed_only:
         df = df.where(F.col(name).isin(list(names)))
     if not names:

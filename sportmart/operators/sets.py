@@ -39,6 +39,16 @@ def union_distinct(frames: Sequence[DataFrame], columns: Columns) -> DataFrame:
     return union_all(frames, columns).distinct()
 
 
+def latest_whole(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """``latest_per_key`` for rows whose keys hold no null."""
+    order = [name for name in order if name not in keys]
+    rest = [name for name in df.columns if name not in keys and name not in order]
+    if not order and not rest:
+        return df.distinct()
+    best = df.groupBy(*keys).agg(F.max(F.struct(*order, *rest)).alias("_best"))
+    return best.select(*keys, "_best.*").select(*df.columns)
+
+
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The row with the greatest ``order`` values for every key.
 
@@ -47,19 +57,5 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     greatest remaining columns, so the choice is the same on every run. Rows
     with a null key part have no identity and all stay.
     """
-    rest = [name for name in df.columns if name not in keys and name not in order]
     whole_key = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
-    order = [name for name in order if name not in keys]
-    if order or rest:
-        best = (
-            df.where(whole_key)
-            .groupBy(*keys)
-            .agg(F.max(F.struct(*order, *rest)).alias("_best"))
-            .select(*keys, "_best.*")
-            .select(*df.columns)
-        )
-    else:
-        best = df.where(whole_key).distinct()
-    if not any(df.schema[key].nullable for key in keys):
-        return best
-    return best.union(df.where(~whole_key))
+    return latest_whole(df.where(whole_key), keys, order).union(df.where(~whole_key))

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sportmart.operators.sets import latest_per_key
+from sportmart.operators.sets import latest_whole
 
 
 def has_whole_key(keys: Sequence[str]) -> Column:
@@ -25,30 +25,43 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def single_per_key(
+def split_keyed(
     source: DataFrame, keys: Sequence[str], on_duplicate: str = "error", order: Sequence[str] = ()
-) -> DataFrame:
-    """Source rows with at most one row per whole key.
+) -> tuple[DataFrame, DataFrame]:
+    """Source rows with a whole key, one per key, and the rows with a null key part.
 
     ``error`` fails the running job at the first key with two rows; it needs
     no job of its own, and its shuffle is the one the join by key needs.
+    ``latest`` keeps the row with the greatest ``order``; ``unique`` trusts
+    the caller.
     """
+    loose = source.where(~has_whole_key(keys))
+    keyed = source.where(has_whole_key(keys))
+    if on_duplicate == "unique":
+        return keyed, loose
     if on_duplicate == "latest":
-        return latest_per_key(source, keys, order)
+        return latest_whole(keyed, keys, order), loose
     if on_duplicate != "error":
-        raise ValueError(f"on_duplicate must be 'error' or 'latest', not {on_duplicate!r}")
+        raise ValueError(f"on_duplicate must be 'error', 'latest' or 'unique', not {on_duplicate!r}")
     rest = [name for name in source.columns if name not in keys]
     message = F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*keys)))
     # the check is a filter, which column pruning cannot remove
     only_one = F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     checked = (
-        source.where(has_whole_key(keys))
-        .groupBy(*keys)
+        keyed.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*(rest or keys))).alias("_row"))
         .where(only_one)
         .select(*keys, *[F.col("_row")[name].alias(name) for name in rest])
     )
-    return checked.select(*source.columns).union(source.where(~has_whole_key(keys)))
+    return checked.select(*source.columns), loose
+
+
+def single_per_key(
+    source: DataFrame, keys: Sequence[str], on_duplicate: str = "error", order: Sequence[str] = ()
+) -> DataFrame:
+    """Source rows with at most one row per whole key."""
+    keyed, loose = split_keyed(source, keys, on_duplicate, order)
+    return keyed.union(loose)
 
 
 def split_upsert(
@@ -68,8 +81,7 @@ def split_upsert(
     and adaptive execution can split it at a hot key when it is not.
     """
     source = source.select(*target.columns, *[name for name in order if name not in target.columns])
-    source = single_per_key(source, keys, on_duplicate, order).select(*target.columns)
-    keyed = source.where(has_whole_key(keys))
+    keyed, loose = split_keyed(source, keys, on_duplicate, order)
     changed = [name for name in update_cols if name not in keys]
     incoming = keyed.select(
         *keys, F.struct(F.lit(True).alias("_hit"), *[F.col(name) for name in changed]).alias("_new")
@@ -88,14 +100,11 @@ def split_upsert(
             matched.alias("_matched"),
         )
     )
-    updated = updated.union(
-        target.where(~has_whole_key(keys)).withColumn("_matched", F.lit(False))
-    )
+    updated = updated.union(target.where(~has_whole_key(keys)).withColumn("_matched", F.lit(False)))
     # only target keys that the source also has travel on to the anti join
     taken = target.select(*keys).join(keyed.select(*keys), list(keys), "left_semi").distinct()
     inserted = keyed.join(taken, list(keys), "left_anti").select(*target.columns)
-    inserted = inserted.union(source.where(~has_whole_key(keys)).select(*target.columns))
-    return updated, inserted
+    return updated, inserted.union(loose.select(*target.columns))
 
 
 def upsert(

@@ -13,7 +13,8 @@ from sportmart.plans import dims, facts, standins
 from sportmart.plans.catalogue.registry import query, season_sql, season_start_sql
 from sportmart.plans.load import TARGETS
 from sportmart.session import shared_dir
-from sportmart.sources.documents import empty_frame, read_entity, read_landed
+from sportmart.sources.documents import read_entity, read_landed
+from sportmart.sources.frames import empty_frame
 from sportmart.sources.tables import empty_like, land_json, target_schema, to_bronze, upsert_parquet, write_parquet
 from sportmart.streaming.incremental import stream_upsert
 

@@ -14,6 +14,7 @@ from sportmart.operators.upsert import upsert, upsert_counts
 from sportmart.plans import dims, facts, standins
 from sportmart.plans.catalogue.registry import query
 from sportmart.plans.load import TARGETS
+from sportmart.sources.tables import staged
 
 COLUMNS = ["id", "name", "segment", "balance"]
 
@@ -136,7 +137,7 @@ def upsert_player_fact(t):
     target_spec = TARGETS["fct_player_stat"]
     names = ["CLICK", "VIEW"]
     events = standins.player_stats(t).where("entity <> 'signup'")
-    source = facts.fct_player_stat(events, standins.seasons(t), names)
+    source = staged(facts.fct_player_stat(events, standins.seasons(t), names), "player-fact")
     # the stored fact: players with an even id, another club, older statistics
     stored = (
         source.select("player_id", "season_id")
@@ -162,6 +163,7 @@ def upsert_award_bridge(t):
     given = facts.fct_object_award(
         standins.month_award(t), standins.season_award(t).where(F.lit(False)), standins.seasons(t)
     ).where("object_id IS NOT NULL")
+    given = staged(given, "awards-given")
     stored = given.where("award_id <= 2").distinct()
     return upsert(stored, given, spec.keys(given.columns), spec.update_cols(given.columns), "latest")
 

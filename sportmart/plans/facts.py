@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sportmart.functions import season_label
@@ -18,14 +18,19 @@ from sportmart.operators.reshape import distinct_sorted, long_to_wide
 from sportmart.operators.sets import align_to, union_fill
 from sportmart.plans.dims import as_id, month_award_items
 from sportmart.schemas import TABLES, with_statistics
+from sportmart.sources.frames import small
 
 
 def with_season_id(df: DataFrame, seasons: DataFrame) -> DataFrame:
-    """Season label -> season id; rows of unlisted seasons drop out."""
+    """Season label -> season id; rows of unlisted seasons drop out.
+
+    The index is read first: it has one row per season, and as literals it
+    never makes the fact shuffle by season.
+    """
     index = seasons.select(
         as_id("id").alias("season_id"), season_label(F.col("label")).alias("season")
     ).distinct()
-    return df.join(index, "season")
+    return df.join(small(index), "season")
 
 
 def club_statistics(club_stats: DataFrame) -> DataFrame:
@@ -82,10 +87,15 @@ def fct_player_stat(player_stats: DataFrame, seasons: DataFrame, names: Sequence
     ``names`` (upper case) is the fixed list of statistics of the target:
     others are dropped, absent ones are null.
     """
-    long = player_statistics(player_stats)
-    wide = long_to_wide(long, ["season", "player_id"], "stat_name", "stat_value", names)
-    clubs = long.select("season", "player_id", "club_id").where("player_id IS NOT NULL").distinct()
-    rows = wide.join(clubs, ["season", "player_id"])
+    long = player_statistics(player_stats).where("player_id IS NOT NULL")
+    # fold by club first, then add up the few club rows of a player: one scan
+    by_club = long_to_wide(
+        long, ["season", "player_id", "club_id"], "stat_name", "stat_value", names, null_keys=True
+    )
+    player = Window.partitionBy("season", "player_id")
+    rows = by_club.select(
+        "season", "player_id", "club_id", *[F.sum(f"`{name}`").over(player).alias(name) for name in names]
+    )
     return align_to(with_season_id(rows, seasons), with_statistics("fct_player_stat", list(names)))
 
 

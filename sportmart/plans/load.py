@@ -5,18 +5,17 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
-from sportmart.operators.audit import audit_row
+from sportmart.operators.audit import AUDIT_DDL
 from sportmart.operators.quality import enforce, run_suites
-from sportmart.operators.upsert import upsert_counts
 from sportmart.plans import dims, facts
 from sportmart.plans.suites import raw_suite, table_suite
 from sportmart.schemas import TABLES, with_statistics
-from sportmart.sources.documents import empty_frame, extract
-from sportmart.sources.tables import table_exists, to_bronze, upsert_parquet, write_parquet
+from sportmart.sources.documents import extract
+from sportmart.sources.frames import literal_rows
+from sportmart.sources.tables import to_bronze, upsert_parquet
 
 
 @dataclass(frozen=True)
@@ -104,26 +103,15 @@ def check_tables(
 def load_tables(
     spark: SparkSession, tables: dict[str, DataFrame], warehouse: str, now: datetime | None = None
 ) -> DataFrame:
-    """Upsert every table in order and append one audit row per table.
-
-    Each table is written once to a staging path first, so that counting and
-    merging read it instead of running its plan again.
-    """
+    """Upsert every table in order and append one audit row per table."""
     root, audit = warehouse.rstrip("/"), []
     stamp = now or datetime.now(timezone.utc).replace(tzinfo=None)
     for name, df in tables.items():
-        target, path = TARGETS[name], f"{root}/{name}"
-        staging = f"{root}/_staging/{name}"
-        write_parquet(df, staging, mode="overwrite")
-        source = spark.read.parquet(staging)
-        keys, updates = target.keys(source.columns), target.update_cols(source.columns)
-        exists = table_exists(spark, path)
-        before = spark.read.parquet(path) if exists else empty_frame(spark, source.schema)
-        # counted before the swap and kept as values: the old files go away
-        counts = upsert_counts(before, source, keys, "latest").collect()[0]
-        upsert_parquet(spark, path, source, keys, updates, target.partition_by, "latest")
-        audit.append(audit_row(spark.createDataFrame([counts], "rows_inserted BIGINT, rows_updated BIGINT"), name, stamp))
-    report = reduce(DataFrame.unionByName, audit)
+        target = TARGETS[name]
+        keys, updates = target.keys(df.columns), target.update_cols(df.columns)
+        done = upsert_parquet(spark, f"{root}/{name}", df, keys, updates, target.partition_by, "latest")
+        audit.append((name, "UPDATE", stamp, *done))
+    report = literal_rows(spark, audit, AUDIT_DDL)
     report.write.mode("append").parquet(f"{root}/_audit")
     return spark.read.parquet(f"{root}/_audit")
 

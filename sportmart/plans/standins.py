@@ -31,7 +31,10 @@ class Tables:
         self.spark, self.dir = spark, sf_dir.rstrip("/")
 
     def __getattr__(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        # kept as an attribute, so footers and files are listed once per table
+        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        setattr(self, name, df)
+        return df
 
 
 def number(value: Column) -> Column:

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sportmart.operators.upsert import upsert
-from sportmart.sources.documents import empty_frame
+from sportmart.operators.upsert import single_per_key, upsert
+from sportmart.session import shared_dir
+from sportmart.sources.frames import empty_frame
 
 MAX_TOUCHED_PARTITIONS = 10_000
 
@@ -53,6 +55,17 @@ def to_bronze(sources: dict[str, DataFrame], root: str, mode: str = "overwrite")
     return bronze
 
 
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For a costly plan that several branches use: they read files that
+    outlive executors instead of running the plan again.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    write_parquet(df, path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _partition_last(schema: T.StructType) -> T.StructType:
     fields = [column for column in schema if column.name != "season"]
     return T.StructType(fields + [column for column in schema if column.name == "season"])
@@ -122,6 +135,11 @@ def _swap(spark: SparkSession, path: str, staged: str, partitions: bool = False)
     fs.delete(old, True)
 
 
+class Counts(NamedTuple):
+    rows_inserted: int
+    rows_updated: int
+
+
 def upsert_parquet(
     spark: SparkSession,
     path: str,
@@ -131,37 +149,42 @@ def upsert_parquet(
     partition_by: str | None = None,
     on_duplicate: str = "error",
     order: Sequence[str] = (),
-) -> None:
-    """Upsert into a Parquet directory: staged beside it, then swapped in.
+) -> Counts:
+    """Upsert into a Parquet directory: written beside it, then swapped in.
 
-    A table partitioned by one of its keys can only match inside a partition,
+    The source is staged first, one row per key, so its plan runs once. A
+    table partitioned by one of its keys can only match inside a partition,
     so only the partitions that the source touches are read and rewritten.
-    The source plan runs more than once; pass a written table if it is costly.
-    ``order`` columns are columns of the table.
+    ``order`` columns are columns of the table. The counts come from file
+    footers: nothing is deleted, so what grew was inserted, and the other
+    source rows matched.
     """
-    staged = f"{path}__staged-{uuid.uuid4().hex}"
-    if not table_exists(spark, path):
-        target = empty_frame(spark, source.schema)
-        rows = upsert(target, source, keys, update_cols, on_duplicate, order)
-        write_parquet(rows, staged, [partition_by] if partition_by else [])
-        _swap(spark, path, staged)
-        return
-    target = spark.read.parquet(path)
-    if partition_by is None:
-        write_parquet(upsert(target, source, keys, update_cols, on_duplicate, order), staged)
-        _swap(spark, path, staged)
-        return
-    if partition_by not in keys:
+    if partition_by is not None and partition_by not in keys:
         raise ValueError("a partitioned table needs its partition column among the keys")
-    touched = touched_partitions(source, partition_by)
-    if not touched:
-        return
-    inside = F.col(partition_by).isin([value for value in touched if value is not None])
-    if None in touched:
-        inside = inside | F.col(partition_by).isNull()
-    rows = upsert(target.where(inside), source, keys, update_cols, on_duplicate, order)
-    write_parquet(rows, staged, [partition_by])
-    _swap(spark, path, staged, partitions=True)
+    tag = uuid.uuid4().hex
+    staging, output = f"{path}__source-{tag}", f"{path}__staged-{tag}"
+    write_parquet(single_per_key(source, keys, on_duplicate, order), staging)
+    source = spark.read.schema(source.schema).parquet(staging)
+    exists = table_exists(spark, path)
+    target = spark.read.parquet(path) if exists else empty_frame(spark, source.schema)
+    if exists and partition_by:
+        touched = touched_partitions(source, partition_by)
+        inside = F.col(partition_by).isin([value for value in touched if value is not None])
+        if None in touched:
+            inside = inside | F.col(partition_by).isNull()
+        target = target.where(inside)
+    rows = upsert(target, source, keys, update_cols, "unique")
+    write_parquet(rows, output, [partition_by] if partition_by else [])
+    inserted = _rows(spark, output, source) - (target.count() if exists else 0)
+    counts = Counts(inserted, source.count() - inserted)
+    _swap(spark, path, output, partitions=exists and partition_by is not None)
+    fs, as_path = _filesystem(spark, path)
+    fs.delete(as_path(staging), True)
+    return counts
+
+
+def _rows(spark: SparkSession, path: str, like: DataFrame) -> int:
+    return spark.read.schema(like.schema).parquet(path).count()
 
 
 def touched_partitions(source: DataFrame, column: str) -> list:
