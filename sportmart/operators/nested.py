@@ -37,14 +37,6 @@ def array_columns(df: DataFrame) -> list[str]:
     return [field.name for field in df.schema if isinstance(field.dataType, T.ArrayType)]
 
 
-def _tag(column: str) -> Column:
-    """Elements of an array column as (label, value) structs; none for null."""
-    return F.transform(
-        F.coalesce(F.col(column), F.array()),
-        lambda item: F.struct(F.lit(column).alias("label"), item.alias("value")),
-    )
-
-
 def stack_array_columns(
     df: DataFrame,
     columns: Sequence[str],
@@ -57,8 +49,10 @@ def stack_array_columns(
     One generator over the joined arrays, so the input is read once whatever
     the number of columns. ``label`` names a column for the origin.
     """
-    tagged = [_tag(name) for name in columns]
-    rows = df.select(*keep, F.explode(F.concat(*tagged)).alias("_item"))
+    tagged = [
+        f"transform(coalesce(`{name}`, array()), x -> struct('{name}' AS label, x AS value))" for name in columns
+    ]
+    rows = df.select(*keep, F.expr(f"explode(concat({', '.join(tagged)}))").alias("_item"))
     extra = [F.col("_item.label").alias(label)] if label else []
     return rows.select(*keep, *extra, F.col("_item.value").alias(value))
 

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -33,8 +33,8 @@ class QualityError(Exception):
 class _Finding:
     check: str
     column: str
-    # rows that break the check; an int is known from the schema alone
-    unexpected: Column | int
+    # what breaks the check: a SQL aggregate, or a number known from the schema
+    unexpected: str | int
     detail: str = ""
 
 
@@ -66,8 +66,7 @@ class Suite:
         """No null in the listed columns (default: all columns)."""
         for name in self.df.columns if names is None else names:
             if name in self.df.columns:
-                nulls = F.count_if(F.col(f"`{name}`").isNull())
-                self.findings.append(_Finding("not_null", name, nulls))
+                self.findings.append(_Finding("not_null", name, f"count_if(`{name}` IS NULL)"))
             else:
                 self._schema("not_null", name, False, "column is missing")
         return self
@@ -98,32 +97,33 @@ class Suite:
         if path_type(self.df.schema, whole) is None:
             self._schema("nested_exists", whole, False, "path is missing")
         else:
-            absent = F.count_if(F.col(column).isNotNull() & F.col(whole).isNull())
+            absent = f"count_if({column} IS NOT NULL AND {whole} IS NULL)"
             self.findings.append(_Finding("nested_exists", whole, absent))
         return self
 
     def results(self) -> DataFrame:
         """One row per check, in one aggregation without grouping keys."""
         folds = [
-            (finding.unexpected if isinstance(finding.unexpected, Column) else F.lit(finding.unexpected))
-            .cast("bigint")
-            .alias(f"_u{position}")
+            f"CAST({finding.unexpected} AS BIGINT) AS _u{position}"
             for position, finding in enumerate(self.findings)
         ]
-        measured = self.df.agg(F.count(F.lit(1)).alias("_n"), *folds)
         rows = [
-            F.struct(
-                F.lit(self.dataset).alias("dataset"),
-                F.lit(finding.check).alias("check"),
-                F.lit(finding.column).alias("column"),
-                (F.col(f"_u{position}") == 0).alias("passed"),
-                F.col(f"_u{position}").alias("unexpected_count"),
-                F.col("_n").alias("element_count"),
-                F.lit(finding.detail).alias("detail"),
-            )
+            f"struct({text(self.dataset)} AS dataset, {text(finding.check)} AS check, "
+            f"{text(finding.column)} AS column, _u{position} = 0 AS passed, _u{position} AS unexpected_count, "
+            f"_n AS element_count, {text(finding.detail)} AS detail)"
             for position, finding in enumerate(self.findings)
         ]
-        return measured.select(F.inline(F.array(*rows)))
+        return one_row(self.df, folds).selectExpr(f"inline(array({', '.join(rows)}))")
+
+
+def text(value: str) -> str:
+    """A SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def one_row(df: DataFrame, folds: Sequence[str]) -> DataFrame:
+    """The row count as ``_n`` and the given aggregates, without grouping."""
+    return df.agg(F.expr("count(1)").alias("_n"), *[F.expr(fold) for fold in folds])
 
 
 def run_suites(suites: Sequence[Suite]) -> DataFrame:
@@ -156,16 +156,8 @@ def type_names(schema: T.StructType) -> list[str]:
 def null_counts(df: DataFrame, names: Sequence[str] | None = None) -> DataFrame:
     """(column, null_count, element_count) of the listed columns in one pass."""
     names = list(names or df.columns)
-    measured = df.agg(
-        F.count(F.lit(1)).alias("_n"),
-        *[F.count_if(F.col(f"`{name}`").isNull()).alias(f"_u{i}") for i, name in enumerate(names)],
-    )
+    folds = [f"count_if(`{name}` IS NULL) AS _u{i}" for i, name in enumerate(names)]
     rows = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.col(f"_u{i}").alias("null_count"),
-            F.col("_n").alias("element_count"),
-        )
-        for i, name in enumerate(names)
+        f"struct({text(name)} AS column, _u{i} AS null_count, _n AS element_count)" for i, name in enumerate(names)
     ]
-    return measured.select(F.inline(F.array(*rows)))
+    return one_row(df, folds).selectExpr(f"inline(array({', '.join(rows)}))")

@@ -13,14 +13,9 @@ from sportmart.schemas import Columns
 
 def align_to(df: DataFrame, columns: Columns) -> DataFrame:
     """Exactly ``columns``, by name, cast to their types; absent ones are null."""
-    present = {name.lower(): name for name in df.columns}
-    return df.select(
-        *[
-            (F.col(f"`{present[name.lower()]}`") if name.lower() in present else F.lit(None))
-            .cast(dtype)
-            .alias(name)
-            for name, dtype in columns
-        ]
+    present = {name.lower(): f"`{name}`" for name in df.columns}
+    return df.selectExpr(
+        *[f"CAST({present.get(name.lower(), 'NULL')} AS {dtype}) AS `{name}`" for name, dtype in columns]
     )
 
 
@@ -39,6 +34,11 @@ def union_distinct(frames: Sequence[DataFrame], columns: Columns) -> DataFrame:
     return union_all(frames, columns).distinct()
 
 
+def has_whole_key(keys: Sequence[str]) -> str:
+    """Condition that no key part is null."""
+    return " AND ".join(f"`{key}` IS NOT NULL" for key in keys)
+
+
 def latest_whole(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """``latest_per_key`` for rows whose keys hold no null."""
     order = [name for name in order if name not in keys]
@@ -57,5 +57,5 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     greatest remaining columns, so the choice is the same on every run. Rows
     with a null key part have no identity and all stay.
     """
-    whole_key = reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
-    return latest_whole(df.where(whole_key), keys, order).union(df.where(~whole_key))
+    whole = has_whole_key(keys)
+    return latest_whole(df.where(whole), keys, order).union(df.where(f"NOT ({whole})"))

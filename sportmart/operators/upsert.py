@@ -5,14 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sportmart.operators.sets import latest_whole
-
-
-def has_whole_key(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(key).isNotNull() for key in keys])
+from sportmart.operators.sets import has_whole_key, latest_whole
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -35,8 +31,8 @@ def split_keyed(
     ``latest`` keeps the row with the greatest ``order``; ``unique`` trusts
     the caller.
     """
-    loose = source.where(~has_whole_key(keys))
-    keyed = source.where(has_whole_key(keys))
+    whole = has_whole_key(keys)
+    keyed, loose = source.where(whole), source.where(f"NOT ({whole})")
     if on_duplicate == "unique":
         return keyed, loose
     if on_duplicate == "latest":
@@ -83,24 +79,20 @@ def split_upsert(
     source = source.select(*target.columns, *[name for name in order if name not in target.columns])
     keyed, loose = split_keyed(source, keys, on_duplicate, order)
     changed = [name for name in update_cols if name not in keys]
-    incoming = keyed.select(
-        *keys, F.struct(F.lit(True).alias("_hit"), *[F.col(name) for name in changed]).alias("_new")
-    )
-    matched = F.col("_new").isNotNull()
+    incoming = keyed.select(*keys, F.struct(F.lit(True).alias("_hit"), *changed).alias("_new"))
+    whole = has_whole_key(keys)
     updated = (
-        target.where(has_whole_key(keys))
+        target.where(whole)
         .join(incoming, list(keys), "left")
-        .select(
+        .selectExpr(
             *[
-                F.when(matched, F.col("_new")[name]).otherwise(F.col(name)).alias(name)
-                if name in changed
-                else F.col(name)
+                f"IF(_new IS NULL, `{name}`, _new.`{name}`) AS `{name}`" if name in changed else f"`{name}`"
                 for name in target.columns
             ],
-            matched.alias("_matched"),
+            "_new IS NOT NULL AS _matched",
         )
     )
-    updated = updated.union(target.where(~has_whole_key(keys)).withColumn("_matched", F.lit(False)))
+    updated = updated.union(target.where(f"NOT ({whole})").withColumn("_matched", F.lit(False)))
     # only target keys that the source also has travel on to the anti join
     taken = target.select(*keys).join(keyed.select(*keys), list(keys), "left_semi").distinct()
     inserted = keyed.join(taken, list(keys), "left_anti").select(*target.columns)

@@ -37,11 +37,6 @@ class Tables:
         return df
 
 
-def number(value: Column) -> Column:
-    """Identifiers and measures of JSON documents are doubles."""
-    return value.cast("double")
-
-
 def season_of(day: str) -> Column:
     return academic_year(F.col(day)).alias("season")
 
@@ -49,40 +44,25 @@ def season_of(day: str) -> Column:
 def seasons(t: Tables) -> DataFrame:
     """One row per academic year with orders or events: id 1998, label 1998/99."""
     labels = t.orders.select(season_of("o_orderdate")).union(t.events.select(season_of("ts"))).distinct()
-    return labels.select(
-        F.substring("season", 1, 4).cast("bigint").alias("id"),
-        F.replace("season", F.lit("-"), F.lit("/")).alias("label"),
-    )
+    return labels.selectExpr("CAST(substring(season, 1, 4) AS BIGINT) AS id", "replace(season, '-', '/') AS label")
 
 
 def club_info(t: Tables) -> DataFrame:
     """Two seasons per club; poorer clubs change their name in the second."""
-    c = F.col
-    ground = lambda i: F.struct(
-        number(c("s_suppkey") * 10 + i).alias("id"),
-        F.concat(F.lit("Ground "), (c("s_suppkey") * 10 + i).cast("string")).alias("name"),
-        (c("s_acctbal") * 10).alias("capacity"),
-        F.concat(F.lit("City "), c("s_nationkey").cast("string")).alias("city"),
-        F.struct((c("s_acctbal") / 100).alias("latitude"), (-c("s_acctbal") / 100).alias("longitude")).alias(
-            "location"
-        ),
-    )
-    grounds = (
-        F.when(c("s_acctbal") < 0, F.lit(None))
-        .when(c("s_acctbal") < 500, F.slice(F.array(ground(0)), 1, 0))
-        .when(c("s_acctbal") < 5000, F.array(ground(0)))
-        .otherwise(F.array(ground(0), ground(1)))
-    )
-    renamed = (c("s_acctbal") < 1000) & (c("season") == CLUB_SEASONS[1])
-    return t.supplier.withColumn("season", F.explode(F.array(*[F.lit(s) for s in CLUB_SEASONS]))).select(
-        number(c("s_suppkey")).alias("id"),
-        F.when(renamed, F.concat("s_name", F.lit(" FC"))).otherwise(c("s_name")).alias("name"),
-        F.struct(
-            c("s_name").alias("name"),
-            F.concat(F.lit("Club "), c("s_suppkey").cast("string")).alias("shortName"),
-            F.concat(F.lit("C"), c("s_suppkey").cast("string")).alias("abbr"),
-        ).alias("club"),
-        grounds.alias("grounds"),
+    ground = """struct(
+        CAST(s_suppkey * 10 + {i} AS DOUBLE) AS id, concat('Ground ', s_suppkey * 10 + {i}) AS name,
+        s_acctbal * 10 AS capacity, concat('City ', s_nationkey) AS city,
+        struct(s_acctbal / 100 AS latitude, -s_acctbal / 100 AS longitude) AS location)"""
+    first, second = ground.format(i=0), ground.format(i=1)
+    before, after = CLUB_SEASONS
+    return t.supplier.selectExpr("*", f"explode(array('{before}', '{after}')) AS season").selectExpr(
+        "CAST(s_suppkey AS DOUBLE) AS id",
+        f"IF(s_acctbal < 1000 AND season = '{after}', concat(s_name, ' FC'), s_name) AS name",
+        "struct(s_name AS name, concat('Club ', s_suppkey) AS shortName, concat('C', s_suppkey) AS abbr) AS club",
+        f"""CASE WHEN s_acctbal < 0 THEN NULL
+                 WHEN s_acctbal < 500 THEN slice(array({first}), 1, 0)
+                 WHEN s_acctbal < 5000 THEN array({first})
+                 ELSE array({first}, {second}) END AS grounds""",
         "season",
     )
 
@@ -92,212 +72,156 @@ def club_stats(t: Tables) -> DataFrame:
 
     Line items of 50 pieces carry no club id; finished ones have two grounds.
     """
-    c = F.col
-    name = F.when(c("l_returnflag") == "A", "wins").when(c("l_returnflag") == "N", "draws").otherwise("losses")
-    ground = lambda i: F.struct(number(c("l_suppkey") * 10 + i).alias("id"))
-    owner = F.struct(
-        F.struct(F.when(c("l_quantity") < 50, number(c("l_suppkey"))).alias("id")).alias("club"),
-        F.when(c("l_linestatus") == "F", F.array(ground(0), ground(1))).otherwise(F.array(ground(0))).alias(
-            "grounds"
-        ),
-    )
+    name = "CASE l_returnflag WHEN 'A' THEN 'wins' WHEN 'N' THEN 'draws' ELSE 'losses' END"
+    ground = "struct(CAST(l_suppkey * 10 + {i} AS DOUBLE) AS id)"
+    first, second = ground.format(i=0), ground.format(i=1)
     return t.lineitem.select(
-        name.alias("entity"),
-        F.array(F.struct(name.alias("name"), c("l_quantity").alias("value"), owner.alias("owner"))).alias("stats"),
+        F.expr(name).alias("entity"),
+        F.expr(f"""array(struct({name} AS name, l_quantity AS value, struct(
+            struct(IF(l_quantity < 50, CAST(l_suppkey AS DOUBLE), NULL) AS id) AS club,
+            IF(l_linestatus = 'F', array({first}, {second}), array({first})) AS grounds) AS owner))""").alias("stats"),
         season_of("l_shipdate"),
     )
 
 
-def _birth_label(key: str) -> Column:
-    day = F.date_add(F.lit("1960-01-01").cast("date"), (F.col(key) % 9000).cast("int"))
-    return F.when(F.col("c_acctbal") >= 0, F.date_format(day, "d MMMM yyyy"))
-
+BIRTH_LABEL = "IF(c_acctbal >= 0, date_format(date_add(DATE '1960-01-01', CAST(c_custkey % 9000 AS INT)), 'd MMMM yyyy'), NULL)"
+PERSON_NAME = "struct(split(c_name, '#')[0] AS first, split(c_name, '#')[1] AS last)"
 
-def _person_name() -> Column:
-    parts = F.split("c_name", "#")
-    return F.struct(F.get(parts, F.lit(0)).alias("first"), F.get(parts, F.lit(1)).alias("last"))
 
-
-def _country(iso: Column) -> list[Column]:
-    key = F.col("c_nationkey").cast("string")
-    return [
-        iso.alias("isoCode"),
-        F.concat(F.lit("NATION_"), key).alias("country"),
-        F.when(F.col("c_nationkey") != 7, F.concat(F.lit("Nat"), key)).alias("demonym"),
-    ]
+def _country(listed: str) -> str:
+    """Country struct of a customer, its code only under a condition."""
+    return f"""struct(IF({listed}, concat('C', c_nationkey), NULL) AS isoCode, concat('NATION_', c_nationkey) AS country,
+        IF(c_nationkey <> 7, concat('Nat', c_nationkey), NULL) AS demonym)"""
 
 
 def manager_info(t: Tables) -> DataFrame:
     """Customers as managers of club key/2 for one to four seasons from 1996-97."""
-    c = F.col
-    code = F.concat(F.lit("C"), c("c_nationkey").cast("string"))
-    served = F.sequence(F.lit(1996), F.lit(1996) + c("c_nationkey") % 4)
-    label = lambda year: F.concat(
-        year.cast("string"), F.lit("-"), F.substring((year + 1).cast("string"), 3, 2)
-    )
-    return t.customer.withColumn("season", F.explode(F.transform(served, label))).select(
-        number(c("c_custkey")).alias("officialId"),
-        _person_name().alias("name"),
-        F.struct(
-            F.when(c("c_mktsegment") != "HOUSEHOLD", number(F.floor(c("c_custkey") / 2))).alias("id")
-        ).alias("currentTeam"),
-        F.struct(
-            F.struct(_birth_label("c_custkey").alias("label")).alias("date"),
-            F.struct(*_country(F.when(c("c_mktsegment") != "FURNITURE", code))).alias("country"),
-        ).alias("birth"),
-        "season",
+    served = t.customer.selectExpr("*", "explode(sequence(1996, 1996 + c_nationkey % 4)) AS year")
+    return served.selectExpr(
+        "CAST(c_custkey AS DOUBLE) AS officialId",
+        f"{PERSON_NAME} AS name",
+        "struct(IF(c_mktsegment <> 'HOUSEHOLD', CAST(c_custkey div 2 AS DOUBLE), NULL) AS id) AS currentTeam",
+        f"""struct(struct({BIRTH_LABEL} AS label) AS date,
+                   {_country("c_mktsegment <> 'FURNITURE'")} AS country) AS birth""",
+        "concat(year, '-', right(CAST(year + 1 AS STRING), 2)) AS season",
     )
 
 
 def player_info(t: Tables) -> DataFrame:
     """Customers as players, listed in two seasons alike."""
-    c = F.col
-    code = F.concat(F.lit("C"), c("c_nationkey").cast("string"))
-    return t.customer.withColumn("season", F.explode(F.array(*[F.lit(s) for s in CLUB_SEASONS]))).select(
-        number(c("c_custkey")).alias("playerId"),
-        F.struct(
-            F.substring("c_mktsegment", 1, 1).alias("position"),
-            number(c("c_custkey") % 99).alias("shirtNum"),
-            F.when(
-                c("c_mktsegment") != "BUILDING", F.concat(F.initcap("c_mktsegment"), F.lit(" Lead/Wide Back"))
-            ).alias("positionInfo"),
-        ).alias("info"),
-        F.struct(*_country(F.when(c("c_acctbal") <= 9000, code))).alias("nationalTeam"),
-        _person_name().alias("name"),
-        F.struct(F.struct(_birth_label("c_custkey").alias("label")).alias("date")).alias("birth"),
-        "season",
+    before, after = CLUB_SEASONS
+    return t.customer.selectExpr(
+        "CAST(c_custkey AS DOUBLE) AS playerId",
+        """struct(left(c_mktsegment, 1) AS position, CAST(c_custkey % 99 AS DOUBLE) AS shirtNum,
+                  IF(c_mktsegment <> 'BUILDING', concat(initcap(c_mktsegment), ' Lead/Wide Back'), NULL)
+                      AS positionInfo) AS info""",
+        f"{_country('c_acctbal <= 9000')} AS nationalTeam",
+        f"{PERSON_NAME} AS name",
+        f"struct(struct({BIRTH_LABEL} AS label) AS date) AS birth",
+        f"explode(array('{before}', '{after}')) AS season",
     )
 
 
 def player_stats(t: Tables) -> DataFrame:
     """One envelope per event; sign-ups name no club. Values are whole cents."""
-    c = F.col
-    club = F.when(c("event_type") != "signup", number(c("user_id") % 20))
-    owner = F.struct(
-        number(c("user_id")).alias("playerId"),
-        F.struct(F.struct(club.alias("id")).alias("club")).alias("currentTeam"),
+    return t.events.select(
+        F.col("event_type").alias("entity"),
+        F.expr("""array(struct(event_type AS name, round(value * 100) AS value, struct(
+            CAST(user_id AS DOUBLE) AS playerId,
+            struct(struct(IF(event_type <> 'signup', CAST(user_id % 20 AS DOUBLE), NULL) AS id) AS club) AS currentTeam
+            ) AS owner))""").alias("stats"),
+        season_of("ts"),
     )
-    item = F.struct(c("event_type").alias("name"), F.round(c("value") * 100).alias("value"), owner.alias("owner"))
-    return t.events.select(c("event_type").alias("entity"), F.array(item).alias("stats"), season_of("ts"))
 
 
-def _related(key: Column, status: Column) -> Column:
-    content = lambda kind, prefix: F.struct(
-        F.lit(kind).alias("type"), F.concat(F.lit(prefix), key.cast("string")).alias("reference")
-    )
-    return F.when(status == "F", F.array(content("PROMO", "ref-"), content("TEXT", "txt-"))).when(
-        status == "O", F.array(content("TEXT", "txt-"))
-    )
+def _related(key: str, promoted: str, plain: str) -> str:
+    """Related content of an award: promotional and text, text only, or none."""
+    text = f"struct('TEXT' AS type, concat('txt-', {key}) AS reference)"
+    return f"""CASE WHEN {promoted} THEN array(struct('PROMO' AS type, concat('ref-', {key}) AS reference), {text})
+                    WHEN {plain} THEN array({text}) END"""
 
 
 def month_award(t: Tables) -> DataFrame:
     """One array column per month; an order is one award in its own month."""
-    c = F.col
-    status = c("o_orderstatus")
-    item = F.struct(
-        F.substring("o_orderpriority", 1, 1).cast("double").alias("awardTypeId"),
-        F.substring("o_orderpriority", 3, 40).alias("award"),
-        F.struct(F.when(status == "F", number(c("o_custkey"))).alias("playerId")).alias("player"),
-        F.struct(F.when(status == "O", number(c("o_custkey"))).alias("officialId")).alias("official"),
-        _related(c("o_orderkey"), status).alias("relatedContent"),
+    items = t.orders.select(
+        F.expr(f"""struct(
+            CAST(left(o_orderpriority, 1) AS DOUBLE) AS awardTypeId, substring(o_orderpriority, 3) AS award,
+            struct(IF(o_orderstatus = 'F', CAST(o_custkey AS DOUBLE), NULL) AS playerId) AS player,
+            struct(IF(o_orderstatus = 'O', CAST(o_custkey AS DOUBLE), NULL) AS officialId) AS official,
+            {_related('o_orderkey', "o_orderstatus = 'F'", "o_orderstatus = 'O'")} AS relatedContent)""").alias("item"),
+        F.expr("month(o_orderdate)").alias("month"),
+        season_of("o_orderdate"),
+    )
+    return items.selectExpr(
+        *[f"IF(month = {i}, array(item), NULL) AS {name}" for i, name in enumerate(MONTHS, start=1)], "season"
     )
-    columns = [
-        F.when(F.month("o_orderdate") == i, F.array(item)).alias(name) for i, name in enumerate(MONTHS, start=1)
-    ]
-    return t.orders.select(*columns, season_of("o_orderdate"))
 
 
 def season_award(t: Tables) -> DataFrame:
     """Customers as holders of an award of their segment; id 5 also is a month award."""
-    c = F.col
-    kinds = {"BUILDING": 5.0, "MACHINERY": 11.0, "AUTOMOBILE": 12.0, "HOUSEHOLD": 13.0, "FURNITURE": 14.0}
-    kind = F.lit(None).cast("double")
-    for segment, value in kinds.items():
-        kind = F.when(c("c_mktsegment") == segment, value).otherwise(kind)
-    rich, poor = c("c_acctbal") > 5000, c("c_acctbal") < 0
-    status = F.when(rich, "F").when(poor, "P").otherwise("O")
-    return t.customer.select(
-        kind.alias("awardTypeId"),
-        c("c_mktsegment").alias("award"),
-        F.struct(F.when(rich, number(c("c_custkey"))).alias("playerId")).alias("player"),
-        F.struct(F.when(~rich & ~poor, number(c("c_custkey"))).alias("officialId")).alias("official"),
-        F.struct(F.when(poor, number(c("c_nationkey"))).alias("id")).alias("apiTeam"),
-        _related(c("c_custkey"), status).alias("relatedContent"),
-        F.when(c("c_nationkey") < 12, CLUB_SEASONS[0]).otherwise(CLUB_SEASONS[1]).alias("season"),
+    holder = "struct(IF({who}, CAST({key} AS DOUBLE), NULL) AS {field}) AS {name}"
+    return t.customer.selectExpr(
+        """CASE c_mktsegment WHEN 'BUILDING' THEN 5D WHEN 'MACHINERY' THEN 11D WHEN 'AUTOMOBILE' THEN 12D
+                             WHEN 'HOUSEHOLD' THEN 13D WHEN 'FURNITURE' THEN 14D END AS awardTypeId""",
+        "c_mktsegment AS award",
+        holder.format(who="c_acctbal > 5000", key="c_custkey", field="playerId", name="player"),
+        holder.format(who="c_acctbal BETWEEN 0 AND 5000", key="c_custkey", field="officialId", name="official"),
+        holder.format(who="c_acctbal < 0", key="c_nationkey", field="id", name="apiTeam"),
+        f"{_related('c_custkey', 'c_acctbal > 5000', 'c_acctbal >= 0')} AS relatedContent",
+        f"IF(c_nationkey < 12, '{CLUB_SEASONS[0]}', '{CLUB_SEASONS[1]}') AS season",
     )
 
 
 def award_documents(t: Tables) -> DataFrame:
     """Orders as combined award documents: month awards as a map, season awards as a list."""
-    c = F.col
-    item = F.struct(
-        F.substring("o_orderpriority", 1, 1).cast("double").alias("awardTypeId"),
-        F.substring("o_orderpriority", 3, 40).alias("award"),
-        number(c("o_custkey")).alias("holder"),
-    )
+    item = """array(struct(CAST(left(o_orderpriority, 1) AS DOUBLE) AS awardTypeId,
+                           substring(o_orderpriority, 3) AS award, CAST(o_custkey AS DOUBLE) AS holder))"""
     return t.orders.select(
-        F.when(
-            c("o_orderstatus") != "P", F.create_map(F.date_format("o_orderdate", "MMMM"), F.array(item))
-        ).alias("monthAwards"),
-        F.when(c("o_orderstatus") == "P", F.array(item)).alias("seasonAwards"),
+        F.expr(f"IF(o_orderstatus <> 'P', map(date_format(o_orderdate, 'MMMM'), {item}), NULL)").alias("monthAwards"),
+        F.expr(f"IF(o_orderstatus = 'P', {item}, NULL)").alias("seasonAwards"),
         season_of("o_orderdate"),
     )
 
 
 def kickoff_label() -> Column:
     """Kick-off text of an order: its date at minute key % 1440, London time."""
-    minutes = (F.col("o_orderkey") % 1440).cast("int")
-    wall = F.col("o_orderdate") + F.make_dt_interval(F.lit(0), F.lit(0), minutes)
-    zone = F.when(F.col("o_orderstatus") == "F", " BST").when(F.col("o_orderstatus") == "O", " GMT").otherwise("")
-    return F.concat(F.date_format(wall, "EEE d MMM yyyy, HH:mm"), zone)
+    return F.expr("""concat(
+        date_format(o_orderdate + make_dt_interval(0, 0, CAST(o_orderkey % 1440 AS INT)), 'EEE d MMM yyyy, HH:mm'),
+        CASE o_orderstatus WHEN 'F' THEN ' BST' WHEN 'O' THEN ' GMT' ELSE '' END)""")
 
 
 def match_info(t: Tables) -> DataFrame:
     """Orders as matches; pending ones have no away team and no clock."""
-    c = F.col
-    status = c("o_orderstatus")
-    team = lambda key, score: F.struct(
-        F.struct(number(key).alias("id")).alias("team"), score.alias("score")
-    )
-    home = team(c("o_custkey"), number(c("o_orderkey") % 6) + 0.5)
-    away = team(c("o_custkey") + 1, number(c("o_orderkey") % 4))
-    clock = F.when(
-        status == "F", F.concat(F.lit("90 +"), (c("o_orderkey") % 9).cast("string"), F.lit("'00"))
-    ).when(status == "O", "45")
+    home = "struct(struct(CAST(o_custkey AS DOUBLE) AS id) AS team, o_orderkey % 6 + 0.5D AS score)"
+    away = "struct(struct(CAST(o_custkey + 1 AS DOUBLE) AS id) AS team, CAST(o_orderkey % 4 AS DOUBLE) AS score)"
     return t.orders.select(
-        number(c("o_orderkey")).alias("id"),
-        F.when(status == "P", F.array(home)).otherwise(F.array(home, away)).alias("teams"),
+        F.expr("CAST(o_orderkey AS DOUBLE)").alias("id"),
+        F.expr(f"IF(o_orderstatus = 'P', array({home}), array({home}, {away}))").alias("teams"),
         F.struct(kickoff_label().alias("label")).alias("kickoff"),
-        c("o_totalprice").alias("attendance"),
-        F.struct(number(c("o_orderkey") % 38 + 1).alias("gameweek")).alias("gameweek"),
-        F.struct(clock.alias("label"), (c("o_totalprice") / 100).alias("secs")).alias("clock"),
-        F.struct(number(c("o_custkey") * 10).alias("id")).alias("ground"),
+        F.col("o_totalprice").alias("attendance"),
+        F.expr("struct(CAST(o_orderkey % 38 + 1 AS DOUBLE) AS gameweek)").alias("gameweek"),
+        F.expr("""struct(CASE o_orderstatus WHEN 'F' THEN concat('90 +', o_orderkey % 9, "'00") WHEN 'O' THEN '45' END
+                         AS label, o_totalprice / 100 AS secs)""").alias("clock"),
+        F.expr("struct(CAST(o_custkey * 10 AS DOUBLE) AS id)").alias("ground"),
         season_of("o_orderdate"),
     )
 
 
 def match_stats(t: Tables) -> DataFrame:
     """One document per line item: a club with statistics, one without, one that did not play."""
-    c = F.col
-    stat = lambda name, value: F.struct(
-        F.lit(name).alias("name"), number(value).alias("value"), F.lit(f"Todo: {name}").alias("description")
-    )
-    items = F.array(
-        stat("formation_used", F.lit(433)),
-        stat("fk_foul_lost", c("l_linenumber")),
-        stat("duel_lost", c("l_quantity")),
+    stat = "struct('{name}' AS name, CAST({value} AS DOUBLE) AS value, 'Todo: {name}' AS description)"
+    items = ", ".join(
+        stat.format(name=name, value=value)
+        for name, value in (("formation_used", "433"), ("fk_foul_lost", "l_linenumber"), ("duel_lost", "l_quantity"))
     )
-    guest = c("l_partkey") + 100_000_000_000
-    team = lambda key: F.struct(F.struct(number(key).alias("id")).alias("team"))
+    guest = "(l_partkey + 100000000000)"
+    team = "struct(struct(CAST({key} AS DOUBLE) AS id) AS team)"
     return t.lineitem.select(
-        F.struct(number(c("l_orderkey")).alias("id"), F.array(team(c("l_suppkey")), team(guest)).alias("teams")).alias(
-            "entity"
-        ),
-        F.create_map(
-            c("l_suppkey").cast("string"), F.struct(items.alias("M")),
-            guest.cast("string"), F.struct(F.slice(items, 1, 0).alias("M")),
-            F.lit("-1"), F.struct(items.alias("M")),
-        ).alias("stats"),
+        F.expr(f"""struct(CAST(l_orderkey AS DOUBLE) AS id,
+            array({team.format(key='l_suppkey')}, {team.format(key=guest)}) AS teams)""").alias("entity"),
+        F.expr(f"""map(CAST(l_suppkey AS STRING), struct(array({items}) AS M),
+                       CAST({guest} AS STRING), struct(slice(array({items}), 1, 0) AS M),
+                       '-1', struct(array({items}) AS M))""").alias("stats"),
         season_of("l_shipdate"),
     )
 
