@@ -8,23 +8,32 @@ from pyspark.sql import functions as F
 HOME_ZONE = "Europe/London"
 LOCAL_ZONE = "Asia/Ho_Chi_Minh"
 
-# "Sat 12 Aug 2023, 15:00 BST"; the zone word is optional and carries no
-# information beyond the wall time.
-KICKOFF = r"^\s*[A-Za-z]{3} (\d{1,2} [A-Za-z]{3} \d{4}), ([01]?\d|2[0-3]):([0-5]\d)\s*(?:BST|GMT)?\s*$"
-
-
 def parse_long_date(text: Column) -> Column:
     """"31 March 1998" -> date."""
     return F.try_to_timestamp(text, F.lit("d MMMM yyyy")).cast("date")
 
 
+def _digits(text: Column) -> Column:
+    """Text of digits as INT, other text as null.
+
+    The pattern comes first because a cast that fails costs an exception per
+    row, even a tried one.
+    """
+    return F.when(text.rlike(r"^\s*-?\d{1,9}$"), text.try_cast("int"))
+
+
 def _wall_time(text: Column) -> Column:
-    """The kick-off text as a zone-free timestamp."""
-    day = F.try_to_timestamp(F.nullif(F.regexp_extract(text, KICKOFF, 1), F.lit("")), F.lit("d MMM yyyy"))
-    # a non-match leaves '' here, and '' must not reach a strict cast
-    hour = F.regexp_extract(text, KICKOFF, 2).try_cast("int")
-    minute = F.regexp_extract(text, KICKOFF, 3).try_cast("int")
-    return day.cast("date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), hour, minute)
+    """"Sat 12 Aug 2023, 15:00 BST" as a zone-free timestamp.
+
+    The zone word is optional and carries no information beyond the wall
+    time. Read as UTC and rebuilt from the epoch, the text is parsed once
+    and the zone of the session plays no part.
+    """
+    bare = F.trim(F.replace(F.replace(text, F.lit("BST"), F.lit("")), F.lit("GMT"), F.lit("")))
+    as_utc = F.concat(F.substr(bare, F.lit(5)), F.lit(" Z"))
+    seconds = F.unix_seconds(F.try_to_timestamp(as_utc, F.lit("d MMM yyyy, H:mm X")))
+    epoch = F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'")
+    return epoch + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
 
 
 def london_to_local(text: Column) -> Column:
@@ -32,13 +41,14 @@ def london_to_local(text: Column) -> Column:
 
     In the hour that repeats when summer time ends, the standard-time reading
     holds: an hour later in UTC, if that instant shows the same wall time.
+    That happens on autumn nights only, so other rows skip the test.
     """
     wall = _wall_time(text)
     utc = F.convert_timezone(F.lit(HOME_ZONE), F.lit("UTC"), wall)
     later = utc + F.expr("INTERVAL '1' HOUR")
-    repeated = F.convert_timezone(F.lit("UTC"), F.lit(HOME_ZONE), later) == wall
-    instant = F.when(repeated, later).otherwise(utc)
-    return F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_ZONE), instant)
+    autumn_night = (F.month(wall) >= 9) & (F.hour(wall) < 4)
+    repeated = autumn_night & (F.convert_timezone(F.lit("UTC"), F.lit(HOME_ZONE), later) == wall)
+    return F.convert_timezone(F.lit("UTC"), F.lit(LOCAL_ZONE), F.when(repeated, later).otherwise(utc))
 
 
 def local_date(text: Column) -> Column:
@@ -53,7 +63,7 @@ def clock_minutes(label: Column) -> Column:
     """"90 +5'00" -> 95: the numbers left after removing + and '00, added up."""
     cleaned = F.replace(F.replace(label, F.lit("+"), F.lit("")), F.lit("'00"), F.lit(""))
     return F.aggregate(
-        F.split(cleaned, " "), F.lit(0), lambda total, part: total + part.try_cast("int")
+        F.split(cleaned, " "), F.lit(0), lambda total, part: total + _digits(part)
     )
 
 

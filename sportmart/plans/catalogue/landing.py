@@ -15,7 +15,15 @@ from sportmart.plans.load import TARGETS
 from sportmart.session import shared_dir
 from sportmart.sources.documents import read_entity, read_landed
 from sportmart.sources.frames import empty_frame
-from sportmart.sources.tables import empty_like, land_json, target_schema, to_bronze, upsert_parquet, write_parquet
+from sportmart.sources.tables import (
+    empty_like,
+    land_json,
+    staged,
+    target_schema,
+    to_bronze,
+    upsert_parquet,
+    write_parquet,
+)
 from sportmart.streaming.incremental import stream_upsert
 
 
@@ -99,7 +107,7 @@ def table_upsert_partitions(t):
     """A table by season of which an upsert rewrites only the later seasons."""
     path, spec = shared_dir(t.spark, "match-stats"), TARGETS["fct_match_stat"]
     names = ["duel_lost", "fk_foul_lost"]
-    fact = facts.fct_match_stat(standins.match_stats(t), standins.seasons(t), names)
+    fact = staged(facts.fct_match_stat(standins.match_stats(t), standins.seasons(t), names), "match-fact")
     keys, updates = spec.keys(fact.columns), spec.update_cols(fact.columns)
     upsert_parquet(t.spark, path, fact.withColumn("fk_foul_lost", F.lit(0.0)), keys, updates, spec.partition_by)
     upsert_parquet(t.spark, path, fact.where("season_id >= 1999"), keys, updates, spec.partition_by)

@@ -15,8 +15,7 @@ from pyspark.sql import functions as F
 from sportmart.functions import (
     clock_minutes,
     initials,
-    local_date,
-    local_time,
+    london_to_local,
     nth,
     parse_long_date,
     season_label,
@@ -168,15 +167,16 @@ def dim_award(month_award: DataFrame, season_award: DataFrame, latest: bool = Fa
 
 def dim_match(match_info: DataFrame, latest: bool = False) -> DataFrame:
     """One row per match document; ``latest`` keeps one per match id."""
-    kickoff, measure = F.col("kickoff.label"), "decimal(10,0)"
-    matches = match_info.select(
+    measure = "decimal(10,0)"
+    # converted in a column of its own, so that date and time share the work
+    matches = match_info.withColumn("_local", london_to_local(F.col("kickoff.label"))).select(
         as_id("id").alias("match_id"),
         F.col("attendance").cast(measure).alias("attendance"),
         F.col("gameweek.gameweek").cast(measure).alias("game_week"),
         clock_minutes(F.col("clock.label")).cast(measure).alias("match_length_min"),
         F.col("clock.secs").cast(measure).alias("match_length_sec"),
-        local_date(kickoff).alias("date_played"),
-        local_time(kickoff).alias("time"),
+        F.to_date("_local").alias("date_played"),
+        F.date_format("_local", "HH:mm").alias("time"),
         as_id(nth("teams", 0, "team.id")).alias("home_team_id"),
         as_id(nth("teams", 1, "team.id")).alias("away_team_id"),
         nth("teams", 0, "score").cast(measure).alias("home_team_final_score"),
