@@ -46,15 +46,12 @@ def stack_array_columns(
 ) -> DataFrame:
     """Array columns with one element type to rows, one row per element.
 
-    One generator over the joined arrays, so the input is read once whatever
-    the number of columns. ``label`` names a column for the origin.
+    Unpivot is generated code over one read of the input, whatever the number
+    of columns. ``label`` names a column for the origin.
     """
-    tagged = [
-        f"transform(coalesce(`{name}`, array()), x -> struct('{name}' AS label, x AS value))" for name in columns
-    ]
-    rows = df.select(*keep, F.expr(f"explode(concat({', '.join(tagged)}))").alias("_item"))
-    extra = [F.col("_item.label").alias(label)] if label else []
-    return rows.select(*keep, *extra, F.col("_item.value").alias(value))
+    lists = df.unpivot(list(keep), list(columns), label or "_label", "_list").where("_list IS NOT NULL")
+    extra = [label] if label else []
+    return lists.select(*keep, *extra, F.explode("_list").alias(value))
 
 
 def map_to_rows(df: DataFrame, column: str, key: str, value: str, keep: Sequence[str] = ()) -> DataFrame:

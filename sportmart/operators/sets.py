@@ -34,6 +34,14 @@ def union_distinct(frames: Sequence[DataFrame], columns: Columns) -> DataFrame:
     return union_all(frames, columns).distinct()
 
 
+def except_distinct(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Distinct rows of ``left`` that ``right`` lacks.
+
+    Copies on the left shrink before the join, not after it.
+    """
+    return left.distinct().subtract(right)
+
+
 def has_whole_key(keys: Sequence[str]) -> str:
     """Condition that no key part is null."""
     return " AND ".join(f"`{key}` IS NOT NULL" for key in keys)

@@ -8,9 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from sportmart.functions import academic_year
+from sportmart.functions import academic_year, nth
 from sportmart.plans import dims, facts, standins
 from sportmart.plans.catalogue.registry import query, season_sql, season_start_sql
+from sportmart.plans.dims import as_id
 from sportmart.plans.load import TARGETS
 from sportmart.session import shared_dir
 from sportmart.sources.documents import read_entity, read_landed
@@ -27,25 +28,27 @@ from sportmart.sources.tables import (
 from sportmart.streaming.incremental import stream_upsert
 
 
-@query(
-    "SRC-1 SRC-2 SNK-1",
-    f"""
-    SELECT o_orderkey AS id, o_custkey AS home, {season_sql('o_orderdate')} AS season FROM orders
-    WHERE {season_sql('o_orderdate')} IN ('1996-97', '1999-00')
-    """,
-)
-def landing_roundtrip(t):
-    """Match documents landed as JSON by season; two seasons read back with the declared schema."""
+def _landed_matches(t, seasons=None):
+    """Match documents landed as JSON by season and read back with the declared schema."""
     path = shared_dir(t.spark, "landing")
     documents = standins.match_info(t)
     land_json(documents, path)
-    schema = documents.drop("season").schema
-    back = read_landed(t.spark, path, schema, seasons=["1996-97", "1999-00"])
-    return back.select(
-        F.col("id").cast("bigint").alias("id"),
-        F.get("teams", F.lit(0))["team"]["id"].cast("bigint").alias("home"),
-        "season",
-    )
+    back = read_landed(t.spark, path, documents.drop("season").schema, seasons)
+    return back.select(as_id("id").alias("id"), as_id(nth("teams", 0, "team.id")).alias("home"), "season")
+
+
+LANDED_SQL = f"SELECT o_orderkey AS id, o_custkey AS home, {season_sql('o_orderdate')} AS season FROM orders"
+
+
+@query("SRC-1 SRC-2 SNK-1", LANDED_SQL)
+def landing_roundtrip(t):
+    return _landed_matches(t)
+
+
+@query("SRC-2 LIM-1", f"SELECT * FROM ({LANDED_SQL}) WHERE season IN ('1996-97', '1999-00')")
+def landed_seasons(t):
+    """The season parameter of a read: only the directories of two seasons are scanned."""
+    return _landed_matches(t, ["1996-97", "1999-00"])
 
 
 @query(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from sportmart.functions import (
     academic_year,
     clock_minutes,
+    has_column,
     hms,
     initials,
     local_date,
@@ -184,7 +185,7 @@ def pair_elements(t):
 
 
 @query(
-    "PRJ-2 PRJ-3 PRJ-4 PRJ-5",
+    "PRJ-2 PRJ-3 PRJ-4 PRJ-5 SCL-14",
     """
     SELECT p_partkey, upper(p_name) AS p_name, p_retailprice * 2 AS double_price, 'season' AS type,
            CAST(NULL AS BIGINT) AS club_id
@@ -199,7 +200,7 @@ def computed_columns(t):
                 "p_name": F.upper("p_name"),
                 "double_price": F.col("p_retailprice") * 2,
                 "type": F.lit("season"),
-                "club_id": F.lit(None).cast("bigint"),
+                "club_id": F.col("club_id") if has_column(t.part, "club_id") else F.lit(None).cast("bigint"),
             }
         ).drop("p_brand", "p_type", "p_size", "p_retailprice")
     )

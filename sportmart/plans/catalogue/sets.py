@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sportmart.functions import academic_year
-from sportmart.operators.sets import align_to, latest_per_key, union_all, union_distinct, union_fill
+from sportmart.operators.sets import align_to, except_distinct, latest_per_key, union_all, union_distinct, union_fill
 from sportmart.plans.catalogue.registry import query, season_sql
 
 PARTY = [("id", "bigint"), ("name", "string"), ("balance", "double"), ("segment", "string")]
@@ -78,7 +78,7 @@ def union_deduplicated(t):
 def except_rows(t):
     """Customers with orders, without those in debt."""
     ordered = t.orders.select(F.col("o_custkey").alias("id"))
-    return ordered.subtract(t.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("id")))
+    return except_distinct(ordered, t.customer.where("c_acctbal < 0").select(F.col("c_custkey").alias("id")))
 
 
 @query(

@@ -127,7 +127,7 @@ def upsert_latest(t):
         SELECT user_id AS player_id, sum(round(value * 100)) FILTER (WHERE event_type = 'click') AS click,
                sum(round(value * 100)) FILTER (WHERE event_type = 'view') AS view
         FROM events GROUP BY user_id)
-    SELECT player_id, CASE WHEN player_id % 2 = 0 THEN -1 ELSE player_id % 20 END AS club_id, 2023::BIGINT AS season_id,
+    SELECT player_id, CASE WHEN click >= view THEN -1 ELSE player_id % 20 END AS club_id, 2023::BIGINT AS season_id,
            click AS "CLICK", view AS "VIEW"
     FROM w
     """,
@@ -138,12 +138,9 @@ def upsert_player_fact(t):
     names = ["CLICK", "VIEW"]
     events = standins.player_stats(t).where("entity <> 'signup'")
     source = staged(facts.fct_player_stat(events, standins.seasons(t), names), "player-fact")
-    # the stored fact: players with an even id, another club, older statistics
-    stored = (
-        source.select("player_id", "season_id")
-        .where("player_id % 2 = 0")
-        .select("player_id", F.lit(-1).cast("bigint").alias("club_id"), "season_id",
-                *[F.lit(0.0).alias(name) for name in names])
+    # the stored fact: players with more clicks than views, another club, older statistics
+    stored = source.where("CLICK >= VIEW").withColumns(
+        {"club_id": F.lit(-1).cast("bigint"), **{name: F.lit(0.0) for name in names}}
     )
     return upsert(stored, source, target_spec.keys(source.columns), target_spec.update_cols(source.columns))
 

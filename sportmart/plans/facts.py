@@ -8,11 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sportmart.functions import season_label
-from sportmart.operators.nested import explode_chain, explode_path, map_to_rows
+from sportmart.operators.nested import explode_path, map_to_rows
 from sportmart.operators.pages import documents_for_ids
 from sportmart.operators.reshape import distinct_sorted, long_to_wide
 from sportmart.operators.sets import align_to, union_fill
@@ -33,13 +33,27 @@ def with_season_id(df: DataFrame, seasons: DataFrame) -> DataFrame:
     return df.join(small(index), "season")
 
 
-def club_statistics(club_stats: DataFrame) -> DataFrame:
+def total_over(
+    folded: DataFrame, keys: Sequence[str], names: Sequence[str], keep: Sequence[str]
+) -> DataFrame:
+    """Statistics added up over ``keys`` and repeated on every row.
+
+    ``folded`` already has one row per ``keys`` and ``keep``, so a partition
+    holds the few variants of an owner. This reads the source once, where
+    joining totals with the variants reads it twice.
+    """
+    owner = Window.partitionBy(*keys)
+    return folded.select(*keys, *keep, *[F.sum(f"`{name}`").over(owner).alias(name) for name in names])
+
+
+def club_statistics(club_stats: DataFrame, *extra: Column) -> DataFrame:
     """Long club statistics (season, club_id, stat_name, stat_value)."""
     return explode_path(club_stats, "stats", "s", keep=["season"]).select(
         "season",
         as_id("s.owner.club.id").alias("club_id"),
         F.col("s.name").alias("stat_name"),
         F.col("s.value").alias("stat_value"),
+        *extra,
     )
 
 
@@ -57,16 +71,21 @@ def fct_club_stat(
     """
     if names is None:
         names = distinct_sorted(club_stats, "entity")
-    wide = long_to_wide(club_statistics(club_stats), ["season", "club_id"], "stat_name", "stat_value", names)
-    grounds = (
-        explode_chain(club_stats, [("stats", "s"), ("s.owner.grounds", "g")], keep=["season"])
-        .select("season", as_id("s.owner.club.id").alias("club_id"), as_id("g.id").alias("stadium_id"))
+    long = club_statistics(club_stats, F.col("s.owner.grounds.id").alias("grounds")).where("club_id IS NOT NULL")
+    by_grounds = long_to_wide(
+        long, ["season", "club_id", "grounds"], "stat_name", "stat_value", names, null_keys=True
+    )
+    wide = (
+        total_over(by_grounds, ["season", "club_id"], names, keep=["grounds"])
+        .withColumn("ground", F.explode("grounds"))
+        .withColumn("stadium_id", as_id("ground"))
+        .drop("grounds", "ground")
         .distinct()
     )
     managers = manager_info.select(
         "season", as_id("currentTeam.id").alias("club_id"), as_id("officialId").alias("manager_id")
     ).where("club_id IS NOT NULL").distinct()
-    rows = wide.join(grounds, ["season", "club_id"]).join(managers, ["season", "club_id"])
+    rows = wide.join(managers, ["season", "club_id"])
     return align_to(with_season_id(rows, seasons), with_statistics("fct_club_stat", list(names)))
 
 
@@ -88,14 +107,10 @@ def fct_player_stat(player_stats: DataFrame, seasons: DataFrame, names: Sequence
     others are dropped, absent ones are null.
     """
     long = player_statistics(player_stats).where("player_id IS NOT NULL")
-    # fold by club first, then add up the few club rows of a player: one scan
     by_club = long_to_wide(
         long, ["season", "player_id", "club_id"], "stat_name", "stat_value", names, null_keys=True
     )
-    player = Window.partitionBy("season", "player_id")
-    rows = by_club.select(
-        "season", "player_id", "club_id", *[F.sum(f"`{name}`").over(player).alias(name) for name in names]
-    )
+    rows = total_over(by_club, ["season", "player_id"], names, keep=["club_id"])
     return align_to(with_season_id(rows, seasons), with_statistics("fct_player_stat", list(names)))
 
 
@@ -130,9 +145,9 @@ def fct_object_award(
     if awards is None:
         given = given.where("award_id IS NOT NULL")
     elif fan_out:
-        given = given.join(awards.select("award_id"), "award_id")
+        given = given.join(small(awards.select("award_id")), "award_id")
     else:
-        given = documents_for_ids(awards, given, "award_id")
+        given = documents_for_ids(small(awards.select("award_id").distinct()), given, "award_id")
     given = given.withColumn("object_id", F.coalesce("player_id", "manager_id", "club_id"))
     return align_to(with_season_id(given, seasons), TABLES["fct_object_award"])
 
@@ -145,8 +160,7 @@ def match_statistics(match_stats: DataFrame) -> DataFrame:
     """
     entries = map_to_rows(match_stats, "stats", "club", "entry", keep=["season", "entity"])
     club_id = F.col("club").try_cast("bigint")
-    teams = F.transform("entity.teams", lambda item: item["team"]["id"].cast("bigint"))
-    played = entries.where(F.array_contains(teams, club_id)).select(
+    played = entries.where(F.array_contains("entity.teams.team.id", club_id.cast("double"))).select(
         "season", as_id("entity.id").alias("match_id"), club_id.alias("club_id"), F.col("entry.M").alias("items")
     )
     return explode_path(played, "items", "m", keep=["season", "match_id", "club_id"]).select(
