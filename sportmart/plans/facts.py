@@ -179,15 +179,13 @@ def fct_match_stat(
     ``match_info`` restricts the matches to a listing. ``names`` defaults to
     the names in the data.
     """
-    if match_info is not None:
-        match_stats = documents_for_ids(
-            match_info.select(as_id("id").alias("match_id")),
-            match_stats.withColumn("match_id", as_id("entity.id")),
-            "match_id",
-        ).drop("match_id")
     long = match_statistics(match_stats)
     if names is None:
         names = distinct_sorted(long, "stat_name")
     key = ["season", "match_id", "club_id"]
     wide = long_to_wide(long, key, "stat_name", "stat_value", names, agg="max", listed_only=True)
+    if match_info is not None:
+        # folded rows are what shuffles; a listing that can be broadcast is
+        # pushed below the fold by the optimizer
+        wide = documents_for_ids(match_info.select(as_id("id").alias("match_id")), wide, "match_id")
     return align_to(with_season_id(wide, seasons), with_statistics("fct_match_stat", list(names)))
