@@ -10,6 +10,11 @@ from sportmart.plans.catalogue.registry import query
 from sportmart.plans.standins import PLAYER_NAMES
 
 
+def cents():
+    """Event values as whole cents: sums are exact and far cheaper than decimals."""
+    return F.expr("CAST(rint(value * 100) AS BIGINT)").alias("value")
+
+
 @query(
     "AGG-1 JON-3 FLT-3 SCL-12",
     """
@@ -17,9 +22,9 @@ from sportmart.plans.standins import PLAYER_NAMES
            f.qty_A, f.qty_N, f.qty_R
     FROM (
         SELECT l_suppkey,
-               CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (WHERE l_returnflag = 'A') AS DOUBLE) AS qty_A,
-               CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (WHERE l_returnflag = 'N') AS DOUBLE) AS qty_N,
-               CAST(sum(CAST(l_quantity AS DECIMAL(18,2))) FILTER (WHERE l_returnflag = 'R') AS DOUBLE) AS qty_R
+               sum(l_quantity) FILTER (WHERE l_returnflag = 'A') AS qty_A,
+               sum(l_quantity) FILTER (WHERE l_returnflag = 'N') AS qty_N,
+               sum(l_quantity) FILTER (WHERE l_returnflag = 'R') AS qty_R
         FROM lineitem GROUP BY l_suppkey
     ) f
     JOIN supplier s ON s.s_suppkey = f.l_suppkey
@@ -27,14 +32,12 @@ from sportmart.plans.standins import PLAYER_NAMES
     """,
 )
 def stat_pivot_sum(t):
-    """Quantity per supplier and return flag, folded before the joins."""
-    long = t.lineitem.select(
-        "l_suppkey",
-        F.concat(F.lit("qty_"), "l_returnflag").alias("stat"),
-        F.col("l_quantity").cast("decimal(18,2)").alias("value"),
-    )
-    names = ["qty_A", "qty_N", "qty_R"]
-    wide = long_to_wide(long, ["l_suppkey"], "stat", "value", names)
+    """Quantity per supplier and return flag, folded before the joins.
+
+    Quantities are whole numbers, so sums of doubles are exact.
+    """
+    flags = ["A", "N", "R"]
+    wide = long_to_wide(t.lineitem, ["l_suppkey"], "l_returnflag", "l_quantity", flags)
     return (
         wide.join(t.supplier, wide.l_suppkey == F.col("s_suppkey"))
         .join(t.nation, F.col("s_nationkey") == F.col("n_nationkey"))
@@ -42,7 +45,7 @@ def stat_pivot_sum(t):
             F.col("s_suppkey").alias("club_id"),
             F.col("s_name").alias("name"),
             F.col("n_name").alias("nation"),
-            *[F.col(name).cast("double").alias(name) for name in names],
+            *[F.col(flag).alias(f"qty_{flag}") for flag in flags],
         )
     )
 
@@ -62,9 +65,9 @@ def stat_pivot_sum(t):
 def stat_pivot_discovered(t):
     """Columns named by the distinct statistic names in the data, sorted."""
     names = distinct_sorted(t.events, "event_type")
-    long = t.events.withColumn("value", F.col("value").cast("decimal(18,2)"))
+    long = t.events.select("user_id", "event_type", cents())
     wide = long_to_wide(long, ["user_id"], "event_type", "value", names)
-    return wide.select("user_id", *[F.col(name).cast("double").alias(name) for name in names])
+    return wide.select("user_id", *[(F.col(name) / 100).alias(name) for name in names])
 
 
 @query(
@@ -81,11 +84,9 @@ def stat_pivot_discovered(t):
 )
 def stat_pivot_fixed_upper(t):
     """Upper-cased names against a fixed list: one is absent, one unlisted."""
-    long = t.events.select(
-        "user_id", F.upper("event_type").alias("stat"), F.col("value").cast("decimal(18,2)").alias("value")
-    )
+    long = t.events.select("user_id", F.upper("event_type").alias("stat"), cents())
     wide = long_to_wide(long, ["user_id"], "stat", "value", PLAYER_NAMES)
-    return wide.select("user_id", *[F.col(name).cast("double").alias(name) for name in PLAYER_NAMES])
+    return wide.select("user_id", *[(F.col(name) / 100).alias(name) for name in PLAYER_NAMES])
 
 
 @query(
@@ -121,10 +122,10 @@ def stat_pivot_wide(t):
     long = t.events.select(
         "user_id",
         F.concat(F.lit("k"), F.get_json_object("props", "$.k")).alias("stat"),
-        F.col("value").cast("decimal(18,2)").alias("value"),
+        cents(),
     )
     wide = long_to_wide(long, ["user_id"], "stat", "value", WIDE_NAMES)
-    return wide.select("user_id", *[F.col(name).cast("double").alias(name) for name in wide.columns[51:]])
+    return wide.select("user_id", *[(F.col(name) / 100).alias(name) for name in wide.columns[51:]])
 
 
 @query(

@@ -126,7 +126,7 @@ def player_stats(t: Tables) -> DataFrame:
     """One envelope per event; sign-ups name no club. Values are whole cents."""
     return t.events.select(
         F.col("event_type").alias("entity"),
-        F.expr("""array(struct(event_type AS name, round(value * 100) AS value, struct(
+        F.expr("""array(struct(event_type AS name, rint(value * 100) AS value, struct(
             CAST(user_id AS DOUBLE) AS playerId,
             struct(struct(IF(event_type <> 'signup', CAST(user_id % 20 AS DOUBLE), NULL) AS id) AS club) AS currentTeam
             ) AS owner))""").alias("stats"),
