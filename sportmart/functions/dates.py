@@ -56,7 +56,14 @@ def local_date(text: Column) -> Column:
 
 
 def local_time(text: Column) -> Column:
-    return F.date_format(london_to_local(text), "HH:mm")
+    return clock_text(london_to_local(text))
+
+
+def clock_text(wall: Column) -> Column:
+    """HH:mm of a zone-free timestamp. Formatting one as a whole would read it
+    in the zone of the session first and move times that zone skips."""
+    two = lambda part: F.lpad(part.cast("string"), 2, "0")
+    return F.concat(two(F.hour(wall)), F.lit(":"), two(F.minute(wall)))
 
 
 def clock_minutes(label: Column) -> Column:

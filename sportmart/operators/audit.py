@@ -5,21 +5,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sportmart.sources.frames import literal_rows
+from sportmart.sources.frames import literal, literal_rows
 
 AUDIT_DDL = "table STRING, operation STRING, ts TIMESTAMP_NTZ, rows_inserted BIGINT, rows_updated BIGINT"
 
 
 
-def audit_row(counts: DataFrame, table: str, ts: datetime | Column, operation: str = "UPDATE") -> DataFrame:
+def audit_row(counts: DataFrame, table: str, ts: datetime, operation: str = "UPDATE") -> DataFrame:
     """A row of the audit table from the counts of an upsert."""
-    when = ts if isinstance(ts, Column) else F.lit(ts)
     return counts.select(
-        F.lit(table).alias("table"), F.lit(operation).alias("operation"), when.alias("ts"),
-        "rows_inserted", "rows_updated",
+        F.lit(table).alias("table"), F.lit(operation).alias("operation"),
+        literal(ts, "timestamp_ntz").alias("ts"), "rows_inserted", "rows_updated",
     )
 
 
@@ -33,7 +32,7 @@ def freshness(
     ts_type = audit.schema["ts"].dataType.simpleString()
     last = audit.where(F.col("table").isin(list(tables))).groupBy("table").agg(F.max("ts").alias("last_ts"))
     wanted = literal_rows(audit.sparkSession, [(name,) for name in tables], "table STRING")
-    oldest = F.lit(now - max_age).cast(ts_type)
+    oldest = literal(now - max_age, ts_type)
     return wanted.join(last, "table", "left").select(
         "table", "last_ts", F.coalesce(F.col("last_ts") >= oldest, F.lit(False)).alias("fresh")
     )

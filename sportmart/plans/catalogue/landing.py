@@ -19,6 +19,7 @@ from sportmart.sources.frames import empty_frame
 from sportmart.sources.tables import (
     empty_like,
     land_json,
+    read_table,
     staged,
     target_schema,
     to_bronze,
@@ -114,8 +115,7 @@ def table_upsert_partitions(t):
     keys, updates = spec.keys(fact.columns), spec.update_cols(fact.columns)
     upsert_parquet(t.spark, path, fact.withColumn("fk_foul_lost", F.lit(0.0)), keys, updates, spec.partition_by)
     upsert_parquet(t.spark, path, fact.where("season_id >= 1999"), keys, updates, spec.partition_by)
-    back = t.spark.read.parquet(path)
-    return back.select(*[F.col(c).cast("bigint") if c == "season_id" else F.col(c) for c in fact.columns])
+    return read_table(t.spark, path, fact, spec.partition_by)
 
 
 @query(

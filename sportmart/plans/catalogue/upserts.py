@@ -61,7 +61,7 @@ def upsert_default(t):
 def upsert_audit(t):
     """The audit row of that upsert."""
     counts = upsert_counts(_customers(t), _changes(t), ["id"])
-    return audit_row(counts, "dim_player", F.lit(datetime(2024, 1, 1)).cast("timestamp_ntz"))
+    return audit_row(counts, "dim_player", datetime(2024, 1, 1))
 
 
 @query(

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from sportmart.functions import (
     clock_minutes,
+    clock_text,
     initials,
     london_to_local,
     nth,
@@ -176,7 +177,7 @@ def dim_match(match_info: DataFrame, latest: bool = False) -> DataFrame:
         clock_minutes(F.col("clock.label")).cast(measure).alias("match_length_min"),
         F.col("clock.secs").cast(measure).alias("match_length_sec"),
         F.to_date("_local").alias("date_played"),
-        F.date_format("_local", "HH:mm").alias("time"),
+        clock_text(F.col("_local")).alias("time"),
         as_id(nth("teams", 0, "team.id")).alias("home_team_id"),
         as_id(nth("teams", 1, "team.id")).alias("away_team_id"),
         nth("teams", 0, "score").cast(measure).alias("home_team_final_score"),

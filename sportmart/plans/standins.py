@@ -185,8 +185,10 @@ def award_documents(t: Tables) -> DataFrame:
 
 def kickoff_label() -> Column:
     """Kick-off text of an order: its date at minute key % 1440, London time."""
-    return F.expr("""concat(
-        date_format(o_orderdate + make_dt_interval(0, 0, CAST(o_orderkey % 1440 AS INT)), 'EEE d MMM yyyy, HH:mm'),
+    minute = "CAST(o_orderkey % 1440 AS INT)"
+    return F.expr(f"""concat(
+        date_format(CAST(o_orderdate AS DATE), 'EEE d MMM yyyy'), ', ',
+        lpad({minute} div 60, 2, '0'), ':', lpad({minute} % 60, 2, '0'),
         CASE o_orderstatus WHEN 'F' THEN ' BST' WHEN 'O' THEN ' GMT' ELSE '' END)""")
 
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sportmart.operators.upsert import single_per_key, upsert
+from sportmart.operators.upsert import duplicate_keys, single_per_key, upsert
 from sportmart.session import shared_dir
 from sportmart.sources.frames import empty_frame
 
@@ -152,9 +152,10 @@ def upsert_parquet(
 ) -> Counts:
     """Upsert into a Parquet directory: written beside it, then swapped in.
 
-    The source is staged first, one row per key, so its plan runs once. A
-    table partitioned by one of its keys can only match inside a partition,
-    so only the partitions that the source touches are read and rewritten.
+    The source is staged first, so its plan runs once, and duplicate keys are
+    looked for in the key columns of the staged files. A table partitioned by
+    one of its keys can only match inside a partition, so only the partitions
+    that the source touches are read and rewritten.
     ``order`` columns are columns of the table. The counts come from file
     footers: nothing is deleted, so what grew was inserted, and the other
     source rows matched.
@@ -163,10 +164,17 @@ def upsert_parquet(
         raise ValueError("a partitioned table needs its partition column among the keys")
     tag = uuid.uuid4().hex
     staging, output = f"{path}__source-{tag}", f"{path}__staged-{tag}"
-    write_parquet(single_per_key(source, keys, on_duplicate, order), staging)
+    fs, as_path = _filesystem(spark, path)
+    latest = on_duplicate == "latest"
+    write_parquet(single_per_key(source, keys, "latest", order) if latest else source, staging)
     source = spark.read.schema(source.schema).parquet(staging)
+    if on_duplicate == "error":
+        repeated = duplicate_keys(source, keys).limit(1).collect()
+        if repeated:
+            fs.delete(as_path(staging), True)
+            raise ValueError(f"more than one source row for key {repeated[0].asDict()}")
     exists = table_exists(spark, path)
-    target = spark.read.parquet(path) if exists else empty_frame(spark, source.schema)
+    target = read_table(spark, path, source, partition_by) if exists else empty_frame(spark, source.schema)
     if exists and partition_by:
         touched = touched_partitions(source, partition_by)
         inside = F.col(partition_by).isin([value for value in touched if value is not None])
@@ -178,11 +186,23 @@ def upsert_parquet(
     inserted = _rows(spark, output, source) - (target.count() if exists else 0)
     counts = Counts(inserted, source.count() - inserted)
     _swap(spark, path, output, partitions=exists and partition_by is not None)
-    fs, as_path = _filesystem(spark, path)
     fs.delete(as_path(staging), True)
     return counts
 
 
+def read_table(spark: SparkSession, path: str, like: DataFrame, partition_by: str | None = None) -> DataFrame:
+    """A stored table whose columns are those of ``like``, in the same order.
+
+    The type of a partition column is not in the files; it is not guessed
+    from directory names but taken from ``like``.
+    """
+    schema = spark.read.parquet(path).schema
+    if set(schema.names) != set(like.columns):
+        raise ValueError(f"columns of {path} differ: {sorted(set(schema.names) ^ set(like.columns))}")
+    fields = [like.schema[field.name] if field.name == partition_by else field for field in schema]
+    return spark.read.schema(T.StructType(fields)).parquet(path).select(*like.columns)
+
+
 def _rows(spark: SparkSession, path: str, like: DataFrame) -> int:
     return spark.read.schema(like.schema).parquet(path).count()
 

@@ -18,7 +18,7 @@ from sportmart.plans.catalogue.quality import table_lineage
 from sportmart.plans.load import TARGETS
 from sportmart.sources.documents import has_rows, is_schema_empty, read_pages
 from sportmart.sources.frames import empty_frame, literal_rows, small
-from sportmart.sources.tables import table_exists, upsert_parquet, write_parquet
+from sportmart.sources.tables import read_table, table_exists, upsert_parquet, write_parquet
 
 
 def rows(df):
@@ -207,6 +207,34 @@ def test_partitioned_upsert_rewrites_touched_partitions_only(spark, tmp_path):
     assert [p.name for p in tmp_path.iterdir()] == ["t"]
 
 
+def test_table_upsert_refuses_duplicate_keys(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_parquet(spark, path, frame(spark, [(1, 1)], "id INT, v INT"), ["id"], ["v"])
+    twice = frame(spark, [(2, 1), (2, 2)], "id INT, v INT")
+    with pytest.raises(ValueError, match="more than one source row"):
+        upsert_parquet(spark, path, twice, ["id"], ["v"])
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    assert upsert_parquet(spark, path, twice, ["id"], ["v"], on_duplicate="latest") == (1, 0)
+    assert rows(spark.read.parquet(path)) == [(1, 1), (2, 2)]
+
+
+def test_table_columns_must_agree(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_parquet(spark, path, frame(spark, [(1, 1)], "id INT, v INT"), ["id"], ["v"])
+    for ddl, row in (("id INT", (1,)), ("id INT, v INT, w INT", (1, 1, 1))):
+        with pytest.raises(ValueError, match="differ"):
+            upsert_parquet(spark, path, frame(spark, [row], ddl), ["id"], [])
+
+
+def test_partition_values_keep_their_type(spark, tmp_path):
+    path = str(tmp_path / "t")
+    first = frame(spark, [("2001-02", 1), ("2002-03", 2)], "season STRING, v INT")
+    upsert_parquet(spark, path, first, ["season"], ["v"], "season")
+    second = frame(spark, [("2001-02", 5)], "season STRING, v INT")
+    assert upsert_parquet(spark, path, second, ["season"], ["v"], "season") == (0, 1)
+    assert rows(read_table(spark, path, first, "season")) == [("2001-02", 5), ("2002-03", 2)]
+
+
 def test_partition_column_must_be_a_key(spark, tmp_path):
     with pytest.raises(ValueError):
         upsert_parquet(spark, str(tmp_path / "t"), frame(spark, [(1, 1)], "id INT, season INT"), ["id"], [], "season")
