@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sportmart.functions.text import last_segment
-from sportmart.operators.nested import map_to_rows, stack_array_columns
+from sportmart.operators.nested import array_columns, map_to_rows, stack_array_columns
 
 ANCHOR = r"(?i)<a\s[^>]*>"
 HREF = r"""(?i)\shref\s*=\s*["']?([^"'\s>]+)"""
@@ -53,11 +53,7 @@ def award_rows(month_award: DataFrame, keep: Sequence[str] = (), month: str = "m
     if "awards" in month_award.columns and isinstance(month_award.schema["awards"].dataType, T.MapType):
         entries = map_to_rows(month_award, "awards", month, "_list", keep)
         return entries.select(*keep, month, F.explode("_list").alias("award_month"))
-    months = [
-        column.name
-        for column in month_award.schema
-        if isinstance(column.dataType, T.ArrayType) and column.name not in keep
-    ]
+    months = [name for name in array_columns(month_award) if name not in keep]
     return stack_array_columns(month_award, months, "award_month", label=month, keep=keep)
 
 

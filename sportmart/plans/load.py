@@ -12,7 +12,7 @@ from sportmart.operators.audit import AUDIT_DDL
 from sportmart.operators.quality import enforce, run_suites
 from sportmart.plans import dims, facts
 from sportmart.plans.suites import raw_suite, table_suite
-from sportmart.schemas import TABLES, with_statistics
+from sportmart.schemas import with_statistics
 from sportmart.sources.documents import extract
 from sportmart.sources.frames import literal_rows
 from sportmart.sources.tables import to_bronze, upsert_parquet
@@ -95,7 +95,8 @@ def check_sources(sources: dict[str, DataFrame], on_fail: str = "warn") -> DataF
 def check_tables(
     tables: dict[str, DataFrame], columns: dict[str, list[tuple[str, str]]], on_fail: str = "raise"
 ) -> DataFrame:
-    results = run_suites([table_suite(name, df, columns[name]) for name, df in tables.items()])
+    """Column sets and types of built tables, from their schemas alone."""
+    results = run_suites([table_suite(name, df, columns[name]) for name, df in tables.items()], count_rows=False)
     enforce(results, on_fail)
     return results
 
@@ -135,4 +136,4 @@ def run(
     return load_tables(spark, tables, warehouse, now)
 
 
-__all__ = ["TABLES", "TARGETS", "Target", "build_tables", "check_sources", "check_tables", "load_tables", "run"]
+__all__ = ["TARGETS", "Target", "build_tables", "check_sources", "check_tables", "load_tables", "run"]

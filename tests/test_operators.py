@@ -302,6 +302,13 @@ def test_every_check_reports_counts(spark):
     assert {r["element_count"] for r in suite.results().collect()} == {3}
 
 
+def test_schema_checks_alone_run_nothing(spark):
+    broken = spark.range(3).select(F.raise_error(F.lit("must not run")).cast("bigint").alias("id"))
+    suite = Suite("t", broken).column_set(["id"]).column_types([("id", "bigint")])
+    got = [(r["passed"], r["unexpected_count"], r["element_count"]) for r in suite.results(count_rows=False).collect()]
+    assert got == [(True, 0, None), (True, 0, None)]
+
+
 def test_enforce(spark):
     results = run_suites([Suite("t", spark.range(2)).columns_exist(["id", "gone"])])
     with pytest.warns(UserWarning, match="gone"):
