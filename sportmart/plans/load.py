@@ -117,18 +117,17 @@ def load_tables(
     return spark.read.parquet(f"{root}/_audit")
 
 
-def run(
+def run_sources(
     spark: SparkSession,
-    landing: str,
+    sources: dict[str, DataFrame],
     warehouse: str,
     club_names: Sequence[str],
     player_names: Sequence[str],
     match_names: Sequence[str],
-    seasons: Sequence[str] | None = None,
     now: datetime | None = None,
 ) -> DataFrame:
-    """The whole batch from landed documents to audited tables."""
-    sources = to_bronze(extract(spark, landing, seasons), f"{warehouse.rstrip('/')}/_bronze")
+    """The whole batch from source frames to audited tables."""
+    sources = to_bronze(sources, f"{warehouse.rstrip('/')}/_bronze")
     check_sources(sources)
     tables = build_tables(sources, club_names, player_names, match_names, latest=True)
     columns = {name: table_columns(name, club_names, player_names, match_names) for name in tables}
@@ -136,4 +135,19 @@ def run(
     return load_tables(spark, tables, warehouse, now)
 
 
-__all__ = ["TARGETS", "Target", "build_tables", "check_sources", "check_tables", "load_tables", "run"]
+def run(
+    spark: SparkSession,
+    landing: str,
+    warehouse: str,
+    club_names: Sequence[str],
+    player_names: Sequence[str],
+    match_names: Sequence[str],
+    seasons: Sequence[str] | None = None,
+    now: datetime | None = None,
+) -> DataFrame:
+    """The whole batch from landed documents, one JSON file per entity and season."""
+    sources = extract(spark, landing, seasons)
+    return run_sources(spark, sources, warehouse, club_names, player_names, match_names, now)
+
+
+__all__ = ["TARGETS", "Target", "build_tables", "check_sources", "check_tables", "load_tables", "run", "run_sources"]

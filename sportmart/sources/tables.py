@@ -31,6 +31,16 @@ def land_json(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     balanced(df, "season").write.mode(mode).partitionBy("season").json(path)
 
 
+def land_sources(sources: dict[str, DataFrame], root: str, mode: str = "errorifexists") -> None:
+    """Every source frame as JSON Lines, by season where it has one."""
+    for name, df in sources.items():
+        path = f"{root.rstrip('/')}/{name}"
+        if "season" in df.columns:
+            land_json(df, path, mode)
+        else:
+            df.write.mode(mode).json(path)
+
+
 def write_parquet(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists"
 ) -> None:
