@@ -113,8 +113,8 @@ def table_upsert_partitions(t):
     names = ["duel_lost", "fk_foul_lost"]
     fact = staged(facts.fct_match_stat(standins.match_stats(t), standins.seasons(t), names), "match-fact")
     keys, updates = spec.keys(fact.columns), spec.update_cols(fact.columns)
-    upsert_parquet(t.spark, path, fact.withColumn("fk_foul_lost", F.lit(0.0)), keys, updates, spec.partition_by)
-    upsert_parquet(t.spark, path, fact.where("season_id >= 1999"), keys, updates, spec.partition_by)
+    for rows in (fact.withColumn("fk_foul_lost", F.lit(0.0)), fact.where("season_id >= 1999")):
+        upsert_parquet(t.spark, path, rows, keys, updates, spec.partition_by, written=True)
     return read_table(t.spark, path, fact, spec.partition_by)
 
 

@@ -159,11 +159,13 @@ def upsert_parquet(
     partition_by: str | None = None,
     on_duplicate: str = "error",
     order: Sequence[str] = (),
+    written: bool = False,
 ) -> Counts:
     """Upsert into a Parquet directory: written beside it, then swapped in.
 
-    The source is staged first, so its plan runs once, and duplicate keys are
-    looked for in the key columns of the staged files. A table partitioned by
+    The source is staged first, so its plan runs once, unless it is a
+    ``written`` table already; duplicate keys are looked for in the key
+    columns of its files. A table partitioned by
     one of its keys can only match inside a partition, so only the partitions
     that the source touches are read and rewritten.
     ``order`` columns are columns of the table. The counts come from file
@@ -175,9 +177,11 @@ def upsert_parquet(
     tag = uuid.uuid4().hex
     staging, output = f"{path}__source-{tag}", f"{path}__staged-{tag}"
     fs, as_path = _filesystem(spark, path)
-    latest = on_duplicate == "latest"
-    write_parquet(single_per_key(source, keys, "latest", order) if latest else source, staging)
-    source = spark.read.schema(source.schema).parquet(staging)
+    if on_duplicate == "latest":
+        source, written = single_per_key(source, keys, "latest", order), False
+    if not written:
+        write_parquet(source, staging)
+        source = spark.read.schema(source.schema).parquet(staging)
     if on_duplicate == "error":
         repeated = duplicate_keys(source, keys).limit(1).collect()
         if repeated:
