@@ -26,6 +26,5 @@ def test_matches_sql(spark, sql, name):
     assert bag(df.columns, rows) == bag(columns, expected)
 
 
-def test_every_query_has_rows_at_the_gate_scale(spark):
-    for name, query in QUERIES.items():
-        assert query.operators, name
+def test_every_query_names_the_items_it_covers():
+    assert all(query.operators and query.sql for query in QUERIES.values())
