@@ -4,9 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sportmart.llm import license_scan, line_dedup, quality_rules, sharding
+from sportmart.llm import (
+    language_id, license_scan, line_dedup, quality_rules, sentencepiece_bpe, sharding, simhash, token_counts,
+)
 from sportmart.llm.common import documents, importable
 
 
@@ -18,6 +21,26 @@ def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    importable(spark)
+    coded = sentencepiece_bpe.round_trip(public_tokenizers.path("piece_bpe_32k.model"))
+    rows = documents(spark, sf_dir).select("doc_id", coded("text").alias("coded"))
+    return rows.select("doc_id", *sentencepiece_bpe.digests(rows["coded"]))
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.linked_documents(documents(spark, sf_dir))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identified(documents(spark, sf_dir))
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return token_counts.counted_documents(documents(spark, sf_dir), path, public_tokenizers.PATTERN)
+
+
 def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.scan_documents(documents(spark, sf_dir))
 
@@ -27,6 +50,10 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_quality_rules, op3_line_dedup, op8_license_scan, op9_sharding)
+    f.__name__: f
+    for f in (
+        op1_quality_rules, op3_line_dedup, op4_sentencepiece, op5_simhash, op6_language_id, op7_token_counts,
+        op8_license_scan, op9_sharding,
+    )
 }
 ORACLE: dict[str, str] = {}
