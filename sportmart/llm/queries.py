@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sportmart.llm import (
-    language_id, license_scan, line_dedup, quality_rules, sentencepiece_bpe, sharding, simhash, token_counts,
+    decontamination, language_id, license_scan, line_dedup, quality_rules, sentencepiece_bpe, sharding, simhash,
+    substring_dedup, token_counts,
 )
 from sportmart.llm.common import documents, importable
 
@@ -17,6 +18,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_documents(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.dedup_lines(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_removed", "text")
 
@@ -49,11 +54,15 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.documents_sharded(documents(spark, sf_dir))
 
 
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digested(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_quality_rules, op3_line_dedup, op4_sentencepiece, op5_simhash, op6_language_id, op7_token_counts,
-        op8_license_scan, op9_sharding,
+        op1_quality_rules, op2_decontamination, op3_line_dedup, op4_sentencepiece, op5_simhash, op6_language_id,
+        op7_token_counts, op8_license_scan, op9_sharding, op10_substring_dedup,
     )
 }
 ORACLE: dict[str, str] = {}
