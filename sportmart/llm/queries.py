@@ -12,6 +12,7 @@ from sportmart.llm import (
     substring_dedup, token_counts,
 )
 from sportmart.llm.common import documents, importable
+from sportmart.llm.oracles import ORACLE
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,4 +66,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op7_token_counts, op8_license_scan, op9_sharding, op10_substring_dedup,
     )
 }
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
