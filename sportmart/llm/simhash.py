@@ -181,7 +181,8 @@ def linked_prints(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
 def near_duplicates(
     documents: DataFrame, id_column: str = "doc_id", text: str = "text", words: int = WORDS, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """``id``, ``text_hash``, ``print`` and ``component`` (the smallest id that links reach) per row of ``documents``.
+    """``id``, ``text_hash``, ``print``, ``root`` (one fingerprint of the group) and ``component`` (the smallest id that links
+    reach) per row of ``documents``.
 
     Rows without an id count behind all others (``id`` is then ``NO_ID``). Null, empty and blank texts have
     fingerprint 0 and are linked like any other. Copies share a fingerprint and meet only once. Repeated rows
@@ -200,8 +201,8 @@ def near_duplicates(
     known = prints.join(roots, prints["print"] == roots["node"], "left")
     known = known.select("print", "first", F.coalesce("root", "print").alias("root"))
     least = known.groupBy("root").agg(F.min("first").alias("component"))
-    known = staged(spark, known.join(least, "root").select("print", "component"), "components")
-    return rows.join(known, "print").select("id", "text_hash", "print", "component")
+    known = staged(spark, known.join(least, "root").select("print", "root", "component"), "components")
+    return rows.join(known, "print").select("id", "text_hash", "print", "root", "component")
 
 
 def linked_documents(documents: DataFrame, words: int = WORDS, max_bits: int = MAX_BITS) -> DataFrame:
@@ -216,8 +217,9 @@ def one_of_each(documents: DataFrame, words: int = WORDS, max_bits: int = MAX_BI
     """``documents`` with one row of each group of linked ones: the one with the smallest id, of several rows with that id
     the one whose text has the smallest digest. Columns stay as they are."""
     linked = near_duplicates(documents, words=words, max_bits=max_bits)
-    heads = linked.where("id = component").groupBy("component").agg(F.min("text_hash").alias("text_hash"))
-    heads = heads.select(F.col("component").alias("__id"), F.col("text_hash").alias("__text"))
+    heads = linked.where("id = component").groupBy("root").agg(
+        F.min("component").alias("__id"), F.min("text_hash").alias("__text")
+    ).drop("root")
     rows = documents.select(
         F.struct(*(F.col(f"`{c}`") for c in documents.columns)).alias("__row"),
         F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.xxhash64("text").alias("__text"),

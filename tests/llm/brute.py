@@ -75,7 +75,7 @@ def fingerprint(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def components(prints):
+def components(prints, bits=3):
     """Smallest reachable id per ``(id, print)``."""
     ids = defaultdict(list)
     for i, p in prints:
@@ -90,7 +90,7 @@ def components(prints):
 
     for k, a in enumerate(nodes):
         for b in nodes[:k]:
-            if (a ^ b).bit_count() <= 3:
+            if (a ^ b).bit_count() <= bits:
                 root[find(a)] = find(b)
     least = defaultdict(list)
     for p in nodes:
