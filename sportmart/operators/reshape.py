@@ -7,19 +7,14 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to this width one conditional aggregate per name runs in a single
-# shuffle. Wider, the cost of testing every name on every row outgrows the
-# second (small) shuffle of a pivot.
-CONDITIONAL_WIDTH = 24
-
 AGGREGATES: dict[str, Callable[[Column], Column]] = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
-def distinct_sorted(df: DataFrame, column: str, limit: int = 5000) -> list[str]:
-    """The distinct non-null values of a column, sorted.
+def distinct_sorted(df: DataFrame, column: str, limit: int) -> list[str]:
+    """The distinct non-null values of a column, sorted, for names that become columns.
 
-    Meant for names that become columns, so more than ``limit`` of them is an
-    error rather than a shorter list.
+    They come to the driver, so the caller says how many there may be: more
+    than ``limit`` is an error rather than a shorter list.
     """
     rows = df.select(column).where(F.col(column).isNotNull()).distinct().limit(limit + 1).collect()
     if len(rows) > limit:
@@ -44,7 +39,8 @@ def long_to_wide(
     ``listed_only`` drops those rows before the aggregate. Rows with a null
     key part are dropped, as they match nothing in the joins that follow,
     unless ``null_keys`` keeps them as a group.
-    Aggregates combine before the shuffle, so a hot key costs one row per task.
+    Rows fold to one per key and name before the shuffle and to one per key
+    behind it, whatever the number of names.
     """
     fold = AGGREGATES[agg]
     if not null_keys:
@@ -53,7 +49,4 @@ def long_to_wide(
         df = df.where(F.col(name).isin(list(names)))
     if not names:
         return df.select(*keys).distinct()
-    if len(names) <= CONDITIONAL_WIDTH:
-        wide = [fold(F.when(F.col(name) == n, F.col(value))).alias(n) for n in names]
-        return df.groupBy(*keys).agg(*wide)
     return df.groupBy(*keys).pivot(name, list(names)).agg(fold(value))

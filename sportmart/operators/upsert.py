@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sportmart.operators.sets import has_whole_key, latest_whole
+from sportmart.operators.sets import has_whole_key, latest_per_key
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -21,82 +21,66 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def split_keyed(
-    source: DataFrame, keys: Sequence[str], on_duplicate: str = "error", order: Sequence[str] = ()
-) -> tuple[DataFrame, DataFrame]:
-    """Source rows with a whole key, one per key, and the rows with a null key part.
-
-    ``error`` fails the running job at the first key with two rows; it needs
-    no job of its own, and its shuffle is the one the join by key needs.
-    ``latest`` keeps the row with the greatest ``order``; ``unique`` trusts
-    the caller.
-    """
-    whole = has_whole_key(keys)
-    keyed, loose = source.where(whole), source.where(f"NOT ({whole})")
-    if on_duplicate == "unique":
-        return keyed, loose
-    if on_duplicate == "latest":
-        return latest_whole(keyed, keys, order), loose
-    if on_duplicate != "error":
-        raise ValueError(f"on_duplicate must be 'error', 'latest' or 'unique', not {on_duplicate!r}")
-    rest = [name for name in source.columns if name not in keys]
-    message = F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*keys)))
-    # the check is a filter, which column pruning cannot remove
-    only_one = F.when(F.col("_n") == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
-    checked = (
-        keyed.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*(rest or keys))).alias("_row"))
-        .where(only_one)
-        .select(*keys, *[F.col("_row")[name].alias(name) for name in rest])
-    )
-    return checked.select(*source.columns), loose
+def single_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
+    """Source rows with the latest row of every whole key; rows with a null key part all stay."""
+    return latest_per_key(source, keys, order)
 
 
-def single_per_key(
-    source: DataFrame, keys: Sequence[str], on_duplicate: str = "error", order: Sequence[str] = ()
-) -> DataFrame:
-    """Source rows with at most one row per whole key."""
-    keyed, loose = split_keyed(source, keys, on_duplicate, order)
-    return keyed.union(loose)
-
-
-def split_upsert(
+def merged(
     target: DataFrame,
     source: DataFrame,
     keys: Sequence[str],
-    update_cols: Sequence[str],
+    update_cols: Sequence[str] | None = None,
     on_duplicate: str = "error",
     order: Sequence[str] = (),
-) -> tuple[DataFrame, DataFrame]:
-    """The two halves of an upsert: (target rows after updates, rows to insert).
-
-    The first half carries ``_matched``. Keys compare column by column, so a
-    null key part never matches; null-keyed rows skip the joins, where they
-    would all meet in one task. The target side stays the left of a left
-    join: it is not shuffled when the source is small enough to broadcast,
-    and adaptive execution can split it at a hot key when it is not.
+) -> DataFrame:
+    """Target after "update when matched, insert when not", with ``_inserted`` and ``_updated`` per row.
+
+    Both sides are read once and meet in one shuffle by key, where a window
+    looks over the rows of a key. Keys compare column by column, so a null
+    key part never matches; null-keyed rows get a number of their own beside
+    the key and do not meet in one task. Several source rows of one key
+    fail the running job (``error``), or the one with the greatest ``order``
+    counts (``latest``, ties to the greatest remaining columns), or the
+    caller knows that there are none (``unique``).
     """
-    source = source.select(*target.columns, *[name for name in order if name not in target.columns])
-    keyed, loose = split_keyed(source, keys, on_duplicate, order)
-    changed = [name for name in update_cols if name not in keys]
-    incoming = keyed.select(*keys, F.struct(F.lit(True).alias("_hit"), *changed).alias("_new"))
+    if on_duplicate not in ("error", "latest", "unique"):
+        raise ValueError(f"on_duplicate must be 'error', 'latest' or 'unique', not {on_duplicate!r}")
+    columns = target.columns
+    changed = [name for name in (columns if update_cols is None else update_cols) if name not in keys]
+    order = [name for name in order if name not in keys] if on_duplicate == "latest" else []
+    rest = [name for name in columns if name not in keys and name not in order]
     whole = has_whole_key(keys)
-    updated = (
-        target.where(whole)
-        .join(incoming, list(keys), "left")
-        .selectExpr(
-            *[
-                f"IF(_new IS NULL, `{name}`, _new.`{name}`) AS `{name}`" if name in changed else f"`{name}`"
-                for name in target.columns
-            ],
-            "_new IS NOT NULL AS _matched",
-        )
+    apart = f"IF({whole}, NULL, monotonically_increasing_id()) AS _apart"
+    new = F.struct(F.lit(1).alias("_one"), *order, *rest)
+    # numbers of the two sides differ in sign, so that null-keyed rows meet nothing
+    incoming = source.selectExpr(*[f"`{name}`" for name in dict.fromkeys([*columns, *order])], apart)
+    incoming = incoming.withColumn("_apart", -1 - F.col("_apart"))
+    incoming = incoming.select(*columns, "_apart", F.lit(True).alias("_source"), new.alias("_new"))
+    stored = target.selectExpr(*[f"`{name}`" for name in columns], apart, "false AS _source")
+    both = stored.withColumn("_new", F.lit(None).cast(incoming.schema["_new"].dataType)).union(incoming)
+    group = [*keys, "_apart"]
+    every = Window.partitionBy(*group)
+    # target rows first, then source rows, from the latest on if there can be several
+    ranked = every.orderBy("_source", *([F.col("_new").desc()] if on_duplicate == "latest" else []))
+    seen = both.select(
+        "*",
+        F.row_number().over(ranked).alias("_rank"),
+        F.count("_new").over(every).alias("_n"),
+        F.first("_new", ignorenulls=True).over(
+            ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+        ).alias("_best"),
     )
-    updated = updated.union(target.where(f"NOT ({whole})").withColumn("_matched", F.lit(False)))
-    # only target keys that the source also has travel on to the anti join
-    taken = target.select(*keys).join(keyed.select(*keys), list(keys), "left_semi").distinct()
-    inserted = keyed.join(taken, list(keys), "left_anti").select(*target.columns)
-    return updated, inserted.union(loose.select(*target.columns))
+    if on_duplicate == "error":
+        message = F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*keys)))
+        # a filter, which column pruning cannot remove
+        seen = seen.where(F.when(F.col("_n") < 2, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+    kept = seen.where("NOT _source OR _rank = 1")
+    values = [
+        f"IF(_source OR _best IS NULL, `{name}`, _best.`{name}`) AS `{name}`" if name in changed else f"`{name}`"
+        for name in columns
+    ]
+    return kept.selectExpr(*values, "_source AS _inserted", "NOT _source AND _best IS NOT NULL AS _updated")
 
 
 def upsert(
@@ -112,10 +96,7 @@ def upsert(
     ``update_cols`` defaults to every non-key column. Columns not listed keep
     their target value. ``order`` decides between copies under "latest".
     """
-    if update_cols is None:
-        update_cols = [name for name in target.columns if name not in keys]
-    updated, inserted = split_upsert(target, source, keys, update_cols, on_duplicate, order)
-    return updated.drop("_matched").union(inserted)
+    return merged(target, source, keys, update_cols, on_duplicate, order).drop("_inserted", "_updated")
 
 
 def upsert_counts(
@@ -126,13 +107,8 @@ def upsert_counts(
     order: Sequence[str] = (),
 ) -> DataFrame:
     """One row (rows_inserted, rows_updated) of the same upsert."""
-    updated, inserted = split_upsert(target, source, keys, [], on_duplicate, order)
-    tagged = updated.select(
-        F.lit(0).alias("_ins"), F.col("_matched").cast("int").alias("_upd")
-    ).union(inserted.select(F.lit(1), F.lit(0)))
-    return tagged.agg(
-        F.coalesce(F.sum("_ins"), F.lit(0)).cast("bigint").alias("rows_inserted"),
-        F.coalesce(F.sum("_upd"), F.lit(0)).cast("bigint").alias("rows_updated"),
+    return merged(target, source, keys, [], on_duplicate, order).selectExpr(
+        "count_if(_inserted) AS rows_inserted", "count_if(_updated) AS rows_updated"
     )
 
 

@@ -10,14 +10,18 @@ from pyspark.sql import functions as F
 
 from sportmart.functions import academic_year, nth
 from sportmart.plans import dims, facts, standins
-from sportmart.plans.catalogue.registry import query, season_sql, season_start_sql
+from sportmart.plans.catalogue.registry import QUERIES, query, season_sql, season_start_sql
+from sportmart.plans.ingest import land_pages, page_ddl
 from sportmart.plans.dims import as_id
-from sportmart.plans.load import TARGETS
+from sportmart.plans.catalogue.models import BRIDGE_SQL, PLAYER_SQL, SEASON_IDS_SQL
+from sportmart.plans.load import TARGETS, load_tables, read_audit
+from sportmart.schemas import SOURCES
 from sportmart.session import shared_dir
-from sportmart.sources.documents import read_entity, read_landed
+from sportmart.sources.documents import extract, has_rows, is_schema_empty, read_entity, read_landed
 from sportmart.sources.frames import empty_frame
 from sportmart.sources.tables import (
     empty_like,
+    land_documents,
     land_json,
     read_table,
     staged,
@@ -94,7 +98,7 @@ def table_upsert(t):
     for season in standins.CLUB_SEASONS:
         rows = dims.dim_club(clubs.where(F.col("season") == season))
         upsert_parquet(t.spark, path, rows, spec.keys(rows.columns), spec.update_cols(rows.columns))
-    return t.spark.read.parquet(path)
+    return read_table(t.spark, path)
 
 
 @query(
@@ -114,8 +118,8 @@ def table_upsert_partitions(t):
     fact = staged(facts.fct_match_stat(standins.match_stats(t), standins.seasons(t), names), "match-fact")
     keys, updates = spec.keys(fact.columns), spec.update_cols(fact.columns)
     for rows in (fact.withColumn("fk_foul_lost", F.lit(0.0)), fact.where("season_id >= 1999")):
-        upsert_parquet(t.spark, path, rows, keys, updates, spec.partition_by, written=True)
-    return read_table(t.spark, path, fact, spec.partition_by)
+        upsert_parquet(t.spark, path, rows, keys, updates, spec.partition_by)
+    return read_table(t.spark, path)
 
 
 @query(
@@ -148,6 +152,199 @@ def incremental_upsert(t):
     schema = "id BIGINT, season STRING"
     write_parquet(rows, landing, ["season"])
     stream_upsert(
-        t.spark, landing, schema, table, shared_dir(t.spark, "stream-checkpoint"), keys=["id", "season"], update_cols=[]
+        t.spark, landing, schema, table, shared_dir(t.spark, "stream-checkpoint"), keys=["id", "season"], update_cols=[],
+        partition_by="season",
     )
-    return t.spark.read.parquet(table).groupBy("id").agg(F.count("season").alias("seasons_seen"))
+    return read_table(t.spark, table).groupBy("id").agg(F.count("season").alias("seasons_seen"))
+
+
+CLUB_SEASONS_SQL = """
+    SELECT s_suppkey AS id, season, s_name || CASE WHEN s_acctbal < 1000 AND season = '2000-01' THEN ' FC' ELSE '' END AS name
+    FROM supplier, (VALUES ('1999-00'), ('2000-01')) AS v(season)
+"""
+
+
+def _club_files(t):
+    """Clubs landed as arrays by path, and one file that breaks off."""
+    root, path = shared_dir(t.spark, "clubs"), SOURCES["club_info"].path
+    land_documents(standins.club_info(t), root, path, standins.CLUB_SEASONS)
+    broken = t.region.where("r_regionkey = 0").select(F.concat(F.lit('[{"id": 1.0, "name": "'), "r_name").alias("value"))
+    broken.write.mode("append").text(f"{root}/{path.replace('{season}', standins.CLUB_SEASONS[0])}")
+    return root
+
+
+@query(
+    "SRC-1 SRC-2",
+    f"""
+    SELECT season, id, name, false AS corrupt FROM ({CLUB_SEASONS_SQL})
+    UNION ALL SELECT '1999-00', NULL, NULL, true
+    """,
+)
+def entity_files(t):
+    """Multi-line documents of all seasons, the season from the path, a broken file kept as text."""
+    clubs = read_entity(t.spark, _club_files(t), "club_info", corrupt_column="_text")
+    return clubs.select("season", as_id("id").alias("id"), "name", F.col("_text").isNotNull().alias("corrupt"))
+
+
+@query("SRC-1 SRC-2 LIM-1", f"SELECT id, name FROM ({CLUB_SEASONS_SQL}) WHERE season = '2000-01'")
+def entity_files_of_season(t):
+    """The files of one season only."""
+    clubs = read_entity(t.spark, _club_files(t), "club_info", [standins.CLUB_SEASONS[1]])
+    return clubs.select(as_id("id").alias("id"), "name")
+
+
+@query(
+    "SRC-1 SRC-6 SRC-7 SRC-8",
+    f"""
+    SELECT {season_sql('o_orderdate')} AS season, strftime(o_orderdate, '%B') AS month, o_custkey AS holder, false AS corrupt
+    FROM orders WHERE {season_sql('o_orderdate')} IN ('1996-97', '1997-98')
+    UNION ALL SELECT '1996-97', NULL, NULL, true
+    """,
+)
+def month_award_files(t):
+    """Month awards as whole documents by path; sources that have no files, rows or columns are passed over."""
+    root, path = shared_dir(t.spark, "awards"), SOURCES["month_award"].path
+    item = "named_struct('awardTypeId', 1D, 'official', named_struct('officialId', CAST(o_custkey AS DOUBLE)))"
+    awards = t.orders.selectExpr(
+        f"to_json(map(date_format(o_orderdate, 'MMMM'), array({item}))) AS value", "o_orderkey", "o_orderdate"
+    ).withColumn("season", academic_year(F.col("o_orderdate")))
+    seasons = ["1996-97", "1997-98"]
+    for season in seasons:
+        text = awards.where(F.col("season") == season).select("value")
+        text.write.option("maxRecordsPerFile", 1).text(f"{root}/{path.replace('{season}', season)}")
+    broken = t.region.where("r_regionkey = 0").select(F.concat(F.lit('{"May": [{"award": "'), "r_name").alias("value"))
+    broken.write.mode("append").text(f"{root}/{path.replace('{season}', seasons[0])}")
+    optional = [name for name in SOURCES if name != "awards"]
+    sources = extract(t.spark, root, seasons, optional)
+    sources["month_award"] = read_entity(t.spark, root, "month_award", seasons, corrupt_column="_text")
+    present = [df for df in sources.values() if not is_schema_empty(df) and has_rows(df)]
+    (found,) = present
+    rows = found.select("season", F.explode_outer("awards").alias("month", "items"), F.col("_text").isNotNull().alias("corrupt"))
+    rows = rows.select("season", "month", F.explode_outer("items").alias("item"), "corrupt")
+    return rows.select("season", "month", as_id("item.official.officialId").alias("holder"), "corrupt")
+
+
+LOADED = ("dim_season", "dim_club", "dim_player", "fct_object_award")
+
+
+def _loaded(t, path):
+    """Four tables loaded twice through the batch's loop: first without any award or player, then all."""
+    s = standins.sources(t)
+    nobody = {name: df.where(F.lit(False)) for name, df in s.items()}
+    for source in ({**s, "month_award": nobody["month_award"], "season_award": nobody["season_award"],
+                    "player_info": nobody["player_info"]}, s):
+        tables = {
+            "dim_season": dims.dim_season(source["seasons"]),
+            "dim_club": dims.dim_club(source["club_info"], latest=True),
+            "dim_player": dims.dim_player(source["player_info"], latest=True),
+            "fct_object_award": facts.fct_object_award(source["month_award"], source["season_award"], source["seasons"]),
+        }
+        load_tables(t.spark, tables, path, standins.LOAD_TIME)
+
+
+@query(
+    "SNK-5 SNK-2 SNK-3 RAM-2 MDL-12",
+    f"""
+    WITH given AS (SELECT * FROM ({BRIDGE_SQL})),
+    stored AS (SELECT count(DISTINCT (award_id, season_id, object_id)) FILTER (WHERE object_id IS NOT NULL)
+                      + count(*) FILTER (WHERE object_id IS NULL) AS n FROM given),
+    loads AS (
+        SELECT 'dim_season' AS "table", (SELECT count(*) FROM {SEASON_IDS_SQL}) AS first, 0 AS later
+        UNION ALL SELECT 'dim_club', (SELECT count(*) FROM supplier), 0
+        UNION ALL SELECT 'dim_player', 0, (SELECT count(*) FROM ({PLAYER_SQL}))
+        UNION ALL SELECT 'fct_object_award', 0, n FROM stored)
+    SELECT "table", 'UPDATE' AS operation, TIMESTAMP '2024-01-01 00:00:00' AS ts, first AS rows_inserted, 0::BIGINT AS rows_updated
+    FROM loads
+    UNION ALL SELECT "table", 'UPDATE', TIMESTAMP '2024-01-01 00:00:00', later, CASE WHEN later = 0 THEN first ELSE 0 END
+    FROM loads
+    """,
+)
+def load_loop_audit(t):
+    """The audit rows that the load loop appends, two for every table."""
+    path = shared_dir(t.spark, "warehouse")
+    _loaded(t, path)
+    return read_audit(t.spark, path)
+
+
+@query(
+    "SNK-5 SNK-2 MDL-12",
+    f"""
+    SELECT DISTINCT * FROM ({BRIDGE_SQL}) WHERE object_id IS NOT NULL
+    UNION ALL SELECT * FROM ({BRIDGE_SQL}) WHERE object_id IS NULL
+    """,
+)
+def empty_then_full_load(t):
+    """A table by season whose first load had no rows."""
+    path = shared_dir(t.spark, "warehouse")
+    _loaded(t, path)
+    return read_table(t.spark, f"{path}/fct_object_award")
+
+
+def _landed_pages(t):
+    """Pages of the sites written and read back: an entry to a listing page, a statistic to a page."""
+    root, s = shared_dir(t.spark, "pages"), standins.sources(t)
+    pages = {"seasons": s["seasons"]}
+    for name in ("player_info", "match_info"):
+        columns = [c for c in s[name].columns if c != "season"]
+        one = F.struct(*columns)
+        pages[name] = s[name].select(F.array(one).alias("content"), "season")
+    for name in ("club_stats", "player_stats"):
+        pages[name] = s[name].select("entity", F.struct(F.col("stats").alias("content")).alias("stats"), "season")
+    pages["match_stats"] = s["match_stats"].withColumnRenamed("stats", "data")
+    item = """array(named_struct('awardTypeId', CAST(left(o_orderpriority, 1) AS DOUBLE), 'award', substring(o_orderpriority, 3),
+        'player', named_struct('playerId', CAST(o_custkey AS DOUBLE))))"""
+    pages["awards"] = t.orders.select(
+        F.expr(f"IF(o_orderstatus <> 'P', map(date_format(o_orderdate, 'MMMM'), {item}), NULL)").alias("monthAwards"),
+        F.expr(f"IF(o_orderstatus = 'P', {item}, NULL)").alias("seasonAwards"),
+        academic_year(F.col("o_orderdate")).alias("season"),
+    )
+    for name, df in pages.items():
+        df.write.json(f"{root}/raw/{name}")
+    landed = {name: t.spark.read.schema(page_ddl(name)).json(f"{root}/raw/{name}") for name in pages}
+    land_pages(landed, f"{root}/landing")
+    back = {}
+    for name in ("player_info", "player_stats", "match_info", "match_stats", "month_award", "season_award"):
+        back[name] = read_landed(t.spark, f"{root}/landing/{name}", SOURCES[name].ddl)
+    back["seasons"] = t.spark.read.schema(SOURCES["seasons"].ddl).json(f"{root}/landing/seasons")
+    return back
+
+
+@query("ING-1 MDL-7 SNK-1", PLAYER_SQL)
+def players_from_pages(t):
+    """A dimension that starts from landed listing pages."""
+    return dims.dim_player(_landed_pages(t)["player_info"])
+
+
+@query("ING-2 MDL-11 SNK-1", QUERIES["fct_player_stat"].sql)
+def player_facts_from_pages(t):
+    """A fact that starts from landed statistics pages."""
+    sources = _landed_pages(t)
+    return facts.fct_player_stat(sources["player_stats"], sources["seasons"], standins.PLAYER_NAMES)
+
+
+@query(
+    "ING-5 MDL-12",
+    f"""
+    SELECT CAST(left(o_orderpriority, 1) AS BIGINT) AS award_id, season_id, o_custkey AS object_id
+    FROM orders JOIN {SEASON_IDS_SQL} s ON s.season = {season_sql('o_orderdate')}
+    """,
+)
+def awards_from_pages(t):
+    """The bridge from combined award documents."""
+    sources = _landed_pages(t)
+    return facts.fct_object_award(sources["month_award"], sources["season_award"], sources["seasons"])
+
+
+@query(
+    "ING-6 MDL-13",
+    f"""
+    SELECT l_orderkey AS match_id, l_suppkey AS club_id, s.season_id, max(l_quantity) AS duel_lost
+    FROM lineitem JOIN {SEASON_IDS_SQL} s ON s.season = {season_sql('l_shipdate')}
+    WHERE l_orderkey IN (SELECT o_orderkey FROM orders)
+    GROUP BY l_orderkey, l_suppkey, s.season_id
+    """,
+)
+def match_facts_from_pages(t):
+    """Match documents of the matches in the landed listing."""
+    sources = _landed_pages(t)
+    return facts.fct_match_stat(sources["match_stats"], sources["seasons"], ["duel_lost"])

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sportmart.operators.reshape import distinct_sorted
 from sportmart.plans import dims, facts, standins
 from sportmart.plans.catalogue.registry import query, season_sql, season_start_sql
 from sportmart.plans.catalogue.scalars import KICKOFF_SQL
@@ -110,16 +111,16 @@ def dim_position(t):
     return dims.dim_position(standins.player_info(t))
 
 
-@query(
-    "MDL-7 JON-4 JON-5 FLT-2",
-    f"""
+PLAYER_SQL = f"""
     SELECT c_custkey AS player_id, split_part(c_name, '#', 1) AS first_name, split_part(c_name, '#', 2) AS lastname,
            {DOB_SQL} AS dob, CAST(c_custkey % 99 AS BIGINT) AS shirt_num,
            CASE WHEN c_acctbal <= 9000 THEN 'C' || c_nationkey END AS country_id,
            left(c_mktsegment, 1) || 'LWB' AS position_id
     FROM customer WHERE c_acctbal >= 0 AND c_mktsegment <> 'BUILDING'
-    """,
-)
+"""
+
+
+@query("MDL-7 JON-4 JON-5 FLT-2", PLAYER_SQL)
 def dim_player(t):
     return dims.dim_player(standins.player_info(t))
 
@@ -201,7 +202,8 @@ def club_season_totals(t):
 
     The fact repeats statistics per manager and ground, so one row of a club is taken.
     """
-    fact = facts.fct_club_stat(standins.club_stats(t), standins.manager_info(t), standins.seasons(t))
+    names = distinct_sorted(standins.club_stats(t), "entity", limit=1000)
+    fact = facts.fct_club_stat(standins.club_stats(t), standins.manager_info(t), standins.seasons(t), names)
     return fact.groupBy("season_id", "club_id").agg(
         F.count(F.lit(1)).alias("n"), *[F.max(name).alias(name) for name in fact.columns[4:]]
     )

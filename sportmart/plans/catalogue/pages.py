@@ -53,20 +53,33 @@ def envelope_projection(t):
     )
 
 
-@query(
-    "ING-3 SCL-13 SET-5",
-    """
+def codes_sql(html: str, where: str = "true") -> str:
+    """Codes of the links in a page expression, in SQL."""
+    return f"""
     SELECT DISTINCT list_extract(string_split(string_split(href, '?')[1], '/'), -1) AS code FROM (
-        SELECT unnest(regexp_extract_all(html, '(?i)<a\\s[^>]*?\\shref="([^"]+)"|<a href="([^"]+)"', 2)) AS href
-        FROM pages)
-    WHERE href <> ''
-    """,
-)
+        SELECT tag, regexp_extract(tag, '(?i)\\shref\\s*=\\s*["'']?([^"''\\s>]+)', 1) AS href
+        FROM (SELECT unnest(regexp_extract_all({html}, '(?i)<a\\s[^>]*>')) AS tag FROM pages))
+    WHERE href <> '' AND {where}
+    """
+
+
+@query("ING-3 SCL-13 SET-5", codes_sql("html"))
 def link_codes_of_pages(t):
     """Codes that the pages link to."""
     return link_codes(t.pages, "html")
 
 
+CLASSED_SQL = """CASE page_id % 3 WHEN 0 THEN replace(html, '<a href', '<a class="top link" href')
+    WHEN 1 THEN replace(html, '<a href', '<a title="x" class="more" href') ELSE html END"""
+
+
+@query("ING-3", codes_sql(CLASSED_SQL, """regexp_matches(tag, '(?i)\\sclass="(top link|more)"')"""))
+def link_codes_by_class(t):
+    """Codes of the links that carry one of two classes, which two thirds of the pages have."""
+    html = F.expr(CLASSED_SQL)
+    return link_codes(t.pages.select(html.alias("html")), "html", ["top", "more"])
+
+
 @query(
     "SCL-13",
     "SELECT page_id, list_extract(string_split(string_split(url, '?')[1], '/'), -1) AS code FROM pages",

@@ -3,16 +3,20 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sportmart.operators.audit import freshness, lineage
 from sportmart.operators.quality import Suite, null_counts, run_suites, type_names
-from sportmart.plans import dims, standins
-from sportmart.plans.catalogue.registry import query
-from sportmart.plans.load import TARGETS
+from sportmart.plans import standins
+from sportmart.plans.catalogue import models
+from sportmart.plans.catalogue.registry import QUERIES, query, season_sql
+from sportmart.plans.load import TARGETS, build_tables
+from sportmart.plans.standins import CLUB_NAMES, MATCH_NAMES, PLAYER_NAMES
 from sportmart.plans.suites import raw_suite, table_suite
-from sportmart.schemas import TABLES
+from sportmart.schemas import with_statistics
 
 
 @query(
@@ -132,10 +136,12 @@ def dq_nested(t):
     """
     SELECT dataset, "check", CAST(count(*) AS BIGINT) AS n, CAST(sum(unexpected) AS BIGINT) AS unexpected, elements FROM (
         SELECT dataset, 'column_exists' AS "check", 0 AS unexpected, e.elements FROM
-            (VALUES ('club_info', 4), ('club_stats', 2), ('player_info', 5), ('player_stats', 2), ('manager_info', 3),
+            (VALUES ('seasons', 2), ('club_info', 4), ('club_stats', 2), ('player_info', 5), ('player_stats', 2), ('manager_info', 3),
                     ('season_award', 5), ('match_info', 6)) AS m(dataset, k),
             LATERAL (SELECT unnest(range(k))) AS r(i),
             LATERAL (SELECT CASE dataset
+                WHEN 'seasons' THEN (SELECT count(*) FROM (SELECT """ + season_sql("o_orderdate") + """ FROM orders
+                                     UNION SELECT """ + season_sql("ts") + """ FROM events))
                 WHEN 'club_info' THEN (SELECT 2 * count(*) FROM supplier)
                 WHEN 'club_stats' THEN (SELECT count(*) FROM lineitem)
                 WHEN 'player_info' THEN (SELECT 2 * count(*) FROM customer)
@@ -154,8 +160,7 @@ def dq_nested(t):
 )
 def dq_raw_suite(t):
     """The suite over the sources, summed per dataset and kind of check."""
-    frames = {name: df for name, df in standins.sources(t).items() if name not in ("seasons", "match_stats")}
-    results = run_suites([raw_suite(name, df) for name, df in frames.items()])
+    results = run_suites([raw_suite(name, df) for name, df in standins.sources(t).items()])
     return results.groupBy("dataset", "check").agg(
         F.count(F.lit(1)).alias("n"),
         F.sum("unexpected_count").alias("unexpected"),
@@ -163,27 +168,36 @@ def dq_raw_suite(t):
     )
 
 
+# the SQL below is put together from the queries of that module
+assert models
+
+
+def _built_sql() -> str:
+    """Checks and rows of the 13 tables, from the SQL of their own queries."""
+    counted = [
+        f"SELECT '{name}' AS dataset, {len(columns) + 1} AS checks, (SELECT count(*) FROM ({QUERIES[name].sql})) AS elements"
+        for name, columns in _table_columns().items()
+    ]
+    return " UNION ALL ".join(counted)
+
+
+def _table_columns():
+    names = {"fct_club_stat": CLUB_NAMES, "fct_player_stat": PLAYER_NAMES, "fct_match_stat": MATCH_NAMES}
+    return {name: with_statistics(name, names.get(name, [])) for name in TARGETS}
+
+
 @query(
     "DQ-8 DQ-4 DQ-5",
-    """
-    SELECT dataset, bool_and(passed) AS passed, count(*) AS checks, elements FROM (
-        SELECT 'dim_match' AS dataset, true AS passed, (SELECT count(*) FROM orders) AS elements, unnest(range(13))
-        UNION ALL
-        SELECT 'dim_stadium', true, (SELECT count(*) + count(*) FILTER (WHERE s_acctbal >= 5000) FROM supplier
-                                     WHERE s_acctbal >= 500), unnest(range(7))
-        UNION ALL SELECT 'dim_club', i <> 0, (SELECT count(*) FROM supplier), i FROM (SELECT unnest(range(5)) AS i))
-    GROUP BY dataset, elements
+    f"""
+    SELECT dataset, dataset <> 'dim_club' AS passed, CAST(checks AS BIGINT) AS checks, elements FROM ({_built_sql()})
     """,
 )
 def dq_table_suite(t):
-    """The suite over built tables; one of them carries a column too many."""
-    clubs = dims.dim_club(standins.club_info(t), latest=True).withColumn("founded", F.lit(1900))
-    tables = {
-        "dim_match": dims.dim_match(standins.match_info(t)),
-        "dim_stadium": dims.dim_stadium(standins.club_info(t)),
-        "dim_club": clubs,
-    }
-    results = run_suites([table_suite(name, df, TABLES[name]) for name, df in tables.items()])
+    """The suite over the 13 built tables; one of them carries a column too many."""
+    tables = build_tables(standins.sources(t), CLUB_NAMES, PLAYER_NAMES, MATCH_NAMES)
+    tables["dim_club"] = tables["dim_club"].withColumn("founded", F.lit(1900))
+    columns = _table_columns()
+    results = run_suites([table_suite(name, df, columns[name]) for name, df in tables.items()])
     return results.groupBy("dataset").agg(
         F.bool_and("passed").alias("passed"),
         F.count(F.lit(1)).alias("checks"),
@@ -229,3 +243,28 @@ def lineage_of_operations(t):
 def table_lineage(spark):
     """Sources of the 13 tables."""
     return lineage(spark, {name: target.sources for name, target in TARGETS.items()})
+
+
+def _lineage_sql() -> str:
+    rows = {
+        "seasons": f"(SELECT count(*) FROM {models.SEASON_IDS_SQL})", "club_info": "(SELECT 2 * count(*) FROM supplier)",
+        "club_stats": "(SELECT count(*) FROM lineitem)", "match_stats": "(SELECT count(*) FROM lineitem)",
+        "player_info": "(SELECT 2 * count(*) FROM customer)", "player_stats": "(SELECT count(*) FROM events)",
+        "manager_info": "(SELECT CAST(sum(1 + c_nationkey % 4) AS BIGINT) FROM customer)",
+        "month_award": "(SELECT count(*) FROM orders)", "season_award": "(SELECT count(*) FROM customer)",
+        "match_info": "(SELECT count(*) FROM orders)",
+    }
+    return " UNION ALL ".join(
+        f"SELECT '{source}' AS source, '{name}' AS \"table\", {rows[source]} AS documents"
+        for name, target in TARGETS.items() for source in target.sources
+    )
+
+
+@query("RAM-3", _lineage_sql())
+def lineage_of_tables(t):
+    """The sources of the 13 tables, with the number of their documents."""
+    counts = [
+        df.agg(F.count(F.lit(1)).alias("documents")).select(F.lit(name).alias("source"), "documents")
+        for name, df in standins.sources(t).items()
+    ]
+    return table_lineage(t.spark).join(reduce(DataFrame.union, counts), "source").select("source", "table", "documents")

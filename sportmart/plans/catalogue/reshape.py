@@ -64,7 +64,7 @@ def stat_pivot_sum(t):
 )
 def stat_pivot_discovered(t):
     """Columns named by the distinct statistic names in the data, sorted."""
-    names = distinct_sorted(t.events, "event_type")
+    names = distinct_sorted(t.events, "event_type", limit=1000)
     long = t.events.select("user_id", "event_type", cents())
     wide = long_to_wide(long, ["user_id"], "event_type", "value", names)
     return wide.select("user_id", *[(F.col(name) / 100).alias(name) for name in names])

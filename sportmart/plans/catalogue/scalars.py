@@ -22,7 +22,6 @@ from sportmart.functions import (
 from sportmart.operators.pages import current_season, first_seasons
 from sportmart.plans import standins
 from sportmart.plans.catalogue.registry import query, season_sql
-from sportmart.sources.frames import small
 
 
 @query(
@@ -247,7 +246,7 @@ def drop_incomplete(t):
 )
 def season_filter_limit(t):
     """Orders of the first three seasons of the index."""
-    index = small(standins.seasons(t).select(season_label(F.col("label")).alias("season")))
+    index = standins.seasons(t).select(season_label(F.col("label")).alias("season"))
     first = first_seasons(index, 3, "season")
     orders = t.orders.select("o_orderkey", academic_year(F.col("o_orderdate")).alias("season"))
     return orders.join(first, "season", "left_semi").select("o_orderkey", "season")
@@ -262,7 +261,7 @@ def season_filter_limit(t):
 )
 def current_season_rows(t):
     """Events of the last season of the index."""
-    index = small(standins.seasons(t).select(season_label(F.col("label")).alias("label")))
+    index = standins.seasons(t).select(season_label(F.col("label")).alias("label"))
     last = current_season(index).select(F.col("label").alias("season"))
     events = t.events.select("event_id", academic_year(F.col("ts")).alias("season"))
     return events.join(last, "season", "left_semi").select("event_id", "season")

@@ -10,9 +10,11 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from sportmart.operators.audit import audit_row
-from sportmart.operators.upsert import upsert, upsert_counts
+from sportmart.operators.sets import latest_per_key
+from sportmart.operators.upsert import single_per_key, upsert, upsert_counts
 from sportmart.plans import dims, facts, standins
-from sportmart.plans.catalogue.registry import query
+from sportmart.plans.catalogue.models import BRIDGE_SQL
+from sportmart.plans.catalogue.registry import query, season_start_sql
 from sportmart.plans.load import TARGETS
 from sportmart.sources.tables import staged
 
@@ -124,10 +126,12 @@ def upsert_latest(t):
     "SNK-3 MDL-11",
     """
     WITH w AS (
-        SELECT user_id AS player_id, sum(round(value * 100)) FILTER (WHERE event_type = 'click') AS click,
-               sum(round(value * 100)) FILTER (WHERE event_type = 'view') AS view
-        FROM events GROUP BY user_id)
-    SELECT player_id, CASE WHEN click >= view THEN -1 ELSE player_id % 20 END AS club_id, 2023::BIGINT AS season_id,
+        SELECT user_id AS player_id, """ + season_start_sql("ts") + """ AS season_id,
+               sum(round(value * 100)) FILTER (WHERE event_type = 'click') AS click,
+               sum(round(value * 100)) FILTER (WHERE event_type = 'view') AS view,
+               max(CASE WHEN event_type <> 'signup' THEN user_id % 20 END) AS club_id
+        FROM events GROUP BY 1, 2)
+    SELECT player_id, CASE WHEN click >= view THEN -1 ELSE club_id END AS club_id, season_id,
            click AS "CLICK", view AS "VIEW"
     FROM w
     """,
@@ -136,32 +140,33 @@ def upsert_player_fact(t):
     """The player fact matches by player and season: statistics change, the stored club stays."""
     target_spec = TARGETS["fct_player_stat"]
     names = ["CLICK", "VIEW"]
-    events = standins.player_stats(t).where("entity <> 'signup'")
-    source = staged(facts.fct_player_stat(events, standins.seasons(t), names), "player-fact")
+    fact = facts.fct_player_stat(standins.player_stats(t), standins.seasons(t), names)
+    # sign-ups name no club, so a player can have two rows; as in the batch the greatest columns count
+    keys = target_spec.keys(fact.columns)
+    source = staged(single_per_key(fact, keys), "player-fact")
     # the stored fact: players with more clicks than views, another club, older statistics
     stored = source.where("CLICK >= VIEW").withColumns(
         {"club_id": F.lit(-1).cast("bigint"), **{name: F.lit(0.0) for name in names}}
     )
-    return upsert(stored, source, target_spec.keys(source.columns), target_spec.update_cols(source.columns))
+    return upsert(stored, source, keys, target_spec.update_cols(source.columns))
 
 
 @query(
-    "SNK-3 SNK-5 MDL-12",
+    "SNK-3 MDL-12",
     """
-    SELECT DISTINCT CAST(left(o_orderpriority, 1) AS BIGINT) AS award_id,
-           CAST(year(o_orderdate) - CASE WHEN month(o_orderdate) < 9 THEN 1 ELSE 0 END AS BIGINT) AS season_id,
-           o_custkey AS object_id
-    FROM orders WHERE o_orderstatus <> 'P'
+    SELECT DISTINCT * FROM (""" + BRIDGE_SQL + """) WHERE object_id IS NOT NULL
+    UNION ALL SELECT * FROM (""" + BRIDGE_SQL + """) WHERE object_id IS NULL
+    UNION ALL SELECT * FROM (""" + BRIDGE_SQL + """) WHERE object_id IS NULL AND award_id <= 2
     """,
 )
 def upsert_award_bridge(t):
-    """A table whose columns are all keys: matches change nothing, the rest is inserted once."""
+    """A table whose columns are all keys: matches change nothing, the rest is inserted once, awards to nobody each time."""
     spec = TARGETS["fct_object_award"]
     given = facts.fct_object_award(
-        standins.month_award(t), standins.season_award(t).where(F.lit(False)), standins.seasons(t)
-    ).where("object_id IS NOT NULL")
+        standins.month_award(t), standins.season_award(t), standins.seasons(t)
+    )
     given = staged(given, "awards-given")
-    stored = given.where("award_id <= 2").distinct()
+    stored = latest_per_key(given.where("award_id <= 2"), spec.keys(given.columns), [])
     return upsert(stored, given, spec.keys(given.columns), spec.update_cols(given.columns), "latest")
 
 

@@ -23,7 +23,7 @@ from sportmart.functions import (
 )
 from sportmart.operators.nested import explode_path
 from sportmart.operators.pages import award_rows
-from sportmart.operators.sets import align_to, latest_per_key, union_all
+from sportmart.operators.sets import align_to, has_whole_key, latest_whole, union_all
 from sportmart.schemas import TABLES
 
 
@@ -37,7 +37,24 @@ def conform(frames: Sequence[DataFrame], table: str, latest: bool, key: str | No
     if not latest:
         return union_all(frames, columns).distinct()
     rows = union_all(frames, [*columns, ("season", "string")])
-    return latest_per_key(rows, [key or columns[0][0]], ["season"]).drop("season")
+    keys = [key or columns[0][0]]
+    whole = has_whole_key(keys)
+    # without a key there is no latest row; what is left is once per row
+    loose = rows.where(f"NOT ({whole})").drop("season").distinct()
+    return latest_whole(rows.where(whole), keys, ["season"]).drop("season").union(loose)
+
+
+def combined(df: DataFrame, keys: Sequence[str], parts: Sequence[str]) -> DataFrame:
+    """Every combination of the distinct non-null values that a key has in each of its parts.
+
+    The parts are structs. They are gathered in one pass, distinct before the
+    shuffle; a key that lacks a part drops out. A key has as many values of a
+    part as its entries truly differ.
+    """
+    grouped = df.groupBy(*keys).agg(*[F.collect_set(part).alias(part) for part in parts])
+    for part in parts:
+        grouped = grouped.withColumn(part, F.explode(part))
+    return grouped.select(*keys, *[f"{part}.*" for part in parts])
 
 
 def dim_season(seasons: DataFrame) -> DataFrame:
@@ -64,22 +81,17 @@ def dim_country(manager_info: DataFrame, player_info: DataFrame, latest: bool =
 
 def dim_manager(manager_info: DataFrame, latest: bool = False) -> DataFrame:
     """Managers with a birth date, paired with every country given for their id in the season."""
-    identified = manager_info.where(F.col("officialId").isNotNull())
-    manager = (
-        identified.where(F.col("birth.date.label").isNotNull())
-        .select(
-            as_id("officialId").alias("manager_id"),
-            F.col("name.first").alias("first_name"),
-            F.col("name.last").alias("lastname"),
-            parse_long_date(F.col("birth.date.label")).alias("dob"),
-            "season",
-        )
-        .distinct()
+    person = F.struct(
+        F.col("name.first").alias("first_name"), F.col("name.last").alias("lastname"),
+        parse_long_date(F.col("birth.date.label")).alias("dob"),
     )
-    country = identified.select(
-        as_id("officialId").alias("manager_id"), F.col("birth.country.isoCode").alias("country_id"), "season"
-    ).distinct()
-    return conform([manager.join(country, ["season", "manager_id"])], "dim_manager", latest)
+    parts = manager_info.where(F.col("officialId").isNotNull()).select(
+        "season",
+        as_id("officialId").alias("manager_id"),
+        F.when(F.col("birth.date.label").isNotNull(), person).alias("person"),
+        F.struct(F.col("birth.country.isoCode").alias("country_id")).alias("country"),
+    )
+    return conform([combined(parts, ["season", "manager_id"], ["person", "country"])], "dim_manager", latest)
 
 
 def dim_club(club_info: DataFrame, latest: bool = False) -> DataFrame:
@@ -107,11 +119,11 @@ def dim_stadium(club_info: DataFrame, latest: bool = False) -> DataFrame:
     return conform([grounds], "dim_stadium", latest)
 
 
-def _positions(player_info: DataFrame, *extra: Column | str) -> DataFrame:
+def _positions(player_info: DataFrame) -> DataFrame:
     """Position names with the initials that identify them."""
     return (
         player_info.select(
-            *extra, F.col("info.position").alias("code"), F.col("info.positionInfo").alias("name"), "season"
+            F.col("info.position").alias("code"), F.col("info.positionInfo").alias("name"), "season"
         )
         .where("code IS NOT NULL AND name IS NOT NULL")
         .withColumn("position_id", initials(F.col("name")))
@@ -125,28 +137,23 @@ def dim_position(player_info: DataFrame, latest: bool = False) -> DataFrame:
 def dim_player(player_info: DataFrame, latest: bool = False) -> DataFrame:
     """Players with a birth date and a position; the country may be null.
 
-    The three parts join by season and id, so facts of one player on several
-    entries combine. Each part is distinct first: copies of an entry cannot
-    multiply in the joins.
+    Facts of one player on several entries of a season combine; copies of an
+    entry do not multiply.
     """
-    identified = player_info.where(F.col("playerId").isNotNull())
-    player_id = as_id("playerId").alias("player_id")
-    player = (
-        identified.where(F.col("birth.date.label").isNotNull())
-        .select(
-            player_id,
-            F.col("name.first").alias("first_name"),
-            F.col("name.last").alias("lastname"),
-            parse_long_date(F.col("birth.date.label")).alias("dob"),
-            as_id("info.shirtNum").alias("shirt_num"),
-            "season",
-        )
-        .distinct()
+    person = F.struct(
+        F.col("name.first").alias("first_name"), F.col("name.last").alias("lastname"),
+        parse_long_date(F.col("birth.date.label")).alias("dob"), as_id("info.shirtNum").alias("shirt_num"),
+    )
+    position = F.struct(initials(F.col("info.positionInfo")).alias("position_id"))
+    named = F.col("info.position").isNotNull() & F.col("info.positionInfo").isNotNull()
+    parts = player_info.where(F.col("playerId").isNotNull()).select(
+        "season",
+        as_id("playerId").alias("player_id"),
+        F.when(F.col("birth.date.label").isNotNull(), person).alias("person"),
+        F.struct(F.col("nationalTeam.isoCode").alias("country_id")).alias("country"),
+        F.when(named, position).alias("position"),
     )
-    country = identified.select(player_id, F.col("nationalTeam.isoCode").alias("country_id"), "season").distinct()
-    position = _positions(identified, player_id).select("player_id", "position_id", "season").distinct()
-    key = ["season", "player_id"]
-    return conform([player.join(country, key).join(position, key)], "dim_player", latest)
+    return conform([combined(parts, ["season", "player_id"], ["person", "country", "position"])], "dim_player", latest)
 
 
 def month_award_items(month_award: DataFrame) -> DataFrame:

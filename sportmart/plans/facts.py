@@ -14,23 +14,23 @@ from pyspark.sql import functions as F
 from sportmart.functions import season_label
 from sportmart.operators.nested import explode_path, map_to_rows
 from sportmart.operators.pages import documents_for_ids
-from sportmart.operators.reshape import distinct_sorted, long_to_wide
+from sportmart.operators.reshape import long_to_wide
 from sportmart.operators.sets import align_to, union_fill
 from sportmart.plans.dims import as_id, month_award_items
 from sportmart.schemas import TABLES, with_statistics
-from sportmart.sources.frames import small
 
 
 def with_season_id(df: DataFrame, seasons: DataFrame) -> DataFrame:
     """Season label -> season id; rows of unlisted seasons drop out.
 
-    The index is read first: it has one row per season, and as literals it
-    never makes the fact shuffle by season.
+    ``df`` is folded already. Adaptive execution sees the size of the index
+    when it has run: it broadcasts a small one, and splits a season that
+    holds most rows if it has to shuffle.
     """
     index = seasons.select(
         as_id("id").alias("season_id"), season_label(F.col("label")).alias("season")
     ).distinct()
-    return df.join(small(index), "season")
+    return df.join(index, "season")
 
 
 def total_over(
@@ -61,16 +61,14 @@ def fct_club_stat(
     club_stats: DataFrame,
     manager_info: DataFrame,
     seasons: DataFrame,
-    names: Sequence[str] | None = None,
+    names: Sequence[str],
 ) -> DataFrame:
     """Club statistics at the grain club x manager x stadium x season.
 
     A club without a manager or a ground in the season drops out; several
     managers or grounds repeat its statistics, so sums over this table
-    overcount. ``names`` defaults to the entity names in the data.
+    overcount. ``names`` are the statistics that become columns.
     """
-    if names is None:
-        names = distinct_sorted(club_stats, "entity")
     long = club_statistics(club_stats, F.col("s.owner.grounds.id").alias("grounds")).where("club_id IS NOT NULL")
     by_grounds = long_to_wide(
         long, ["season", "club_id", "grounds"], "stat_name", "stat_value", names, null_keys=True
@@ -80,7 +78,8 @@ def fct_club_stat(
         .withColumn("ground", F.explode("grounds"))
         .withColumn("stadium_id", as_id("ground"))
         .drop("grounds", "ground")
-        .distinct()
+        # the statistics follow from the club and season
+        .dropDuplicates(["season", "club_id", "stadium_id"])
     )
     managers = manager_info.select(
         "season", as_id("currentTeam.id").alias("club_id"), as_id("officialId").alias("manager_id")
@@ -145,9 +144,9 @@ def fct_object_award(
     if awards is None:
         given = given.where("award_id IS NOT NULL")
     elif fan_out:
-        given = given.join(small(awards.select("award_id")), "award_id")
+        given = given.join(awards.select("award_id"), "award_id")
     else:
-        given = documents_for_ids(small(awards.select("award_id").distinct()), given, "award_id")
+        given = documents_for_ids(awards.select("award_id"), given, "award_id")
     given = given.withColumn("object_id", F.coalesce("player_id", "manager_id", "club_id"))
     return align_to(with_season_id(given, seasons), TABLES["fct_object_award"])
 
@@ -171,17 +170,15 @@ def match_statistics(match_stats: DataFrame) -> DataFrame:
 def fct_match_stat(
     match_stats: DataFrame,
     seasons: DataFrame,
-    names: Sequence[str] | None = None,
+    names: Sequence[str],
     match_info: DataFrame | None = None,
 ) -> DataFrame:
     """Match statistics per match and club, for the clubs that played the match.
 
-    ``match_info`` restricts the matches to a listing. ``names`` defaults to
-    the names in the data.
+    ``match_info`` restricts the matches to a listing; ``names`` are the
+    statistics that become columns.
     """
     long = match_statistics(match_stats)
-    if names is None:
-        names = distinct_sorted(long, "stat_name")
     key = ["season", "match_id", "club_id"]
     wide = long_to_wide(long, key, "stat_name", "stat_value", names, agg="max", listed_only=True)
     if match_info is not None:

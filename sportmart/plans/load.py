@@ -15,7 +15,7 @@ from sportmart.plans.suites import raw_suite, table_suite
 from sportmart.schemas import with_statistics
 from sportmart.sources.documents import extract
 from sportmart.sources.frames import literal_rows
-from sportmart.sources.tables import to_bronze, upsert_parquet
+from sportmart.sources.tables import read_version, table_exists, to_bronze, upsert_parquet
 
 
 @dataclass(frozen=True)
@@ -104,17 +104,41 @@ def check_tables(
 def load_tables(
     spark: SparkSession, tables: dict[str, DataFrame], warehouse: str, now: datetime | None = None
 ) -> DataFrame:
-    """Upsert every table in order and append one audit row per table."""
-    root, audit = warehouse.rstrip("/"), []
+    """Upsert every table in order, each followed by its audit row.
+
+    Tables whose columns are not those of the stored one stop the load before
+    any table is changed. Facts with several rows for a key keep the one with
+    the greatest columns.
+    """
+    root = warehouse.rstrip("/")
     stamp = now or datetime.now(timezone.utc).replace(tzinfo=None)
+    check_stored(spark, tables, root)
     for name, df in tables.items():
         target = TARGETS[name]
         keys, updates = target.keys(df.columns), target.update_cols(df.columns)
-        done = upsert_parquet(spark, f"{root}/{name}", df, keys, updates, target.partition_by, "latest")
-        audit.append((name, "UPDATE", stamp, *done))
-    report = literal_rows(spark, audit, AUDIT_DDL)
-    report.write.mode("append").parquet(f"{root}/_audit")
-    return spark.read.parquet(f"{root}/_audit")
+        done = upsert_parquet(spark, f"{root}/{name}", df, keys, updates, target.partition_by, "any")
+        report = literal_rows(spark, [(name, "UPDATE", stamp, *done)], AUDIT_DDL)
+        report.write.mode("append").parquet(f"{root}/_audit")
+    return read_audit(spark, root)
+
+
+def read_audit(spark: SparkSession, warehouse: str) -> DataFrame:
+    return spark.read.schema(AUDIT_DDL).parquet(f"{warehouse.rstrip('/')}/_audit")
+
+
+def check_stored(
+    spark: SparkSession, tables: dict[str, DataFrame], warehouse: str, on_fail: str = "raise"
+) -> DataFrame:
+    """Names and types of built tables against the stored ones; tables not stored yet are held against their own."""
+    suites = []
+    for name, df in tables.items():
+        path = f"{warehouse.rstrip('/')}/{name}"
+        schema = read_version(spark, path).schema if table_exists(spark, path) else df.schema
+        wanted = [(column.name, column.dataType.simpleString()) for column in schema]
+        suites.append(table_suite(name, df, wanted, strict=True))
+    results = run_suites(suites, count_rows=False)
+    enforce(results, on_fail)
+    return results
 
 
 def run_sources(
@@ -125,9 +149,10 @@ def run_sources(
     player_names: Sequence[str],
     match_names: Sequence[str],
     now: datetime | None = None,
+    by_file: bool = False,
 ) -> DataFrame:
-    """The whole batch from source frames to audited tables."""
-    sources = to_bronze(sources, f"{warehouse.rstrip('/')}/_bronze")
+    """The whole batch from source frames to audited tables; ``by_file`` as in ``to_bronze``."""
+    sources = to_bronze(sources, f"{warehouse.rstrip('/')}/_bronze", by_file=by_file)
     check_sources(sources)
     tables = build_tables(sources, club_names, player_names, match_names, latest=True)
     columns = {name: table_columns(name, club_names, player_names, match_names) for name in tables}
@@ -144,10 +169,18 @@ def run(
     match_names: Sequence[str],
     seasons: Sequence[str] | None = None,
     now: datetime | None = None,
+    optional: Sequence[str] = (),
 ) -> DataFrame:
-    """The whole batch from landed documents, one JSON file per entity and season."""
-    sources = extract(spark, landing, seasons)
-    return run_sources(spark, sources, warehouse, club_names, player_names, match_names, now)
+    """The whole batch from landed documents, one JSON file per entity and season.
+
+    Sources named in ``optional`` may be absent. A file is one task here, however
+    large; land large sources as JSON Lines and use ``extract_landed`` with ``run_sources``.
+    """
+    sources = extract(spark, landing, seasons, optional)
+    return run_sources(spark, sources, warehouse, club_names, player_names, match_names, now, by_file=True)
 
 
-__all__ = ["TARGETS", "Target", "build_tables", "check_sources", "check_tables", "load_tables", "run", "run_sources"]
+__all__ = [
+    "TARGETS", "Target", "build_tables", "check_sources", "check_stored", "check_tables", "load_tables", "read_audit",
+    "run", "run_sources",
+]

@@ -8,6 +8,8 @@ here, so nothing is collected however skewed a key is.
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,6 +24,7 @@ MONTHS = [
     "November", "December",
 ]
 CLUB_SEASONS = ["1999-00", "2000-01"]
+LOAD_TIME = datetime(2024, 1, 1)
 
 
 class Tables:

@@ -36,6 +36,6 @@ def raw_suite(name: str, df: DataFrame) -> Suite:
     return suite
 
 
-def table_suite(name: str, df: DataFrame, columns: Columns) -> Suite:
+def table_suite(name: str, df: DataFrame, columns: Columns, strict: bool = False) -> Suite:
     """Column set and types of a built table; meant to raise."""
-    return Suite(name, df).column_set([column for column, _ in columns]).column_types(columns)
+    return Suite(name, df).column_set([column for column, _ in columns]).column_types(columns, strict)

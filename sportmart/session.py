@@ -45,4 +45,16 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a shared folder")
         base = tempfile.mkdtemp(prefix="sportmart-")
-    return os.path.join(base, f"sportmart-{purpose}-{uuid.uuid4().hex}")
+    _SHARED.append(os.path.join(base, f"sportmart-{purpose}-{uuid.uuid4().hex}"))
+    return _SHARED[-1]
+
+
+_SHARED: list[str] = []
+
+
+def remove_shared(spark: SparkSession) -> None:
+    """Delete what this process wrote below ``shared_dir``; call it when results that read it are stored."""
+    from sportmart.sources.tables import delete_path
+
+    while _SHARED:
+        delete_path(spark, _SHARED.pop())

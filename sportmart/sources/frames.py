@@ -9,8 +9,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-SMALL = 1000
-
 
 def empty_frame(spark: SparkSession, schema: str | T.StructType) -> DataFrame:
     """No rows, all columns."""
@@ -40,13 +38,3 @@ def literal_rows(spark: SparkSession, rows: Sequence[Sequence], schema: str | T.
     ]
     return spark.range(1).select(F.inline(F.array(*structs)))
 
-
-def small(df: DataFrame, limit: int = SMALL) -> DataFrame:
-    """The frame as literal rows if it has at most ``limit``, else itself.
-
-    An index that holds a handful of rows then joins by broadcast for sure,
-    and the large side is not shuffled by its few values. A longer one joins
-    like any other frame.
-    """
-    rows = df.limit(limit + 1).collect()
-    return df if len(rows) > limit else literal_rows(df.sparkSession, rows, df.schema)

@@ -1,7 +1,8 @@
-"""Writing: landing zone, bronze, and tables replaced by an upsert."""
+"""Writing: landing zone, bronze, and tables that an upsert writes a new version of."""
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
@@ -14,7 +15,8 @@ from sportmart.operators.upsert import duplicate_keys, single_per_key, upsert
 from sportmart.session import shared_dir
 from sportmart.sources.frames import empty_frame
 
-MAX_TOUCHED_PARTITIONS = 10_000
+#: Directory name of a partition; the column itself is in the files.
+PARTITION = "_part"
 
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
@@ -41,6 +43,23 @@ def land_sources(sources: dict[str, DataFrame], root: str, mode: str = "errorife
             df.write.mode(mode).json(path)
 
 
+def land_documents(df: DataFrame, root: str, path: str, seasons: Sequence[str], per_file: int = 1000) -> None:
+    """Documents as multi-line JSON arrays below ``path``, whose ``{season}`` names their season.
+
+    The layout in which documents arrive. A season is a directory of files
+    of about ``per_file`` documents, so no task gathers a whole season.
+    """
+    document = F.to_json(F.struct(*[name for name in df.columns if name != "season"]))
+    rows = df.select("season", document.alias("document"))
+    for season in seasons:
+        own = rows.where(F.col("season") == season)
+        pieces = -(-own.count() // per_file) or 1
+        piece = F.pmod(F.xxhash64("document"), F.lit(pieces))
+        arrays = own.groupBy(piece).agg(F.array_join(F.collect_list("document"), ",\n").alias("items"))
+        text = arrays.select(F.concat(F.lit("[\n"), "items", F.lit("\n]")).alias("value"))
+        text.write.option("maxRecordsPerFile", 1).text(f"{root.rstrip('/')}/{path.replace('{season}', season)}")
+
+
 def write_parquet(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "errorifexists"
 ) -> None:
@@ -50,16 +69,22 @@ def write_parquet(
         df.write.mode(mode).parquet(path)
 
 
-def to_bronze(sources: dict[str, DataFrame], root: str, mode: str = "overwrite") -> dict[str, DataFrame]:
+def to_bronze(
+    sources: dict[str, DataFrame], root: str, mode: str = "overwrite", by_file: bool = False
+) -> dict[str, DataFrame]:
     """Parse every source once into Parquet by season and read it back.
 
     Later reads are split, pruned by season and by nested column; JSON is
-    none of these.
+    none of these. ``by_file`` says that each input file is of one season, as
+    JSON arrays are: a task then holds one season already and nothing shuffles.
     """
     bronze = {}
     for name, df in sources.items():
         path = f"{root.rstrip('/')}/{name}"
-        write_parquet(df, path, ["season"] if "season" in df.columns else [], mode)
+        if by_file and "season" in df.columns:
+            df.write.mode(mode).partitionBy("season").parquet(path)
+        else:
+            write_parquet(df, path, ["season"] if "season" in df.columns else [], mode)
         spark = df.sparkSession
         bronze[name] = spark.read.schema(_partition_last(df.schema)).parquet(path)
     return bronze
@@ -92,62 +117,127 @@ def empty_like(spark: SparkSession, table: str) -> DataFrame:
     return empty_frame(spark, target_schema(spark, table))
 
 
+class Counts(NamedTuple):
+    rows_inserted: int
+    rows_updated: int
+
+
+class Version(NamedTuple):
+    """A state of a stored table: its schema and where its rows are, by partition directory name."""
+
+    number: int
+    schema: T.StructType
+    partition_by: str | None
+    places: dict[str, str]
+
+
 def _filesystem(spark: SparkSession, path: str):
+    """The one place that reaches Hadoop's file system API through the driver."""
     jvm = spark.sparkContext._jvm
     hadoop_path = jvm.org.apache.hadoop.fs.Path
     fs = hadoop_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     return fs, hadoop_path
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
-    """True if the table is there, after undoing a swap that was cut short."""
+def _names(spark: SparkSession, path: str) -> list[str]:
     fs, as_path = _filesystem(spark, path)
-    table, old = as_path(path), as_path(path + "__old")
-    if fs.exists(old):
-        if not fs.exists(table):
-            fs.rename(old, table)
-        else:
-            for status in fs.listStatus(old):
-                name = status.getPath().getName()
-                if "=" in name and not fs.exists(as_path(f"{path}/{name}")):
-                    fs.rename(status.getPath(), as_path(f"{path}/{name}"))
-            fs.delete(old, True)
-    return fs.exists(table)
+    where = as_path(path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
 
 
-def _move(fs, origin, goal) -> None:
-    if not fs.rename(origin, goal):
-        raise OSError(f"could not move {origin} to {goal}")
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, as_path = _filesystem(spark, path)
+    fs.delete(as_path(path), True)
 
 
-def _swap(spark: SparkSession, path: str, staged: str, partitions: bool = False) -> None:
-    """Put complete staged data in the place of a table or of its partitions.
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    return [int(name[:-5]) for name in _names(spark, f"{path}/versions") if name.endswith(".json")]
 
-    What is replaced waits in ``<path>__old`` until its successor is in place.
-    """
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return bool(_versions(spark, path))
+
+
+def read_version(spark: SparkSession, path: str, number: int | None = None) -> Version:
+    """The last complete version, or an older one that is still kept."""
+    numbers = _versions(spark, path)
+    if not numbers:
+        raise ValueError(f"no table at {path}")
+    number = numbers[-1] if number is None else number
     fs, as_path = _filesystem(spark, path)
-    old = as_path(path + "__old")
-    fs.delete(old, True)
-    if partitions:
-        fs.mkdirs(old)
-        for status in fs.listStatus(as_path(staged)):
-            name = status.getPath().getName()
-            if not status.isDirectory():
-                continue
-            if fs.exists(as_path(f"{path}/{name}")):
-                _move(fs, as_path(f"{path}/{name}"), as_path(f"{path}__old/{name}"))
-            _move(fs, status.getPath(), as_path(f"{path}/{name}"))
-        fs.delete(as_path(staged), True)
-    else:
-        if fs.exists(as_path(path)):
-            _move(fs, as_path(path), old)
-        _move(fs, as_path(staged), as_path(path))
-    fs.delete(old, True)
+    stream = fs.open(as_path(f"{path}/versions/{number:08d}.json"))
+    try:
+        body = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    schema = T.StructType.fromJson(body["schema"])
+    return Version(number, schema, body["partition_by"], body["places"])
 
 
-class Counts(NamedTuple):
-    rows_inserted: int
-    rows_updated: int
+def _publish(spark: SparkSession, path: str, version: Version) -> None:
+    """Make a version the last one. Two writers cannot both publish the same number."""
+    fs, as_path = _filesystem(spark, path)
+    goal = as_path(f"{path}/versions/{version.number:08d}.json")
+    draft = as_path(f"{path}/versions/{uuid.uuid4().hex}.draft")
+    body = {"schema": json.loads(version.schema.json()), "partition_by": version.partition_by, "places": version.places}
+    stream = fs.create(draft, False)
+    try:
+        stream.write(json.dumps(body).encode())
+    finally:
+        stream.close()
+    if fs.exists(goal) or not fs.rename(draft, goal):
+        fs.delete(draft, False)
+        raise RuntimeError(f"{path} was changed by another writer meanwhile")
+
+
+def _forget(spark: SparkSession, path: str, keep: int = 2) -> None:
+    """Drop versions before the last ``keep`` and the directories that only they name."""
+    numbers = _versions(spark, path)
+    used = {place for n in numbers[-keep:] for place in read_version(spark, path, n).places.values()}
+    for n in numbers[:-keep]:
+        for place in read_version(spark, path, n).places.values():
+            if place not in used:
+                delete_path(spark, f"{path}/{place}")
+        delete_path(spark, f"{path}/versions/{n:08d}.json")
+
+
+def read_table(spark: SparkSession, path: str, only: Sequence[str] | None = None) -> DataFrame:
+    """A stored table in its last version; ``only`` reads the partitions of these directory names.
+
+    Readers hold on to the directories that the version names, which later
+    versions leave in place until two more are written.
+    """
+    version = read_version(spark, path)
+    return _rows_of(spark, path, version, only)
+
+
+def _rows_of(spark: SparkSession, path: str, version: Version, only: Sequence[str] | None = None) -> DataFrame:
+    places = [place for name, place in version.places.items() if only is None or name in only]
+    if not places:
+        return empty_frame(spark, version.schema)
+    return spark.read.schema(version.schema).parquet(*[f"{path}/{place}" for place in places])
+
+
+def table_schema(spark: SparkSession, path: str) -> T.StructType:
+    return read_version(spark, path).schema
+
+
+def schema_difference(stored: T.StructType, rows: T.StructType) -> str:
+    """What tells two schemas apart, by column name and type; empty if nothing does."""
+    have = {column.name: column.dataType.simpleString() for column in stored}
+    come = {column.name: column.dataType.simpleString() for column in rows}
+    names = sorted(n for n in {*have, *come} if have.get(n) != come.get(n))
+    return "; ".join(f"{n}: {have.get(n, 'absent')} stored, {come.get(n, 'absent')} given" for n in names)
+
+
+def _write_places(df: DataFrame, path: str, place: str, partition_by: str | None) -> dict[str, str]:
+    """Write rows below ``path/place``; directory name -> place. All columns are in the files."""
+    if partition_by is None:
+        write_parquet(df, f"{path}/{place}")
+        return {"": place}
+    write_parquet(df.withColumn(PARTITION, F.col(partition_by).cast("string")), f"{path}/{place}", [PARTITION])
+    names = [name for name in _names(df.sparkSession, f"{path}/{place}") if "=" in name]
+    return {name: f"{place}/{name}" for name in names}
 
 
 def upsert_parquet(
@@ -159,71 +249,49 @@ def upsert_parquet(
     partition_by: str | None = None,
     on_duplicate: str = "error",
     order: Sequence[str] = (),
-    written: bool = False,
 ) -> Counts:
-    """Upsert into a Parquet directory: written beside it, then swapped in.
+    """Upsert into a stored table: a new version beside the last one.
 
-    The source is staged first, so its plan runs once, unless it is a
-    ``written`` table already; duplicate keys are looked for in the key
-    columns of its files. A table partitioned by
+    The source is staged first, so its plan runs once. A table partitioned by
     one of its keys can only match inside a partition, so only the partitions
-    that the source touches are read and rewritten.
-    ``order`` columns are columns of the table. The counts come from file
-    footers: nothing is deleted, so what grew was inserted, and the other
-    source rows matched.
+    that the staged source has directories for are read and written again.
+    ``latest`` needs ``order`` columns, or ``any`` may pick the row with the
+    greatest columns. The counts come from file footers: nothing is deleted,
+    so what grew was inserted, and the other source rows matched.
     """
     if partition_by is not None and partition_by not in keys:
         raise ValueError("a partitioned table needs its partition column among the keys")
+    if on_duplicate == "latest" and not order:
+        raise ValueError("the latest row needs an order; 'any' takes the row with the greatest columns")
+    stored = read_version(spark, path) if table_exists(spark, path) else None
+    if stored:
+        difference = schema_difference(stored.schema, source.schema)
+        if difference:
+            raise ValueError(f"columns of {path} differ: {difference}")
+        source = source.select(*stored.schema.names)
+    if on_duplicate in ("latest", "any"):
+        source = single_per_key(source, keys, order)
     tag = uuid.uuid4().hex
-    staging, output = f"{path}__source-{tag}", f"{path}__staged-{tag}"
-    fs, as_path = _filesystem(spark, path)
-    if on_duplicate == "latest":
-        source, written = single_per_key(source, keys, "latest", order), False
-    if not written:
-        write_parquet(source, staging)
-        source = spark.read.schema(source.schema).parquet(staging)
-    if on_duplicate == "error":
-        repeated = duplicate_keys(source, keys).limit(1).collect()
-        if repeated:
-            fs.delete(as_path(staging), True)
-            raise ValueError(f"more than one source row for key {repeated[0].asDict()}")
-    exists = table_exists(spark, path)
-    target = read_table(spark, path, source, partition_by) if exists else empty_frame(spark, source.schema)
-    if exists and partition_by:
-        touched = touched_partitions(source, partition_by)
-        inside = F.col(partition_by).isin([value for value in touched if value is not None])
-        if None in touched:
-            inside = inside | F.col(partition_by).isNull()
-        target = target.where(inside)
-    rows = upsert(target, source, keys, update_cols, "unique")
-    write_parquet(rows, output, [partition_by] if partition_by else [])
-    inserted = _rows(spark, output, source) - (target.count() if exists else 0)
-    counts = Counts(inserted, source.count() - inserted)
-    _swap(spark, path, output, partitions=exists and partition_by is not None)
-    fs.delete(as_path(staging), True)
+    staging, output = f"staging/{tag}", f"data/{tag}"
+    done = False
+    try:
+        staged_places = _write_places(source, path, staging, partition_by)
+        fresh = Version(stored.number + 1 if stored else 1, source.schema, partition_by, staged_places)
+        incoming = _rows_of(spark, path, fresh)
+        if on_duplicate == "error":
+            repeated = duplicate_keys(incoming, keys).limit(1).collect()
+            if repeated:
+                raise ValueError(f"more than one source row for key {repeated[0].asDict()}")
+        before = _rows_of(spark, path, stored, staged_places) if stored else empty_frame(spark, source.schema)
+        places = _write_places(upsert(before, incoming, keys, update_cols, "unique"), path, output, partition_by)
+        after = fresh._replace(places=places)
+        inserted = _rows_of(spark, path, after).count() - (before.count() if stored else 0)
+        counts = Counts(inserted, incoming.count() - inserted)
+        _publish(spark, path, after._replace(places={**(stored.places if stored else {}), **places}))
+        done = True
+    finally:
+        delete_path(spark, f"{path}/staging/{tag}")
+        if not done:
+            delete_path(spark, f"{path}/{output}")
+    _forget(spark, path)
     return counts
-
-
-def read_table(spark: SparkSession, path: str, like: DataFrame, partition_by: str | None = None) -> DataFrame:
-    """A stored table whose columns are those of ``like``, in the same order.
-
-    The type of a partition column is not in the files; it is not guessed
-    from directory names but taken from ``like``.
-    """
-    schema = spark.read.parquet(path).schema
-    if set(schema.names) != set(like.columns):
-        raise ValueError(f"columns of {path} differ: {sorted(set(schema.names) ^ set(like.columns))}")
-    fields = [like.schema[field.name] if field.name == partition_by else field for field in schema]
-    return spark.read.schema(T.StructType(fields)).parquet(path).select(*like.columns)
-
-
-def _rows(spark: SparkSession, path: str, like: DataFrame) -> int:
-    return spark.read.schema(like.schema).parquet(path).count()
-
-
-def touched_partitions(source: DataFrame, column: str) -> list:
-    """Partition values of the source; a partition list, so its size is bounded."""
-    rows = source.select(column).distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()
-    if len(rows) > MAX_TOUCHED_PARTITIONS:
-        raise ValueError(f"{column} has too many values for a partition column")
-    return [row[0] for row in rows]

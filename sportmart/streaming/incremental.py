@@ -25,13 +25,16 @@ def stream_upsert(
     build: Callable[[DataFrame], DataFrame] = lambda df: df,
     file_format: str = "parquet",
     files_per_batch: int = 1000,
-    on_duplicate: str = "latest",
+    on_duplicate: str = "any",
     order: Sequence[str] = (),
+    partition_by: str | None = None,
 ) -> None:
     """Process the files that landed since the last call, then return.
 
     ``build`` turns a batch of documents into rows of the table; it must not
     need rows of other batches, so it suits dimensions and per-document facts.
+    A table with ``partition_by`` writes only the partitions of the batch again.
+    Between batches the later one wins, whatever its order columns say.
     """
     files = (
         spark.readStream.schema(schema)
@@ -41,7 +44,7 @@ def stream_upsert(
     )
 
     def merge(batch: DataFrame, _: int) -> None:
-        upsert_parquet(batch.sparkSession, table, build(batch), keys, update_cols, None, on_duplicate, order)
+        upsert_parquet(batch.sparkSession, table, build(batch), keys, update_cols, partition_by, on_duplicate, order)
 
     query = (
         files.writeStream.foreachBatch(merge)

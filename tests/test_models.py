@@ -1,15 +1,19 @@
 """The 13 tables from landed documents, edge case by edge case."""
 
 import datetime as dt
+import json
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
+from sportmart.operators.quality import QualityError
 from sportmart.operators.pages import award_rows, related_references
 from sportmart.plans import dims, facts
-from sportmart.plans.load import TARGETS, build_tables, check_sources, check_tables, run, table_columns
+from sportmart.plans.load import TARGETS, build_tables, check_sources, check_tables, load_tables, read_audit, run, table_columns
 from sportmart.schemas import SOURCES, TABLES
 from sportmart.sources.documents import extract, read_entity
+from sportmart.sources.tables import read_table, read_version
 from tests import fixtures
 
 
@@ -144,7 +148,7 @@ def test_dim_match(sources):
 
 
 def test_fct_club_stat(sources):
-    df = facts.fct_club_stat(sources["club_stats"], sources["manager_info"], sources["seasons"])
+    df = facts.fct_club_stat(sources["club_stats"], sources["manager_info"], sources["seasons"], NAMES[0])
     assert df.columns == ["club_id", "manager_id", "stadium_id", "season_id", "losses", "wins"]
     assert rows(df) == [
         (1, 7, 10, 578, None, 7.0), (1, 7, 11, 578, None, 7.0),
@@ -178,7 +182,7 @@ def test_award_references(sources):
 
 
 def test_fct_match_stat_golden(sources):
-    df = facts.fct_match_stat(sources["match_stats"], sources["seasons"])
+    df = facts.fct_match_stat(sources["match_stats"], sources["seasons"], NAMES[2])
     assert df.columns == ["match_id", "club_id", "season_id", *NAMES[2]]
     assert rows(df) == [
         (75281, 1, 578, 45.0, 8.0, 433.0), (75281, 38, 578, 35.0, 9.0, 433.0),
@@ -203,10 +207,70 @@ def test_whole_batch_twice(spark, landing, tmp_path):
         first = run(spark, landing, warehouse, *NAMES, now=now)
     assert set(TARGETS) == {r["table"] for r in first.collect()}
     assert all(r["rows_updated"] == 0 for r in first.collect())
-    before = {name: rows(spark.read.parquet(f"{warehouse}/{name}")) for name in TARGETS}
+    before = {name: rows(read_table(spark, f"{warehouse}/{name}")) for name in TARGETS}
     with pytest.warns(UserWarning):
         second = run(spark, landing, warehouse, *NAMES, now=now + dt.timedelta(days=7))
     again = {r["table"]: r for r in second.collect() if r["ts"] > now}
     assert all(r["rows_inserted"] == 0 for r in again.values())
-    assert {name: rows(spark.read.parquet(f"{warehouse}/{name}")) for name in TARGETS} == before
+    assert {name: rows(read_table(spark, f"{warehouse}/{name}")) for name in TARGETS} == before
     assert before["dim_club"] and before["fct_match_stat"]
+
+
+@pytest.mark.filterwarnings("ignore:failed check")
+def test_batch_twice_after_a_season_without_facts(spark, tmp_path):
+    root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    fixtures.land(root)
+    empty = {
+        "club/{s}/club_stats.json": [], "player/{s}/player_stats.json": [], "award/{s}/month/award.json": {},
+        "award/{s}/season/award.json": [], "match/{s}/match_stats.json": [],
+    }
+    for path, body in empty.items():
+        (tmp_path / "landing" / path.format(s="2023-24")).write_text(json.dumps(body))
+    for _ in range(2):
+        run(spark, root, warehouse, *NAMES)
+    facts_ = [name for name in TARGETS if name.startswith("fct")]
+    assert all(read_table(spark, f"{warehouse}/{name}").count() == 0 for name in facts_)
+    fixtures.land(root)
+    run(spark, root, warehouse, *NAMES)
+    assert all(read_table(spark, f"{warehouse}/{name}").count() for name in facts_)
+
+
+@pytest.mark.filterwarnings("ignore:failed check")
+def test_drift_stops_the_batch_before_any_table_changes(spark, tmp_path):
+    root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    fixtures.land(root)
+    run(spark, root, warehouse, *NAMES)
+    before = {name: read_version(spark, f"{warehouse}/{name}") for name in TARGETS}
+    with pytest.raises(QualityError, match="fct_club_stat: column_set"):
+        run(spark, root, warehouse, [*NAMES[0], "draws"], *NAMES[1:])
+    tables = build_tables(extract(spark, root), *NAMES, latest=True)
+    tables["dim_award"] = tables["dim_award"].withColumn("award_id", F.col("award_id").cast("int"))
+    with pytest.raises(QualityError, match="dim_award: column_type award_id int for bigint"):
+        load_tables(spark, tables, warehouse)
+    assert {name: read_version(spark, f"{warehouse}/{name}") for name in TARGETS} == before
+    assert read_audit(spark, warehouse).count() == len(TARGETS)
+
+
+@pytest.mark.filterwarnings("ignore:failed check")
+def test_an_absent_source_can_be_optional(spark, tmp_path):
+    root = tmp_path / "landing"
+    fixtures.land(str(root))
+    for path in root.glob("club/*/club_stats.json"):
+        path.unlink()
+    run(spark, str(root), str(tmp_path / "warehouse"), *NAMES, optional=["club_stats"])
+    assert read_table(spark, str(tmp_path / "warehouse" / "fct_club_stat")).count() == 0
+
+
+def test_clubs_without_id_do_not_multiply(spark):
+    ddl = SOURCES["club_info"].ddl + ", season STRING"
+    twice = [(None, "Nobody", None, None, season) for season in ("2022-23", "2023-24")]
+    df = spark.createDataFrame(twice, ddl)
+    assert dims.dim_club(df, latest=True).count() == dims.dim_club(df).count() == 1
+
+
+def test_a_month_document_that_does_not_parse_is_kept(spark, tmp_path):
+    path = tmp_path / "award" / "2023-24" / "month"
+    path.mkdir(parents=True)
+    (path / "award.json").write_text('{"August": [{"award": ')
+    (got,) = read_entity(spark, str(tmp_path), "month_award", corrupt_column="_corrupt").collect()
+    assert got["awards"] is None and got["_corrupt"].startswith('{"August"') and got["season"] == "2023-24"

@@ -17,8 +17,10 @@ from sportmart.operators.upsert import duplicate_keys, merge_into, upsert, upser
 from sportmart.plans.catalogue.quality import table_lineage
 from sportmart.plans.load import TARGETS
 from sportmart.sources.documents import has_rows, is_schema_empty, read_pages
-from sportmart.sources.frames import empty_frame, literal_rows, small
-from sportmart.sources.tables import read_table, table_exists, upsert_parquet, write_parquet
+from sportmart.sources.frames import empty_frame, literal_rows
+from sportmart.sources.tables import (
+    _publish, read_table, read_version, table_exists, table_schema, upsert_parquet, write_parquet,
+)
 
 
 def rows(df):
@@ -182,11 +184,12 @@ def test_merge_needs_a_catalog_with_merge(spark):
         merge_into(spark.range(1), "merge_target", ["id"], [])
 
 
-def test_small_source_leaves_the_target_where_it_is(spark):
-    target = spark.range(100000).selectExpr("id AS a", "id AS b", "'x' AS x", "1 AS y")
-    source = literal_rows(spark, [(1, 1, "n", 2)], "a BIGINT, b BIGINT, x STRING, y INT")
-    plan = upsert(target, source, ["a", "b"], on_duplicate="unique")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+def test_upsert_reads_and_shuffles_each_side_once(spark, tmp_path):
+    for name in ("target", "source"):
+        write_parquet(spark.range(1000).selectExpr("id AS a", "id AS b", "'x' AS x", "1 AS y"), str(tmp_path / name))
+    target, source = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "source"))
+    plan = upsert(target, source, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") == 2 and plan.count("Exchange ") == 1 and "Join" not in plan
 
 
 # ---- table upsert --------------------------------------------------------
@@ -197,14 +200,48 @@ def test_partitioned_upsert_rewrites_touched_partitions_only(spark, tmp_path):
     keys = ["id", "season"]
     first = frame(spark, [(1, 1, 10), (2, 1, 20), (1, 2, 30), (5, None, 50)], columns)
     assert upsert_parquet(spark, path, first, keys, ["v"], "season") == (4, 0)
-    files = {p.name for p in (tmp_path / "t" / "season=1").iterdir()}
+    before = read_version(spark, path)
     second = frame(spark, [(1, 2, 31), (9, 3, 90), (5, None, 51)], columns)
     assert upsert_parquet(spark, path, second, keys, ["v"], "season") == (2, 1)
-    assert rows(spark.read.parquet(path).select("id", "season", "v")) == sorted(
+    assert rows(read_table(spark, path)) == sorted(
         [(1, 1, 10), (2, 1, 20), (1, 2, 31), (9, 3, 90), (5, None, 50), (5, None, 51)], key=repr
     )
-    assert {p.name for p in (tmp_path / "t" / "season=1").iterdir()} == files
-    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+    after = read_version(spark, path)
+    assert after.places["_part=1"] == before.places["_part=1"] and after.places["_part=2"] != before.places["_part=2"]
+    assert rows(read_table(spark, path, ["_part=3"])) == [(9, 3, 90)]
+
+
+def test_readers_keep_their_version(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_parquet(spark, path, frame(spark, [(1, 1)], "id INT, v INT"), ["id"], ["v"])
+    held = read_table(spark, path)
+    upsert_parquet(spark, path, frame(spark, [(1, 2), (2, 2)], "id INT, v INT"), ["id"], ["v"])
+    assert rows(held) == [(1, 1)] and rows(read_table(spark, path)) == [(1, 2), (2, 2)]
+    upsert_parquet(spark, path, frame(spark, [(1, 3)], "id INT, v INT"), ["id"], ["v"])
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 2 and not list((tmp_path / "t" / "staging").iterdir())
+
+
+def test_two_writers_lose_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    upsert_parquet(spark, path, frame(spark, [(1, 1)], "id INT, v INT"), ["id"], ["v"])
+    other = read_version(spark, path)
+    upsert_parquet(spark, path, frame(spark, [(2, 2)], "id INT, v INT"), ["id"], ["v"])
+    with pytest.raises(RuntimeError, match="another writer"):
+        _publish(spark, path, other._replace(number=other.number + 1))
+    assert rows(read_table(spark, path)) == [(1, 1), (2, 2)]
+
+
+def test_an_empty_load_leaves_a_table(spark, tmp_path):
+    path, columns = str(tmp_path / "t"), "id BIGINT, season STRING, v INT"
+    for by in (None, "season"):
+        none = empty_frame(spark, columns)
+        assert upsert_parquet(spark, f"{path}{by}", none, ["id", "season"], ["v"], by) == (0, 0)
+        assert upsert_parquet(spark, f"{path}{by}", none, ["id", "season"], ["v"], by) == (0, 0)
+        assert rows(read_table(spark, f"{path}{by}")) == []
+        full = frame(spark, [(1, "2001-02", 1), (2, None, 2)], columns)
+        assert upsert_parquet(spark, f"{path}{by}", full, ["id", "season"], ["v"], by) == (2, 0)
+        assert upsert_parquet(spark, f"{path}{by}", none, ["id", "season"], ["v"], by) == (0, 0)
+        assert rows(read_table(spark, f"{path}{by}")) == [(1, "2001-02", 1), (2, None, 2)]
 
 
 def test_table_upsert_refuses_duplicate_keys(spark, tmp_path):
@@ -213,15 +250,17 @@ def test_table_upsert_refuses_duplicate_keys(spark, tmp_path):
     twice = frame(spark, [(2, 1), (2, 2)], "id INT, v INT")
     with pytest.raises(ValueError, match="more than one source row"):
         upsert_parquet(spark, path, twice, ["id"], ["v"])
-    assert [p.name for p in tmp_path.iterdir()] == ["t"]
-    assert upsert_parquet(spark, path, twice, ["id"], ["v"], on_duplicate="latest") == (1, 0)
-    assert rows(spark.read.parquet(path)) == [(1, 1), (2, 2)]
+    assert len(list((tmp_path / "t" / "data").iterdir())) == 1 and not list((tmp_path / "t" / "staging").iterdir())
+    with pytest.raises(ValueError, match="needs an order"):
+        upsert_parquet(spark, path, twice, ["id"], ["v"], on_duplicate="latest")
+    assert upsert_parquet(spark, path, twice, ["id"], ["v"], on_duplicate="any") == (1, 0)
+    assert rows(read_table(spark, path)) == [(1, 1), (2, 2)]
 
 
 def test_table_columns_must_agree(spark, tmp_path):
     path = str(tmp_path / "t")
     upsert_parquet(spark, path, frame(spark, [(1, 1)], "id INT, v INT"), ["id"], ["v"])
-    for ddl, row in (("id INT", (1,)), ("id INT, v INT, w INT", (1, 1, 1))):
+    for ddl, row in (("id INT", (1,)), ("id INT, v INT, w INT", (1, 1, 1)), ("id INT, v BIGINT", (1, 1))):
         with pytest.raises(ValueError, match="differ"):
             upsert_parquet(spark, path, frame(spark, [row], ddl), ["id"], [])
 
@@ -232,40 +271,24 @@ def test_partition_values_keep_their_type(spark, tmp_path):
     upsert_parquet(spark, path, first, ["season"], ["v"], "season")
     second = frame(spark, [("2001-02", 5)], "season STRING, v INT")
     assert upsert_parquet(spark, path, second, ["season"], ["v"], "season") == (0, 1)
-    assert rows(read_table(spark, path, first, "season")) == [("2001-02", 5), ("2002-03", 2)]
+    assert rows(read_table(spark, path)) == [("2001-02", 5), ("2002-03", 2)]
+    assert table_schema(spark, path) == first.schema
 
 
 def test_partition_column_must_be_a_key(spark, tmp_path):
     with pytest.raises(ValueError):
         upsert_parquet(spark, str(tmp_path / "t"), frame(spark, [(1, 1)], "id INT, season INT"), ["id"], [], "season")
-
-
-def test_a_swap_cut_short_is_undone(spark, tmp_path):
-    path = tmp_path / "t"
-    write_parquet(spark.range(3), str(path))
-    path.rename(tmp_path / "t__old")
-    assert table_exists(spark, str(path))
-    assert spark.read.parquet(str(path)).count() == 3
-    write_parquet(spark.range(4).selectExpr("id", "id % 2 AS s"), str(tmp_path / "p"), ["s"])
-    (tmp_path / "p__old").mkdir()
-    (tmp_path / "p" / "s=1").rename(tmp_path / "p__old" / "s=1")
-    assert table_exists(spark, str(tmp_path / "p"))
-    assert spark.read.parquet(str(tmp_path / "p")).count() == 4
-    assert not table_exists(spark, str(tmp_path / "none"))
+    assert not table_exists(spark, str(tmp_path / "t"))
 
 
 # ---- frames --------------------------------------------------------------
 
 
-def test_small_frames(spark):
+def test_guards(spark):
     df = frame(spark, [(1, None), (2, dt.date(2020, 1, 1))], "a BIGINT, b DATE")
-    literal = small(df)
-    assert literal.schema.simpleString() == df.schema.simpleString()
-    assert rows(literal) == rows(df)
-    assert small(df, limit=1) is df
-    assert rows(small(empty_frame(spark, "a INT"))) == []
     assert not has_rows(empty_frame(spark, "a INT")) and has_rows(df)
     assert is_schema_empty(df.select()) and not is_schema_empty(df)
+    assert rows(literal_rows(spark, [(1, None)], df.schema)) == [(1, None)]
 
 
 # ---- quality -------------------------------------------------------------

@@ -5,6 +5,7 @@ import json
 from sportmart.plans import dims
 from sportmart.plans.load import TARGETS
 from sportmart.schemas import SOURCES
+from sportmart.sources.tables import read_table
 from sportmart.streaming.incremental import stream_upsert
 from tests import fixtures
 
@@ -28,7 +29,7 @@ def test_only_new_files_are_processed(spark, tmp_path):
             spark, landing, SOURCES["club_info"].ddl + ", season STRING", table, checkpoint,
             keys=["club_id"], update_cols=["name", "short_name", "abbr"], build=build, file_format="json",
         )
-        return sorted((r["club_id"], r["name"]) for r in spark.read.parquet(table).collect())
+        return sorted((r["club_id"], r["name"]) for r in read_table(spark, table).collect())
 
     assert spec.keys(["club_id", "name"]) == ["club_id"]
     land("a.json", fixtures.CLUB_INFO, "2022-23")
