@@ -223,7 +223,7 @@ def freshness_of_tables(t):
 
 
 @query(
-    "RAM-3 RAM-2",
+    "RAM-3",
     """
     SELECT m.source, m."table", e.operations, e.last_ts FROM
         (VALUES ('clicks.json', 'click'), ('views.json', 'view'), ('clicks.json', 'view')) AS m(source, "table")

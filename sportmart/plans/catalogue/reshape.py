@@ -154,7 +154,7 @@ def stat_names(t):
 
 
 @query(
-    "AGG-7 SRC-7",
+    "AGG-7",
     """
     SELECT 'events' AS dataset, CAST(count(*) AS BIGINT) AS n, count(*) > 0 AS has_rows FROM events
     UNION ALL

@@ -142,7 +142,7 @@ def decimal_round(t):
 
 
 @query(
-    "PRJ-1 PRJ-5 PRJ-6 SRC-6",
+    "PRJ-1 PRJ-5 PRJ-6",
     """
     SELECT event_id, CAST(props->>'$.k' AS BIGINT) AS k, CAST(props->>'$.owner.id' AS BIGINT) AS owner_id,
            CAST(NULL AS BIGINT) AS team_id
