@@ -15,7 +15,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from sportmart.plans.catalogue import QUERIES  # noqa: E402
-from sportmart.session import build_session  # noqa: E402
+from sportmart.session import build_session, remove_shared  # noqa: E402
 
 HEADLINE = [
     "stat_pivot_sum", "stat_pivot_fixed_upper", "stat_pivot_wide", "nested_roundtrip", "explode_nested_path",
@@ -52,6 +52,7 @@ def main() -> None:
             }
         )
     )
+    remove_shared(spark)
     spark.stop()
 
 

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from sportmart.session import build_session  # noqa: E402
+from sportmart.session import build_session, remove_shared  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,4 +19,5 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    remove_shared(session)
     session.stop()
