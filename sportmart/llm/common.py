@@ -42,24 +42,12 @@ def lower_ascii(text: Column) -> Column:
 
 def staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so that several branches read it and a lost
-    executor costs no recomputation. The files stay until ``clear_staged``."""
+    executor costs no recomputation. The files stay until ``session.remove_shared``."""
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
-    _STAGED.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-_STAGED: list[str] = []
-
-
-def clear_staged(spark: SparkSession) -> None:
-    """Delete what this process has staged; call it when the results that read it are written."""
-    jvm = spark.sparkContext._jvm
-    while _STAGED:
-        path = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package also when the driver found it through ``sys.path`` alone."""
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
