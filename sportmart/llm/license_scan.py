@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,13 +45,7 @@ def spaced_words(text: Column) -> Column:
     return F.btrim(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), NOT_WORD, " "))
 
 
-def split_words(spaced: Column) -> Column:
-    return F.when(spaced == "", F.array().cast("array<string>")).otherwise(F.split(spaced, " "))
-
-
 def template_words(templates) -> list[tuple[str, frozenset[str]]]:
-    import re
-
     if len(templates) > MAX_TEMPLATES:
         raise ValueError(f"more than {MAX_TEMPLATES} templates")
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -68,7 +63,7 @@ def token_order(documents: DataFrame, vocabulary: list[str], text: str = "text")
 
     A word outside the templates can be in no overlap, so no other word is counted.
     """
-    words = split_words(spaced_words(F.col(text)))
+    words = F.split(spaced_words(F.col(text)), " ")
     found = documents.select(F.explode(F.array_intersect(words, strings(vocabulary))).alias("w"))
     counts = {r["w"]: r["n"] for r in found.groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
@@ -109,7 +104,7 @@ def matching_blocks(
     hot = sorted({r for _, words in parted for r in prefix(words, order, threshold)})
     ranked = strings(order)
     lines = F.split(F.coalesce(F.col(text), F.lit("")), "\n")
-    per_line = F.transform(lines, lambda x: F.array_intersect(split_words(spaced_words(x)), strings(vocabulary)))
+    per_line = F.transform(lines, lambda x: F.array_intersect(F.split(spaced_words(x), " "), strings(vocabulary)))
 
     def block(parts: Column) -> Column:
         return F.transform(
@@ -117,7 +112,7 @@ def matching_blocks(
             lambda _, i: F.array_distinct(F.flatten(F.slice(parts, i + 1, F.lit(block_lines)))),
         )
 
-    rows = documents.where(F.arrays_overlap(split_words(spaced_words(F.col(text))), strings(hot)))
+    rows = documents.where(F.arrays_overlap(F.split(spaced_words(F.col(text)), " "), strings(hot)))
     rows = rows.select(*keys, let(per_line, block).alias("blocks"))
     rows = rows.select(*keys, F.posexplode("blocks").alias("line", "words"))
     rows = rows.where(F.arrays_overlap("words", strings(hot)))
