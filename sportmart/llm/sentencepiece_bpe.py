@@ -20,6 +20,8 @@ NONE = np.int64(2**31 - 1)
 #: Characters of text that are encoded at a time, ids in a worker's cache of words before it is emptied.
 BLOCK = 1 << 20
 CACHE_IDS = 4_000_000
+#: Texts whose ids and decoded texts are held at a time.
+ROWS = 500
 
 
 class Vocabulary:
@@ -300,8 +302,9 @@ def round_trip(path: str):
     @F.arrow_udf("struct<ids: array<int>, text: string>")
     def coded(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         encoder = worker_encoder(path)
-        for batch in batches:
-            ids = encoder.encode([t or "" for t in batch.to_pylist()])
+        parts = (batch.slice(at, ROWS) for batch in batches for at in range(0, len(batch), ROWS))
+        for part in parts:
+            ids = encoder.encode([t or "" for t in part.to_pylist()])
             ends = np.concatenate([[0], np.cumsum([len(x) for x in ids])])
             lists = pa.ListArray.from_arrays(
                 pa.array(ends, pa.int32()), pa.array(np.concatenate(ids) if ids else np.zeros(0, np.int32), pa.int32())
