@@ -44,7 +44,7 @@ def staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     """``df`` written once to the shared folder and read back, so that several branches read it and a lost
     executor costs no recomputation. The files stay until ``session.remove_shared``."""
     path = shared_dir(spark, purpose)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -11,7 +11,6 @@
 
 from __future__ import annotations
 
-from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -74,12 +73,33 @@ def emit_minimizers(window: int, gram: int):
 PIECES = "id long, text_hash long, key long, common boolean, first long, words string"
 
 
+def packed():
+    """A column function that compresses bytes, for texts that are shuffled whole."""
+
+    @F.arrow_udf("binary")
+    def pack(texts: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import zstandard
+
+        press = zstandard.ZstdCompressor(level=3).compress
+        for text in texts:
+            yield pa.array([None if t is None else press(t) for t in text.to_pylist()], pa.binary())
+
+    return pack
+
+
+def unpacked(column: pa.Array) -> Iterator[bytes]:
+    import zstandard
+
+    spread = zstandard.ZstdDecompressor().decompress
+    return (b"" if t is None else spread(t) for t in column.to_pylist())
+
+
 def emit_pieces(window: int, gram: int):
-    """Texts with the minimizers that go on in, their pieces out."""
+    """Packed texts with the minimizers that go on in, their pieces out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            texts = list(unpacked(batch.column("text")))
             wanted = [np.array(k, np.int64) for k in batch.column("keys").to_pylist()]
             common = [set(k) for k in batch.column("common").to_pylist()]
             for block in rolling.blocks(texts, rolling.WHITE):
@@ -217,8 +237,10 @@ def repeated_spans(
     wanted = found.join(several, "key").groupBy("id", "text_hash").agg(
         F.collect_set("key").alias("keys"), F.collect_set(F.when(F.col("common"), F.col("key"))).alias("common")
     )
-    pieces = rows.join(wanted, ["id", "text_hash"]).select("id", "text_hash", "text", "keys", "common")
-    pieces = staged(spark, pieces.mapInArrow(emit_pieces(window, gram), PIECES), "pieces")
+    texts = rows.select("id", "text_hash", packed()("text").alias("text"))
+    pieces = texts.join(wanted, ["id", "text_hash"]).select("id", "text_hash", "text", "keys", "common")
+    pieces = pieces.mapInArrow(emit_pieces(window, gram), PIECES).withColumn("digest", F.xxhash64("words"))
+    pieces = staged(spark, pieces, "pieces")
 
     often = pieces.where("common")
     windows = often.mapInArrow(emit_windows(window), "id long, text_hash long, first long, shift long, hash long")
@@ -228,9 +250,8 @@ def repeated_spans(
     # Repeated rows hold the same pieces; one of them is enough.
     cuts = often.dropDuplicates(place).join(shifts, place).select(*place, "key", "words", "shifts")
     cuts = cuts.mapInArrow(emit_cuts(window), "id long, text_hash long, key long, first long, words string")
-    columns = ["id", "text_hash", "key", "first", "words"]
-    held = pieces.where("NOT common").select(columns).unionByName(cuts.select(columns))
-    held = staged(spark, held.withColumn("digest", F.xxhash64("words")), "held")
+    cuts = staged(spark, cuts.withColumn("digest", F.xxhash64("words")), "cuts")
+    held = pieces.where("NOT common").drop("common").unionByName(cuts)
 
     distinct = staged(
         spark, held.groupBy("key", "digest", "words").agg(F.min("id").alias("holder"), F.max("id").alias("last")), "distinct"
@@ -250,14 +271,14 @@ def repeated_spans(
 
 
 def without_spans():
-    """A column function ``(bytes, spans)``: the words outside the spans, joined by a blank, and how many there were and went."""
+    """A column function ``(packed bytes, spans)``: the words outside the spans, joined by a blank, and how many there were and went."""
 
     @F.arrow_udf("struct<n_words: long, n_removed: long, kept: string>")
     def left_over(texts: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for text, spans in texts:
             counts, removed, kept = [], [], []
-            for raw, own in zip(text.to_pylist(), spans.to_pylist()):
-                words = (raw or b"").split()
+            for raw, own in zip(unpacked(text), spans.to_pylist()):
+                words = raw.split()
                 counts.append(len(words))
                 if own:
                     left, at = [], 0
@@ -286,7 +307,7 @@ def dedup_substrings(documents: DataFrame, window: int = WINDOW, **options) -> D
     spans = spans.select(F.col("id").alias("__id"), F.col("text_hash").alias("__text"), "spans")
     rows = documents.select(
         "doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.xxhash64("text").alias("__text"),
-        F.col("text").cast("binary").alias("text"),
+        packed()(F.col("text").cast("binary")).alias("text"),
     )
     joined = rows.join(spans, ["__id", "__text"], "left").select("doc_id", without_spans()("text", "spans").alias("x"))
     return joined.select("doc_id", "x.n_words", "x.n_removed", "x.kept")
