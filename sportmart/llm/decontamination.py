@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from sportmart.llm import rolling
 from sportmart.llm.common import NO_ID, importable, staged
+from sportmart.llm.license_scan import spaced_words
 
 MIN_MATCH = 5
 THRESHOLD = 0.8
@@ -113,12 +114,6 @@ def tile_pairs(least: int):
     return run
 
 
-def normalised(column):
-    from sportmart.llm.license_scan import spaced_words
-
-    return spaced_words(column)
-
-
 def seed_hashes(least: int):
     """Seeds of normalised texts as slots of the filter."""
 
@@ -187,7 +182,7 @@ def contaminated(
     """
     spark = documents.sparkSession
     importable(spark)
-    items = benchmark.select("item_id", normalised(F.col("text")).alias("words")).distinct()
+    items = benchmark.select("item_id", spaced_words(F.col("text")).alias("words")).distinct()
     items = staged(spark, items.withColumn("item_key", F.md5(F.concat_ws("|", "item_id", "words"))), "items")
     shared = spark.sparkContext.broadcast(seed_filter(items, least))
     rows = documents.select(

@@ -83,9 +83,29 @@ class FmIndex:
         self.size = n
 
     def extended(self, low: np.ndarray, high: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Backward search: intervals of ``symbol`` followed by what ``low`` and ``high`` stand for."""
-        both = self.base[np.tile(symbol, 2)] + self.wavelet.place(np.tile(symbol, 2), np.concatenate([low, high]))
-        return both[: len(low)], both[len(low) :]
+        """Backward search: intervals of ``symbol`` followed by what ``low`` and ``high`` stand for; empty for unknown symbols."""
+        known = np.minimum(symbol, len(self.base) - 1)
+        twice = np.tile(known, 2)
+        both = self.base[twice] + self.wavelet.place(twice, np.concatenate([low, high]))
+        low, high = both[: len(low)], both[len(low) :]
+        return low, np.where(symbol < len(self.base), high, low)
+
+    def intervals(self, sequence: np.ndarray, at: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Intervals of the patterns ``sequence[a : a + n]``."""
+        low, high = np.zeros(len(at), np.int64), np.full(len(at), self.size, np.int64)
+        for step in range(int(sizes.max(initial=0))):
+            live = np.flatnonzero((sizes > step) & (low < high))
+            low[live], high[live] = self.extended(low[live], high[live], sequence[at[live] + sizes[live] - 1 - step])
+        return low, high
+
+    def longest(self, sequence: np.ndarray, at: np.ndarray, most: np.ndarray) -> np.ndarray:
+        """Length of the longest match that starts at each place, ``most`` at most, by halving."""
+        least, most = np.zeros(len(at), np.int64), most.astype(np.int64)
+        while (least < most).any():
+            middle = (least + most + 1) // 2
+            low, high = self.intervals(sequence, at, middle)
+            least, most = np.where(low < high, middle, least), np.where(low < high, most, middle - 1)
+        return least
 
     def shortened(self, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The interval of the first ``depth`` symbols of the suffix at ``low``."""
@@ -93,11 +113,11 @@ class FmIndex:
         return self.class_starts[at], self.class_starts[at + 1]
 
     def matching_statistics(self, sequence: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-        """For texts ``sequence[s:e]``, streamed backwards side by side: per place the length of the longest match that starts there, ``depth`` at most,
-        and the interval of the match where that length is reached (else an empty one).
+        """For texts ``sequence[s:e]``, streamed backwards side by side: per place the length of the longest match that
+        starts there, ``depth`` at most, and the interval of the match where that length is reached (else an empty one).
 
-        A match that cannot be extended begins anew behind the place; one longer than ``depth`` loses its last symbol.
-        Texts end with a symbol that occurs in none, so matches of other texts never reach over an end.
+        Where a match cannot be extended, its longest part that can is looked for; one longer than ``depth`` loses its
+        last symbol. Patterns never hold a 0, so matches never reach over the end of an indexed text.
         """
         length = np.zeros(len(sequence), np.int32)
         low, high = np.zeros(len(sequence), np.int64), np.zeros(len(sequence), np.int64)
@@ -111,14 +131,11 @@ class FmIndex:
             at = ends[:live] - 1 - step
             c = sequence[at].astype(np.int64)
             low_a, high_b = self.extended(a[:live], b[:live], c)
-            found = low_a < high_b
-            again = ~found
-            if again.any():
-                low_a[again], high_b[again] = self.extended(
-                    np.zeros(int(again.sum()), np.int64), np.full(int(again.sum()), self.size, np.int64), c[again]
-                )
-                n[:live][again] = 0
             n[:live] += 1
+            lost = np.flatnonzero(low_a >= high_b)
+            if len(lost):
+                n[lost] = self.longest(sequence, at[lost], n[lost] - 1)
+                low_a[lost], high_b[lost] = self.intervals(sequence, at[lost], n[lost])
             full = n[:live] >= self.depth
             if full.any():
                 low_a[full], high_b[full] = self.shortened(low_a[full])

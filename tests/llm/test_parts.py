@@ -91,11 +91,27 @@ def test_fm_index_matches_naively(texts, depth):
                 assert sorted(index.suffixes[low[i] : high[i]].tolist()) == want
 
 
-def test_fm_index_streams_foreign_texts():
-    index = FmIndex(np.array([1, 2, 3, 4, 5, 0, 3, 4, 1, 0, 9, 0]), 3)
-    foreign = np.array([2, 3, 4, 1, 9, 9, 0])
-    length, _, _ = index.matching_statistics(foreign, np.array([0]), np.array([6]))
-    assert length.tolist()[:6] == [3, 3, 2, 1, 1, 1] or length.tolist()[4:6] == [1, 1]
+@settings(max_examples=60, deadline=None)
+@given(
+    st.lists(st.lists(st.integers(1, 4), min_size=1, max_size=20), min_size=1, max_size=5),
+    st.lists(st.lists(st.integers(1, 6), min_size=1, max_size=20), min_size=1, max_size=4), st.integers(1, 7),
+)
+def test_fm_index_streams_foreign_texts(texts, foreign, depth):
+    flat = [x for t in texts for x in [*t, 0]]
+    index = FmIndex(np.array(flat), depth)
+    stream = np.array([x for t in foreign for x in [*t, 0]])
+    ends = np.cumsum([len(t) + 1 for t in foreign]) - 1
+    starts = ends - [len(t) for t in foreign]
+    length, low, high = index.matching_statistics(stream, starts, ends)
+    held = {tuple(t[i : i + n]) for t in texts for n in range(1, depth + 1) for i in range(len(t) - n + 1)}
+    for s, e in zip(starts, ends):
+        for i in range(s, e):
+            want = max([n for n in range(1, min(depth, e - i) + 1) if tuple(stream[i : i + n]) in held], default=0)
+            assert length[i] == want
+            if want == depth:
+                pattern = stream[i : i + depth].tolist()
+                places = [j for j in range(len(flat)) if flat[j : j + depth] == pattern]
+                assert sorted(index.suffixes[low[i] : high[i]].tolist()) == places
 
 
 @settings(max_examples=100, deadline=None)
