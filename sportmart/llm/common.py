@@ -48,7 +48,15 @@ def staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+#: Documents are long rows: so many of them go to a Python worker at a time.
+BATCH_ROWS = 1000
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers import this package also when the driver found it through ``sys.path`` alone."""
+    """Let Python workers import this package also when the driver found it through ``sys.path`` alone, and keep the
+    batches that they get small (a smaller setting of the session stays)."""
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
+        spark.conf.set(batch, BATCH_ROWS)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)

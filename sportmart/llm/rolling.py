@@ -9,7 +9,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Bytes that are cut into words at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 18
 #: Longer words are hashed one by one.
 LONG_WORD = 1 << 16
 BASE = 0x9E3779B97F4A7C15

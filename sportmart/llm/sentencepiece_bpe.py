@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 SPACE = "▁"
 NONE = np.int64(2**31 - 1)
 #: Characters of text that are encoded at a time, ids in a worker's cache of words before it is emptied.
-BLOCK = 1 << 20
-CACHE_IDS = 4_000_000
+BLOCK = 1 << 18
+CACHE_IDS = 1_500_000
 #: Texts whose ids and decoded texts are held at a time.
 ROWS = 500
 
