@@ -24,7 +24,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     model = language_id.fit(docs)
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    predict = language_id.language_of(docs, model)
+    # Else the filter is pushed below the prediction, which then runs twice.
+    predict = language_id.language_of(docs, model).asNondeterministic()
     told = docs.withColumn("__told", predict("text"))
     sure = (F.col("__told.lang") != language_id.UNKNOWN) & (F.col("__told.score") >= MIN_SCORE)
     told = told.where(sure).withColumn("lang", F.coalesce("lang", "__told.lang"))
