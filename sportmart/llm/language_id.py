@@ -25,7 +25,7 @@ TRAINING_TEXTS = 3000
 TRAINING_BYTES = 4096
 UNKNOWN = "und"
 #: Bytes scored at a time.
-BLOCK = 1 << 20
+BLOCK = 1 << 17
 #: What stands before a text: contexts at its start are those behind line breaks.
 PAD = b"\n" * ORDER
 
@@ -142,16 +142,21 @@ def training_rows(documents: DataFrame, id_column: str = "doc_id", text: str = "
     """``label`` and ``text`` of the documents that statistics are taken from.
 
     Learnable are rows with id, text and label outside the held-out quarter, of at most ``TRAINING_BYTES``. Of each label
-    those with the smallest digests are taken, as many as its even share of ``TRAINING_TEXTS``.
+    those with the smallest digests are taken, as many as its even share of ``TRAINING_TEXTS``. Digests are spread
+    evenly, so a bound on them leaves about four times the share of a frequent label to be ranked, whatever the input.
     """
     rows = documents.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.col(label).alias("label"))
     rows = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out("id"))
     rows = rows.where(F.octet_length("text").between(1, TRAINING_BYTES))
     slim = rows.select("id", "label", F.xxhash64("id", "text").alias("digest"))
-    labels = max(1, rows.select(F.countDistinct("label")).first()[0])
-    # The rank limit is applied in every task before the shuffle, so a hot label does not meet in one task.
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
+    share = max(1, TRAINING_TEXTS // max(1, len(counts)))
+    bounds = [(r["label"], min(2**63 - 1, 2**64 * 4 * share // r["n"] - 2**63)) for r in counts]
+    bounds = rows.sparkSession.createDataFrame(bounds, "label string, bound long")
+    # One row per language.
+    slim = slim.join(F.broadcast(bounds), "label").where("digest <= bound")
     order = Window.partitionBy("label").orderBy("digest", "id")
-    chosen = slim.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= max(1, TRAINING_TEXTS // labels))
+    chosen = slim.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= share)
     # At most TRAINING_TEXTS ids, or one per label.
     return rows.join(F.broadcast(chosen.select("id").distinct()), "id").select("label", "text")
 
