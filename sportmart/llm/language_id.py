@@ -19,8 +19,8 @@ from sportmart.llm.common import importable
 
 #: Bytes of the longest context; a context and its next byte fit an unsigned 32-bit number.
 ORDER = 3
-#: Labelled texts that the statistics are taken from, shared evenly by the languages, and the longest of them in
-#: bytes. So at most 12 MB are counted, whatever the input, and the broadcast model is bounded by that.
+#: Labelled texts that the statistics are taken from, shared evenly by the languages, and the bytes that are taken of
+#: each. So at most 12 MB are counted, whatever the input, and the broadcast model is bounded by that.
 TRAINING_TEXTS = 3000
 TRAINING_BYTES = 4096
 UNKNOWN = "und"
@@ -141,13 +141,14 @@ def held_out(id_column: str = "doc_id") -> Column:
 def training_rows(documents: DataFrame, id_column: str = "doc_id", text: str = "text", label: str = "lang") -> DataFrame:
     """``label`` and ``text`` of the documents that statistics are taken from.
 
-    Learnable are rows with id, text and label outside the held-out quarter, of at most ``TRAINING_BYTES``. Of each label
-    those with the smallest digests are taken, as many as its even share of ``TRAINING_TEXTS``. Digests are spread
-    evenly, so a bound on them leaves about four times the share of a frequent label to be ranked, whatever the input.
+    Learnable are rows with id, text and label outside the held-out quarter. Of each label those with the smallest
+    digests are taken, as many as its even share of ``TRAINING_TEXTS``. Digests are spread evenly, so a bound on them
+    leaves about four times the share of a frequent label to be ranked, whatever the input. Of a text longer than
+    ``TRAINING_BYTES`` a stretch of so many bytes is taken, at a place that the digest says; ``text`` is binary.
     """
     rows = documents.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.col(label).alias("label"))
     rows = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out("id"))
-    rows = rows.where(F.octet_length("text").between(1, TRAINING_BYTES))
+    rows = rows.where(F.octet_length("text") > 0)
     slim = rows.select("id", "label", F.xxhash64("id", "text").alias("digest"))
     counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
     share = max(1, TRAINING_TEXTS // max(1, len(counts)))
@@ -158,14 +159,22 @@ def training_rows(documents: DataFrame, id_column: str = "doc_id", text: str = "
     order = Window.partitionBy("label").orderBy("digest", "id")
     chosen = slim.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= share)
     # At most TRAINING_TEXTS ids, or one per label.
-    return rows.join(F.broadcast(chosen.select("id").distinct()), "id").select("label", "text")
+    taken = rows.join(F.broadcast(chosen.select("id").distinct()), "id")
+    beyond = F.greatest(F.octet_length("text") - TRAINING_BYTES, F.lit(0))
+    start = F.pmod(F.xxhash64("id", "text"), (beyond + 1).cast("long")).cast("int") + 1
+    return taken.select("label", F.substring(F.col("text").cast("binary"), start, F.lit(TRAINING_BYTES)).alias("text"))
+
+
+def whole_characters(stretch: bytes) -> bytes:
+    """Without the parts of characters at the ends of a stretch."""
+    return stretch.decode("utf-8", "ignore").encode()
 
 
 def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Counts of every order per label, summed over the batch."""
     for batch in batches:
         labels = np.array(batch.column(0).to_pylist(), dtype=object)
-        texts = [t.encode("utf-8", "replace") for t in batch.column(1).to_pylist()]
+        texts = [whole_characters(t) for t in batch.column(1).to_pylist()]
         for label in sorted(set(labels)):
             raw, at, _ = padded([t for t, own in zip(texts, labels) if own == label])
             for order in range(ORDER + 1):
