@@ -19,9 +19,10 @@ MODEL = "piece_bpe_32k.model"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep texts in one of the learned languages. Texts that are null or without a letter go; without any labelled
+    """Keep texts in one of the learned languages: their code is no longer a byte than that language's own texts allow,
+    and no other language's is near. Texts that are null or without a letter go; without any labelled
     row there is nothing to tell languages by, and all others stay. A missing ``lang`` is filled in."""
-    model = language_id.fit(docs)
+    model = language_id.fit(docs, limited=True)
     if model is None:
         return docs.where(F.col("text").rlike(r"\p{L}"))
     # Else the filter is pushed below the prediction, which then runs twice.

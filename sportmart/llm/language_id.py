@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sportmart.llm.common import importable
+from sportmart.llm.common import importable, staged
 
 #: Bytes of the longest context; a context and its next byte fit an unsigned 32-bit number.
 ORDER = 3
@@ -24,6 +24,11 @@ ORDER = 3
 TRAINING_TEXTS = 3000
 TRAINING_BYTES = 4096
 UNKNOWN = "und"
+#: Share of training texts that may lie beyond a language's limit of bits per byte, and how many times theirs is allowed.
+BEYOND = 0.01
+ROOM = 1.25
+#: Bits that any text may have beside that: one of a few bytes says little.
+SPARE = 32
 #: Bytes scored at a time.
 BLOCK = 1 << 17
 #: What stands before a text: contexts at its start are those behind line breaks.
@@ -55,6 +60,10 @@ class Model:
         self.languages = languages
         n = len(languages)
         self.tables: list[tuple] = []
+        #: Per order the grams, how often each language has them, the contexts, and their bytes and kinds of bytes.
+        self.counted: list[tuple] | None = []
+        #: Per language the bits per byte beyond which a text is in none; without any, every text is in one.
+        self.limits: np.ndarray | None = None
         shorter = None
         for order in range(ORDER + 1):
             gram, language, times = counts[order]
@@ -76,6 +85,7 @@ class Model:
                 fallback = shorter[1][np.searchsorted(shorter[0], suffix)]
             cost = np.where(seen > 0, own, escape[context] + fallback)
             self.tables.append((keys, cost, contexts, escape))
+            self.counted.append((keys, seen, contexts, total, kinds))
             shorter = (keys, cost)
 
     def bits(self, texts: list[bytes]) -> np.ndarray:
@@ -110,6 +120,30 @@ class Model:
         return total
 
 
+    def bits_left_out(self, language: int, text: bytes) -> float:
+        """Code length of a counted text under its language, as if it had not been counted."""
+        raw, at, _ = padded([text])
+        shorter = None
+        for order in range(ORDER + 1):
+            keys, seen, contexts, total, kinds = self.counted[order]
+            own, times = np.unique(grams(raw, at, order), return_counts=True)
+            others = seen[np.searchsorted(keys, own), language] - times
+            before, context = np.unique(own >> np.uint32(8) if order else own * 0, return_inverse=True)
+            row = np.searchsorted(contexts, before)
+            n = total[row, language] - np.bincount(context, times)
+            k = kinds[row, language] - np.bincount(context, others == 0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                escape = np.where(n > 0, np.log2((n + k) / k), 0.0)
+                cost = np.log2((n + k)[context] / others)
+            if shorter is None:
+                fallback = np.full(len(own), 8.0)
+            else:
+                fallback = shorter[1][np.searchsorted(shorter[0], own & np.uint32((1 << (8 * order)) - 1))]
+            cost = np.where(others > 0, cost, escape[context] + fallback)
+            shorter = (own, cost)
+        return float((cost * times).sum())
+
+
 def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
     """Like ``Model.bits``, with bounded memory: a block of short texts at a time, long ones in parts."""
     out = np.zeros((len(texts), len(model.languages)))
@@ -188,10 +222,13 @@ def count_grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 )
 
 
-def fit(documents: DataFrame, **columns: str) -> Model | None:
-    """The model of the labelled rows; nothing if there are none."""
+def fit(documents: DataFrame, limited: bool = False, **columns: str) -> Model | None:
+    """The model of the labelled rows; nothing if there are none. ``limited``: with limits of bits per byte."""
     importable(documents.sparkSession)
-    counted = training_rows(documents, **columns).mapInArrow(count_grams, "label string, `order` int, gram long, n long")
+    rows = training_rows(documents, **columns)
+    if limited:
+        rows = staged(documents.sparkSession, rows, "training")
+    counted = rows.mapInArrow(count_grams, "label string, `order` int, gram long, n long")
     summed = counted.groupBy("label", "order", "gram").agg(F.sum("n").alias("n")).toPandas()
     if not len(summed):
         return None
@@ -204,14 +241,45 @@ def fit(documents: DataFrame, **columns: str) -> Model | None:
             own["gram"].to_numpy(np.int64).astype(np.uint32), own["language"].to_numpy(np.int64),
             own["n"].to_numpy(np.float64),
         )
-    return Model(languages, counts)
+    model = Model(languages, counts)
+    if limited:
+        model.limits = limits_of(rows, model)
+    # Only limits need the counts.
+    model.counted = None
+    return model
+
+
+def limits_of(rows: DataFrame, model: Model) -> np.ndarray:
+    """Per language the bits per byte that all but ``BEYOND`` of the training texts that it wins stay within, and
+    ``ROOM`` times that. A text is scored under its label by the statistics of the others; another language wins it
+    where the label is wrong. One number per training text comes to the driver."""
+    shared = rows.sparkSession.sparkContext.broadcast(model)
+
+    def left_out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = shared.value
+        for batch in batches:
+            labels = [fitted.languages.index(label) for label in batch.column(0).to_pylist()]
+            texts = [whole_characters(t) for t in batch.column(1).to_pylist()]
+            bits = code_lengths(fitted, texts)
+            for i, (own, text) in enumerate(zip(labels, texts)):
+                bits[i, own] = fitted.bits_left_out(own, text) if text else 0.0
+            rates = bits.min(axis=1) / np.maximum(1, [len(t) for t in texts])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(bits.argmin(axis=1).astype(np.int64)), pa.array(rates, pa.float64())], ["language", "rate"]
+            )
+
+    told = rows.mapInArrow(left_out, "language long, rate double").toPandas()
+    rates = told.groupby("language")["rate"].quantile(1 - BEYOND, interpolation="higher")
+    # A language that wins none of the texts has the widest limit.
+    return ROOM * rates.reindex(range(len(model.languages))).fillna(rates.max()).to_numpy()
 
 
 def language_of(documents: DataFrame, model: Model | None):
     """A column function ``text -> struct<lang: string, score: double>``.
 
     ``score`` is the winner's share if all languages were equally likely before; ties go to the first by name. A text that
-    is null, or has no letter, or any text without a model, is ``und`` with score 0.
+    is null, or has no letter, or any text without a model, is ``und`` with score 0; so is one beyond the limit of the
+    winner's bits per byte, if the model has limits.
     """
     spark = documents.sparkSession
     importable(spark)
@@ -225,10 +293,16 @@ def language_of(documents: DataFrame, model: Model | None):
             lang, score = [UNKNOWN] * len(texts), [0.0] * len(texts)
             asked = [i for i, t in enumerate(texts) if t and any(map(str.isalpha, t))] if fitted else []
             if asked:
-                bits = code_lengths(fitted, [texts[i].encode("utf-8", "replace") for i in asked])
+                raw = [texts[i].encode("utf-8", "replace") for i in asked]
+                bits = code_lengths(fitted, raw)
                 best = bits.argmin(axis=1)
                 share = 1 / np.exp2(bits.min(axis=1, keepdims=True) - bits).sum(axis=1)
+                fits = np.ones(len(asked), bool)
+                if fitted.limits is not None:
+                    fits = bits.min(axis=1) <= fitted.limits[best] * [len(t) for t in raw] + SPARE
                 for k, i in enumerate(asked):
+                    if not fits[k]:
+                        continue
                     lang[i], score[i] = fitted.languages[best[k]], float(share[k])
             yield pa.StructArray.from_arrays([pa.array(lang, pa.string()), pa.array(score, pa.float64())], ["lang", "score"])
 

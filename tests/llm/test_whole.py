@@ -1,7 +1,11 @@
 """What operators must not leave out."""
 
 import random
+import string
 
+import numpy as np
+
+import corpus_pipeline
 from sportmart.llm import language_id
 from tests.llm import data
 
@@ -32,3 +36,39 @@ def test_language_id_learns_from_long_texts(spark):
 def test_language_id_learns_where_all_texts_are_long(spark):
     docs = data.frame(spark, [(i, spoken(i, "theansr", 3000), "en", "s", 1) for i in range(20)])
     assert {r["lang_pred"] for r in language_id.identified(docs).collect()} == {"en"}
+
+
+def test_pipeline_drops_texts_of_no_learned_language(spark):
+    r = random.Random(1)
+    strange = {
+        -1: "Это предложение написано на русском языке и не должно остаться.", -2: "Αυτή είναι μια πρόταση στα ελληνικά.",
+        -3: "".join(r.choice(string.ascii_letters + string.digits + string.punctuation) for _ in range(300)),
+        -4: "static int f(struct node *p, size_t n) { for (int i = 0; i < n; ++i) p->next[i] &= ~0xFFu; return !p; }",
+        -5: "这是一个用中文写的句子。今天天气很好，我们去公园散步。",
+    }
+    clean = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang", "source", "n_chars")
+    rows = [(i, t, None, "s", len(t)) for i, t in strange.items()]
+    docs = clean.unionByName(spark.createDataFrame(rows, data.SCHEMA), allowMissingColumns=True)
+    kept = {r["doc_id"] for r in corpus_pipeline.identify_language(spark, docs, "").collect()}
+    assert not kept & strange.keys()
+    assert len(kept) >= 0.99 * clean.count()
+
+
+def test_code_length_left_out_is_that_of_the_other_texts():
+    texts = {"a": [b"abracadabra", b"abba", b"abra"], "b": [b"bonobo", b"boa"]}
+
+    def model(own):
+        counts = {}
+        for order in range(language_id.ORDER + 1):
+            found = []
+            for language, of_one in enumerate(own.values()):
+                raw, at, _ = language_id.padded(of_one)
+                keys, times = np.unique(language_id.grams(raw, at, order), return_counts=True)
+                found.append((keys, np.full(len(keys), language), times.astype(float)))
+            counts[order] = tuple(map(np.concatenate, zip(*found)))
+        return language_id.Model(list(own), counts)
+
+    whole = model(texts)
+    for k, text in enumerate(texts["a"]):
+        others = model({**texts, "a": [t for j, t in enumerate(texts["a"]) if j != k]})
+        assert np.isclose(whole.bits_left_out(0, text), others.bits([text])[0, 0])
