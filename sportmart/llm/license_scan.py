@@ -86,7 +86,7 @@ def template_index(spark, templates, order: list[str], threshold: float) -> Data
 
 def matching_blocks(
     documents: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, block_lines: int = BLOCK_LINES,
-    keys=("doc_id",), text: str = "text",
+    keys=("doc_id",), text: str = "text", order: list[str] | None = None,
 ) -> DataFrame:
     """Every block of up to ``block_lines`` consecutive lines that holds ``threshold`` of a template's distinct words:
     the ``keys``, ``line`` (of the block's start), ``label`` and ``containment``.
@@ -99,7 +99,7 @@ def matching_blocks(
     parted = template_words(templates)
     vocabulary = sorted(set().union(*(w for _, w in parted))) if parted else []
     spark = documents.sparkSession
-    order = token_order(documents, vocabulary, text)
+    order = token_order(documents, vocabulary, text) if order is None else order
     index = template_index(spark, parted, order, threshold)
     hot = sorted({r for _, words in parted for r in prefix(words, order, threshold)})
     ranked = strings(order)
@@ -132,6 +132,58 @@ def matching_blocks(
     return pairs.select(*keys, "line", "label", (F.col("shared") / F.size("tokens")).alias("containment"))
 
 
+def matching_windows(
+    documents: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, keys=("doc_id",), text: str = "text",
+    order: list[str] | None = None,
+) -> DataFrame:
+    """Every template of which some window of consecutive words, whatever their lines, holds ``threshold`` of the distinct
+    words: the ``keys``, ``label`` and the greatest ``containment``. A window is as long as the template is in words,
+    divided by ``threshold``: so many may be put between.
+
+    A text meets a template where it holds a word of the template's prefix and ``need`` of its words. Then windows that
+    begin at a template word are compared; any other holds no more than the next of these.
+    """
+    given = [(label, t, w) for label, t in templates for _, w in template_words([(label, t)])]
+    vocabulary = sorted(set().union(*(w for _, _, w in given))) if given else []
+    order = token_order(documents, vocabulary, text) if order is None else order
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    each, hot = [], set()
+    for label, template, words in given:
+        first = prefix(words, order, threshold)
+        hot |= set(first)
+        length = sum(1 for w in re.split(NOT_WORD, template.translate(lower)) if w)
+        each.append(
+            F.struct(
+                F.lit(label).alias("label"), strings(sorted(words)).alias("tokens"), strings(first).alias("prefix"),
+                F.lit(max(1, math.ceil(threshold * len(words) - 1e-9))).alias("need"),
+                F.lit(math.ceil(length / threshold - 1e-9)).alias("width"),
+            )
+        )
+    kind = "array<struct<label: string, tokens: array<string>, prefix: array<string>, need: int, width: int>>"
+    each = F.array(*each).cast(kind)
+    words = F.split(spaced_words(F.col(text)), " ")
+
+    def met(held: Column) -> Column:
+        enough = lambda t: F.size(F.array_intersect(t["tokens"], held)) >= t["need"]
+        return F.filter(each, lambda t: F.arrays_overlap(t["prefix"], held) & enough(t))
+
+    rows = documents.where(F.arrays_overlap(words, strings(sorted(hot))))
+    rows = rows.select(*keys, words.alias("words"), let(F.array_intersect(words, strings(vocabulary)), met).alias("met"))
+    rows = rows.select(*keys, "words", F.explode("met").alias("t"))
+    numbered = F.transform("words", lambda w, i: F.struct(i.alias("i"), w.alias("w")))
+
+    def most(places: Column) -> Column:
+        def held(place: Column, k: Column) -> Column:
+            near = F.filter(F.slice(places, k + 1, F.col("t.width")), lambda p: p["i"] < place["i"] + F.col("t.width"))
+            return F.size(F.array_distinct(F.transform(near, lambda p: p["w"])))
+
+        return F.array_max(F.transform(places, held))
+
+    shared = let(F.filter(numbered, lambda p: F.array_contains(F.col("t.tokens"), p["w"])), most)
+    found = rows.select(*keys, "t", shared.alias("shared")).where(F.col("shared") >= F.col("t.need"))
+    return found.select(*keys, F.col("t.label").alias("label"), (F.col("shared") / F.size("t.tokens")).alias("containment"))
+
+
 def prefix(words, order: list[str], threshold: float) -> list[str]:
     rank = {w: i for i, w in enumerate(order)}
     tokens = sorted(words, key=rank.__getitem__)
@@ -162,7 +214,7 @@ def phrase_places(spaced: Column, phrases=PHRASES) -> Column:
 
 
 def scan_documents(documents: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """Per document the places of base phrases and the labels of phrases and blocks.
+    """Per document the places of base phrases and the labels of phrases, blocks and windows of words.
 
     Null text counts as empty. Results of blocks come back by id and a digest of the text, so rows that
     share an id (or have none) keep their own labels and repeated rows stay repeated.
@@ -171,7 +223,11 @@ def scan_documents(documents: DataFrame, templates=TEMPLATES, threshold: float =
     base = documents.select(
         "doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.xxhash64("text").alias("__text")
     )
-    found = matching_blocks(base, templates, threshold, keys=key)
+    vocabulary = sorted(set().union(*(w for _, w in template_words(templates))))
+    order = token_order(base, vocabulary)
+    found = matching_blocks(base, templates, threshold, keys=key, order=order).select(*key, "label", "containment")
+    # Blocks are three physical lines; windows of words find notices that more lines hold.
+    found = found.unionByName(matching_windows(base, templates, threshold, key, order=order))
     found = found.groupBy(*key).agg(
         F.collect_set("label").alias("found"), F.max("containment").alias("containment")
     )

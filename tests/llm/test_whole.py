@@ -2,11 +2,12 @@
 
 import random
 import string
+import textwrap
 
 import numpy as np
 
 import corpus_pipeline
-from sportmart.llm import language_id
+from sportmart.llm import language_id, license_scan
 from tests.llm import data
 
 
@@ -72,3 +73,20 @@ def test_code_length_left_out_is_that_of_the_other_texts():
     for k, text in enumerate(texts["a"]):
         others = model({**texts, "a": [t for j, t in enumerate(texts["a"]) if j != k]})
         assert np.isclose(whole.bits_left_out(0, text), others.bits([text])[0, 0])
+
+
+def test_license_notices_of_many_lines(spark):
+    """Every notice wrapped at 30 columns, with a blank line behind each, and as a comment, between lines of prose."""
+    rows, want = [], {}
+    for k, (label, template) in enumerate(license_scan.TEMPLATES):
+        lines = textwrap.wrap(template, 30)
+        forms = ("\n".join(lines), "\n\n".join(lines), "\n".join(" * " + x for x in lines), "\n".join(template.split()))
+        for j, form in enumerate(forms):
+            rows.append((10 * k + j, f"{data.prose(k, 40)}\n{form}\n{data.prose(k + 50, 40)}", "en", "s", 1))
+            want[10 * k + j] = label
+        # The same words, but far from one another.
+        rows.append((10 * k + 9, "\n".join(f"{w}\n{data.prose(j, 60)}" for j, w in enumerate(template.split())), "en", "s", 1))
+        want[10 * k + 9] = ""
+    got = {r["doc_id"]: r for r in license_scan.scan_documents(data.frame(spark, rows)).collect()}
+    assert all(want[i] in got[i]["labels"].split(",") for i in want), {i: got[i]["labels"] for i in want}
+    assert all(got[i]["score"] == 1.0 for i in want if want[i])
