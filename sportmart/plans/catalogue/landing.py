@@ -193,27 +193,29 @@ def entity_files_of_season(t):
     return clubs.select(as_id("id").alias("id"), "name")
 
 
-@query(
-    "SRC-1 SRC-6 SRC-7 SRC-8",
-    f"""
-    SELECT {season_sql('o_orderdate')} AS season, strftime(o_orderdate, '%B') AS month, o_custkey AS holder, false AS corrupt
-    FROM orders WHERE {season_sql('o_orderdate')} IN ('1996-97', '1997-98')
-    UNION ALL SELECT '1996-97', NULL, NULL, true
-    """,
-)
-def month_award_files(t):
-    """Month awards as whole documents by path; sources that have no files, rows or columns are passed over."""
+#: Awards in a file, about.
+AWARDS_PER_FILE = 1000
+
+
+def _month_awards(t, seasons=None):
+    """Awards of all seasons landed as files of several months each and one file that breaks off; those of ``seasons``, or
+    all, read back."""
     root, path = shared_dir(t.spark, "awards"), SOURCES["month_award"].path
     item = "named_struct('awardTypeId', 1D, 'official', named_struct('officialId', CAST(o_custkey AS DOUBLE)))"
-    awards = t.orders.selectExpr(
-        f"to_json(map(date_format(o_orderdate, 'MMMM'), array({item}))) AS value", "o_orderkey", "o_orderdate"
-    ).withColumn("season", academic_year(F.col("o_orderdate")))
-    seasons = ["1996-97", "1997-98"]
-    for season in seasons:
-        text = awards.where(F.col("season") == season).select("value")
+    orders = t.orders.withColumn("season", academic_year(F.col("o_orderdate")))
+    # Names of seasons: one per year.
+    counts = [tuple(r) for r in orders.groupBy("season").count().collect()]
+    files_of = F.create_map(*(F.lit(x) for season, n in counts for x in (season, -(-n // AWARDS_PER_FILE))))
+    piece = F.pmod(F.xxhash64("o_orderkey"), files_of[F.col("season")])
+    months = orders.groupBy("season", piece.alias("piece"), F.date_format("o_orderdate", "MMMM").alias("month"))
+    months = months.agg(F.expr(f"collect_list({item})").alias("items"))
+    by_month = F.map_from_entries(F.collect_list(F.struct("month", "items")))
+    files = staged(months.groupBy("season", "piece").agg(F.to_json(by_month).alias("value")), "award-files")
+    for season, _ in counts:
+        text = files.where(F.col("season") == season).select("value")
         text.write.option("maxRecordsPerFile", 1).text(f"{root}/{path.replace('{season}', season)}")
     broken = t.region.where("r_regionkey = 0").select(F.concat(F.lit('{"May": [{"award": "'), "r_name").alias("value"))
-    broken.write.mode("append").text(f"{root}/{path.replace('{season}', seasons[0])}")
+    broken.write.mode("append").text(f"{root}/{path.replace('{season}', '1996-97')}")
     optional = [name for name in SOURCES if name != "awards"]
     sources = extract(t.spark, root, seasons, optional)
     sources["month_award"] = read_entity(t.spark, root, "month_award", seasons, corrupt_column="_text")
@@ -224,6 +226,33 @@ def month_award_files(t):
     return rows.select("season", "month", as_id("item.official.officialId").alias("holder"), "corrupt")
 
 
+@query(
+    "SRC-1 SRC-6 SRC-7 SRC-8",
+    f"""
+    SELECT {season_sql('o_orderdate')} AS season, strftime(o_orderdate, '%B') AS month, o_custkey AS holder, false AS corrupt
+    FROM orders WHERE {season_sql('o_orderdate')} IN ('1996-97', '1997-98')
+    UNION ALL SELECT '1996-97', NULL, NULL, true
+    """,
+)
+def month_award_files(t):
+    """Month awards as whole documents by path; sources that have no files, rows or columns are passed over.
+    All seasons are landed, the files of two are read."""
+    return _month_awards(t, ["1996-97", "1997-98"])
+
+
+@query(
+    "SRC-1 SRC-6 SRC-7 SRC-8",
+    f"""
+    SELECT {season_sql('o_orderdate')} AS season, strftime(o_orderdate, '%B') AS month, o_custkey AS holder, false AS corrupt
+    FROM orders
+    UNION ALL SELECT '1996-97', NULL, NULL, true
+    """,
+)
+def month_award_files_all(t):
+    """Month awards of every season, as whole documents by path."""
+    return _month_awards(t)
+
+
 LOADED = ("dim_season", "dim_club", "dim_player", "fct_object_award")
 
 
