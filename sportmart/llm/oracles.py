@@ -4,6 +4,13 @@ from __future__ import annotations
 
 from sportmart.llm import license_scan, line_dedup, quality_rules, sharding, substring_dedup
 
+#: The table of CRC-32 as a list ``t``, and the CRC-32 of a list of bytes under it.
+CRC_TABLE = """crc_table AS (
+  SELECT list(list_reduce(list_prepend(k, range(8)), lambda c, i:
+      CASE WHEN c & 1 = 1 THEN xor(3988292384::BIGINT, c >> 1) ELSE c >> 1 END) ORDER BY k) AS t
+  FROM (SELECT unnest(range(256)) AS k))"""
+BYTES = "list_transform(regexp_extract_all(hex(encode({})), '..'), lambda x: ('0x' || x)::BIGINT)"
+CRC = "xor(list_reduce(list_prepend(4294967295::BIGINT, {}), lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8)), 4294967295)"
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 
@@ -196,10 +203,86 @@ SELECT doc_id, len(words)::BIGINT AS n_words, (len(words) - coalesce(kept.n, 0))
 FROM split LEFT JOIN kept USING (doc_id)"""
 
 
+def repairs() -> str:
+    """Best ends of a conversation, from its last turn to its first; audits are compared as text."""
+    key = "concat(coalesce(conv_id::VARCHAR, ' '), ':', coalesce(turn::VARCHAR, ' '))"
+    after = {0: 2, 1: 2, 2: 3, 3: 2}
+    role = {2: "user", 3: "assistant"}
+
+    def best(*paths: str) -> str:
+        return f"list_min(list_filter([{', '.join(paths)}], lambda p: p IS NOT NULL))"
+
+    def path(cost: str, letter: str, end: str, line: str = "") -> str:
+        lines = f"list_prepend({line}, {end}.lines)" if line else f"{end}.lines"
+        return f"{{'cost': {cost} + {end}.cost, 'audit': '{letter}' || {end}.audit, 'lines': {lines}}}"
+
+    def own(state: int) -> str:
+        """Paths whose first letter is the turn's own."""
+        to = after[state]
+        kept = {"u": "q2", "a": "q3", "s": "q1"}
+        legal = {0: "su", 1: "u", 2: "a", 3: "u"}[state]
+        keeps = [
+            f"CASE WHEN fault IN (0, 3) AND initial = '{x}' THEN {path('cut', 'K', kept[x], 'line')} END" for x in legal
+        ]
+        changed = f"'{role[to]}:' || text"
+        change = f"CASE WHEN fault IN (0, 3) THEN {path('2 + cut', 'R', f'q{to}', changed)} END"
+        return best(path("3", "D", f"q{state}"), change, *keeps)
+
+    owns = ",\n         ".join(f"{own(q)} AS o{q}" for q in range(4))
+    news = ", ".join(
+        f"""list_min([o{q}, {path("2", "I", f"o{after[q]}", f"'{role[after[q]]}:'")}]) AS q{q}""" for q in range(4)
+    )
+    nothing = "{'cost': 0::BIGINT, 'audit': '', 'lines': []::VARCHAR[]}"
+    one = "{'cost': 2::BIGINT, 'audit': 'I', 'lines': ['assistant:']}"
+    two = "{'cost': 4::BIGINT, 'audit': 'II', 'lines': ['user:', 'assistant:']}"
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+lots AS (
+  SELECT *, {CRC.format(BYTES.format(key))} % 20 AS lot FROM conversations, crc_table),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN lot = 4 THEN 'user' ELSE coalesce(role, ' ') END AS role,
+         CASE lot WHEN 1 THEN '' WHEN 2 THEN regexp_replace(coalesce(text, ' '), '[.!?]', '', 'g') ELSE coalesce(text, ' ') END AS text,
+         unnest(range(CASE lot WHEN 0 THEN 0 WHEN 3 THEN 2 ELSE 1 END)) AS copy
+  FROM lots),
+ordered AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, sha256(text), copy) AS i,
+         left(role, 1) AS initial, regexp_replace(text, '[\\x20\\x09-\\x0D]+', '', 'g') AS bare
+  FROM damaged),
+judged AS (
+  SELECT *, CASE WHEN bare = '' THEN 1
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY i) > 1 THEN 2
+      WHEN right(bare, 1) NOT IN ('.', '!', '?') THEN 3 ELSE 0 END AS fault,
+      lag(initial) OVER (PARTITION BY conv_id ORDER BY i) AS before, role || ':' || text AS line
+  FROM ordered),
+counts AS (
+  SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0)::BIGINT AS gaps,
+         count(*) FILTER (WHERE fault = 1) AS blank, count(*) FILTER (WHERE fault = 2) AS duplicate,
+         count(*) FILTER (WHERE fault = 3) AS truncated,
+         count(*) FILTER (WHERE before IS NOT NULL AND before || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n
+  FROM judged GROUP BY conv_id),
+owned AS (SELECT *, (fault = 3)::BIGINT AS cut FROM judged),
+walk AS (
+  SELECT conv_id, n AS i, {nothing} AS q0, {two} AS q1, {one} AS q2, {nothing} AS q3 FROM counts
+  UNION ALL
+  SELECT conv_id, i - 1 AS i, {news}
+  FROM (
+    SELECT w.conv_id, w.i,
+         {owns}
+    FROM walk AS w JOIN owned AS r ON w.conv_id IS NOT DISTINCT FROM r.conv_id AND w.i = r.i)),
+best AS (SELECT conv_id, q0 FROM walk WHERE i = 0)
+SELECT c.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(q0.cost, 0)::BIGINT AS cost,
+       coalesce(q0.audit, '') AS audit, sha256(coalesce(array_to_string(q0.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) AS c
+LEFT JOIN counts ON c.conv_id IS NOT DISTINCT FROM counts.conv_id
+LEFT JOIN best ON c.conv_id IS NOT DISTINCT FROM best.conv_id"""
+
+
 ORACLE = {
     "op1_quality_rules": quality(),
     "op3_line_dedup": lines(),
     "op8_license_scan": licenses(),
     "op9_sharding": shards(),
     "op10_substring_dedup": substrings(),
+    "op11_conversation_repair": repairs(),
 }

@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sportmart.llm import (
-    decontamination, language_id, license_scan, line_dedup, quality_rules, sentencepiece_bpe, sharding, simhash,
-    substring_dedup, token_counts,
+    conversation_repair, decontamination, language_id, license_scan, line_dedup, quality_rules, sentencepiece_bpe, sharding,
+    simhash, substring_dedup, token_counts,
 )
 from sportmart.llm.common import documents, importable
 from sportmart.llm.oracles import ORACLE
@@ -59,11 +59,17 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digested(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return conversation_repair.repair(conversation_repair.damaged(turns))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_decontamination, op3_line_dedup, op4_sentencepiece, op5_simhash, op6_language_id,
         op7_token_counts, op8_license_scan, op9_sharding, op10_substring_dedup,
+        op11_conversation_repair,
     )
 }
 
