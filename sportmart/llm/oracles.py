@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sportmart.llm import license_scan, line_dedup, quality_rules, sharding, substring_dedup
+from sportmart.llm import license_scan, line_dedup, quality_rules, sharding, spelling_variants, substring_dedup
 
 #: The table of CRC-32 as a list ``t``, and the CRC-32 of a list of bytes under it.
 CRC_TABLE = """crc_table AS (
@@ -278,6 +278,46 @@ LEFT JOIN counts ON c.conv_id IS NOT DISTINCT FROM counts.conv_id
 LEFT JOIN best ON c.conv_id IS NOT DISTINCT FROM best.conv_id"""
 
 
+def spellings() -> str:
+    """Two words are one replacement apart if both less their i-th letter are equal, one insertion if one less a letter is the other."""
+    v = spelling_variants
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all({lower}, '[A-Za-zÀ-ÿ]+')) AS run FROM documents) GROUP BY ALL),
+hashed AS (
+  SELECT run, n, {CRC.format(BYTES.format("concat(doc_id::VARCHAR, ':', run)"))} AS h
+  FROM runs, crc_table WHERE length(run) >= {v.MIN_LENGTH}),
+damaged AS (
+  SELECT n, CASE WHEN h % {v.ONE_IN} = 0 THEN left(run, (h % length(run))::BIGINT) || substr(run, (h % length(run))::BIGINT + 2) ELSE run END AS word
+  FROM hashed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM damaged WHERE length(word) >= {v.MIN_LENGTH}
+  GROUP BY word HAVING sum(n) >= {v.MIN_COUNT}),
+less AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT DISTINCT a.word, b.word AS other, b.n AS other_n FROM less AS a JOIN less AS b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM less AS a JOIN words AS b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM less AS a JOIN words AS b ON a.rest = b.word),
+best AS (
+  SELECT word, count(*) AS n_near, max(other_n) AS most FROM near GROUP BY word),
+formed AS (
+  SELECT words.word, words.n, coalesce(n_near, 0)::BIGINT AS n_near,
+         (SELECT min(other) FROM near WHERE near.word = words.word AND other_n = most AND most >= {v.RATIO} * words.n) AS form,
+         CASE WHEN most >= {v.RATIO} * words.n THEN most END::BIGINT AS form_n
+  FROM words LEFT JOIN best USING (word)),
+ways AS (
+  SELECT word, word AS at, form AS next FROM formed
+  UNION ALL
+  SELECT ways.word, formed.word, formed.form FROM ways JOIN formed ON ways.next = formed.word)
+SELECT formed.word, n, n_near, form, form_n, ways.at AS root
+FROM formed JOIN ways ON ways.word = formed.word AND ways.next IS NULL"""
+
+
 ORACLE = {
     "op1_quality_rules": quality(),
     "op3_line_dedup": lines(),
@@ -285,4 +325,5 @@ ORACLE = {
     "op9_sharding": shards(),
     "op10_substring_dedup": substrings(),
     "op11_conversation_repair": repairs(),
+    "op13_spelling_variants": spellings(),
 }

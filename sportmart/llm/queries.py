@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from sportmart.llm import (
     conversation_repair, decontamination, language_id, license_scan, line_dedup, quality_rules, sentencepiece_bpe, sharding,
-    simhash, substring_dedup, token_counts,
+    simhash, spelling_variants, substring_dedup, token_counts,
 )
 from sportmart.llm.common import documents, importable
 from sportmart.llm.oracles import ORACLE
@@ -64,12 +64,16 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damaged(turns))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling_variants.variants(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_quality_rules, op2_decontamination, op3_line_dedup, op4_sentencepiece, op5_simhash, op6_language_id,
         op7_token_counts, op8_license_scan, op9_sharding, op10_substring_dedup,
-        op11_conversation_repair,
+        op11_conversation_repair, op13_spelling_variants,
     )
 }
 
