@@ -59,8 +59,8 @@ def folded(turns: DataFrame) -> DataFrame:
     """Equal turns as one row with their number, and one row with no copy and no turn for each conversation that lost any."""
     there = F.col("copies") > 0
     rows = turns.select(
-        "conv_id", *(F.when(there, F.col(c)).alias(c) for c in ("turn", "role", "text")),
-        F.col("copies").cast("long").alias("copies"),
+        "conv_id", F.when(there, F.col("turn")).alias("turn"),
+        *(F.when(there, word(F.col(c))).alias(c) for c in ("role", "text")), F.col("copies").cast("long").alias("copies"),
     )
     return rows.groupBy("conv_id", "turn", "role", "text").agg(F.sum("copies").alias("copies"))
 
@@ -306,7 +306,7 @@ def repair(turns: DataFrame) -> DataFrame:
 
     Turns are taken by ``turn``, null first, then by role and by the SHA-256 of the text; equal ones stand side by side. A row with
     ``copies`` 0 only says that its conversation exists; one without turns has zeros, an empty audit and the digest of an empty
-    text. A null ``conv_id`` is a conversation of its own. ``gaps`` counts missing numbers between the least and the greatest turn
+    text. A null role or text is one blank; a null ``conv_id`` is a conversation of its own. ``gaps`` counts missing numbers between the least and the greatest turn
     (null beyond 64 bits).
     No input row, no row. Other columns are not read.
 
@@ -327,7 +327,8 @@ def repair(turns: DataFrame) -> DataFrame:
     results = pieces.where("whole").unionByName(parts)
     results = staged(spark, results.drop("place", "whole", "weights"), "repairs")
     digests = repaired(rows, results)
-    span = F.try_add(F.try_subtract("most", "least"), 1 - F.col("distinct"))
+    wide = [F.col(c).cast("decimal(20,0)") for c in ("most", "least", "distinct")]
+    span = (wide[0] - wide[1] + 1 - wide[2]).try_cast("long")
     gaps = F.when(F.col("least").isNull(), 0).otherwise(span)
     return results.alias("r").join(digests.alias("d"), F.expr("r.conv_id <=> d.conv_id")).select(
         "r.conv_id", gaps.alias("gaps"), "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256",

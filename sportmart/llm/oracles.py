@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from sportmart.llm import license_scan, line_dedup, quality_rules, sharding, spelling_variants, substring_dedup
+from sportmart.llm import embedding_dedup, license_scan, line_dedup, quality_rules, sharding, spelling_variants, substring_dedup
 
 #: The table of CRC-32 as a list ``t``, and the CRC-32 of a list of bytes under it.
 CRC_TABLE = """crc_table AS (
@@ -318,6 +318,26 @@ SELECT formed.word, n, n_near, form, form_n, ways.at AS root
 FROM formed JOIN ways ON ways.word = formed.word AND ways.next IS NULL"""
 
 
+def cosines() -> str:
+    """All pairs, where the query asks its index; so the rows are the same where the index loses no link, as on the small tables."""
+    return f"""
+WITH RECURSIVE vectors AS (
+  SELECT row_number() OVER (ORDER BY vec_id) AS k, vec_id, embedding::DOUBLE[] AS v,
+         len(embedding) > 0 AND list_bool_and(list_transform(embedding, lambda x: coalesce(isfinite(x), false)))
+         AND list_bool_or(list_transform(embedding, lambda x: x <> 0)) AS usable
+  FROM embeddings),
+scaled AS (
+  SELECT k, list_transform(v, lambda x: x / sqrt(list_sum(list_transform(v, lambda y: y * y)))) AS u FROM vectors WHERE usable),
+links AS (
+  SELECT a.k AS a, b.k AS b FROM scaled AS a JOIN scaled AS b ON a.k <> b.k AND len(a.u) = len(b.u)
+      AND list_inner_product(a.u, b.u) >= {embedding_dedup.THRESHOLD}),
+reach AS (SELECT k AS a, k AS b FROM vectors UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a AS k, min(vec_id) AS component_id FROM reach JOIN vectors ON vectors.k = reach.b GROUP BY reach.a),
+numbers AS (SELECT a AS k, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, component_id, vec_id IS NOT DISTINCT FROM component_id AS kept
+FROM vectors JOIN least USING (k) LEFT JOIN numbers USING (k)"""
+
+
 ORACLE = {
     "op1_quality_rules": quality(),
     "op3_line_dedup": lines(),
@@ -325,5 +345,6 @@ ORACLE = {
     "op9_sharding": shards(),
     "op10_substring_dedup": substrings(),
     "op11_conversation_repair": repairs(),
+    "op12_embedding_dedup": cosines(),
     "op13_spelling_variants": spellings(),
 }

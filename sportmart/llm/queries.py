@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from sportmart.llm import (
-    conversation_repair, decontamination, language_id, license_scan, line_dedup, quality_rules, sentencepiece_bpe, sharding,
-    simhash, spelling_variants, substring_dedup, token_counts,
+    conversation_repair, decontamination, embedding_dedup, language_id, license_scan, line_dedup, quality_rules,
+    sentencepiece_bpe, sharding, simhash, spelling_variants, substring_dedup, token_counts,
 )
 from sportmart.llm.common import documents, importable
 from sportmart.llm.oracles import ORACLE
@@ -64,6 +64,10 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair(conversation_repair.damaged(turns))
 
 
+def op12_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.deduplicated(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling_variants.variants(documents(spark, sf_dir))
 
@@ -73,7 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_rules, op2_decontamination, op3_line_dedup, op4_sentencepiece, op5_simhash, op6_language_id,
         op7_token_counts, op8_license_scan, op9_sharding, op10_substring_dedup,
-        op11_conversation_repair, op13_spelling_variants,
+        op11_conversation_repair, op12_embedding_dedup, op13_spelling_variants,
     )
 }
 

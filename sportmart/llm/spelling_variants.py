@@ -198,7 +198,7 @@ def scanned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 words.append(word)
                 counts.append(n)
                 continue
-            if len(words) == 1:
+            if not words or words == [word]:
                 continue
             index = index or SortedList(words)
             half = size // 2
