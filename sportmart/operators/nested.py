@@ -90,3 +90,25 @@ def collect_flatten(
         df.groupBy(*keys, part.alias(part_name))
         .agg(F.flatten(F.collect_list(array)).alias(array))
     )
+
+
+def variant_rows(df: DataFrame, column: str, levels: int, keep: Sequence[str] = ()) -> DataFrame:
+    """Values below a VARIANT to rows (path, type, text), whatever keys and types there are.
+
+    ``levels`` is how deep objects and lists are opened; what lies deeper stays JSON text, as do empty objects and lists. Path
+    steps are ``.key`` and ``[position]``. A null document gives no row. All levels are opened in one pass over the rows.
+    """
+    rows = df.where(F.col(column).isNotNull()).select(*keep, F.lit("").alias("path"), F.col(column).alias("_value"))
+    spark = df.sparkSession
+    for _ in range(levels):
+        parts = spark.tvf.variant_explode_outer(F.col("_value").outer()).toDF("_at", "_key", "_part")
+        step = F.when(F.col("_key").isNotNull(), F.concat(F.lit("."), "_key")).otherwise(
+            F.concat(F.lit("["), F.col("_at").cast("string"), F.lit("]"))
+        )
+        rows = rows.lateralJoin(parts).select(
+            *keep, F.concat("path", F.coalesce(F.when(F.col("_at").isNotNull(), step), F.lit(""))).alias("path"),
+            F.coalesce("_part", "_value").alias("_value"),
+        )
+    return rows.select(
+        *keep, "path", F.schema_of_variant("_value").alias("type"), F.try_variant_get("_value", "$", "string").alias("text")
+    )

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from sportmart.functions.text import last_segment
 from sportmart.operators.nested import array_columns, map_to_rows, stack_array_columns
+from sportmart.session import settings, staged
 
 ANCHOR = r"(?i)<a\s[^>]*>"
 HREF = r"""(?i)\shref\s*=\s*["']?([^"'\s>]+)"""
@@ -82,6 +83,27 @@ def documents_for_ids(ids: DataFrame, documents: DataFrame, key: str) -> DataFra
     return documents.join(ids.select(key), key, "left_semi")
 
 
+#: Spark injects a Bloom filter of the listing's ids into the scan of the documents: for any size of the documents, and for listings
+#: up to so many bytes and ids.
+BLOOM = {
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    "spark.sql.optimizer.runtime.bloomFilter.creationSideThreshold": "1g",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumItems": "16000000",
+    "spark.sql.optimizer.runtime.bloomFilter.maxNumBits": "134217728",
+}
+
+
+def documents_of_large_listing(ids: DataFrame, documents: DataFrame, key: str) -> DataFrame:
+    """``documents_for_ids`` for listings too large to broadcast: documents that a Bloom filter of the ids rules out are not shuffled.
+
+    The filter is 16 MB at most, whatever the listing. Spark makes one only of a listing that a comparison has cut down, such as
+    one of a season. The result is written to the shared folder, since the settings hold while the join runs.
+    """
+    with settings(documents.sparkSession, {**BLOOM, "spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        return staged(documents_for_ids(ids, documents, key), "listed")
+
+
 def current_season(seasons: DataFrame, label: str | None = None) -> DataFrame:
     """The season of the academic year ``label``, or the last one."""
     if label is not None:

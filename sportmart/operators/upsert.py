@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sportmart.operators.sets import has_whole_key, latest_per_key
@@ -26,6 +26,22 @@ def single_per_key(source: DataFrame, keys: Sequence[str], order: Sequence[str]
     return latest_per_key(source, keys, order)
 
 
+DUPLICATES = ("error", "latest", "any", "unique")
+
+
+def _checked(on_duplicate: str, order: Sequence[str]) -> None:
+    if on_duplicate not in DUPLICATES:
+        raise ValueError(f"on_duplicate must be one of {', '.join(DUPLICATES)}, not {on_duplicate!r}")
+    if on_duplicate == "latest" and not order:
+        raise ValueError("the latest row needs an order; 'any' takes the row with the greatest columns")
+
+
+def _single(condition: Column, keys: Sequence[str]) -> Column:
+    """A filter that fails the job where a key has several source rows; column pruning cannot remove it."""
+    message = F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*keys)))
+    return F.when(condition, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+
+
 def merged(
     target: DataFrame,
     source: DataFrame,
@@ -36,33 +52,39 @@ def merged(
 ) -> DataFrame:
     """Target after "update when matched, insert when not", with ``_inserted`` and ``_updated`` per row.
 
-    Both sides are read once and meet in one shuffle by key, where a window
-    looks over the rows of a key. Keys compare column by column, so a null
+    Both sides are read once and meet by key. Keys compare column by column, so a null
     key part never matches; null-keyed rows get a number of their own beside
     the key and do not meet in one task. Several source rows of one key
     fail the running job (``error``), or the one with the greatest ``order``
-    counts (``latest``, ties to the greatest remaining columns), or the
-    caller knows that there are none (``unique``).
+    counts (``latest``, ties to the greatest remaining columns), or the one with the greatest columns
+    (``any``), or the caller knows that there are none (``unique``). Those of ``latest`` and ``any`` fold before they
+    are shuffled. Where all columns are keys, nothing can change and both sides fold to one row per key and task.
     """
-    if on_duplicate not in ("error", "latest", "unique"):
-        raise ValueError(f"on_duplicate must be 'error', 'latest' or 'unique', not {on_duplicate!r}")
+    _checked(on_duplicate, order)
     columns = target.columns
     changed = [name for name in (columns if update_cols is None else update_cols) if name not in keys]
     order = [name for name in order if name not in keys] if on_duplicate == "latest" else []
     rest = [name for name in columns if name not in keys and name not in order]
     whole = has_whole_key(keys)
     apart = f"IF({whole}, NULL, monotonically_increasing_id()) AS _apart"
-    new = F.struct(F.lit(1).alias("_one"), *order, *rest)
+    group = [*keys, "_apart"]
     # numbers of the two sides differ in sign, so that null-keyed rows meet nothing
     incoming = source.selectExpr(*[f"`{name}`" for name in dict.fromkeys([*columns, *order])], apart)
     incoming = incoming.withColumn("_apart", -1 - F.col("_apart"))
-    incoming = incoming.select(*columns, "_apart", F.lit(True).alias("_source"), new.alias("_new"))
     stored = target.selectExpr(*[f"`{name}`" for name in columns], apart, "false AS _source")
+    if not rest and not order:
+        return _merged_keys(stored, incoming, columns, group, on_duplicate)
+    new = F.struct(F.lit(1).alias("_one"), *order, *rest)
+    if on_duplicate in ("latest", "any"):
+        incoming = incoming.groupBy(*group).agg(F.max(new).alias("_new"))
+        incoming = incoming.select(*keys, "_new.*", "_apart", "_new")
+    else:
+        incoming = incoming.withColumn("_new", new)
+    incoming = incoming.select(*columns, "_apart", F.lit(True).alias("_source"), "_new")
     both = stored.withColumn("_new", F.lit(None).cast(incoming.schema["_new"].dataType)).union(incoming)
-    group = [*keys, "_apart"]
     every = Window.partitionBy(*group)
-    # target rows first, then source rows, from the latest on if there can be several
-    ranked = every.orderBy("_source", *([F.col("_new").desc()] if on_duplicate == "latest" else []))
+    # target rows first
+    ranked = every.orderBy("_source")
     seen = both.select(
         "*",
         F.row_number().over(ranked).alias("_rank"),
@@ -72,9 +94,7 @@ def merged(
         ).alias("_best"),
     )
     if on_duplicate == "error":
-        message = F.concat(F.lit("more than one source row for key "), F.to_json(F.struct(*keys)))
-        # a filter, which column pruning cannot remove
-        seen = seen.where(F.when(F.col("_n") < 2, F.lit(True)).otherwise(F.raise_error(message).cast("boolean")))
+        seen = seen.where(_single(F.col("_n") < 2, keys))
     kept = seen.where("NOT _source OR _rank = 1")
     values = [
         f"IF(_source OR _best IS NULL, `{name}`, _best.`{name}`) AS `{name}`" if name in changed else f"`{name}`"
@@ -83,6 +103,57 @@ def merged(
     return kept.selectExpr(*values, "_source AS _inserted", "NOT _source AND _best IS NOT NULL AS _updated")
 
 
+def _merged_keys(
+    stored: DataFrame, incoming: DataFrame, columns: Sequence[str], group: Sequence[str], on_duplicate: str
+) -> DataFrame:
+    """``merged`` where all columns are keys: the rows of a key are counted, those of the target stay as often as they stood there."""
+    both = stored.union(incoming.select(*columns, "_apart", F.lit(True).alias("_source")))
+    folded = both.groupBy(*group).agg(
+        F.count_if(~F.col("_source")).alias("_there"), F.count_if("_source").alias("_come")
+    )
+    if on_duplicate == "error":
+        folded = folded.where(_single(F.col("_come") < 2, columns))
+    again = F.explode(F.expr("sequence(1L, greatest(_there, 1L))")).alias("_again")
+    return folded.select(
+        *columns, (F.col("_there") == 0).alias("_inserted"), ((F.col("_there") > 0) & (F.col("_come") > 0)).alias("_updated"),
+        again,
+    ).drop("_again")
+
+
+def merged_by_bucket(
+    target: DataFrame,
+    source: DataFrame,
+    keys: Sequence[str],
+    update_cols: Sequence[str] | None = None,
+    on_duplicate: str = "error",
+    order: Sequence[str] = (),
+) -> DataFrame:
+    """``merged`` for a target stored in buckets of ``keys``: the source folds to one row per key and joins the buckets, which are
+    not shuffled if there are as many shuffle partitions as buckets. Source rows with a null key part join nothing and
+    are not shuffled either."""
+    _checked(on_duplicate, order)
+    columns = target.columns
+    changed = [name for name in (columns if update_cols is None else update_cols) if name not in keys]
+    order = [name for name in order if name not in keys] if on_duplicate == "latest" else []
+    rest = [name for name in columns if name not in keys and name not in order]
+    whole = has_whole_key(keys)
+    new = F.struct(F.lit(1).alias("_one"), *order, *rest)
+    come = source.where(whole).groupBy(*keys).agg(F.max(new).alias("_new"), F.count(F.lit(1)).alias("_n"))
+    if on_duplicate == "error":
+        come = come.where(_single(F.col("_n") < 2, keys))
+    there = target.select(*columns, F.lit(True).alias("_there"))
+    both = there.join(come.select(*keys, "_new"), list(keys), "full_outer")
+    values = [
+        f"`{name}`" if name in keys
+        else f"IF(_there IS NULL, _new.`{name}`, `{name}`) AS `{name}`" if name not in changed
+        else f"IF(_new IS NULL, `{name}`, _new.`{name}`) AS `{name}`"
+        for name in columns
+    ]
+    rows = both.selectExpr(*values, "_there IS NULL AS _inserted", "_there IS NOT NULL AND _new IS NOT NULL AS _updated")
+    apart = source.where(f"NOT ({whole})").select(*columns, F.lit(True).alias("_inserted"), F.lit(False).alias("_updated"))
+    return rows.union(apart)
+
+
 def upsert(
     target: DataFrame,
     source: DataFrame,

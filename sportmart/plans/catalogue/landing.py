@@ -16,19 +16,23 @@ from sportmart.plans.dims import as_id
 from sportmart.plans.catalogue.models import BRIDGE_SQL, PLAYER_SQL, SEASON_IDS_SQL
 from sportmart.plans.load import TARGETS, load_tables, read_audit
 from sportmart.schemas import SOURCES
-from sportmart.session import shared_dir
+from sportmart.session import new_database, shared_dir
 from sportmart.sources.documents import extract, has_rows, is_schema_empty, read_entity, read_landed
-from sportmart.sources.frames import empty_frame
+from sportmart.operators.nested import variant_rows
+from sportmart.sources.frames import empty_frame, literal_rows
+from sportmart.sources.inference import field_rows, inferred_schema, read_variants, typed
 from sportmart.sources.tables import (
     empty_like,
+    create_table,
     land_documents,
     land_json,
-    read_table,
+    observed_nulls,
     staged,
     target_schema,
     to_bronze,
-    upsert_parquet,
+    upsert_table,
     write_parquet,
+    write_sorted,
 )
 from sportmart.streaming.incremental import stream_upsert
 
@@ -92,13 +96,13 @@ def target_schema_snapshot(t):
     """,
 )
 def table_upsert(t):
-    """Two seasons of clubs upserted into a Parquet table, one after the other."""
-    path = shared_dir(t.spark, "clubs")
+    """Two seasons of clubs upserted into a table of the catalogue, one after the other."""
+    table = f"{new_database(t.spark, 'clubs')}.dim_club"
     clubs, spec = standins.club_info(t), TARGETS["dim_club"]
     for season in standins.CLUB_SEASONS:
         rows = dims.dim_club(clubs.where(F.col("season") == season))
-        upsert_parquet(t.spark, path, rows, spec.keys(rows.columns), spec.update_cols(rows.columns))
-    return read_table(t.spark, path)
+        upsert_table(rows, table, spec.keys(rows.columns), spec.update_cols(rows.columns))
+    return t.spark.table(table)
 
 
 @query(
@@ -113,13 +117,72 @@ def table_upsert(t):
 )
 def table_upsert_partitions(t):
     """A table by season of which an upsert rewrites only the later seasons."""
-    path, spec = shared_dir(t.spark, "match-stats"), TARGETS["fct_match_stat"]
+    table, spec = f"{new_database(t.spark, 'match_stats')}.fct_match_stat", TARGETS["fct_match_stat"]
     names = ["duel_lost", "fk_foul_lost"]
     fact = staged(facts.fct_match_stat(standins.match_stats(t), standins.seasons(t), names), "match-fact")
     keys, updates = spec.keys(fact.columns), spec.update_cols(fact.columns)
     for rows in (fact.withColumn("fk_foul_lost", F.lit(0.0)), fact.where("season_id >= 1999")):
-        upsert_parquet(t.spark, path, rows, keys, updates, spec.partition_by)
-    return read_table(t.spark, path)
+        upsert_table(rows, table, keys, updates, spec.partition_by)
+    return t.spark.table(table)
+
+
+@query(
+    "SNK-3 JON-9",
+    """
+    SELECT user_id AS player_id, event_type AS kind, max(value) AS best FROM events GROUP BY 1, 2
+    UNION ALL SELECT NULL, event_type, max(value) FROM events GROUP BY 2
+    UNION ALL SELECT NULL, event_type, max(value) FROM events GROUP BY 2
+    """,
+)
+def bucketed_upsert(t):
+    """A table in buckets of its key, filled and then upserted: best values of all players, first those of clicks as 0; rows
+    without a player come with both loads and are inserted both times."""
+    table, keys = f"{new_database(t.spark, 'bests')}.bests", ["player_id", "kind"]
+    best = F.max("value").alias("best")
+    players = t.events.groupBy(F.col("user_id").alias("player_id"), F.col("event_type").alias("kind")).agg(best)
+    nobody = t.events.groupBy(F.col("event_type").alias("kind")).agg(best)
+    rows = staged(players.unionByName(nobody, allowMissingColumns=True), "bests")
+    create_table(t.spark, table, rows.schema, buckets=8, keys=keys)
+    old = rows.where("kind = 'click' AND player_id IS NOT NULL").withColumn("best", F.lit(0.0))
+    for source in (old.union(rows.where("player_id IS NULL")), rows):
+        upsert_table(source, table, keys, ["best"])
+    return t.spark.table(table)
+
+
+@query(
+    "SNK-3 SNK-2 MDL-12",
+    f"""
+    SELECT o_orderkey AS id, {season_start_sql('o_orderdate')} AS season_id,
+           o_totalprice + CASE WHEN {season_start_sql('o_orderdate')} = 1997 THEN 1 ELSE 0 END AS price FROM orders
+    """,
+)
+def upsert_prunes_partitions(t):
+    """One season upserted into a table by season: the source's seasons prune the partitions that are read and replaced."""
+    database = new_database(t.spark, "prices")
+    season = academic_year(F.col("o_orderdate")).substr(1, 4).cast("bigint")
+    rows = t.orders.select(F.col("o_orderkey").alias("id"), season.alias("season_id"), F.col("o_totalprice").alias("price"))
+    upsert_table(rows, f"{database}.prices", ["id", "season_id"], ["price"], "season_id")
+    later = rows.where("season_id = 1997").withColumn("price", F.col("price") + 1)
+    upsert_table(later, f"{database}.prices", ["id", "season_id"], ["price"], "season_id")
+    return t.spark.table(f"{database}.prices").select("id", "season_id", "price")
+
+
+@query(
+    "SRT-1",
+    """
+    SELECT l_suppkey AS club_id, l_orderkey AS match_id, l_linenumber AS line, l_quantity AS value FROM lineitem
+    WHERE l_suppkey BETWEEN 3 AND 6
+    """,
+)
+def sorted_key_range(t):
+    """A range of the business key from a table that is stored in its order: other files and row groups are skipped."""
+    table = f"{new_database(t.spark, 'sorted')}.club_lines"
+    rows = t.lineitem.select(
+        F.col("l_suppkey").alias("club_id"), F.col("l_orderkey").alias("match_id"), F.col("l_linenumber").alias("line"),
+        F.col("l_quantity").alias("value"),
+    )
+    write_sorted(rows, table, ["club_id", "match_id"])
+    return t.spark.table(table).where("club_id BETWEEN 3 AND 6")
 
 
 @query(
@@ -145,7 +208,7 @@ def bronze_models(t):
 )
 def incremental_upsert(t):
     """Landed seasons streamed in one file batch at a time, upserted into a table."""
-    landing, table = shared_dir(t.spark, "stream-landing"), shared_dir(t.spark, "stream-table")
+    landing, table = shared_dir(t.spark, "stream-landing"), f"{new_database(t.spark, 'stream')}.seen"
     rows = t.orders.select(
         F.col("o_custkey").alias("id"), academic_year(F.col("o_orderdate")).alias("season")
     ).distinct()
@@ -155,7 +218,7 @@ def incremental_upsert(t):
         t.spark, landing, schema, table, shared_dir(t.spark, "stream-checkpoint"), keys=["id", "season"], update_cols=[],
         partition_by="season",
     )
-    return read_table(t.spark, table).groupBy("id").agg(F.count("season").alias("seasons_seen"))
+    return t.spark.table(table).groupBy("id").agg(F.count("season").alias("seasons_seen"))
 
 
 CLUB_SEASONS_SQL = """
@@ -253,10 +316,106 @@ def month_award_files_all(t):
     return _month_awards(t)
 
 
+def _undeclared(t):
+    """Orders landed as documents of mixed shapes and read back without a schema: scores are whole, broken or absent, codes are numbers
+    or text, and a line in a thousand or so does not parse."""
+    path = shared_dir(t.spark, "undeclared")
+    document = """to_json(named_struct('id', o_orderkey, 'home', named_struct('team', named_struct('id', o_custkey)),
+        'marks', array(o_orderkey % 3, o_orderkey % 5), 'played', o_orderstatus <> 'P', 'note', o_orderpriority))"""
+    score = """CASE o_orderstatus WHEN 'F' THEN concat(', "score": ', o_orderkey % 4) WHEN 'O' THEN concat(', "score": ', o_orderkey % 4, '.5')
+        ELSE ', "referee": null' END"""
+    code = """IF(o_orderkey % 2 = 0, concat(', "code": ', o_orderkey), concat(', "code": "C', o_orderkey, '"'))"""
+    text = f"IF(o_orderkey % 1009 = 1, '{{\"id\": ', concat(left({document}, length({document}) - 1), {score}, {code}, '}}'))"
+    t.orders.select(F.expr(text).alias("value")).write.text(path)
+    return read_variants(t.spark, path)
+
+
+WHOLE_SQL = "o_orderkey % 1009 <> 1"
+
+
+@query(
+    "SRC-1 PRJ-6",
+    f"""
+    SELECT path, type FROM (VALUES ('code', 'string', 'true'), ('home.team.id', 'bigint', 'true'), ('id', 'bigint', 'true'),
+        ('marks', 'array<bigint>', 'true'), ('note', 'string', 'true'), ('played', 'boolean', 'true')) AS v(path, type, always)
+    UNION ALL SELECT 'score', CASE WHEN count(*) FILTER (WHERE o_orderstatus = 'O') > 0 THEN 'double' ELSE 'bigint' END
+    FROM orders WHERE {WHOLE_SQL} AND o_orderstatus <> 'P' HAVING count(*) > 0
+    UNION ALL SELECT 'referee', 'string' FROM orders WHERE {WHOLE_SQL} AND o_orderstatus = 'P' HAVING count(*) > 0
+    """,
+)
+def inferred_fields(t):
+    """Fields and types of landed documents that nobody declared."""
+    return literal_rows(t.spark, field_rows(inferred_schema(_undeclared(t))), "path STRING, type STRING")
+
+
+@query(
+    "SRC-1 PRJ-6",
+    f"""
+    SELECT o_orderkey AS id, o_custkey AS home_team_id, o_orderkey % 5 AS second_mark, o_orderstatus <> 'P' AS played,
+           CASE o_orderstatus WHEN 'F' THEN (o_orderkey % 4)::DOUBLE WHEN 'O' THEN o_orderkey % 4 + 0.5::DOUBLE END AS score,
+           CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey::VARCHAR ELSE 'C' || o_orderkey END AS code
+    FROM orders WHERE {WHOLE_SQL}
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL FROM orders WHERE NOT ({WHOLE_SQL})
+    """,
+)
+def inferred_documents(t):
+    """The same documents as columns of the inferred types; one that does not parse has none."""
+    documents = _undeclared(t)
+    rows = typed(documents, inferred_schema(documents))
+    return rows.select(
+        "id", F.col("home.team.id").alias("home_team_id"), F.get("marks", F.lit(1)).alias("second_mark"), "played",
+        F.col("score").cast("double").alias("score"), "code",
+    )
+
+
+@query(
+    "NST-5 NST-7 PRJ-6",
+    f"""
+    SELECT o_orderkey AS id, path, type, text FROM (SELECT * FROM orders WHERE {WHOLE_SQL}), LATERAL (
+        SELECT '.id' AS path, 'BIGINT' AS type, o_orderkey::VARCHAR AS text
+        UNION ALL SELECT '.home.team', 'OBJECT<id: BIGINT>', '{{"id":' || o_custkey || '}}'
+        UNION ALL SELECT '.marks[0]', 'BIGINT', (o_orderkey % 3)::VARCHAR
+        UNION ALL SELECT '.marks[1]', 'BIGINT', (o_orderkey % 5)::VARCHAR
+        UNION ALL SELECT '.played', 'BOOLEAN', CASE WHEN o_orderstatus <> 'P' THEN 'true' ELSE 'false' END
+        UNION ALL SELECT '.note', 'STRING', o_orderpriority
+        UNION ALL SELECT '.score', CASE o_orderstatus WHEN 'F' THEN 'BIGINT' ELSE 'DECIMAL(' || CASE WHEN o_orderkey % 4 = 0 THEN 1 ELSE 2 END || ',1)' END,
+               (o_orderkey % 4) || CASE o_orderstatus WHEN 'O' THEN '.5' ELSE '' END WHERE o_orderstatus <> 'P'
+        UNION ALL SELECT '.referee', 'VOID', NULL WHERE o_orderstatus = 'P'
+        UNION ALL SELECT '.code', CASE WHEN o_orderkey % 2 = 0 THEN 'BIGINT' ELSE 'STRING' END,
+               CASE WHEN o_orderkey % 2 = 0 THEN '' ELSE 'C' END || o_orderkey) v
+    """,
+)
+def unknown_object_rows(t):
+    """Every value of documents of unknown keys and types as a row, two levels deep."""
+    documents = _undeclared(t)
+    keyed = documents.select(F.try_variant_get("document", "$.id", "bigint").alias("id"), "document")
+    return variant_rows(keyed, "document", 2, keep=["id"])
+
+
+@query(
+    "DQ-2 AGG-8 RAM-2",
+    """
+    SELECT 'o_orderkey' AS "column", count(*) FILTER (WHERE o_orderkey IS NULL) AS null_count, count(*) AS element_count FROM orders
+    UNION ALL SELECT 'o_orderstatus', count(*) FILTER (WHERE o_orderstatus = 'P'), count(*) FROM orders
+    UNION ALL SELECT 'o_totalprice', count(*) FILTER (WHERE o_totalprice < 50000), count(*) FROM orders
+    """,
+)
+def dq_nulls_while_writing(t):
+    """Nulls per column, counted by the job that stores the rows."""
+    rows = t.orders.select(
+        "o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("o_orderstatus"),
+        F.when(F.col("o_totalprice") >= 50000, F.col("o_totalprice")).alias("o_totalprice"),
+    )
+    counted, seen = observed_nulls(rows)
+    counted.write.saveAsTable(f"{new_database(t.spark, 'checked')}.orders")
+    counts = [(name, seen.get[f"null_{i}"], seen.get["element_count"]) for i, name in enumerate(rows.columns)]
+    return literal_rows(t.spark, counts, "column STRING, null_count BIGINT, element_count BIGINT")
+
+
 LOADED = ("dim_season", "dim_club", "dim_player", "fct_object_award")
 
 
-def _loaded(t, path):
+def _loaded(t, database):
     """Four tables loaded twice through the batch's loop: first without any award or player, then all."""
     s = standins.sources(t)
     nobody = {name: df.where(F.lit(False)) for name, df in s.items()}
@@ -268,7 +427,7 @@ def _loaded(t, path):
             "dim_player": dims.dim_player(source["player_info"], latest=True),
             "fct_object_award": facts.fct_object_award(source["month_award"], source["season_award"], source["seasons"]),
         }
-        load_tables(t.spark, tables, path, standins.LOAD_TIME)
+        load_tables(t.spark, tables, database, standins.LOAD_TIME)
 
 
 @query(
@@ -290,9 +449,9 @@ def _loaded(t, path):
 )
 def load_loop_audit(t):
     """The audit rows that the load loop appends, two for every table."""
-    path = shared_dir(t.spark, "warehouse")
-    _loaded(t, path)
-    return read_audit(t.spark, path)
+    database = new_database(t.spark, "warehouse")
+    _loaded(t, database)
+    return read_audit(t.spark, database)
 
 
 @query(
@@ -304,9 +463,9 @@ def load_loop_audit(t):
 )
 def empty_then_full_load(t):
     """A table by season whose first load had no rows."""
-    path = shared_dir(t.spark, "warehouse")
-    _loaded(t, path)
-    return read_table(t.spark, f"{path}/fct_object_award")
+    database = new_database(t.spark, "warehouse")
+    _loaded(t, database)
+    return t.spark.table(f"{database}.fct_object_award")
 
 
 def _landed_pages(t):

@@ -9,6 +9,7 @@ from sportmart.operators.nested import explode_path
 from sportmart.operators.pages import (
     award_rows,
     documents_for_ids,
+    documents_of_large_listing,
     envelope,
     flatten_pages,
     link_codes,
@@ -138,3 +139,19 @@ def documents_of_listing(t):
     """Documents whose id is in a listing."""
     listing = t.labels.where("quality = 1")
     return documents_for_ids(listing, t.documents, "doc_id").select("doc_id", "lang", "n_chars")
+
+
+@query(
+    "ING-6 JON-7 JON-8",
+    """
+    SELECT l_orderkey AS match_id, l_linenumber AS line, l_quantity AS value FROM lineitem
+    WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_totalprice > 250000)
+    """,
+)
+def documents_of_filtered_listing(t):
+    """Statistics of the matches in a listing that is joined by shuffle: a Bloom filter of its ids cuts what is shuffled."""
+    listing = t.orders.where("o_totalprice > 250000").select(F.col("o_orderkey").alias("match_id"))
+    lines = t.lineitem.select(
+        F.col("l_orderkey").alias("match_id"), F.col("l_linenumber").alias("line"), F.col("l_quantity").alias("value")
+    )
+    return documents_of_large_listing(listing, lines, "match_id").select("match_id", "line", "value")

@@ -19,6 +19,7 @@ from sportmart.functions import (
     path_or_null,
     season_label,
 )
+from sportmart.functions.sql import register_functions
 from sportmart.operators.pages import current_season, first_seasons
 from sportmart.plans import standins
 from sportmart.plans.catalogue.registry import query, season_sql
@@ -74,6 +75,35 @@ def kickoff_local(t):
     )
 
 
+@query(
+    "UDF-1 UDF-2 UDF-3 UDF-4 UDF-5",
+    f"""
+    SELECT o_orderkey, array_to_string(list_transform(regexp_split_to_array(o_orderpriority, '[ /]'), lambda w: w[1]), '') AS initials,
+           CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS dob,
+           CAST({KICKOFF_SQL} AS DATE) AS date_played, strftime({KICKOFF_SQL}, '%H:%M') AS time,
+           CASE WHEN o_orderstatus = 'F' THEN NULL ELSE CAST(o_orderkey % 90 AS INTEGER) + 5 END AS minutes
+    FROM orders
+    """,
+)
+def functions_in_sql(t):
+    """The scalars by name in SQL text."""
+    register_functions(t.spark)
+    texts = t.orders.select(
+        "o_orderkey", "o_orderpriority", standins.kickoff_label().alias("kickoff"),
+        F.when(F.col("o_orderstatus") == "P", "no date").otherwise(F.date_format("o_orderdate", "d MMMM yyyy")).alias("birth"),
+        F.concat((F.col("o_orderkey") % 90).cast("string"), F.lit(" +"), F.when(F.col("o_orderstatus") == "F", "x").otherwise("5"),
+                 F.lit("'00")).alias("clock"),
+    )
+    return t.spark.sql(
+        """
+        SELECT o_orderkey, initials(o_orderpriority) AS initials, parse_long_date(birth) AS dob, local_date(kickoff) AS date_played,
+               local_time(kickoff) AS time, clock_minutes(clock) AS minutes
+        FROM {texts}
+        """,
+        texts=texts,
+    )
+
+
 @query(
     "SCL-6 UDF-5",
     """

@@ -16,7 +16,9 @@ from sportmart.plans import dims, facts, standins
 from sportmart.plans.catalogue.models import BRIDGE_SQL
 from sportmart.plans.catalogue.registry import query, season_start_sql
 from sportmart.plans.load import TARGETS
-from sportmart.sources.tables import staged
+from sportmart.session import new_database
+from sportmart.sources.frames import literal_rows
+from sportmart.sources.tables import staged, upsert_table
 
 COLUMNS = ["id", "name", "segment", "balance"]
 
@@ -61,11 +63,27 @@ def upsert_default(t):
     """,
 )
 def upsert_audit(t):
-    """The audit row of that upsert."""
-    counts = upsert_counts(_customers(t), _changes(t), ["id"])
+    """The audit row of that upsert, counted by the job that writes the table."""
+    table = f"{new_database(t.spark, 'customers')}.dim_player"
+    upsert_table(_customers(t), table, ["id"], COLUMNS[1:])
+    done = upsert_table(_changes(t), table, ["id"], COLUMNS[1:])
+    counts = literal_rows(t.spark, [done], "rows_inserted BIGINT, rows_updated BIGINT")
     return audit_row(counts, "dim_player", datetime(2024, 1, 1))
 
 
+@query(
+    "SNK-3 RAM-2",
+    """
+    SELECT count(*) FILTER (WHERE c_acctbal < 0) AS rows_inserted,
+           count(*) FILTER (WHERE c_mktsegment = 'MACHINERY') AS rows_updated
+    FROM customer
+    """,
+)
+def upsert_row_counts(t):
+    """What that upsert would insert and update, without writing."""
+    return upsert_counts(_customers(t), _changes(t), ["id"])
+
+
 @query(
     "SNK-3",
     """
@@ -167,7 +185,7 @@ def upsert_award_bridge(t):
     )
     given = staged(given, "awards-given")
     stored = latest_per_key(given.where("award_id <= 2"), spec.keys(given.columns), [])
-    return upsert(stored, given, spec.keys(given.columns), spec.update_cols(given.columns), "latest")
+    return upsert(stored, given, spec.keys(given.columns), spec.update_cols(given.columns), "any")
 
 
 @query(

@@ -15,7 +15,8 @@ from sportmart.plans.suites import raw_suite, table_suite
 from sportmart.schemas import with_statistics
 from sportmart.sources.documents import extract
 from sportmart.sources.frames import literal_rows
-from sportmart.sources.tables import read_version, table_exists, to_bronze, upsert_parquet
+from sportmart.session import shared_dir
+from sportmart.sources.tables import table_schema, to_bronze, upsert_table
 
 
 @dataclass(frozen=True)
@@ -102,40 +103,41 @@ def check_tables(
 
 
 def load_tables(
-    spark: SparkSession, tables: dict[str, DataFrame], warehouse: str, now: datetime | None = None
+    spark: SparkSession, tables: dict[str, DataFrame], database: str, now: datetime | None = None
 ) -> DataFrame:
-    """Upsert every table in order, each followed by its audit row.
+    """Upsert every table of a database in order, each followed by its audit row.
 
     Tables whose columns are not those of the stored one stop the load before
     any table is changed. Facts with several rows for a key keep the one with
     the greatest columns.
     """
-    root = warehouse.rstrip("/")
     stamp = now or datetime.now(timezone.utc).replace(tzinfo=None)
-    check_stored(spark, tables, root)
+    check_stored(spark, tables, database)
     for name, df in tables.items():
         target = TARGETS[name]
         keys, updates = target.keys(df.columns), target.update_cols(df.columns)
-        done = upsert_parquet(spark, f"{root}/{name}", df, keys, updates, target.partition_by, "any")
+        done = upsert_table(df, f"{database}.{name}", keys, updates, target.partition_by, "any")
         report = literal_rows(spark, [(name, "UPDATE", stamp, *done)], AUDIT_DDL)
-        report.write.mode("append").parquet(f"{root}/_audit")
-    return read_audit(spark, root)
+        report.write.mode("append").saveAsTable(f"{database}.audit")
+    return read_audit(spark, database)
 
 
-def read_audit(spark: SparkSession, warehouse: str) -> DataFrame:
-    return spark.read.schema(AUDIT_DDL).parquet(f"{warehouse.rstrip('/')}/_audit")
+def read_audit(spark: SparkSession, database: str) -> DataFrame:
+    return spark.table(f"{database}.audit")
 
 
 def check_stored(
-    spark: SparkSession, tables: dict[str, DataFrame], warehouse: str, on_fail: str = "raise"
+    spark: SparkSession, tables: dict[str, DataFrame], database: str, on_fail: str = "raise"
 ) -> DataFrame:
     """Names and types of built tables against the stored ones; tables not stored yet are held against their own."""
     suites = []
     for name, df in tables.items():
-        path = f"{warehouse.rstrip('/')}/{name}"
-        schema = read_version(spark, path).schema if table_exists(spark, path) else df.schema
+        stored = spark.catalog.tableExists(f"{database}.{name}")
+        schema = table_schema(spark, f"{database}.{name}") if stored else df.schema
+        # The catalogue moves a partition column behind the others.
+        place = {column: i for i, column in enumerate(df.columns)}
         wanted = [(column.name, column.dataType.simpleString()) for column in schema]
-        suites.append(table_suite(name, df, wanted, strict=True))
+        suites.append(table_suite(name, df, sorted(wanted, key=lambda c: place.get(c[0], len(place))), strict=True))
     results = run_suites(suites, count_rows=False)
     enforce(results, on_fail)
     return results
@@ -144,26 +146,26 @@ def check_stored(
 def run_sources(
     spark: SparkSession,
     sources: dict[str, DataFrame],
-    warehouse: str,
+    database: str,
     club_names: Sequence[str],
     player_names: Sequence[str],
     match_names: Sequence[str],
     now: datetime | None = None,
     by_file: bool = False,
 ) -> DataFrame:
-    """The whole batch from source frames to audited tables; ``by_file`` as in ``to_bronze``."""
-    sources = to_bronze(sources, f"{warehouse.rstrip('/')}/_bronze", by_file=by_file)
+    """The whole batch from source frames to the audited tables of a database; ``by_file`` as in ``to_bronze``."""
+    sources = to_bronze(sources, shared_dir(spark, "bronze"), by_file=by_file)
     check_sources(sources)
     tables = build_tables(sources, club_names, player_names, match_names, latest=True)
     columns = {name: table_columns(name, club_names, player_names, match_names) for name in tables}
     check_tables(tables, columns)
-    return load_tables(spark, tables, warehouse, now)
+    return load_tables(spark, tables, database, now)
 
 
 def run(
     spark: SparkSession,
     landing: str,
-    warehouse: str,
+    database: str,
     club_names: Sequence[str],
     player_names: Sequence[str],
     match_names: Sequence[str],
@@ -177,7 +179,7 @@ def run(
     large; land large sources as JSON Lines and use ``extract_landed`` with ``run_sources``.
     """
     sources = extract(spark, landing, seasons, optional)
-    return run_sources(spark, sources, warehouse, club_names, player_names, match_names, now, by_file=True)
+    return run_sources(spark, sources, database, club_names, player_names, match_names, now, by_file=True)
 
 
 __all__ = [

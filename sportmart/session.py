@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution merges small shuffle partitions and splits skewed ones,
 # so the initial number may be generous; it is the only value worth raising
@@ -50,11 +51,49 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
 
 
 _SHARED: list[str] = []
+_DATABASES: list[str] = []
+
+
+def new_database(spark: SparkSession, purpose: str) -> str:
+    """A database of its own whose tables lie in the shared folder, for results that are read once."""
+    name = f"sportmart_{purpose}_{uuid.uuid4().hex[:12]}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{shared_dir(spark, purpose)}'")
+    _DATABASES.append(name)
+    return name
+
+
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For a costly plan that several branches use: they read files that
+    outlive executors instead of running the plan again.
+    """
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def settings(spark: SparkSession, values: dict[str, object]):
+    """Session settings for the jobs that run inside, then those from before."""
+    before = {name: spark.conf.get(name, None) for name in values}
+    try:
+        for name, value in values.items():
+            spark.conf.set(name, str(value))
+        yield
+    finally:
+        for name, value in before.items():
+            if value is None:
+                spark.conf.unset(name)
+            else:
+                spark.conf.set(name, value)
 
 
 def remove_shared(spark: SparkSession) -> None:
     """Delete what this process wrote below ``shared_dir``; call it when results that read it are stored."""
-    from sportmart.sources.tables import delete_path
-
+    while _DATABASES:
+        spark.sql(f"DROP DATABASE IF EXISTS {_DATABASES.pop()} CASCADE")
+    as_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     while _SHARED:
-        delete_path(spark, _SHARED.pop())
+        path = as_path(_SHARED.pop())
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,22 +1,20 @@
-"""Writing: landing zone, bronze, and tables that an upsert writes a new version of."""
+"""Writing: landing zone, bronze, and tables of the session's catalogue."""
 
 from __future__ import annotations
 
-import json
-import uuid
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sportmart.operators.upsert import duplicate_keys, single_per_key, upsert
-from sportmart.session import shared_dir
+from sportmart.operators.upsert import merged, merged_by_bucket
+from sportmart.session import settings, shared_dir, staged
 from sportmart.sources.frames import empty_frame
 
-#: Directory name of a partition; the column itself is in the files.
-PARTITION = "_part"
+#: Partition values that one upsert may touch. Their list is broadcast, to prune the target's partitions.
+MAX_PARTITIONS = 10_000
 
 
 def balanced(df: DataFrame, *columns: str) -> DataFrame:
@@ -90,17 +88,6 @@ def to_bronze(
     return bronze
 
 
-def staged(df: DataFrame, purpose: str) -> DataFrame:
-    """The frame written once to the shared folder and read back.
-
-    For a costly plan that several branches use: they read files that
-    outlive executors instead of running the plan again.
-    """
-    path = shared_dir(df.sparkSession, purpose)
-    write_parquet(df, path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _partition_last(schema: T.StructType) -> T.StructType:
     fields = [column for column in schema if column.name != "season"]
     return T.StructType(fields + [column for column in schema if column.name == "season"])
@@ -122,176 +109,166 @@ class Counts(NamedTuple):
     rows_updated: int
 
 
-class Version(NamedTuple):
-    """A state of a stored table: its schema and where its rows are, by partition directory name."""
-
-    number: int
-    schema: T.StructType
-    partition_by: str | None
-    places: dict[str, str]
-
-
-def _filesystem(spark: SparkSession, path: str):
-    """The one place that reaches Hadoop's file system API through the driver."""
-    jvm = spark.sparkContext._jvm
-    hadoop_path = jvm.org.apache.hadoop.fs.Path
-    fs = hadoop_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs, hadoop_path
-
-
-def _names(spark: SparkSession, path: str) -> list[str]:
-    fs, as_path = _filesystem(spark, path)
-    where = as_path(path)
-    return sorted(s.getPath().getName() for s in fs.listStatus(where)) if fs.exists(where) else []
-
-
-def delete_path(spark: SparkSession, path: str) -> None:
-    fs, as_path = _filesystem(spark, path)
-    fs.delete(as_path(path), True)
-
-
-def _versions(spark: SparkSession, path: str) -> list[int]:
-    return [int(name[:-5]) for name in _names(spark, f"{path}/versions") if name.endswith(".json")]
-
-
-def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_versions(spark, path))
+def table_schema(spark: SparkSession, table: str) -> T.StructType:
+    return spark.table(table).schema
 
 
-def read_version(spark: SparkSession, path: str, number: int | None = None) -> Version:
-    """The last complete version, or an older one that is still kept."""
-    numbers = _versions(spark, path)
-    if not numbers:
-        raise ValueError(f"no table at {path}")
-    number = numbers[-1] if number is None else number
-    fs, as_path = _filesystem(spark, path)
-    stream = fs.open(as_path(f"{path}/versions/{number:08d}.json"))
-    try:
-        body = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-    finally:
-        stream.close()
-    schema = T.StructType.fromJson(body["schema"])
-    return Version(number, schema, body["partition_by"], body["places"])
+def schema_difference(stored: T.StructType, rows: T.StructType) -> str:
+    """What tells two schemas apart, by column name and type; empty if nothing does."""
+    have = {column.name: column.dataType.simpleString() for column in stored}
+    come = {column.name: column.dataType.simpleString() for column in rows}
+    names = sorted(n for n in {*have, *come} if have.get(n) != come.get(n))
+    return "; ".join(f"{n}: {have.get(n, 'absent')} stored, {come.get(n, 'absent')} given" for n in names)
 
 
-def _publish(spark: SparkSession, path: str, version: Version) -> None:
-    """Make a version the last one. Two writers cannot both publish the same number."""
-    fs, as_path = _filesystem(spark, path)
-    goal = as_path(f"{path}/versions/{version.number:08d}.json")
-    draft = as_path(f"{path}/versions/{uuid.uuid4().hex}.draft")
-    body = {"schema": json.loads(version.schema.json()), "partition_by": version.partition_by, "places": version.places}
-    stream = fs.create(draft, False)
-    try:
-        stream.write(json.dumps(body).encode())
-    finally:
-        stream.close()
-    if fs.exists(goal) or not fs.rename(draft, goal):
-        fs.delete(draft, False)
-        raise RuntimeError(f"{path} was changed by another writer meanwhile")
+def layout_of(spark: SparkSession, table: str) -> tuple[str | None, int]:
+    """Partition column of a table, if any, and its number of buckets, 0 if it has none."""
+    columns = spark.catalog.listColumns(table)
+    partition = next((column.name for column in columns if column.isPartition), None)
+    if not any(column.isBucket for column in columns):
+        return partition, 0
+    facts = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE EXTENDED {table}").collect()}
+    return partition, int(facts["Num Buckets"])
 
 
-def _forget(spark: SparkSession, path: str, keep: int = 2) -> None:
-    """Drop versions before the last ``keep`` and the directories that only they name."""
-    numbers = _versions(spark, path)
-    used = {place for n in numbers[-keep:] for place in read_version(spark, path, n).places.values()}
-    for n in numbers[:-keep]:
-        for place in read_version(spark, path, n).places.values():
-            if place not in used:
-                delete_path(spark, f"{path}/{place}")
-        delete_path(spark, f"{path}/versions/{n:08d}.json")
+def create_table(
+    spark: SparkSession, table: str, schema: T.StructType, partition_by: str | None = None,
+    buckets: int = 0, keys: Sequence[str] = (),
+) -> None:
+    """A table without rows in the catalogue, which keeps its schema, partitioning and buckets (sorted by ``keys``)."""
+    writer = empty_frame(spark, schema).write.format("parquet")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    if buckets:
+        writer = writer.bucketBy(buckets, *keys).sortBy(*keys)
+    writer.saveAsTable(table)
 
 
-def read_table(spark: SparkSession, path: str, only: Sequence[str] | None = None) -> DataFrame:
-    """A stored table in its last version; ``only`` reads the partitions of these directory names.
+def observed(df: DataFrame, **counts: Column) -> tuple[DataFrame, Observation]:
+    """``df`` and what the job that writes it will have counted: no job of its own.
 
-    Readers hold on to the directories that the version names, which later
-    versions leave in place until two more are written.
+    Put it behind the last shuffle: rows of a task that ran twice before a shuffle would count twice.
     """
-    version = read_version(spark, path)
-    return _rows_of(spark, path, version, only)
-
+    seen = Observation()
+    return df.observe(seen, *(value.alias(name) for name, value in counts.items())), seen
 
-def _rows_of(spark: SparkSession, path: str, version: Version, only: Sequence[str] | None = None) -> DataFrame:
-    places = [place for name, place in version.places.items() if only is None or name in only]
-    if not places:
-        return empty_frame(spark, version.schema)
-    return spark.read.schema(version.schema).parquet(*[f"{path}/{place}" for place in places])
 
+def observed_nulls(df: DataFrame) -> tuple[DataFrame, Observation]:
+    """``observed`` with ``element_count`` and the nulls of every column, ``null_<position>``."""
+    nulls = {f"null_{i}": F.count_if(F.col(f"`{name}`").isNull()) for i, name in enumerate(df.columns)}
+    return observed(df, element_count=F.count(F.lit(1)), **nulls)
 
-def table_schema(spark: SparkSession, path: str) -> T.StructType:
-    return read_version(spark, path).schema
 
+def _stored_as_partition(df: DataFrame, column: str) -> DataFrame:
+    """An empty text as partition value would be read back as null, so it fails the job."""
+    if not isinstance(df.schema[column].dataType, T.StringType):
+        return df
+    message = F.raise_error(F.lit(f"an empty {column} cannot be a partition value"))
+    return df.withColumn(column, F.when(F.col(column) == "", message.cast("string")).otherwise(F.col(column)))
 
-def schema_difference(stored: T.StructType, rows: T.StructType) -> str:
-    """What tells two schemas apart, by column name and type; empty if nothing does."""
-    have = {column.name: column.dataType.simpleString() for column in stored}
-    come = {column.name: column.dataType.simpleString() for column in rows}
-    names = sorted(n for n in {*have, *come} if have.get(n) != come.get(n))
-    return "; ".join(f"{n}: {have.get(n, 'absent')} stored, {come.get(n, 'absent')} given" for n in names)
 
+def touched_rows(table: DataFrame, source: DataFrame, column: str, with_null: bool) -> DataFrame:
+    """Rows of the target's partitions that the source has values of.
 
-def _write_places(df: DataFrame, path: str, place: str, partition_by: str | None) -> dict[str, str]:
-    """Write rows below ``path/place``; directory name -> place. All columns are in the files."""
-    if partition_by is None:
-        write_parquet(df, f"{path}/{place}")
-        return {"": place}
-    write_parquet(df.withColumn(PARTITION, F.col(partition_by).cast("string")), f"{path}/{place}", [PARTITION])
-    names = [name for name in _names(df.sparkSession, f"{path}/{place}") if "=" in name]
-    return {name: f"{place}/{name}" for name in names}
+    The semi-join on the partition column becomes a partition filter when the values are known, so other partitions'
+    files are not opened. Null equals nothing in it: the null partition is read if the source has null.
+    """
+    values = source.groupBy(column).agg(F.count(F.lit(1)).alias("_n")).where("_n > 0").select(column)
+    rows = table.join(F.broadcast(values), column, "left_semi").select(*table.columns)
+    return rows.union(table.where(F.col(column).isNull())) if with_null else rows
 
 
-def upsert_parquet(
-    spark: SparkSession,
-    path: str,
+def upsert_table(
     source: DataFrame,
+    table: str,
     keys: Sequence[str],
     update_cols: Sequence[str],
     partition_by: str | None = None,
     on_duplicate: str = "error",
     order: Sequence[str] = (),
+    buckets: int = 0,
 ) -> Counts:
-    """Upsert into a stored table: a new version beside the last one.
-
-    The source is staged first, so its plan runs once. A table partitioned by
-    one of its keys can only match inside a partition, so only the partitions
-    that the staged source has directories for are read and written again.
-    ``latest`` needs ``order`` columns, or ``any`` may pick the row with the
-    greatest columns. The counts come from file footers: nothing is deleted,
-    so what grew was inserted, and the other source rows matched.
+    """Upsert into a table of the session's catalogue, which is made first if it is not there.
+
+    The result is written to the shared folder and from there over the table, since Spark overwrites nothing that it reads in the
+    same job. A table partitioned by one of its keys can only match inside a partition: only partitions that the source has
+    values for are read and replaced. A table in ``buckets`` of its keys is not shuffled, only the source is. Numbers of
+    inserted and updated rows come from the job that writes the result. If replacing fails, the error names the folder
+    that holds the result. Rows with a null key part are inserted every time.
     """
+    spark = source.sparkSession
     if partition_by is not None and partition_by not in keys:
         raise ValueError("a partitioned table needs its partition column among the keys")
     if on_duplicate == "latest" and not order:
         raise ValueError("the latest row needs an order; 'any' takes the row with the greatest columns")
-    stored = read_version(spark, path) if table_exists(spark, path) else None
-    if stored:
-        difference = schema_difference(stored.schema, source.schema)
-        if difference:
-            raise ValueError(f"columns of {path} differ: {difference}")
-        source = source.select(*stored.schema.names)
-    if on_duplicate in ("latest", "any"):
-        source = single_per_key(source, keys, order)
-    tag = uuid.uuid4().hex
-    staging, output = f"staging/{tag}", f"data/{tag}"
-    done = False
-    try:
-        staged_places = _write_places(source, path, staging, partition_by)
-        fresh = Version(stored.number + 1 if stored else 1, source.schema, partition_by, staged_places)
-        incoming = _rows_of(spark, path, fresh)
-        if on_duplicate == "error":
-            repeated = duplicate_keys(incoming, keys).limit(1).collect()
-            if repeated:
-                raise ValueError(f"more than one source row for key {repeated[0].asDict()}")
-        before = _rows_of(spark, path, stored, staged_places) if stored else empty_frame(spark, source.schema)
-        places = _write_places(upsert(before, incoming, keys, update_cols, "unique"), path, output, partition_by)
-        after = fresh._replace(places=places)
-        inserted = _rows_of(spark, path, after).count() - (before.count() if stored else 0)
-        counts = Counts(inserted, incoming.count() - inserted)
-        _publish(spark, path, after._replace(places={**(stored.places if stored else {}), **places}))
-        done = True
-    finally:
-        delete_path(spark, f"{path}/staging/{tag}")
-        if not done:
-            delete_path(spark, f"{path}/{output}")
-    _forget(spark, path)
-    return counts
+    if not spark.catalog.tableExists(table):
+        create_table(spark, table, source.schema, partition_by, buckets, keys)
+    # Another session may have replaced files that this one has listed.
+    spark.catalog.refreshTable(table)
+    target = spark.table(table)
+    difference = schema_difference(target.schema, source.schema)
+    if difference:
+        raise ValueError(f"columns of {table} differ: {difference}")
+    column, n_buckets = layout_of(spark, table)
+    if n_buckets:
+        return _replace(
+            merged_by_bucket(target, source, keys, update_cols, on_duplicate, order), table, buckets=n_buckets, keys=keys
+        )
+    if column is None:
+        return _replace(merged(target, source, keys, update_cols, on_duplicate, order), table)
+    incoming, seen = observed(
+        _stored_as_partition(source.select(*target.columns), column),
+        values=F.approx_count_distinct(column), nulls=F.count_if(F.col(column).isNull()),
+    )
+    incoming = staged(incoming, "source")
+    if seen.get["values"] > MAX_PARTITIONS:
+        raise ValueError(f"{table}: an upsert touches about {seen.get['values']} partitions of at most {MAX_PARTITIONS}")
+    before = touched_rows(target, incoming, column, seen.get["nulls"] > 0)
+    return _replace(merged(before, incoming, keys, update_cols, on_duplicate, order), table, column)
+
+
+def _replace(
+    rows: DataFrame, table: str, column: str | None = None, buckets: int = 0, keys: Sequence[str] = ()
+) -> Counts:
+    """Rows of ``merged`` over the table, or over those of its partitions that they have values of."""
+    spark = rows.sparkSession
+    columns = spark.table(table).columns
+    if column:
+        rows = balanced(rows, column)
+    rows, seen = observed(
+        rows, rows_inserted=F.count_if(F.col("_inserted")), rows_updated=F.count_if(F.col("_updated"))
+    )
+    result, draft = rows.select(*columns), None
+    # As many partitions as buckets, so that a folded source meets them without another shuffle.
+    scope = {"spark.sql.sources.partitionOverwriteMode": "dynamic" if column else "static"}
+    if buckets:
+        scope |= {"spark.sql.shuffle.partitions": buckets, "spark.sql.sources.bucketing.autoBucketedScan.enabled": "false"}
+    with settings(spark, scope):
+        if buckets:
+            draft = f"{table}_draft"
+            spark.sql(f"DROP TABLE IF EXISTS {draft}")
+            result.write.bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(draft)
+            ready, place = spark.table(draft), draft
+        else:
+            place = shared_dir(spark, "result")
+            writer = result.write.partitionBy(column) if column else result.write
+            writer.parquet(place)
+            ready = spark.read.schema(result.schema).parquet(place).select(*columns)
+        try:
+            ready.write.mode("overwrite").insertInto(table)
+        except Exception as error:
+            error.add_note(f"the rows of {table} are in {place}")
+            raise
+    if draft:
+        spark.sql(f"DROP TABLE {draft}")
+    return Counts(int(seen.get["rows_inserted"]), int(seen.get["rows_updated"]))
+
+
+def write_sorted(df: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """A new table sorted by its business key over all files, so that a read of a key range skips files and row groups.
+
+    A sample of the rows sets the ranges. Rows of one key are dealt by a digest too, so a key that holds much of the
+    data is split over several tasks and files.
+    """
+    order = [*(F.col(key) for key in keys), F.xxhash64(*df.columns)]
+    df.repartitionByRange(*order).sortWithinPartitions(*order).write.saveAsTable(table)

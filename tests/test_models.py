@@ -13,7 +13,7 @@ from sportmart.plans import dims, facts
 from sportmart.plans.load import TARGETS, build_tables, check_sources, check_tables, load_tables, read_audit, run, table_columns
 from sportmart.schemas import SOURCES, TABLES
 from sportmart.sources.documents import extract, read_entity
-from sportmart.sources.tables import read_table, read_version
+from sportmart.session import new_database
 from tests import fixtures
 
 
@@ -200,25 +200,25 @@ def test_suites(sources):
     assert check_tables(tables, columns).where("NOT passed").count() == 0
 
 
-def test_whole_batch_twice(spark, landing, tmp_path):
-    warehouse = str(tmp_path / "warehouse")
+def test_whole_batch_twice(spark, landing):
+    warehouse = new_database(spark, "batch")
     now = dt.datetime(2024, 1, 1)
     with pytest.warns(UserWarning):
         first = run(spark, landing, warehouse, *NAMES, now=now)
     assert set(TARGETS) == {r["table"] for r in first.collect()}
     assert all(r["rows_updated"] == 0 for r in first.collect())
-    before = {name: rows(read_table(spark, f"{warehouse}/{name}")) for name in TARGETS}
+    before = {name: rows(spark.table(f"{warehouse}.{name}")) for name in TARGETS}
     with pytest.warns(UserWarning):
         second = run(spark, landing, warehouse, *NAMES, now=now + dt.timedelta(days=7))
     again = {r["table"]: r for r in second.collect() if r["ts"] > now}
     assert all(r["rows_inserted"] == 0 for r in again.values())
-    assert {name: rows(read_table(spark, f"{warehouse}/{name}")) for name in TARGETS} == before
+    assert {name: rows(spark.table(f"{warehouse}.{name}")) for name in TARGETS} == before
     assert before["dim_club"] and before["fct_match_stat"]
 
 
 @pytest.mark.filterwarnings("ignore:failed check")
 def test_batch_twice_after_a_season_without_facts(spark, tmp_path):
-    root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    root, warehouse = str(tmp_path / "landing"), new_database(spark, "batch")
     fixtures.land(root)
     empty = {
         "club/{s}/club_stats.json": [], "player/{s}/player_stats.json": [], "award/{s}/month/award.json": {},
@@ -229,25 +229,25 @@ def test_batch_twice_after_a_season_without_facts(spark, tmp_path):
     for _ in range(2):
         run(spark, root, warehouse, *NAMES)
     facts_ = [name for name in TARGETS if name.startswith("fct")]
-    assert all(read_table(spark, f"{warehouse}/{name}").count() == 0 for name in facts_)
+    assert all(spark.table(f"{warehouse}.{name}").count() == 0 for name in facts_)
     fixtures.land(root)
     run(spark, root, warehouse, *NAMES)
-    assert all(read_table(spark, f"{warehouse}/{name}").count() for name in facts_)
+    assert all(spark.table(f"{warehouse}.{name}").count() for name in facts_)
 
 
 @pytest.mark.filterwarnings("ignore:failed check")
 def test_drift_stops_the_batch_before_any_table_changes(spark, tmp_path):
-    root, warehouse = str(tmp_path / "landing"), str(tmp_path / "warehouse")
+    root, warehouse = str(tmp_path / "landing"), new_database(spark, "batch")
     fixtures.land(root)
     run(spark, root, warehouse, *NAMES)
-    before = {name: read_version(spark, f"{warehouse}/{name}") for name in TARGETS}
+    before = {name: sorted(spark.table(f"{warehouse}.{name}").inputFiles()) for name in TARGETS}
     with pytest.raises(QualityError, match="fct_club_stat: column_set"):
         run(spark, root, warehouse, [*NAMES[0], "draws"], *NAMES[1:])
     tables = build_tables(extract(spark, root), *NAMES, latest=True)
     tables["dim_award"] = tables["dim_award"].withColumn("award_id", F.col("award_id").cast("int"))
     with pytest.raises(QualityError, match="dim_award: column_type award_id int for bigint"):
         load_tables(spark, tables, warehouse)
-    assert {name: read_version(spark, f"{warehouse}/{name}") for name in TARGETS} == before
+    assert {name: sorted(spark.table(f"{warehouse}.{name}").inputFiles()) for name in TARGETS} == before
     assert read_audit(spark, warehouse).count() == len(TARGETS)
 
 
@@ -257,8 +257,9 @@ def test_an_absent_source_can_be_optional(spark, tmp_path):
     fixtures.land(str(root))
     for path in root.glob("club/*/club_stats.json"):
         path.unlink()
-    run(spark, str(root), str(tmp_path / "warehouse"), *NAMES, optional=["club_stats"])
-    assert read_table(spark, str(tmp_path / "warehouse" / "fct_club_stat")).count() == 0
+    warehouse = new_database(spark, "batch")
+    run(spark, str(root), warehouse, *NAMES, optional=["club_stats"])
+    assert spark.table(f"{warehouse}.fct_club_stat").count() == 0
 
 
 def test_clubs_without_id_do_not_multiply(spark):

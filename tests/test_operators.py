@@ -18,9 +18,7 @@ from sportmart.plans.catalogue.quality import table_lineage
 from sportmart.plans.load import TARGETS
 from sportmart.sources.documents import has_rows, is_schema_empty, read_pages
 from sportmart.sources.frames import empty_frame, literal_rows
-from sportmart.sources.tables import (
-    _publish, read_table, read_version, table_exists, table_schema, upsert_parquet, write_parquet,
-)
+from sportmart.sources.tables import write_parquet
 
 
 def rows(df):
@@ -172,8 +170,35 @@ def test_duplicate_source_key(spark):
             upsert(target, source, ["a", "b"], updates).collect()
     latest = upsert(target, source, ["a", "b"], on_duplicate="latest", order=["y"])
     assert rows(latest) == [(1, 1, "c", 3), (None, 1, "n", 0), (None, 1, "n", 0)]
-    with pytest.raises(ValueError):
-        upsert(target, source, ["a", "b"], on_duplicate="any")
+    assert rows(upsert(target, source, ["a", "b"], on_duplicate="any")) == rows(latest)
+    for wrong in ("first", "latest"):
+        with pytest.raises(ValueError):
+            upsert(target, source, ["a", "b"], on_duplicate=wrong)
+
+
+def test_upsert_where_all_columns_are_keys(spark):
+    ddl = "a INT, b INT"
+    target = frame(spark, [(1, 1), (2, 2), (2, 2), (None, 3), (None, 3)], ddl)
+    source = frame(spark, [(1, 1), (4, 4), (None, 3), (None, 5)], ddl)
+    want = sorted([(1, 1), (2, 2), (2, 2), (4, 4), *[(None, 3)] * 3, (None, 5)], key=repr)
+    for mode in ("error", "any", "unique"):
+        assert rows(upsert(target, source, ["a", "b"], on_duplicate=mode)) == want
+    assert upsert_counts(target, source, ["a", "b"]).first().asDict() == {"rows_inserted": 3, "rows_updated": 1}
+    twice = source.union(source)
+    assert rows(upsert(target, twice, ["a", "b"], on_duplicate="any")) == sorted([*want, (None, 3), (None, 5)], key=repr)
+    with pytest.raises(Exception, match="more than one source row"):
+        upsert(target, twice, ["a", "b"]).collect()
+
+
+def test_copies_of_a_hot_key_fold_before_they_are_shuffled(spark, tmp_path):
+    write_parquet(spark.range(10).selectExpr("id AS a", "id AS y"), str(tmp_path / "target"))
+    write_parquet(spark.range(20_000).selectExpr("IF(id % 3 = 0, id % 10, 7) AS a", "id AS y"), str(tmp_path / "source"))
+    target, source = (spark.read.parquet(str(tmp_path / name)) for name in ("target", "source"))
+    got = upsert(target, source, ["a"], on_duplicate="latest", order=["y"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    fold, window = plan.rindex("partial_max"), plan.index("Window")
+    assert window < plan.index("Exchange") < fold
+    assert dict(rows(got))[7] == 19_999 and len(rows(got)) == 10
 
 
 def test_merge_needs_a_catalog_with_merge(spark):
@@ -192,95 +217,6 @@ def test_upsert_reads_and_shuffles_each_side_once(spark, tmp_path):
     assert plan.count("FileScan") == 2 and plan.count("Exchange ") == 1 and "Join" not in plan
 
 
-# ---- table upsert --------------------------------------------------------
-
-
-def test_partitioned_upsert_rewrites_touched_partitions_only(spark, tmp_path):
-    path, columns = str(tmp_path / "t"), "id BIGINT, season INT, v INT"
-    keys = ["id", "season"]
-    first = frame(spark, [(1, 1, 10), (2, 1, 20), (1, 2, 30), (5, None, 50)], columns)
-    assert upsert_parquet(spark, path, first, keys, ["v"], "season") == (4, 0)
-    before = read_version(spark, path)
-    second = frame(spark, [(1, 2, 31), (9, 3, 90), (5, None, 51)], columns)
-    assert upsert_parquet(spark, path, second, keys, ["v"], "season") == (2, 1)
-    assert rows(read_table(spark, path)) == sorted(
-        [(1, 1, 10), (2, 1, 20), (1, 2, 31), (9, 3, 90), (5, None, 50), (5, None, 51)], key=repr
-    )
-    after = read_version(spark, path)
-    assert after.places["_part=1"] == before.places["_part=1"] and after.places["_part=2"] != before.places["_part=2"]
-    assert rows(read_table(spark, path, ["_part=3"])) == [(9, 3, 90)]
-
-
-def test_readers_keep_their_version(spark, tmp_path):
-    path = str(tmp_path / "t")
-    upsert_parquet(spark, path, frame(spark, [(1, 1)], "id INT, v INT"), ["id"], ["v"])
-    held = read_table(spark, path)
-    upsert_parquet(spark, path, frame(spark, [(1, 2), (2, 2)], "id INT, v INT"), ["id"], ["v"])
-    assert rows(held) == [(1, 1)] and rows(read_table(spark, path)) == [(1, 2), (2, 2)]
-    upsert_parquet(spark, path, frame(spark, [(1, 3)], "id INT, v INT"), ["id"], ["v"])
-    assert len(list((tmp_path / "t" / "data").iterdir())) == 2 and not list((tmp_path / "t" / "staging").iterdir())
-
-
-def test_two_writers_lose_nothing(spark, tmp_path):
-    path = str(tmp_path / "t")
-    upsert_parquet(spark, path, frame(spark, [(1, 1)], "id INT, v INT"), ["id"], ["v"])
-    other = read_version(spark, path)
-    upsert_parquet(spark, path, frame(spark, [(2, 2)], "id INT, v INT"), ["id"], ["v"])
-    with pytest.raises(RuntimeError, match="another writer"):
-        _publish(spark, path, other._replace(number=other.number + 1))
-    assert rows(read_table(spark, path)) == [(1, 1), (2, 2)]
-
-
-def test_an_empty_load_leaves_a_table(spark, tmp_path):
-    path, columns = str(tmp_path / "t"), "id BIGINT, season STRING, v INT"
-    for by in (None, "season"):
-        none = empty_frame(spark, columns)
-        assert upsert_parquet(spark, f"{path}{by}", none, ["id", "season"], ["v"], by) == (0, 0)
-        assert upsert_parquet(spark, f"{path}{by}", none, ["id", "season"], ["v"], by) == (0, 0)
-        assert rows(read_table(spark, f"{path}{by}")) == []
-        full = frame(spark, [(1, "2001-02", 1), (2, None, 2)], columns)
-        assert upsert_parquet(spark, f"{path}{by}", full, ["id", "season"], ["v"], by) == (2, 0)
-        assert upsert_parquet(spark, f"{path}{by}", none, ["id", "season"], ["v"], by) == (0, 0)
-        assert rows(read_table(spark, f"{path}{by}")) == [(1, "2001-02", 1), (2, None, 2)]
-
-
-def test_table_upsert_refuses_duplicate_keys(spark, tmp_path):
-    path = str(tmp_path / "t")
-    upsert_parquet(spark, path, frame(spark, [(1, 1)], "id INT, v INT"), ["id"], ["v"])
-    twice = frame(spark, [(2, 1), (2, 2)], "id INT, v INT")
-    with pytest.raises(ValueError, match="more than one source row"):
-        upsert_parquet(spark, path, twice, ["id"], ["v"])
-    assert len(list((tmp_path / "t" / "data").iterdir())) == 1 and not list((tmp_path / "t" / "staging").iterdir())
-    with pytest.raises(ValueError, match="needs an order"):
-        upsert_parquet(spark, path, twice, ["id"], ["v"], on_duplicate="latest")
-    assert upsert_parquet(spark, path, twice, ["id"], ["v"], on_duplicate="any") == (1, 0)
-    assert rows(read_table(spark, path)) == [(1, 1), (2, 2)]
-
-
-def test_table_columns_must_agree(spark, tmp_path):
-    path = str(tmp_path / "t")
-    upsert_parquet(spark, path, frame(spark, [(1, 1)], "id INT, v INT"), ["id"], ["v"])
-    for ddl, row in (("id INT", (1,)), ("id INT, v INT, w INT", (1, 1, 1)), ("id INT, v BIGINT", (1, 1))):
-        with pytest.raises(ValueError, match="differ"):
-            upsert_parquet(spark, path, frame(spark, [row], ddl), ["id"], [])
-
-
-def test_partition_values_keep_their_type(spark, tmp_path):
-    path = str(tmp_path / "t")
-    first = frame(spark, [("2001-02", 1), ("2002-03", 2)], "season STRING, v INT")
-    upsert_parquet(spark, path, first, ["season"], ["v"], "season")
-    second = frame(spark, [("2001-02", 5)], "season STRING, v INT")
-    assert upsert_parquet(spark, path, second, ["season"], ["v"], "season") == (0, 1)
-    assert rows(read_table(spark, path)) == [("2001-02", 5), ("2002-03", 2)]
-    assert table_schema(spark, path) == first.schema
-
-
-def test_partition_column_must_be_a_key(spark, tmp_path):
-    with pytest.raises(ValueError):
-        upsert_parquet(spark, str(tmp_path / "t"), frame(spark, [(1, 1)], "id INT, season INT"), ["id"], [], "season")
-    assert not table_exists(spark, str(tmp_path / "t"))
-
-
 # ---- frames --------------------------------------------------------------
 
 
