@@ -71,36 +71,36 @@ FROM measured LEFT JOIN cuts USING (stratum)"""
 
 
 def lines() -> str:
-    f, m = line_dedup.FACTOR, line_dedup.MODULUS
     return f"""
 WITH split AS (
-  SELECT doc_id, text, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
-         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i
+  SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+         generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS place
   FROM documents),
-hashed AS (SELECT *, ('0x' || substr(md5(line), 1, 7))::BIGINT AS h FROM split),
-rolled AS (
-  SELECT *, ((h * {f} + coalesce(lag(h, 1) OVER w, 0)) % {m} * {f} + coalesce(lag(h, 2) OVER w, 0)) % {m} AS r
-  FROM hashed WINDOW w AS (PARTITION BY doc_id ORDER BY i)),
-numbered AS (
-  SELECT *, coalesce(sum((r % {line_dedup.MEAN_LINES} = 0)::INT) OVER (
-      PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS c
-  FROM rolled),
+worded AS (
+  SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY place) AS i, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM split WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
 chunks AS (
-  SELECT doc_id, c, string_agg(line, chr(10) ORDER BY i) AS chunk,
-         count(*) FILTER (WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')) >= {line_dedup.MIN_LINES} AS several
-  FROM numbered GROUP BY doc_id, c),
+  SELECT doc_id, i, line || chr(10) || lead(line) OVER (PARTITION BY doc_id ORDER BY i) AS chunk FROM worded),
 judged AS (
-  SELECT *, several AND (min(doc_id) OVER (PARTITION BY chunk) < doc_id
-      OR row_number() OVER (PARTITION BY doc_id, chunk ORDER BY c) > 1) AS gone
-  FROM chunks),
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY chunk) < doc_id OR min(i) OVER (PARTITION BY doc_id, chunk) + 2 <= i AS seen
+  FROM chunks WHERE chunk IS NOT NULL),
+marked AS (
+  SELECT doc_id, i, i - coalesce(lag(i) OVER (PARTITION BY doc_id ORDER BY i), -9) > 2 AS fresh FROM judged WHERE seen),
+grown AS (
+  SELECT doc_id, i, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS passage FROM marked),
+spans AS (SELECT doc_id, passage, min(i) AS a, max(i) + 1 AS b FROM grown GROUP BY doc_id, passage),
+counted AS (
+  SELECT doc_id, passage, sum(n) AS n, min(place) AS first_place, max(place) AS last_place
+  FROM spans JOIN worded USING (doc_id) WHERE i BETWEEN a AND b GROUP BY doc_id, passage),
+gone AS (
+  SELECT doc_id, unnest(range(first_place, last_place + 1)) AS place FROM counted WHERE n >= {line_dedup.MIN_WORDS}),
 done AS (
-  SELECT doc_id, coalesce(string_agg(chunk, chr(10) ORDER BY c) FILTER (WHERE NOT gone), '') AS left_over
-  FROM judged GROUP BY doc_id)
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY place) AS left_over FROM split ANTI JOIN gone USING (doc_id, place) GROUP BY doc_id)
 SELECT doc_id, CASE WHEN text IS NULL THEN 0 ELSE len(string_split(text, chr(10))) END::BIGINT AS n_lines,
-       CASE WHEN text IS NULL OR left_over = text THEN 0 ELSE len(string_split(text, chr(10)))
-            - CASE WHEN left_over = '' THEN 0 ELSE len(string_split(left_over, chr(10))) END END::BIGINT AS n_removed,
-       CASE WHEN text IS NOT NULL THEN left_over END AS text
-FROM documents JOIN done USING (doc_id)"""
+       CASE WHEN text IS NULL OR coalesce(left_over, '') = text THEN 0 ELSE len(string_split(text, chr(10)))
+            - CASE WHEN coalesce(left_over, '') = '' THEN 0 ELSE len(string_split(left_over, chr(10))) END END::BIGINT AS n_removed,
+       CASE WHEN text IS NOT NULL THEN coalesce(left_over, '') END AS text
+FROM documents LEFT JOIN done USING (doc_id)"""
 
 
 def licenses() -> str:
