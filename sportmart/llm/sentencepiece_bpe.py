@@ -3,6 +3,11 @@
 All words of a block of texts that are not cached are merged together. Their symbols lie in one flat array; each
 round finds every word's smallest pair rank, merges its leftmost pairs of that rank in all words at once
 and compacts the array, until no word has a pair left.
+
+Rounds are as many as a word's merges at worst, so long words are cut first. A place that lies inside no piece of the text
+divides a word for good. What is still long is read in windows that overlap; each is merged as a word of its own, and they are joined at a
+piece that both have. That is exact: pieces are the merging of their text if every two neighbours are
+that of theirs, since the first merge across a border would also be made in the text of the two alone.
 """
 
 from __future__ import annotations
@@ -20,6 +25,12 @@ NONE = np.int64(2**31 - 1)
 #: Characters of text that are encoded at a time, ids in a worker's cache of words before it is emptied.
 BLOCK = 1 << 18
 CACHE_IDS = 1_500_000
+#: Symbols of a word that is cut before it is merged; symbols from one window to the next, and how many steps long a window is.
+LONG = 128
+STEP = 32
+STEPS = 2
+#: Windows that are merged at a time.
+WINDOWS = 2048
 #: Texts whose ids and decoded texts are held at a time.
 ROWS = 500
 
@@ -60,6 +71,13 @@ class Vocabulary:
         inside = any(SPACE in p.lstrip(SPACE) for p in normal)
         if inside or any(len(p) > 1 and c not in normal for p in normal for c in p):
             raise ValueError("pieces across words, or of characters that are no pieces, are not supported")
+        # Pieces of each length by the hash of their characters, to find all that a text holds.
+        self.piece_hashes = {
+            n: np.unique(char_hashes(np.array([[ord(c) for c in p] for p in normal if len(p) == n], np.uint64), n).ravel())
+            for n in sorted({len(p) for p in normal if len(p) > 1})
+        }
+        self.symbols = np.ones(self.size, np.int64)
+        self.symbols[list(normal.values())] = [len(p) for p in normal]
         # No piece reaches over a blank's start or a character that occurs in no longer piece, so words end there.
         letters = "".join(map(re.escape, sorted(joined)))
         self.words = re.compile(f"{SPACE}*[{letters}]+|{SPACE}+|[^{letters}{SPACE}]+")
@@ -85,11 +103,31 @@ class Vocabulary:
 
     def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all words in one array, and where each word's ids end."""
+        short = [w for w in words if len(w) <= LONG]
+        ids, ends = self.merged_words(*self.symbols_of(short)) if short else (np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if len(short) < len(words):
+            at, parts = 0, []
+            starts = np.concatenate([[0], ends])
+            for w in words:
+                if len(w) <= LONG:
+                    parts.append(ids[starts[at] : starts[at + 1]])
+                    at += 1
+                else:
+                    parts.append(self.long_word(w))
+            ids, ends = np.concatenate(parts), np.cumsum([len(p) for p in parts])
+        word = np.repeat(np.arange(len(words)), np.diff(np.concatenate([[0], ends])))
+        return self.with_bytes(ids, word, len(words))
+
+    def symbols_of(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Symbols of all words, and how many each has."""
         code = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.int64)
-        sizes = np.array([len(w) for w in words], np.int64)
-        word = np.repeat(np.arange(len(words)), sizes)
         symbol = self.char_ids[code].astype(np.int64)
         symbol[symbol < 0] = -1 - code[symbol < 0]  # characters without a piece stay recognisable
+        return symbol, np.array([len(w) for w in words], np.int64)
+
+    def merged_words(self, symbol: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merged symbols of words that lie one behind the other, and where each word's end."""
+        word = np.repeat(np.arange(len(sizes)), sizes)
         done_symbol, done_word = [], []
         while len(symbol):
             symbol, word, ended, ended_word = self.merge_round(symbol, word)
@@ -97,8 +135,82 @@ class Vocabulary:
             done_word.append(ended_word)
         symbol = np.concatenate(done_symbol) if done_symbol else symbol
         word = np.concatenate(done_word) if done_word else word
-        order = np.argsort(word, kind="stable")
-        return self.with_bytes(symbol[order], word[order], len(words))
+        return symbol[np.argsort(word, kind="stable")], np.cumsum(np.bincount(word, minlength=len(sizes)))
+
+    def long_word(self, text: str) -> np.ndarray:
+        """Merged symbols of one long word, cut where no piece reaches over."""
+        symbol, _ = self.symbols_of([text])
+        code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        depth = np.zeros(len(code) + 1, np.int64)
+        for n, known in self.piece_hashes.items():
+            if n > len(code):
+                break
+            hashes = char_hashes(np.lib.stride_tricks.sliding_window_view(code, n), n)
+            near = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+            held = np.flatnonzero(known[near] == hashes)
+            # Borders inside the piece: behind its first character to before its last.
+            np.add.at(depth, held + 1, 1)
+            np.add.at(depth, held + n, -1)
+        cuts = np.flatnonzero(np.cumsum(depth)[:-1] == 0)
+        cuts = np.append(cuts[cuts > 0], len(code))
+        sizes = np.diff(np.concatenate([[0], cuts]))
+        long = sizes > LONG
+        few = np.repeat(~long, sizes)
+        ids, ends = self.merged_words(symbol[few], sizes[~long]) if few.any() else (symbol[:0], np.zeros(0, np.int64))
+        if not long.any():
+            return ids
+        parts, at, done = [], 0, 0
+        starts = np.concatenate([[0], ends])
+        for start, size, wide in zip(cuts - sizes, sizes, long):
+            if wide:
+                parts += [ids[starts[done] : starts[at]], self.windowed(symbol[start : start + size])]
+                done = at
+            else:
+                at += 1
+        return np.concatenate([*parts, ids[starts[done] :]])
+
+    def windowed(self, symbol: np.ndarray, least: int = STEP) -> np.ndarray:
+        """Merged symbols of a long stretch, joined from windows; where two have no piece in common, the rest is read in windows twice
+        as long."""
+        step = self.stride(symbol, least)
+        starts = np.arange(0, max(1, len(symbol) - step), step)
+        out, path, begins = [], None, None
+        for first in range(0, len(starts), WINDOWS):
+            some = starts[first : first + WINDOWS]
+            ends = np.minimum(some + STEPS * step, len(symbol))
+            ids, stops = self.merged_words(gather(symbol, some, ends - some), ends - some)
+            for start, a, b in zip(some.tolist(), np.concatenate([[0], stops[:-1]]).tolist(), stops.tolist()):
+                own = ids[a:b]
+                places = start + np.cumsum(self.widths(own)) - self.widths(own)
+                if path is None:
+                    path, begins = own, places
+                    continue
+                # The first piece that both have at the same place.
+                at = np.searchsorted(begins, places)
+                same = (at < len(begins)) & (begins[np.minimum(at, len(begins) - 1)] == places)
+                same &= path[np.minimum(at, len(path) - 1)] == own
+                if not same.any():
+                    rest = self.windowed(symbol[begins[0] :], 2 * least)
+                    # It goes on from what is there if it begins with the same piece; else all is read anew.
+                    return np.concatenate([*out, rest]) if rest[0] == path[0] else self.windowed(symbol, 2 * least)
+                k = int(np.flatnonzero(same)[0])
+                out.append(path[: at[k]])
+                path, begins = own[k:], places[k:]
+        return np.concatenate([*out, path])
+
+    def widths(self, symbol: np.ndarray) -> np.ndarray:
+        """Characters of each merged symbol."""
+        return np.where(symbol >= 0, self.symbols[np.maximum(symbol, 0)], 1)
+
+    def stride(self, symbol: np.ndarray, least: int) -> int:
+        """Symbols from one window to the next. In text that repeats itself windows share pieces if they begin at like places, so it is
+        a border of the first window's pieces behind which the text goes on as it began, if there is one."""
+        head = symbol[: 3 * least]
+        borders = np.cumsum(self.widths(self.merged_words(head, np.array([len(head)]))[0]))
+        for border in borders[(borders >= least // 2) & (borders <= 2 * least)].tolist():
+            if np.array_equal(symbol[border : border + least], symbol[:least]):
+                return border
+        return least
 
     def merge_round(self, symbol: np.ndarray, word: np.ndarray):
         """One round; words that have no pair left come back apart."""
@@ -175,6 +287,14 @@ class Vocabulary:
             return one_by_one(raw)
 
 
+def char_hashes(windows: np.ndarray, n: int) -> np.ndarray:
+    """Polynomial hashes of rows of ``n`` code points; a collision only makes a cut fewer."""
+    value = np.zeros(windows.shape[:-1], np.uint64)
+    for k in range(n):
+        value = value * np.uint64(0x9E3779B97F4A7C15) + windows[..., k] + np.uint64(1)
+    return value
+
+
 def one_by_one(raw: bytes) -> str:
     """UTF-8 with a replacement character for every byte that starts no character."""
     out, at = [], 0
