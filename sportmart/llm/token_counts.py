@@ -1,6 +1,6 @@
 """Token counts of texts under a byte-level BPE vocabulary, by looking pre-tokens up instead of merging them.
 
-Two tiers answer a pre-token on the map side: a broadcast table of frequent pre-tokens, and a cache in each Python
+Two tiers answer a pre-token on the map side: a compact broadcast table of frequent pre-tokens, and a cache in each Python
 worker for the rest, filled by the tokenizer itself. No pre-token is shuffled. The table and the cache
 only save work: what they hold is what the tokenizer says.
 """
@@ -10,17 +10,19 @@ from __future__ import annotations
 import re
 from collections import Counter
 from collections.abc import Iterator
+from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sportmart.llm.common import importable
 
-#: Texts that the table of frequent pre-tokens is drawn from and the longest of them, 16 MB in all at most, and the
-#: table's entries. The broadcast is at most TABLE_ENTRIES * MAX_KEY characters.
+#: Stretches of texts that the table of frequent pre-tokens is drawn from, about so many, and the longest of them in characters: at
+#: most 16 million characters reach the driver. The table has so many entries of MAX_KEY characters at most.
 SAMPLE_TEXTS = 2000
-SAMPLE_BYTES = 8192
+SAMPLE_CHARS = 8192
 TABLE_ENTRIES = 65_536
 #: Entries of a worker's cache before it is emptied, and the longest pre-token it keeps.
 CACHE_ENTRIES = 300_000
@@ -101,25 +103,53 @@ def worker_counter(path: str, pattern: str, table) -> TokenCounter:
     key = (path, pattern, table.id if hasattr(table, "id") else id(table))
     if key not in _WORKER:
         _WORKER.clear()
-        _WORKER[key] = TokenCounter(path, pattern, table.value)
+        _WORKER[key] = TokenCounter(path, pattern, table.value.lookup())
     return _WORKER[key]
 
 
-def frequent_pre_tokens(documents: DataFrame, path: str, pattern: str, text: str = "text") -> dict[str, int]:
-    """The most frequent pre-tokens of the first ``SAMPLE_TEXTS`` texts that are not longer than ``SAMPLE_BYTES``, with their lengths.
+@dataclass(frozen=True)
+class Table:
+    """Frequent pre-tokens, sorted, in one string of UTF-8, with the bytes and tokens of each."""
 
-    Only as many partitions are read as hold that many texts. Which texts they are changes the speed, not the counts.
+    keys: bytes
+    sizes: np.ndarray
+    tokens: np.ndarray
+
+    def lookup(self) -> dict[str, int]:
+        """The entries by pre-token, which a worker makes once."""
+        ends = np.cumsum(self.sizes).tolist()
+        return {
+            self.keys[end - size : end].decode(): n
+            for end, size, n in zip(ends, self.sizes.tolist(), self.tokens.tolist())
+        }
+
+
+def table_of(lengths: dict[str, int]) -> Table:
+    keys = sorted(lengths)
+    raw = [k.encode("utf-8") for k in keys]
+    return Table(b"".join(raw), np.array([len(k) for k in raw], np.uint16), np.array([lengths[k] for k in keys], np.uint16))
+
+
+def frequent_pre_tokens(documents: DataFrame, path: str, pattern: str, text: str = "text") -> Table:
+    """The most frequent pre-tokens of about ``SAMPLE_TEXTS`` texts drawn from all rows, with their lengths.
+
+    Every row may be drawn, a long text with a stretch that its digest chooses. Which texts they are changes the speed, not
+    the counts.
     """
     import regex
     from tokenizers import Tokenizer
 
-    sample = documents.select(F.col(text).alias("t")).where(F.octet_length("t") <= SAMPLE_BYTES).limit(SAMPLE_TEXTS)
+    rows = documents.select(F.col(text).alias("t")).where(F.octet_length("t") > 0)
+    total = rows.count()
+    start = 1 + F.pmod(F.xxhash64("t"), F.greatest(F.length("t") - SAMPLE_CHARS + 1, F.lit(1)))
+    stretch = F.substr(F.col("t"), start.cast("int"), F.lit(SAMPLE_CHARS)).alias("t")
+    sample = rows.sample(min(1.0, SAMPLE_TEXTS / max(total, 1)), seed=7).select(stretch)
     compiled, found = regex.compile(pattern), Counter()
     for row in sample.collect():
         found.update(compiled.findall(row["t"]))
     keys = [k for k, _ in found.most_common(TABLE_ENTRIES) if len(k) <= MAX_KEY]
     encoded = Tokenizer.from_file(path).encode_batch(keys, add_special_tokens=False)
-    return {k: len(e.ids) for k, e in zip(keys, encoded)}
+    return table_of({k: len(e.ids) for k, e in zip(keys, encoded)})
 
 
 def token_counter(documents: DataFrame, path: str, pattern: str, text: str = "text"):
