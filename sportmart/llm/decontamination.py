@@ -92,8 +92,19 @@ def tiles(item: list[int], text: list[int], least: int = MIN_MATCH, search: int
         size = max(least, size // 2)
 
 
-def tile_pairs(least: int):
-    """Rows of an item's words and a text's segments in, the tiling's figures out."""
+def reachable(item: list[int], text: list[int], least: int) -> int:
+    """Words of the item that any shared seed covers: no tiling can mark more."""
+    seeds = {tuple(text[t : t + least]) for t in range(len(text) - least + 1)}
+    covered, end = 0, 0
+    for p in range(len(item) - least + 1):
+        if tuple(item[p : p + least]) in seeds:
+            covered += p + least - max(end, p)
+            end = p + least
+    return covered
+
+
+def tile_pairs(least: int, threshold: float = 0.0):
+    """Rows of an item's words and a text's segments in, the tiling's figures out; zeros where ``threshold`` cannot be reached."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -105,7 +116,7 @@ def tile_pairs(least: int):
                 for segment in segments:
                     # Words of no item and the gaps between segments match nothing.
                     text += [number.get(w, 0) for w in segment.split(" ")] + [0]
-                found = tiles(code, text, least)
+                found = tiles(code, text, least) if reachable(code, text, least) >= threshold * len(code) else []
                 rows.append((sum(n for _, _, n in found), len(found), max((n for _, _, n in found), default=0), len(code)))
             figures = [pa.array([r[k] for r in rows], pa.int64()) for k in range(4)]
             kept = [batch.column(k) for k in ("item_key", "profile")]
@@ -168,6 +179,32 @@ def segments_of(filter_broadcast, least: int):
     return run
 
 
+def telling_seeds(item_seeds: DataFrame, text_seeds: DataFrame, least: int, threshold: float) -> DataFrame:
+    """``item_key``, ``seed`` of those seeds of each item by which any text that covers enough of it must meet it.
+
+    A text that covers ``threshold`` of an item's words leaves few uncovered; so of one word more than those in a row, one is covered,
+    by a seed that reaches it. Of all such stretches of the item the one whose seeds are in the fewest texts is taken, so a
+    seed that many items and many texts share joins them only if the item has nothing rarer.
+    """
+    common = text_seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("texts"))
+    counted = item_seeds.join(common, "seed", "left").select(
+        "item_key", "size", F.struct("at", F.coalesce("texts", F.lit(0)).alias("texts"), "seed").alias("s")
+    )
+    # An item's seeds are as many as its words.
+    items = counted.groupBy("item_key", "size").agg(F.array_sort(F.collect_list("s")).alias("seeds"))
+    reach = (F.col("size") - F.ceil(F.col("size") * threshold - 1e-9) + 1).cast("int") + least - 1
+    width = F.least(reach, F.size("seeds"))
+    starts = F.sequence(F.lit(1), F.size("seeds") - width + 1)
+    costs = F.transform(
+        starts,
+        lambda a: F.struct(
+            F.aggregate(F.slice("seeds", a, width), F.lit(0).cast("long"), lambda n, s: n + s["texts"]).alias("cost"), a.alias("a")
+        ),
+    )
+    items = items.withColumn("start", F.array_min(costs)["a"])
+    return items.select("item_key", F.explode(F.slice("seeds", F.col("start"), width)).alias("s")).select("item_key", "s.seed").distinct()
+
+
 def contaminated(
     documents: DataFrame, benchmark: DataFrame, least: int = MIN_MATCH, threshold: float = THRESHOLD,
     id_column: str = "doc_id", text: str = "text",
@@ -175,40 +212,55 @@ def contaminated(
     """``id``, ``text_hash``, ``item_id``, ``coverage``, ``tiles`` and ``longest`` of every document and item whose tiles of ``least`` words
     or more cover ``threshold`` of the item's words.
 
-    Words are runs of letters, digits and non-ASCII characters; A-Z count as a-z. Items with fewer than ``least`` words
-    have no seed and are never found; null texts and items neither. Only stretches of a document that pass
+    Words are runs of letters, digits and non-ASCII characters; A-Z count as a-z. An item of fewer than ``least`` words
+    is found where all its words stand in a row: a pass over the documents for each such length that there is. Null texts
+    and items, and items without a word, are never found. Only stretches of a document that pass
     a filter of fixed size for the items' seeds leave the task that read it; no tile can reach outside them. Documents
     with the same stretches are tiled once. Rows without an id sort behind all others (``id`` is ``NO_ID``).
     """
     spark = documents.sparkSession
     importable(spark)
     items = benchmark.select("item_id", spaced_words(F.col("text")).alias("words")).distinct()
-    items = staged(spark, items.withColumn("item_key", F.md5(F.concat_ws("|", "item_id", "words"))), "items")
-    shared = spark.sparkContext.broadcast(seed_filter(items, least))
+    size = F.size(F.split("words", " "))
+    items = items.withColumn("item_key", F.md5(F.concat_ws("|", "item_id", "words"))).where("words <> ''")
+    items = staged(spark, items.withColumn("least", F.least(size, F.lit(least))), "items")
+    # At most ``least`` lengths.
+    lengths = sorted({r["least"] for r in items.select("least").distinct().collect()} | {least})
     rows = documents.select(
         F.coalesce(F.col(id_column), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("text_hash"),
         F.col(text).cast("binary").alias("text"),
     )
+    found = None
+    for n in lengths:
+        own = items.where(F.col("least") == n).drop("least")
+        part = holders(rows, own, n, threshold)
+        found = part if found is None else found.unionByName(part)
+    return found
+
+
+def holders(rows: DataFrame, items: DataFrame, least: int, threshold: float) -> DataFrame:
+    """``contaminated`` for items of ``least`` words or more."""
+    spark = rows.sparkSession
+    shared = spark.sparkContext.broadcast(seed_filter(items, least))
     held = rows.mapInArrow(segments_of(shared, least), "id long, text_hash long, segments array<string>")
     held = staged(spark, held.withColumn("profile", F.md5(F.array_join("segments", "\n"))), "segments")
     profiles = held.groupBy("profile", "segments").agg(F.count(F.lit(1)).alias("copies")).drop("copies")
 
     def seeds(words):
-        many = F.size(words) >= least
-        return F.when(
-            many,
-            F.transform(F.sequence(F.lit(1), F.size(words) - least + 1), lambda i: F.array_join(F.slice(words, i, F.lit(least)), " ")),
-        )
-
-    item_words = F.split("words", " ")
-    item_seeds = items.select("item_key", item_words.alias("w")).select("item_key", F.explode(seeds(F.col("w"))).alias("seed"))
+        places = F.when(F.size(words) >= least, F.sequence(F.lit(1), F.size(words) - least + 1))
+        return F.transform(places, lambda i: F.struct(i.alias("at"), F.array_join(F.slice(words, i, F.lit(least)), " ").alias("seed")))
+
+    item_seeds = items.select("item_key", F.split("words", " ").alias("w"))
+    item_seeds = item_seeds.select("item_key", F.size("w").alias("size"), F.inline(seeds(F.col("w"))))
     text_seeds = profiles.select("profile", F.explode("segments").alias("segment"))
     text_seeds = text_seeds.select("profile", F.split("segment", " ").alias("w"))
-    text_seeds = text_seeds.select("profile", F.explode(seeds(F.col("w"))).alias("seed")).distinct()
-    pairs = text_seeds.join(item_seeds.distinct(), "seed").select("profile", "item_key").distinct()
+    text_seeds = text_seeds.select("profile", F.inline(seeds(F.col("w")))).select("profile", "seed").distinct()
+    text_seeds = staged(spark, text_seeds, "seeds")
+    telling = telling_seeds(item_seeds, text_seeds, least, threshold)
+    pairs = text_seeds.join(telling, "seed").select("profile", "item_key").distinct()
     pairs = pairs.join(profiles, "profile").join(items.select("item_key", "words"), "item_key")
     tiled = pairs.select("item_key", "profile", "words", "segments").mapInArrow(
-        tile_pairs(least), "item_key string, profile string, marked long, tiles long, longest long, size long"
+        tile_pairs(least, threshold), "item_key string, profile string, marked long, tiles long, longest long, size long"
     )
     tiled = tiled.withColumn("coverage", F.col("marked") / F.col("size")).where(F.col("coverage") >= threshold)
     tiled = tiled.join(items.select("item_key", "item_id"), "item_key")
