@@ -34,40 +34,82 @@ def base_counts(text):
     }
 
 
-def chunks(text):
+def passages(text, seen, least=10):
+    """Places of the lines that go: runs of pairs of neighbouring lines with words that are ``seen(pair, number)``, of ``least`` words."""
     lines = text.split("\n")
-    hashes = [int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in lines]
-    out, start = [], 0
-    for i in range(len(lines)):
-        rolled = hashes[i]
-        for back in (1, 2):
-            rolled = (rolled * 1_000_003 + (hashes[i - back] if i >= back else 0)) % 2_147_483_647
-        if rolled % 4 == 0 or i == len(lines) - 1:
-            out.append(lines[start : i + 1])
-            start = i + 1
-    return out
-
-
-def line_dedup(rows):
+    at = [k for k, x in enumerate(lines) if words(x)]
+    pairs = [(lines[a], lines[b]) for a, b in zip(at, at[1:])]
+    hits, gone = [k for k, p in enumerate(pairs) if seen(p, k)], set()
+    runs = []
+    for k in hits:
+        if runs and k - runs[-1][-1] <= 2:
+            runs[-1].append(k)
+        else:
+            runs.append([k])
+    for run in runs:
+        covered = at[run[0] : run[-1] + 2]
+        if sum(len(words(lines[k])) for k in covered) >= least:
+            gone |= set(range(covered[0], covered[-1] + 1))
+    return gone
+
+
+def line_dedup(rows, mean=1):
     """Texts of ``(id, text)`` rows; ids are distinct."""
-    several = lambda c: sum(bool(words(x)) for x in c) >= 2
-    first = {}
+    def chosen(pair):
+        a, b = (int(hashlib.md5(x.encode()).hexdigest()[:7], 16) for x in pair)
+        return (b * 1_000_003 + a) % 2_147_483_647 % mean == 0
+
+    holder = {}
     for i, text in sorted(rows):
-        for c in chunks(text or ""):
-            first.setdefault("\n".join(c), i)
+        own = [x for x in (text or "").split("\n") if words(x)]
+        for p in zip(own, own[1:]):
+            holder.setdefault(p, i)
     out = {}
     for i, text in rows:
-        seen, kept = set(), []
-        for c in chunks(text or ""):
-            joined = "\n".join(c)
-            if several(c) and (first[joined] < i or joined in seen):
-                continue
-            seen.add(joined)
-            kept.append(joined)
-        out[i] = None if text is None else "\n".join(kept)
+        if text is None:
+            out[i] = None
+            continue
+        place = {}
+
+        def seen(pair, k):
+            if not chosen(pair):
+                return False
+            first = place.setdefault(pair, k)  # noqa: B023
+            return holder[pair] < i or k >= first + 2  # noqa: B023
+
+        gone = passages(text, seen)
+        out[i] = "\n".join(x for k, x in enumerate(text.split("\n")) if k not in gone)
     return out
 
 
+def shared_runs(rows, least=50):
+    """Lines of runs of two or more neighbouring lines with over ``least`` words that a document with a smaller id, no exact copy,
+    holds too: (id, lines of the run)."""
+    seen, texts, found = {}, set(), []
+    for i, text in sorted(rows):
+        if text is None or text in texts:
+            continue
+        texts.add(text)
+        lines = text.split("\n")
+        pairs = list(zip(lines, lines[1:]))
+        hit = [seen.get(p, i) < i for p in pairs]
+        k = 0
+        while k < len(pairs):
+            if not hit[k]:
+                k += 1
+                continue
+            end = k
+            while end + 1 < len(pairs) and hit[end + 1]:
+                end += 1
+            run = lines[k : end + 2]
+            if sum(map(bool, map(words, run))) > 1 and sum(len(words(x)) for x in run) > least:
+                found.append((i, run))
+            k = end + 1
+        for p in pairs:
+            seen.setdefault(p, i)
+    return found
+
+
 def fingerprint(text):
     w = [x.encode() for x in words(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))]
     shingles = [b" ".join(w[i : i + 3]) for i in range(len(w) - 2)] if len(w) > 2 else [b" ".join(w)] if w else []
@@ -147,5 +189,25 @@ def substring_dedup(rows, window=50):
     return out
 
 
+def tiling(item, text, least):
+    """Lengths of greedy tiles: again and again the longest match of unmarked words, the first one in the item and then in the text."""
+    item, text, out = list(item), list(text), []
+    while True:
+        best = (0, 0, 0)
+        lengths = [0] * (len(text) + 1)
+        for p in range(len(item) - 1, -1, -1):
+            lengths = [
+                lengths[t + 1] + 1 if item[p] == text[t] and item[p] > 0 and text[t] > 0 else 0 for t in range(len(text))
+            ] + [0]
+            longest = max(lengths)
+            if longest >= best[0] and longest:
+                best = (longest, p, lengths.index(longest))
+        n, p, t = best
+        if n < least:
+            return out
+        out.append(n)
+        item[p : p + n], text[t : t + n] = [-1] * n, [-2] * n
+
+
 def crc(text):
     return zlib.crc32((text or "").encode())

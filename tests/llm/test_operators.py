@@ -62,6 +62,38 @@ def test_line_dedup(docs):
     assert any(r["n_removed"] for r in got.values())
 
 
+@pytest.mark.parametrize("mean", [2, 3])
+def test_line_dedup_by_fewer_chunks(docs, mean):
+    got = by_id(line_dedup.dedup_lines(docs, mean=mean))
+    assert {i: r["text"] for i, r in got.items()} == brute.line_dedup(list(data.texts().items()), mean)
+
+
+def test_line_dedup_finds_planted_passages_at_every_offset(spark):
+    """Passages of two to six lines and over 50 words between other lines, blank ones too, in documents of their own."""
+    rows, want, n = [], {}, 0
+    for lines in range(2, 7):
+        passage = [data.prose(300 + 10 * lines + k, 52 // lines + 1).replace("\n", " ") for k in range(lines)]
+        for before in range(6):
+            own = [data.prose(1000 + 50 * n + k, 12).replace("\n", " ") for k in range(before + 3)]
+            held = passage if n % 2 else "\n\n \n".join(passage).split("\n")
+            rows.append((n, "\n".join([*own[:before], *held, *own[before:]]), "en", "s", 1))
+            want[n] = "\n".join(own) if before else rows[-1][1]
+            n += 1
+    got = {r["doc_id"]: r["text"] for r in line_dedup.dedup_lines(data.frame(spark, rows)).collect()}
+    assert got == want
+
+
+def test_line_dedup_leaves_no_shared_passage(spark):
+    """Runs found on their own, by neighbouring lines of other documents, no exact copies: all their lines go."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    runs = brute.shared_runs([tuple(r) for r in docs.collect()])
+    left = {r["doc_id"]: (r["text"] or "").split("\n") for r in line_dedup.dedup_lines(docs).collect()}
+    assert len(runs) >= 10
+    for doc_id, run in runs:
+        assert not any(left[doc_id][k : k + len(run)] == run for k in range(len(left[doc_id])))
+        assert sum(line in left[doc_id] for line in run if brute.words(line)) <= 0.1 * len(run), run
+
+
 def test_sentencepiece(docs):
     model = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     coded = sentencepiece_bpe.round_trip(PIECES)
@@ -149,19 +181,55 @@ def test_decontamination_finds_reordered_items(spark):
     rows = [
         (1, " ".join(["x"] * 9 + item + ["y"] * 9), None, None, None), (2, " ".join(moved).encode().upper().decode(), None, None, None),
         (3, " ".join(few), None, None, None), (4, data.prose(22, 200), None, None, None), (5, None, None, None, None),
-        (6, "", None, None, None), (7, "-- ".join(other) + " " + " ".join(item), None, None, None), (None, " ".join(item), None, None, None),
+        (6, "", None, None, None), (8, "these two  words here", None, None, None), (9, "words two", None, None, None), (7, "-- ".join(other) + " " + " ".join(item), None, None, None), (None, " ".join(item), None, None, None),
     ]
     items = spark.createDataFrame(
-        [(1, " ".join(item)), (1, " ".join(item)), (2, " ".join(other)), (3, None), (4, "too short"), (None, " ".join(other))], ITEMS
+        [(1, " ".join(item)), (1, " ".join(item)), (2, " ".join(other)), (3, None), (4, "too short"), (5, "?!"), (6, "Two, words"), (None, " ".join(other))], ITEMS
     )
     docs = data.frame(spark, rows)
     found = decontamination.report(docs, items).collect()
     got = sorted((r["doc_id"] or 0, r["item_id"] or 0) for r in found)
-    assert got == [(0, 1), (1, 1), (2, 1), (7, 0), (7, 1), (7, 2)]
+    assert got == [(0, 1), (1, 1), (2, 1), (7, 0), (7, 1), (7, 2), (8, 6)]
     tiles = {r["doc_id"]: r["tiles"] for r in found if r["item_id"] == 1}
     assert tiles[1] == 1 and tiles[2] == 2
     left = decontamination.clean(docs, items)
-    assert sorted(r["doc_id"] for r in left.collect()) == [3, 4, 5, 6] and left.columns == docs.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == [3, 4, 5, 6, 9] and left.columns == docs.columns
+
+
+def plain_report(docs, items):
+    """All documents against all items: the tiling of whole texts, or the whole short item."""
+    found = set()
+    for doc_id, text in docs:
+        words = brute.license_words(text)
+        for item_id, item in items:
+            own = brute.license_words(item)
+            number = {w: k for k, w in enumerate(dict.fromkeys(own), 1)}
+            code, rest = [number[w] for w in own], [number.get(w, 0) for w in words]
+            marked = brute.tiling(code, rest, min(5, len(own))) if own else []
+            if own and sum(marked) >= 0.8 * len(own):
+                found.add((doc_id, item_id, sum(marked) / len(own), len(marked), max(marked)))
+    return found
+
+
+def test_decontamination_of_the_whole_table(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    items = spark.read.parquet("/root/testdata/sf0.001/benchmark.parquet")
+    got = {tuple(r) for r in decontamination.report(docs, items).select("doc_id", "item_id", "coverage", "tiles", "longest").collect()}
+    want = plain_report([(r["doc_id"], r["text"]) for r in docs.collect()], [(r["item_id"], r["text"]) for r in items.collect()])
+    assert {x[:3] for x in got} == {x[:3] for x in want} and got
+
+
+def test_decontamination_of_common_phrases_and_repetitive_texts(spark):
+    """Items that share a phrase with many documents; texts of one word over and over, long ones too."""
+    phrase = "once upon a time there was a king"
+    items = [(k, f"{phrase} {data.prose(500 + k, 8)}") for k in range(12)] + [(50, "la " * 20), (51, phrase), (52, "la la la")]
+    docs = [(k, f"{data.prose(600 + k, 30)} {phrase} {data.prose(700 + k, 30)}") for k in range(40)]
+    docs += [(100 + k, f"x {items[k][1]} y") for k in range(3)] + [(200, "la " * 20_000), (201, "la la"), (202, "la " * 17 + "end")]
+    docs += [(203, " ".join(items[4][1].split()[8:] + items[4][1].split()[:8]))]
+    df = data.frame(spark, [(i, t, None, None, None) for i, t in docs])
+    got = {tuple(r) for r in decontamination.report(df, spark.createDataFrame(items, ITEMS)).collect()}
+    small = [(i, t[:3000]) for i, t in docs]
+    assert {(a, b) for a, b, *_ in got} == {(a, b) for a, b, *_ in plain_report(small, items)}
 
 
 def test_language_id_is_right_on_held_out_texts(spark):

@@ -2,6 +2,7 @@
 
 import math
 import random
+import time
 from itertools import combinations
 
 import numpy as np
@@ -164,6 +165,46 @@ def test_pieces_of_joined_vocabulary_and_cache_reset(coders, monkeypatch):
     assert [x.tolist() for x in own.encode(texts)] == library.encode(texts, add_eos=True)
 
 
+def long_texts(n):
+    r = random.Random(n)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    return {
+        "blanks": " " * n, "letters": "".join(r.choice(letters) for _ in range(n)), "few": "".join(r.choice("aet") for _ in range(n)),
+        "one": "a" * n, "equal": "=" * n, "pairs": "ab" * (n // 2), "threes": "the" * (n // 3), "sevens": "ing=the" * (n // 7),
+        "mixed": "".join(r.choice([" " * r.randint(1, 40), "then", "-", "\n", "é", "日本", "😀"]) for _ in range(n // 8)),
+        "lines": "\n" * n, "near": " " * (n // 2) + "x" + " " * (n // 2) + "yes",
+    }
+
+
+def test_long_words_as_the_library_cuts_them(coders):
+    own, library = coders
+    for n in (129, 200, 1003, 5000):
+        for name, text in long_texts(n).items():
+            assert own.encode([text])[0].tolist() == library.encode(text, add_eos=True), (name, n)
+
+
+@settings(max_examples=150, deadline=None)
+@given(text=st.text(alphabet=st.sampled_from("  ▁aabbeht=-."), min_size=130, max_size=700), times=st.integers(1, 4))
+def test_repeated_texts_as_the_library_cuts_them(coders, text, times):
+    own, library = coders
+    assert own.encode([text * times])[0].tolist() == library.encode(text * times, add_eos=True)
+
+
+def test_time_grows_with_the_text(coders):
+    """Ten times the text takes about ten times as long, whatever the text."""
+    own, library = coders
+    for name in long_texts(10):
+        took = []
+        for n in (10_000, 100_000):
+            text = long_texts(n)[name]
+            own.forget()
+            start = time.perf_counter()
+            ids = own.encode([text])[0]
+            took.append(time.perf_counter() - start)
+            assert ids.tolist() == library.encode(text, add_eos=True)
+        assert took[1] < 30 * took[0] + 0.5 and took[1] < 15, (name, took)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 7, 23, 97, 200, 1000, 1009])
 def test_permutation(spark, n, monkeypatch):
     # Few tries leave surplus cells, so that the walk is walked.
