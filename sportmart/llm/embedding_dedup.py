@@ -33,8 +33,9 @@ ROUNDS = 8
 #: spread, in one direction, of a displacement as long as the threshold allows that points anywhere. ``math.inf`` asks every
 #: list that a displacement of that length can reach, which loses nothing.
 SPREAD = 1.5
-#: Members of a list in one block, and wanted vectors that meet them at a time.
+#: Members of a list in one block, vectors wanted there in one block, and those that meet the members at a time.
 BLOCK = 2048
+WANTED_BLOCK = 8192
 WANTED = 64
 #: Room for rounding in distances.
 ROUNDING = 1e-6
@@ -94,13 +95,15 @@ def fitted(points: np.ndarray, k: int, rounds: int = ROUNDS) -> np.ndarray:
 
 @dataclass
 class Index:
-    """What all tasks know: at most ``MAX_LISTS`` + ``CODEWORDS`` centres, and the number of blocks of each list."""
+    """What all tasks know: at most ``MAX_LISTS`` + ``CODEWORDS`` centres, and in how many blocks each list's members and the vectors
+    wanted there are dealt out."""
 
     centres: np.ndarray
     books: list[np.ndarray]
-    blocks: np.ndarray
     reach: float
     slack: float
+    blocks: np.ndarray | None = None
+    rows: np.ndarray | None = None
 
     def parts(self, points: np.ndarray) -> list[np.ndarray]:
         return np.array_split(points, len(self.books), axis=1)
@@ -144,37 +147,48 @@ def fit(sample: np.ndarray, total: int, threshold: float, spread: float, block:
     own = nearest(sample, centres)
     residuals = sample - centres[own]
     books = [fitted(part, CODEWORDS) for part in np.array_split(residuals, min(SUBSPACES, sample.shape[1]), axis=1)]
-    expected = np.bincount(own, minlength=len(centres)) * (total / len(sample))
     reach = math.sqrt(max(0.0, 2 - 2 * threshold)) + ROUNDING
-    slack = spread * reach / math.sqrt(sample.shape[1])
-    return Index(centres, books, np.maximum(1, np.ceil(expected / block)).astype(int), reach, slack)
+    index = Index(centres, books, reach, spread * reach / math.sqrt(sample.shape[1]))
+    own, wanted = index.lists(sample)
+    per, many = total / len(sample), np.bincount(own, minlength=len(centres))
+    index.blocks = np.maximum(1, np.ceil(many * per / block)).astype(int)
+    index.rows = np.maximum(1, np.ceil(wanted.sum(axis=0) * per / (WANTED_BLOCK * block / BLOCK))).astype(int)
+    return index
 
 
 def listed(index: Index):
     """Each vector once as a member of a block of its own list, and once wanted in every block of every list that it is near to."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["list", "block", "wanted", "node", "times", "own", "near", "raw"]
+        names = ["list", "block", "row", "wanted", "node", "times", "own", "near", "raw"]
+
+        def each(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            """Places and numbers from 0 on, so many for each place."""
+            at = np.repeat(np.arange(len(counts)), counts)
+            return at, np.arange(len(at)) - np.repeat(np.cumsum(counts) - counts, counts)
+
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 part = batch.slice(at, 512)
                 node, times, raw = part.column(0).to_numpy(), part.column(1).to_numpy(), part.column(2)
                 own, wanted = index.lists(matrix(raw.to_pylist()))
-                row, where = np.nonzero(wanted)
-                near = pa.array([np.flatnonzero(w).astype(np.int32) for w in wanted], pa.list_(pa.int32()))
-                n_blocks = index.blocks[where]
-                rows, lists = np.repeat(row, n_blocks), np.repeat(where, n_blocks)
-                blocks = np.arange(len(rows)) - np.repeat(np.cumsum(n_blocks) - n_blocks, n_blocks)
-                mine = node % index.blocks[own]
-                every = np.concatenate([np.arange(len(node)), rows])
-                member = np.arange(len(every)) < len(node)
+                place, where = np.nonzero(wanted)
+                near = [np.flatnonzero(w).astype(np.int32) for w in wanted]
+                # A member lies in one block and comes to all its rows, a wanted vector in one row of every block.
+                member, its_row = each(index.rows[own])
+                asking, its_block = each(index.blocks[where])
+                lists = np.concatenate([own[member], where[asking]])
+                blocks = np.concatenate([(node % index.blocks[own])[member], its_block])
+                # Another digit of the node, so that rows and blocks are not alike.
+                digit = node * 0x9E3779B1 % 2**31
+                rows = np.concatenate([its_row, (digit[place] % index.rows[where])[asking]])
+                every = np.concatenate([member, place[asking]])
+                # Only members are asked which lists want them.
+                lists_of = [near[i] for i in member.tolist()] + [None] * len(asking)
                 yield pa.RecordBatch.from_arrays([
-                    pa.array(np.concatenate([own, lists]).astype(np.int32)),
-                    pa.array(np.concatenate([mine, blocks]).astype(np.int32)),
-                    pa.array(~member), pa.array(node[every]), pa.array(times[every]),
-                    pa.array(own[every].astype(np.int32)),
-                    # Only members are asked which lists want them.
-                    pa.array([near[i].as_py() if m else None for i, m in zip(every.tolist(), member.tolist())], pa.list_(pa.int32())),
+                    pa.array(lists.astype(np.int32)), pa.array(blocks.astype(np.int32)), pa.array(rows.astype(np.int32)),
+                    pa.array(np.arange(len(every)) >= len(member)), pa.array(node[every]), pa.array(times[every]),
+                    pa.array(own[every].astype(np.int32)), pa.array(lists_of, pa.list_(pa.int32())),
                     raw.take(pa.array(every)),
                 ], names)
 
@@ -186,22 +200,22 @@ class Block:
 
     def __init__(self, index: Index, threshold: float, rows: list[tuple]):
         self.index, self.threshold, self.at = index, threshold, rows[0][0]
-        self.node = np.array([r[3] for r in rows])
-        self.times = np.array([r[4] for r in rows])
-        self.vectors = matrix([r[7] for r in rows])
+        self.node = np.array([r[4] for r in rows])
+        self.times = np.array([r[5] for r in rows])
+        self.vectors = matrix([r[8] for r in rows])
         codes, self.error = index.coded(self.vectors - index.centres[self.at])
         self.codes = np.ascontiguousarray(codes.T)
         # Members that are wanted in another list, by that list.
         self.wanted_in: dict[int, np.ndarray] = {}
         for i, r in enumerate(rows):
-            for where in r[6]:
+            for where in r[7]:
                 self.wanted_in.setdefault(where, []).append(i)
         self.links = np.zeros(len(rows), np.int64)
         self.label = self.node.copy()
 
     def meet(self, rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Nodes, numbers of links and edges of wanted vectors. A pair that two blocks find counts in the one of the lower list."""
-        vectors, node = matrix([r[7] for r in rows]), np.array([r[3] for r in rows])
+        vectors, node = matrix([r[8] for r in rows]), np.array([r[4] for r in rows])
         squares = np.zeros((len(rows), len(self.node)))
         for table, code in zip(self.index.tables(vectors - self.index.centres[self.at]), self.codes):
             squares += table[:, code]
@@ -211,7 +225,7 @@ class Block:
             return
         linked = vectors[some] @ self.vectors[them].T >= self.threshold
         linked &= near[np.ix_(some, them)]
-        own = np.array([rows[i][5] for i in some])
+        own = np.array([rows[i][6] for i in some])
         for row, home in enumerate(own):
             if home == self.at:
                 linked[row] &= self.node[them] > node[some[row]]
@@ -222,7 +236,7 @@ class Block:
         here = linked.any(axis=1)
         if not here.any():
             return
-        times = np.array([rows[i][4] for i in some])
+        times = np.array([rows[i][5] for i in some])
         self.links[them] += times @ linked
         counts = linked @ self.times[them]
         linked, some, counts = linked[here], some[here], counts[here]
@@ -275,13 +289,13 @@ def searched(index: Index, threshold: float):
             waiting = []
 
         for batch in batches:
-            for row in zip(*(batch.column(k).to_pylist() for k in range(8))):
-                if row[:2] != key:
+            for row in zip(*(batch.column(k).to_pylist() for k in range(9))):
+                if row[:3] != key:
                     yield from asked()
                     if block is not None:
                         yield from out(block.rest())
-                    key, members, block = row[:2], [], None
-                if row[2]:
+                    key, members, block = row[:3], [], None
+                if row[3]:
                     waiting.append(row)
                     if len(waiting) == WANTED:
                         yield from asked()
@@ -316,9 +330,9 @@ def links_of(classes: DataFrame, size: int, total: int, threshold: float, spread
     index = spark.sparkContext.broadcast(fit(matrix([r["raw"] for r in drawn]), total, threshold, spread, block))
     rows = classes.select("node", "times", "raw").mapInArrow(
         lambda batches: listed(index.value)(batches),
-        "list int, block int, wanted boolean, node long, times long, own int, near array<int>, raw binary",
+        "list int, block int, row int, wanted boolean, node long, times long, own int, near array<int>, raw binary",
     )
-    rows = rows.repartition("list", "block").sortWithinPartitions("list", "block", "wanted")
+    rows = rows.repartition("list", "block", "row").sortWithinPartitions("list", "block", "row", "wanted")
     return rows.mapInArrow(lambda batches: searched(index.value, threshold)(batches), "a long, b long, n long")
 
 
@@ -333,8 +347,8 @@ def near_vectors(
     Equal vectors are one class: its rows link with one another, and it is searched once. A null id sorts behind all others; rows
     that share an id are rows of their own. No input row, no row. Other columns are not read.
 
-    A list with many members is cut into blocks that every wanted vector visits, so no task holds more than a block; numbers are
-    summed there and edges are a forest, so near copies of one another do not leave all their pairs.
+    A list with many members, or that many vectors are wanted in, is cut into blocks of both that meet one another, so no group is
+    larger than two blocks; numbers are summed there and edges are a forest, so near copies of one another do not leave all their pairs.
     """
     spark = vectors.sparkSession
     importable(spark)
