@@ -111,7 +111,9 @@ def dealt(words: DataFrame, block: int = BLOCK) -> DataFrame:
         *keys, F.explode(every).alias("column"), place.alias("row"), F.lit(True).alias("wanted"), "word", "n"
     )
     group = [*keys, "column", "row"]
-    return listed.unionByName(wanted).repartition(*group).sortWithinPartitions(*group, "wanted", "word")
+    # A row costs far more than its bytes, so partitions are not put together by their size.
+    many = int(words.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return listed.unionByName(wanted).repartition(many, *group).sortWithinPartitions(*group, "wanted", "word")
 
 
 class SortedList:
