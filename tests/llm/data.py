@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
 CLASHING = (
     "id", "key", "words", "chunk", "digest", "print", "stratum", "shard", "slot", "row_number", "n_words", "kept",
-    "spans", "ids", "first", "gone", "label", "token", "n_lines", "text_hash",
+    "spans", "ids", "first", "gone", "label", "token", "n_lines", "text_hash", "row", "told", "coded", "__told", "__was", "__coded", "__row", "__id", "__text",
 )
 
 
