@@ -7,7 +7,7 @@ input tables. Between stages the documents are written to the shared folder and
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sportmart.llm import decontamination, language_id, line_dedup, sentencepiece_bpe, simhash
@@ -27,20 +27,30 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
         return docs.where(F.col("text").rlike(r"\p{L}"))
     # Else the filter is pushed below the prediction, which then runs twice.
     predict = language_id.language_of(docs, model).asNondeterministic()
-    told = docs.withColumn("__told", predict("text"))
-    sure = (F.col("__told.lang") != language_id.UNKNOWN) & (F.col("__told.score") >= MIN_SCORE)
-    told = told.where(sure).withColumn("lang", F.coalesce("lang", "__told.lang"))
-    return told.select(*(F.col(f"`{c}`") for c in docs.columns))
+    told = docs.select(whole(docs), predict("text").alias("told"))
+    sure = (F.col("told.lang") != language_id.UNKNOWN) & (F.col("told.score") >= MIN_SCORE)
+    return told.where(sure).select(*columns(docs, lang=F.coalesce("row.lang", "told.lang")))
+
+
+def whole(docs: DataFrame) -> Column:
+    """A row as one column, so that no helper column can meet one of its own."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+
+
+def columns(docs: DataFrame, **changed: Column) -> list[Column]:
+    """The columns of ``docs`` out of the whole row, some of them changed."""
+    return [(changed[c] if c in changed else F.col(f"row.`{c}`")).alias(c) for c in docs.columns]
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take repeated chunks of lines out. A text of which nothing is left stands whole in documents with smaller ids, and goes."""
-    done = line_dedup.dedup_lines(docs.withColumn("__was", F.btrim("text", F.lit(BLANKS)) != ""))
-    emptied = F.col("__was") & (F.btrim("text", F.lit(BLANKS)) == "")
+    done = line_dedup.dedup_lines(docs.select(whole(docs), "doc_id", "text"))
+    emptied = (F.btrim("row.text", F.lit(BLANKS)) != "") & (F.btrim("text", F.lit(BLANKS)) == "")
     done = done.where(~F.coalesce(emptied, F.lit(False)))
+    changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
-        done = done.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return done.select(*(F.col(f"`{c}`") for c in docs.columns))
+        changed["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return done.select(*columns(docs, **changed))
 
 
 def dedup_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,11 +67,11 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Add token ids, their number and the text that they decode to."""
     importable(spark)
     coded = sentencepiece_bpe.round_trip(public_tokenizers.path(MODEL))
-    rows = docs.drop("ids", "n_tokens", "decoded").withColumn("__coded", coded("text"))
+    rows = docs.select(whole(docs), coded("text").alias("coded"))
+    own = docs.drop("ids", "n_tokens", "decoded")
     return rows.select(
-        *(F.col(f"`{c}`") for c in docs.columns if c not in ("ids", "n_tokens", "decoded")),
-        F.col("__coded.ids").alias("ids"), F.size("__coded.ids").cast("long").alias("n_tokens"),
-        F.col("__coded.text").alias("decoded"),
+        *columns(own), F.col("coded.ids").alias("ids"), F.size("coded.ids").cast("long").alias("n_tokens"),
+        F.col("coded.text").alias("decoded"),
     )
 
 
