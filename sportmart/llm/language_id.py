@@ -12,6 +12,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,7 +21,9 @@ from sportmart.llm.common import importable, staged
 #: Bytes of the longest context; a context and its next byte fit an unsigned 32-bit number.
 ORDER = 3
 #: Labelled texts that the statistics are taken from, shared evenly by the languages, and the bytes that are taken of
-#: each. So at most 12 MB are counted, whatever the input, and the broadcast model is bounded by that.
+#: each. So at most 12 MB are counted, whatever the input. The broadcast model has ten bytes or fewer per language and
+#: distinct gram or context of two to four of these bytes, beside 4 KB a language: README gives measured sizes. Of more labels than
+#: texts, those with most rows are learned.
 TRAINING_TEXTS = 3000
 TRAINING_BYTES = 4096
 UNKNOWN = "und"
@@ -31,6 +34,9 @@ ROOM = 1.25
 SPARE = 32
 #: Bytes scored at a time.
 BLOCK = 1 << 17
+#: Texts scored at a time, and code lengths of single languages that are held beside them.
+BLOCK_TEXTS = 512
+EXPANDED = 1 << 17
 #: What stands before a text: contexts at its start are those behind line breaks.
 PAD = b"\n" * ORDER
 
@@ -43,83 +49,147 @@ def grams(raw: np.ndarray, ends: np.ndarray, order: int) -> np.ndarray:
     return out
 
 
-def padded(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All texts in one array, each behind a pad; the places of their bytes; where each text's places begin."""
-    raw = np.frombuffer(b"".join(PAD + t for t in texts), np.uint8).astype(np.uint32)
+def padded(texts: list[bytes], leads: list[bytes] | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All texts in one array, each behind a pad or its own of ``leads``; the places of their bytes and the texts that these
+    belong to."""
+    leads = leads or [PAD] * len(texts)
+    raw = np.frombuffer(b"".join(x for pair in zip(leads, texts) for x in pair), np.uint8).astype(np.uint32)
     sizes = np.array([len(t) for t in texts], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-    at = np.arange(int(sizes.sum())) + np.repeat((np.arange(len(texts)) + 1) * ORDER, sizes)
-    return raw, at, starts
+    text = np.repeat(np.arange(len(texts)), sizes)
+    return raw, np.arange(len(text)) + (text + 1) * ORDER, text
+
+
+class Sparse:
+    """Per gram a number for each of the languages that have one; all others have zero."""
+
+    def __init__(self, gram: np.ndarray, language: np.ndarray, value: np.ndarray):
+        """Grams in ascending order."""
+        self.keys, starts = np.unique(gram.astype(np.uint32), return_index=True)
+        self.starts = np.append(starts, len(gram)).astype(np.int64)
+        self.language = language.astype(np.uint16)
+        self.value = value.astype(np.float32)
+
+    def nbytes(self) -> int:
+        return sum(x.nbytes for x in (self.keys, self.starts, self.language, self.value))
+
+    def add(self, out: np.ndarray, text: np.ndarray, gram: np.ndarray, times: np.ndarray) -> None:
+        """Add ``times`` the numbers of ``gram`` to the rows ``text`` (ascending) of ``out``, about ``EXPANDED`` at a time."""
+        if not len(self.keys):
+            return
+        row = np.minimum(np.searchsorted(self.keys, gram), len(self.keys) - 1)
+        hit = np.flatnonzero(self.keys[row] == gram)
+        row, text, times = row[hit], text[hit], times[hit]
+        first, sizes = self.starts[row], self.starts[row + 1] - self.starts[row]
+        ends = np.cumsum(sizes)
+        n, at, done = out.shape[1], 0, 0
+        while at < len(row):
+            cut = max(at + 1, int(np.searchsorted(ends, done + EXPANDED, "right")))
+            size = sizes[at:cut]
+            # Where the numbers of a row begin, less their places among all.
+            entry = np.repeat(first[at:cut] - (ends[at:cut] - size), size) + np.arange(done, int(ends[cut - 1]))
+            cell = np.repeat(text[at:cut] * n, size) + self.language[entry]
+            weights = np.repeat(times[at:cut], size) * self.value[entry]
+            # Texts stand in order, so only the lines of those at hand are touched.
+            low, high = int(text[at]), int(text[cut - 1]) + 1
+            out[low:high] += np.bincount(cell - low * n, weights, (high - low) * n).reshape(-1, n)
+            at, done = cut, int(ends[cut - 1])
+
+
+def coded(gram: np.ndarray, language: np.ndarray) -> np.ndarray:
+    return (gram.astype(np.uint64) << np.uint64(16)) | language.astype(np.uint64)
+
+
+def without_language(code: np.ndarray) -> np.ndarray:
+    return (code >> np.uint64(16)).astype(np.uint32)
+
+
+def before(gram: np.ndarray, order: int) -> np.ndarray:
+    """The context of a gram."""
+    return gram >> np.uint32(8) if order else gram * np.uint32(0)
 
 
 class Model:
-    """Frozen code lengths, in bits, of every counted context and byte for every language."""
+    """Frozen code lengths, in bits, of the counted contexts and bytes of every language.
+
+    Only what a language has is stored. A gram that a language has is one that it has in every shorter order, so
+    the code length of a byte is 8 bits, the escapes of all contexts known to the language, and, for each order in which it
+    has the gram, its own length there less that order's escape and the length one order below.
+    """
 
     def __init__(self, languages: list[str], counts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]):
         """``counts``: by order the grams, the places of their languages and how often they occur."""
         self.languages = languages
         n = len(languages)
-        self.tables: list[tuple] = []
-        #: Per order the grams, how often each language has them, the contexts, and their bytes and kinds of bytes.
+        #: Code lengths of single bytes, and the escapes after single bytes: 256 rows of all languages.
+        self.single, self.after = np.full((256, n), 8.0), np.zeros((256, n))
+        #: Numbers by gram, and by context, of the orders that single bytes do not cover.
+        self.by_gram: dict[int, Sparse] = {}
+        self.by_context: dict[int, Sparse] = {}
+        #: Per order the grams with their languages, how often they occur, the contexts likewise, and their bytes and kinds of bytes.
         self.counted: list[tuple] | None = []
         #: Per language the bits per byte beyond which a text is in none; without any, every text is in one.
         self.limits: np.ndarray | None = None
         shorter = None
         for order in range(ORDER + 1):
             gram, language, times = counts[order]
-            keys, row = np.unique(gram, return_inverse=True)
-            seen = np.zeros((len(keys), n))
-            np.add.at(seen, (row, language), times)
-            contexts, context = np.unique(keys >> np.uint32(8) if order else keys * 0, return_inverse=True)
-            total, kinds = np.zeros((len(contexts), n)), np.zeros((len(contexts), n))
-            np.add.at(total, context, seen)
-            np.add.at(kinds, context, seen > 0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                # Method C: as many escapes as kinds of bytes have followed. A context unknown to a language costs nothing.
-                escape = np.where(total > 0, np.log2((total + kinds) / kinds), 0.0)
-                own = np.log2((total + kinds)[context] / seen)
-            if shorter is None:
-                fallback = np.full((len(keys), n), 8.0)
+            keys, row = np.unique(coded(gram, language), return_inverse=True)
+            seen = np.bincount(row, times, len(keys))
+            gram, language = without_language(keys), (keys & np.uint64(0xFFFF)).astype(np.int64)
+            contexts, context = np.unique(coded(before(gram, order), language), return_inverse=True)
+            total, kinds = np.bincount(context, seen), np.bincount(context)
+            # Method C: as many escapes as kinds of bytes have followed. A context unknown to a language costs nothing.
+            escape = np.log2((total + kinds) / kinds)
+            own = np.log2((total + kinds)[context] / seen)
+            known = (contexts & np.uint64(0xFFFF)).astype(np.int64)
+            if order == 0:
+                self.single[:, known] += escape
+                self.single[gram, language] = own
             else:
-                suffix = keys & np.uint32((1 << (8 * order)) - 1)
-                fallback = shorter[1][np.searchsorted(shorter[0], suffix)]
-            cost = np.where(seen > 0, own, escape[context] + fallback)
-            self.tables.append((keys, cost, contexts, escape))
+                below = own - escape[context] - shorter[1][np.searchsorted(shorter[0], coded(self.suffix(gram, order), language))]
+                self.by_gram[order] = Sparse(gram, language, below)
+                if order == 1:
+                    self.after[without_language(contexts), known] = escape
+                else:
+                    self.by_context[order] = Sparse(without_language(contexts), known, escape)
             self.counted.append((keys, seen, contexts, total, kinds))
-            shorter = (keys, cost)
+            shorter = (keys, own)
 
-    def bits(self, texts: list[bytes]) -> np.ndarray:
+    @staticmethod
+    def suffix(gram: np.ndarray, order: int) -> np.ndarray:
+        """The same byte in the context one order below."""
+        return gram & np.uint32((1 << (8 * order)) - 1)
+
+    def nbytes(self) -> int:
+        """Size of what is broadcast once limits are known."""
+        return self.single.nbytes + self.after.nbytes + sum(
+            t.nbytes() for tables in (self.by_gram, self.by_context) for t in tables.values()
+        )
+
+    def bits(self, texts: list[bytes], leads: list[bytes] | None = None) -> np.ndarray:
         """Code length of each text under each language."""
-        raw, at, starts = padded(texts)
-        cost = np.zeros((len(at), len(self.languages)))
-        left = np.arange(len(at))
-        for order in range(ORDER, -1, -1):
-            keys, costs, contexts, escape = self.tables[order]
-            gram = grams(raw, at[left], order)
-            row = np.minimum(np.searchsorted(keys, gram), len(keys) - 1)
-            hit = keys[row] == gram
-            cost[left[hit]] += costs[row[hit]]
-            left, gram = left[~hit], gram[~hit]
-            context = gram >> np.uint32(8) if order else gram * 0
-            row = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-            known = contexts[row] == context
-            cost[left[known]] += escape[row[known]]
-        cost[left] += 8.0
-        out = np.zeros((len(texts), len(self.languages)))
-        full = np.flatnonzero([len(t) > 0 for t in texts])
-        if len(full):
-            out[full] = np.add.reduceat(cost, starts[full], axis=0)
+        raw, at, text = padded(texts, leads)
+        code, times = np.unique((text.astype(np.uint64) << np.uint64(32)) | grams(raw, at, ORDER), return_counts=True)
+        text, gram = (code >> np.uint64(32)).astype(np.int64), code.astype(np.uint32)
+
+        def per_byte(byte: np.ndarray) -> np.ndarray:
+            return np.bincount(text * 256 + byte, times, len(texts) * 256).reshape(len(texts), 256)
+
+        out = per_byte(gram & np.uint32(255)) @ self.single + per_byte((gram >> np.uint32(8)) & np.uint32(255)) @ self.after
+        for order in range(1, ORDER + 1):
+            own = self.suffix(gram, order + 1) if order < ORDER else gram
+            self.by_gram[order].add(out, text, own, times)
+            if order > 1:
+                self.by_context[order].add(out, text, before(own, order), times)
         return out
 
     def long_bits(self, text: bytes) -> np.ndarray:
-        """Code length of a text of any length, in blocks that begin with the bytes before them."""
+        """Code length of a text of any length, in blocks behind the bytes before them."""
         total = np.zeros(len(self.languages))
+        behind = PAD + text
         for at in range(0, len(text), BLOCK):
-            lead = text[max(0, at - ORDER) : at]
-            total += self.bits([text[max(0, at - ORDER) : at + BLOCK]])[0] - (self.bits([lead])[0] if at else 0)
+            total += self.bits([text[at : at + BLOCK]], [behind[at : at + ORDER]])[0]
         return total
 
-
     def bits_left_out(self, language: int, text: bytes) -> float:
         """Code length of a counted text under its language, as if it had not been counted."""
         raw, at, _ = padded([text])
@@ -127,18 +197,19 @@ class Model:
         for order in range(ORDER + 1):
             keys, seen, contexts, total, kinds = self.counted[order]
             own, times = np.unique(grams(raw, at, order), return_counts=True)
-            others = seen[np.searchsorted(keys, own), language] - times
-            before, context = np.unique(own >> np.uint32(8) if order else own * 0, return_inverse=True)
-            row = np.searchsorted(contexts, before)
-            n = total[row, language] - np.bincount(context, times)
-            k = kinds[row, language] - np.bincount(context, others == 0)
+            of_own = np.full(len(own), language)
+            others = seen[np.searchsorted(keys, coded(own, of_own))] - times
+            lead, context = np.unique(before(own, order), return_inverse=True)
+            row = np.searchsorted(contexts, coded(lead, of_own[: len(lead)]))
+            n = total[row] - np.bincount(context, times)
+            k = kinds[row] - np.bincount(context, others == 0)
             with np.errstate(divide="ignore", invalid="ignore"):
                 escape = np.where(n > 0, np.log2((n + k) / k), 0.0)
                 cost = np.log2((n + k)[context] / others)
             if shorter is None:
                 fallback = np.full(len(own), 8.0)
             else:
-                fallback = shorter[1][np.searchsorted(shorter[0], own & np.uint32((1 << (8 * order)) - 1))]
+                fallback = shorter[1][np.searchsorted(shorter[0], self.suffix(own, order))]
             cost = np.where(others > 0, cost, escape[context] + fallback)
             shorter = (own, cost)
         return float((cost * times).sum())
@@ -162,7 +233,7 @@ def code_lengths(model: Model, texts: list[bytes]) -> np.ndarray:
             continue
         block.append(i)
         held += len(text)
-        if held >= BLOCK:
+        if held >= BLOCK or len(block) >= BLOCK_TEXTS:
             flush()
     flush()
     return out
@@ -183,20 +254,23 @@ def training_rows(documents: DataFrame, id_column: str = "doc_id", text: str = "
     rows = documents.select(F.col(id_column).alias("id"), F.col(text).alias("text"), F.col(label).alias("label"))
     rows = rows.where(F.col("id").isNotNull() & F.col("label").isNotNull() & ~held_out("id"))
     rows = rows.where(F.octet_length("text") > 0)
-    slim = rows.select("id", "label", F.xxhash64("id", "text").alias("digest"))
-    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
+    rows = rows.withColumn("digest", F.xxhash64("id", "text"))
+    slim = rows.select("id", "label", "digest")
+    counts = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.orderBy(F.desc("n"), "label").limit(TRAINING_TEXTS).collect()
     share = max(1, TRAINING_TEXTS // max(1, len(counts)))
     bounds = [(r["label"], min(2**63 - 1, 2**64 * 4 * share // r["n"] - 2**63)) for r in counts]
     bounds = rows.sparkSession.createDataFrame(bounds, "label string, bound long")
     # One row per language.
-    slim = slim.join(F.broadcast(bounds), "label").where("digest <= bound")
+    slim = slim.join(F.broadcast(bounds), "label").where("digest <= bound").select("label", "digest", "id").distinct()
     order = Window.partitionBy("label").orderBy("digest", "id")
     chosen = slim.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= share)
-    # At most TRAINING_TEXTS ids, or one per label.
-    taken = rows.join(F.broadcast(chosen.select("id").distinct()), "id")
+    # At most TRAINING_TEXTS rows. Repeated rows count once.
+    taken = rows.join(F.broadcast(chosen.select("label", "digest", "id")), ["label", "digest", "id"])
     beyond = F.greatest(F.octet_length("text") - TRAINING_BYTES, F.lit(0))
-    start = F.pmod(F.xxhash64("id", "text"), (beyond + 1).cast("long")).cast("int") + 1
-    return taken.select("label", F.substring(F.col("text").cast("binary"), start, F.lit(TRAINING_BYTES)).alias("text"))
+    start = F.pmod("digest", (beyond + 1).cast("long")).cast("int") + 1
+    stretch = F.substring(F.col("text").cast("binary"), start, F.lit(TRAINING_BYTES)).alias("text")
+    return taken.select("label", "digest", "id", stretch).dropDuplicates(["label", "digest", "id"]).select("label", "text")
 
 
 def whole_characters(stretch: bytes) -> bytes:
@@ -229,18 +303,16 @@ def fit(documents: DataFrame, limited: bool = False, **columns: str) -> Model |
     if limited:
         rows = staged(documents.sparkSession, rows, "training")
     counted = rows.mapInArrow(count_grams, "label string, `order` int, gram long, n long")
-    summed = counted.groupBy("label", "order", "gram").agg(F.sum("n").alias("n")).toPandas()
-    if not len(summed):
+    summed = counted.groupBy("label", "order", "gram").agg(F.sum("n").alias("n")).toArrow()
+    if not summed.num_rows:
         return None
-    languages = sorted(summed["label"].unique())
-    summed["language"] = summed["label"].map({x: i for i, x in enumerate(languages)})
+    languages = sorted(pc.unique(summed["label"]).to_pylist())
+    language = pc.index_in(summed["label"], pa.array(languages)).to_numpy()
+    of_order, gram, n = (summed[c].to_numpy() for c in ("order", "gram", "n"))
     counts = {}
     for order in range(ORDER + 1):
-        own = summed[summed["order"] == order].sort_values(["gram", "language"])
-        counts[order] = (
-            own["gram"].to_numpy(np.int64).astype(np.uint32), own["language"].to_numpy(np.int64),
-            own["n"].to_numpy(np.float64),
-        )
+        own = of_order == order
+        counts[order] = (gram[own].astype(np.uint32), language[own], n[own].astype(np.float64))
     model = Model(languages, counts)
     if limited:
         model.limits = limits_of(rows, model)
