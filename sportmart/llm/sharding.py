@@ -11,6 +11,8 @@ from sportmart.llm.common import staged
 
 #: Leading hex digits of the row digest that pick a bucket; rows are numbered bucket by bucket.
 BUCKET_DIGITS = 3
+#: Copies of a row that are numbered together.
+RANGE = 10_000
 #: Round keys; any six numbers below the modulus do.
 ROUND_KEYS = (101_010_101, 577_215_664, 141_421_356, 271_828_182, 314_159_265, 161_803_398)
 MODULUS = 2_147_483_647
@@ -66,25 +68,31 @@ def numbered(rows: DataFrame) -> tuple[DataFrame, int]:
     """``rows`` with ``row_number`` from 0 without gaps, in the order of a digest of all columns, and their count.
 
     Buckets of the digest are numbered side by side; only the bucket totals (4096 numbers) reach the driver.
-    Equal rows are counted before the shuffle and dealt out again behind it, so a row that repeats
-    without end makes no bucket large.
+    Equal rows are counted before the shuffle and dealt out again behind it, ``RANGE`` copies at a time and these over all
+    tasks, so a row that repeats without end makes no bucket, array or task large. A row travels as one
+    column, so its columns may have any names but ``row_number``.
     """
     columns = rows.columns
     digest = F.md5(F.concat_ws("|", *(F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("~")) for c in columns)))
-    counted = rows.groupBy(*(F.col(f"`{c}`") for c in columns)).agg(F.count(F.lit(1)).alias("__copies"))
-    bucket = F.conv(F.substring("__digest", 1, BUCKET_DIGITS), 16, 10).cast("int")
-    counted = counted.withColumn("__digest", digest).withColumn("__bucket", bucket)
-    counted = staged(rows.sparkSession, counted, "rows")
-    totals = {r[0]: r[1] for r in counted.groupBy("__bucket").agg(F.sum("__copies")).collect()}
+    packed = rows.select(F.struct(*(F.col(f"`{c}`") for c in columns)).alias("row"), digest.alias("digest"))
+    counted = packed.groupBy("row", "digest").agg(F.count(F.lit(1)).alias("copies"))
+    bucket = F.conv(F.substring("digest", 1, BUCKET_DIGITS), 16, 10).cast("int")
+    counted = staged(rows.sparkSession, counted.withColumn("bucket", bucket), "rows")
+    totals = {r[0]: r[1] for r in counted.groupBy("bucket").agg(F.sum("copies")).collect()}
     starts, n = [], 0
     for i in range(16**BUCKET_DIGITS):
         starts.append(f"{n}L")
         n += totals.get(i, 0)
-    order = Window.partitionBy("__bucket").orderBy("__digest", *columns)
-    before = F.coalesce(F.sum("__copies").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    first = F.get(F.expr(f"array({', '.join(starts)})"), F.col("__bucket")) + before
-    copies = F.explode(F.sequence(F.col("__first"), F.col("__first") + F.col("__copies") - 1)).alias("row_number")
-    return counted.withColumn("__first", first).select(*(F.col(f"`{c}`") for c in columns), copies), n
+    order = Window.partitionBy("bucket").orderBy("digest", "row")
+    before = F.coalesce(F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    first = F.get(F.expr(f"array({', '.join(starts)})"), F.col("bucket")) + before
+    dealt = counted.select("row", first.alias("first"), (first + F.col("copies")).alias("end"))
+    ranges = F.sequence("first", F.col("end") - 1, F.lit(RANGE).cast("long"))
+    dealt = dealt.select("row", "end", F.explode(ranges).alias("start"))
+    dealt = dealt.repartition("start")
+    last = F.least(F.col("start") + RANGE, F.col("end")) - 1
+    number = F.explode(F.sequence("start", last)).alias("row_number")
+    return dealt.select(*(F.col(f"row.`{c}`").alias(c) for c in columns), number), n
 
 
 def shard_rows(rows: DataFrame, shards: int) -> DataFrame:

@@ -233,6 +233,48 @@ def test_binomial_tail_is_exact(spark):
             assert math.isclose(r["t"], want, rel_tol=1e-9, abs_tol=1e-300), (k, n, p)
 
 
+def test_copies_are_dealt_out_in_ranges_whatever_the_names(spark, monkeypatch):
+    """Columns named like the helpers stay; rows that repeat are numbered range by range."""
+    names = ["row", "digest", "copies", "bucket", "start", "end"]
+    values = [(i % 3 or None, f"d{i % 3}", 1, "b", None, 2.0) for i in range(100)] + [(9, None, 2, "b", 3, 1.0)]
+    rows = spark.createDataFrame(values, "`row` int, digest string, copies int, bucket string, `start` int, `end` double")
+    whole = sharding.numbered(rows)[0].collect()
+    monkeypatch.setattr(sharding, "RANGE", 7)
+    dealt, n = sharding.numbered(rows)
+    assert n == 101 and dealt.columns == [*names, "row_number"]
+    got = dealt.collect()
+    assert sorted(r["row_number"] for r in got) == list(range(101))
+    assert sorted(map(str, got)) == sorted(map(str, whole))
+    assert sorted(map(str, (tuple(r)[:-1] for r in got))) == sorted(map(str, values))
+
+
+def test_languages_are_bounded_and_repeated_rows_learned_once(spark, monkeypatch):
+    rows = [(i, f"text number {i} of some words", f"l{i % 9}") for i in range(900)] + [(1, "same row", "l1")] * 500
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    monkeypatch.setattr(language_id, "TRAINING_TEXTS", 4)
+    taken = language_id.training_rows(docs).collect()
+    assert len(taken) <= 4 and len({r["label"] for r in taken}) == len(taken)
+    monkeypatch.setattr(language_id, "TRAINING_TEXTS", 3000)
+    taken = [bytes(r["text"]) for r in language_id.training_rows(docs).collect()]
+    assert len(taken) == len(set(taken)) > 600
+
+
+def test_sparse_model_grows_with_what_a_language_has():
+    """Fifty languages with alphabets of their own: each gram is stored once, not once a language."""
+    rng = np.random.default_rng(3)
+    counts = {order: ([], [], []) for order in range(language_id.ORDER + 1)}
+    for language in range(50):
+        raw, at, _ = language_id.padded([bytes((100 + language + rng.integers(0, 4, 4096)).astype(np.uint8))])
+        for order, (gram, own, times) in counts.items():
+            keys, n = np.unique(language_id.grams(raw, at, order), return_counts=True)
+            gram.append(keys), own.append(np.full(len(keys), language)), times.append(n)
+    counts = {order: tuple(map(np.concatenate, x)) for order, x in counts.items()}
+    model = language_id.Model([str(i) for i in range(50)], counts)
+    entries = sum(len(t.value) for tables in (model.by_gram, model.by_context) for t in tables.values())
+    assert entries <= sum(2 * len(x[0]) for x in counts.values())
+    assert model.nbytes() <= 18 * entries + 50 * 256 * 16 + 1000
+
+
 def test_code_lengths_as_defined():
     texts = {"a": [b"abracadabra", b"abba"], "b": [b"bonobo", b"boa"]}
     counts = {}
