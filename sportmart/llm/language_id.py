@@ -21,9 +21,9 @@ from sportmart.llm.common import importable, staged
 #: Bytes of the longest context; a context and its next byte fit an unsigned 32-bit number.
 ORDER = 3
 #: Labelled texts that the statistics are taken from, shared evenly by the languages, and the bytes that are taken of
-#: each. So at most 12 MB are counted, whatever the input. The broadcast model has ten bytes or fewer per language and
-#: distinct gram or context of two to four of these bytes, beside 4 KB a language: README gives measured sizes. Of more labels than
-#: texts, those with most rows are learned.
+#: each. So at most 12 MB are counted, whatever the input. The broadcast model has 6 bytes for every gram or context of two
+#: to four bytes that a language has, 12 more for each distinct one, and 4 KB a language. Of more labels than texts, those
+#: with most rows are learned.
 TRAINING_TEXTS = 3000
 TRAINING_BYTES = 4096
 UNKNOWN = "und"
