@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sportmart.llm.common import NO_ID, let, lower_ascii
+from sportmart.llm.common import NO_ID, let, lower_ascii, staged
 
 # Phrases and labels of the base rules.
 PHRASES = (
@@ -32,7 +32,7 @@ TEMPLATES = (
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
 )
 
-#: Templates are literals of the plan and their index is broadcast, so their number is bounded.
+#: Templates are literals of the plan and their index is broadcast, so their number is bounded; callers may set another bound.
 MAX_TEMPLATES = 1000
 THRESHOLD = 0.8
 #: Consecutive lines that make a block: notices are wrapped.
@@ -45,11 +45,15 @@ def spaced_words(text: Column) -> Column:
     return F.btrim(F.regexp_replace(lower_ascii(F.coalesce(text, F.lit(""))), NOT_WORD, " "))
 
 
-def template_words(templates) -> list[tuple[str, frozenset[str]]]:
-    if len(templates) > MAX_TEMPLATES:
-        raise ValueError(f"more than {MAX_TEMPLATES} templates")
+def notice_words(text: str) -> list[str]:
     lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    parted = [(label, frozenset(w for w in re.split(NOT_WORD, text.translate(lower)) if w)) for label, text in templates]
+    return [w for w in re.split(NOT_WORD, text.translate(lower)) if w]
+
+
+def template_words(templates, most: int = MAX_TEMPLATES) -> list[tuple[str, frozenset[str]]]:
+    if len(templates) > most:
+        raise ValueError(f"more than {most} templates")
+    parted = [(label, frozenset(notice_words(text))) for label, text in templates]
     return [(label, words) for label, words in parted if words]
 
 
@@ -64,7 +68,12 @@ def token_order(documents: DataFrame, vocabulary: list[str], text: str = "text")
     A word outside the templates can be in no overlap, so no other word is counted.
     """
     words = F.split(spaced_words(F.col(text)), " ")
-    found = documents.select(F.explode(F.array_intersect(words, strings(vocabulary))).alias("w"))
+    return rarest_first(documents.select(F.array_intersect(words, strings(vocabulary)).alias("held")), vocabulary)
+
+
+def rarest_first(texts: DataFrame, vocabulary: list[str]) -> list[str]:
+    """The words of ``vocabulary`` by the number of rows whose ``held`` lists them."""
+    found = texts.select(F.explode("held").alias("w"))
     counts = {r["w"]: r["n"] for r in found.groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}
     return sorted(vocabulary, key=lambda w: (counts.get(w, 0), w))
 
@@ -76,7 +85,7 @@ def template_index(spark, templates, order: list[str], threshold: float) -> Data
     rows = []
     for i, (label, words) in enumerate(templates):
         tokens = sorted(words, key=rank.__getitem__)
-        need = max(1, math.ceil(threshold * len(tokens) - 1e-9))
+        need = needed(len(tokens), threshold)
         for at, token in enumerate(tokens[: len(tokens) - need + 1]):
             rows.append((token, i, label, at, tokens, need))
     return spark.createDataFrame(
@@ -86,7 +95,7 @@ def template_index(spark, templates, order: list[str], threshold: float) -> Data
 
 def matching_blocks(
     documents: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, block_lines: int = BLOCK_LINES,
-    keys=("doc_id",), text: str = "text", order: list[str] | None = None,
+    keys=("doc_id",), text: str = "text", order: list[str] | None = None, max_templates: int = MAX_TEMPLATES,
 ) -> DataFrame:
     """Every block of up to ``block_lines`` consecutive lines that holds ``threshold`` of a template's distinct words:
     the ``keys``, ``line`` (of the block's start), ``label`` and ``containment``.
@@ -96,7 +105,7 @@ def matching_blocks(
     behind the first shared one on both sides, and what passes is compared word by word.
     Null and empty texts have no block. Equal rows give equal results.
     """
-    parted = template_words(templates)
+    parted = template_words(templates, max_templates)
     vocabulary = sorted(set().union(*(w for _, w in parted))) if parted else []
     spark = documents.sparkSession
     order = token_order(documents, vocabulary, text) if order is None else order
@@ -132,31 +141,43 @@ def matching_blocks(
     return pairs.select(*keys, "line", "label", (F.col("shared") / F.size("tokens")).alias("containment"))
 
 
+def needed(size: int, threshold: float) -> int:
+    return max(1, math.ceil(threshold * size - 1e-9))
+
+
+def window_templates(templates, threshold: float, most: int = MAX_TEMPLATES) -> list[tuple[str, frozenset[str], int]]:
+    """Label, words and width of a window: the template's length in words divided by ``threshold``."""
+    sizes = [n for n in (len(notice_words(text)) for _, text in templates) if n]
+    parted = template_words(templates, most)
+    return [(label, words, math.ceil(n / threshold - 1e-9)) for (label, words), n in zip(parted, sizes)]
+
+
 def matching_windows(
     documents: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, keys=("doc_id",), text: str = "text",
-    order: list[str] | None = None,
+    order: list[str] | None = None, max_templates: int = MAX_TEMPLATES,
 ) -> DataFrame:
     """Every template of which some window of consecutive words, whatever their lines, holds ``threshold`` of the distinct
     words: the ``keys``, ``label`` and the greatest ``containment``. A window is as long as the template is in words,
     divided by ``threshold``: so many may be put between.
 
-    A text meets a template where it holds a word of the template's prefix and ``need`` of its words. Then windows that
-    begin at a template word are compared; any other holds no more than the next of these.
+    A text meets a template where it holds a word of the template's prefix and ``need`` of its words. Windows begin
+    at a template word; any other holds no more than the next of these. The length filter asks that the window reaches
+    the ``need - 1``-th template word behind its first, the positional filter that enough of the template, in global
+    order, lies behind the window's rarest word; the words of windows that pass both are counted.
     """
-    given = [(label, t, w) for label, t in templates for _, w in template_words([(label, t)])]
-    vocabulary = sorted(set().union(*(w for _, _, w in given))) if given else []
+    given = window_templates(templates, threshold, max_templates)
+    vocabulary = sorted(set().union(*(w for _, w, _ in given))) if given else []
     order = token_order(documents, vocabulary, text) if order is None else order
-    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    rank = {w: i for i, w in enumerate(order)}
     each, hot = [], set()
-    for label, template, words in given:
+    for label, words, width in given:
         first = prefix(words, order, threshold)
         hot |= set(first)
-        length = sum(1 for w in re.split(NOT_WORD, template.translate(lower)) if w)
         each.append(
             F.struct(
-                F.lit(label).alias("label"), strings(sorted(words)).alias("tokens"), strings(first).alias("prefix"),
-                F.lit(max(1, math.ceil(threshold * len(words) - 1e-9))).alias("need"),
-                F.lit(math.ceil(length / threshold - 1e-9)).alias("width"),
+                F.lit(label).alias("label"), strings(sorted(words, key=rank.__getitem__)).alias("tokens"),
+                strings(first).alias("prefix"), F.lit(needed(len(words), threshold)).alias("need"),
+                F.lit(width).alias("width"),
             )
         )
     kind = "array<struct<label: string, tokens: array<string>, prefix: array<string>, need: int, width: int>>"
@@ -167,27 +188,34 @@ def matching_windows(
         enough = lambda t: F.size(F.array_intersect(t["tokens"], held)) >= t["need"]
         return F.filter(each, lambda t: F.arrays_overlap(t["prefix"], held) & enough(t))
 
-    rows = documents.where(F.arrays_overlap(words, strings(sorted(hot))))
-    rows = rows.select(*keys, words.alias("words"), let(F.array_intersect(words, strings(vocabulary)), met).alias("met"))
+    rows = documents.select(*keys, words.alias("words"))
+    rows = rows.where(F.arrays_overlap("words", strings(sorted(hot))))
+    rows = rows.select(*keys, "words", let(F.array_intersect("words", strings(vocabulary)), met).alias("met"))
     rows = rows.select(*keys, "words", F.explode("met").alias("t"))
-    numbered = F.transform("words", lambda w, i: F.struct(i.alias("i"), w.alias("w")))
+    # Places of the template's words: word number, and rank in the template, rarest first.
+    ranked = F.transform("words", lambda w, i: F.struct(i.alias("i"), F.array_position("t.tokens", w).cast("int").alias("r")))
+    need, width = F.col("t.need"), F.col("t.width")
 
     def most(places: Column) -> Column:
-        def held(place: Column, k: Column) -> Column:
-            near = F.filter(F.slice(places, k + 1, F.col("t.width")), lambda p: p["i"] < place["i"] + F.col("t.width"))
-            return F.size(F.array_distinct(F.transform(near, lambda p: p["w"])))
+        reaches = lambda p, k: F.get(places, k + need - 1)["i"] < p["i"] + width
+        starts = F.transform(places, lambda p, k: F.when(reaches(p, k), F.struct(k.alias("k"), p["i"].alias("i"))))
+
+        def shared(s: Column) -> Column:
+            near = F.filter(F.slice(places, s["k"] + 1, width), lambda p: p["i"] < s["i"] + width)
+            ranks = F.transform(near, lambda p: p["r"])
+            return let(ranks, lambda r: F.when(F.size("t.tokens") - F.array_min(r) + 1 >= need, F.size(F.array_distinct(r))))
 
-        return F.array_max(F.transform(places, held))
+        return F.array_max(F.transform(F.array_compact(starts), shared))
 
-    shared = let(F.filter(numbered, lambda p: F.array_contains(F.col("t.tokens"), p["w"])), most)
-    found = rows.select(*keys, "t", shared.alias("shared")).where(F.col("shared") >= F.col("t.need"))
+    rows = rows.select(*keys, "t", let(F.filter(ranked, lambda p: p["r"] > 0), most).alias("shared"))
+    found = rows.where(F.col("shared") >= F.col("t.need"))
     return found.select(*keys, F.col("t.label").alias("label"), (F.col("shared") / F.size("t.tokens")).alias("containment"))
 
 
 def prefix(words, order: list[str], threshold: float) -> list[str]:
     rank = {w: i for i, w in enumerate(order)}
     tokens = sorted(words, key=rank.__getitem__)
-    return tokens[: len(tokens) - max(1, math.ceil(threshold * len(tokens) - 1e-9)) + 1]
+    return tokens[: len(tokens) - needed(len(tokens), threshold) + 1]
 
 
 def phrase_places(spaced: Column, phrases=PHRASES) -> Column:
@@ -213,35 +241,54 @@ def phrase_places(spaced: Column, phrases=PHRASES) -> Column:
     return F.when(held, let(F.split(spaced, " "), places)).otherwise(none)
 
 
-def scan_documents(documents: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
+def scan_documents(
+    documents: DataFrame, templates=TEMPLATES, threshold: float = THRESHOLD, max_templates: int = MAX_TEMPLATES
+) -> DataFrame:
     """Per document the places of base phrases and the labels of phrases, blocks and windows of words.
 
-    Null text counts as empty. Results of blocks come back by id and a digest of the text, so rows that
-    share an id (or have none) keep their own labels and repeated rows stay repeated.
+    Every text is cleaned and split once, into the template words that it holds; the text goes on only where these could
+    reach ``threshold`` of some template (blocks and windows hold no more). Null text counts as empty. Results of blocks
+    come back by id and a digest of the text, so rows that share an id (or have none) keep their own labels and
+    repeated rows stay repeated.
     """
+    spark = documents.sparkSession
     key = ["__id", "__text"]
+    parted = template_words(templates, max_templates)
+    vocabulary = sorted(set().union(*(w for _, w in parted))) if parted else []
     base = documents.select(
-        "doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.xxhash64("text").alias("__text")
-    )
-    vocabulary = sorted(set().union(*(w for _, w in template_words(templates))))
-    order = token_order(base, vocabulary)
-    found = matching_blocks(base, templates, threshold, keys=key, order=order).select(*key, "label", "containment")
-    # Blocks are three physical lines; windows of words find notices that more lines hold.
-    found = found.unionByName(matching_windows(base, templates, threshold, key, order=order))
-    found = found.groupBy(*key).agg(
-        F.collect_set("label").alias("found"), F.max("containment").alias("containment")
+        "doc_id", "text", F.coalesce("doc_id", F.lit(NO_ID)).alias("__id"), F.xxhash64("text").alias("__text"),
+        spaced_words(F.col("text")).alias("spaced"),
     )
-    spaced = base.select("doc_id", *key, spaced_words(F.col("text")).alias("spaced"))
     counted = F.when(F.col("spaced") == "", 0).otherwise(
         F.length("spaced") - F.length(F.replace(F.col("spaced"), F.lit(" "), F.lit(""))) + 1
     )
-    spaced = spaced.select(
-        "doc_id", *key, counted.cast("long").alias("n_words"), phrase_places(F.col("spaced")).alias("places")
+    base = base.select(
+        "doc_id", *key, "text", counted.cast("long").alias("n_words"), phrase_places(F.col("spaced")).alias("places"),
+        F.array_intersect(F.split("spaced", " "), strings(vocabulary)).alias("held"),
+    )
+    each = F.array(
+        *(
+            F.struct(strings(sorted(w)).alias("tokens"), F.lit(needed(len(w), threshold)).alias("need"))
+            for _, w in parted
+        )
+    ).cast("array<struct<tokens: array<string>, need: int>>")
+    could = F.exists(each, lambda t: F.size(F.array_intersect(t["tokens"], F.col("held"))) >= t["need"])
+    base = staged(spark, base.withColumn("text", F.when(could, F.col("text"))), "template-words")
+    order = rarest_first(base, vocabulary)
+    could_match = base.where("text IS NOT NULL").select(*key, "text")
+    found = matching_blocks(could_match, templates, threshold, keys=key, order=order, max_templates=max_templates)
+    # Blocks are three physical lines; windows of words find notices that more lines hold.
+    found = found.select(*key, "label", "containment").unionByName(
+        matching_windows(could_match, templates, threshold, key, order=order, max_templates=max_templates)
+    )
+    found = found.groupBy(*key).agg(
+        F.collect_set("label").alias("found"), F.max("containment").alias("containment")
     )
     labels = F.array_compact(
         F.array(*(F.when(F.size(F.get("places", F.lit(i))) > 0, label) for i, (_, label) in enumerate(PHRASES)))
     )
-    spaced = spaced.withColumn("starts", F.flatten("places")).withColumn("base", F.array_sort(F.array_distinct(labels)))
+    spaced = base.drop("text", "held").withColumn("starts", F.flatten("places"))
+    spaced = spaced.withColumn("base", F.array_sort(F.array_distinct(labels)))
     joined = spaced.join(found, key, "left")
     none = F.array().cast("array<string>")
     both = F.array_sort(F.array_union("base", F.coalesce("found", none)))

@@ -109,6 +109,10 @@ def licenses() -> str:
         f"({i}, {quoted(label)}, {quoted(w)})"
         for i, (label, words) in enumerate(license_scan.template_words(license_scan.TEMPLATES)) for w in sorted(words)
     )
+    widths = ", ".join(
+        f"({i}, {width})"
+        for i, (_, _, width) in enumerate(license_scan.window_templates(license_scan.TEMPLATES, license_scan.THRESHOLD))
+    )
     phrases = ", ".join(
         f"({quoted(label)}, [{', '.join(map(quoted, p.split()))}])" for p, label in license_scan.PHRASES
     )
@@ -138,10 +142,24 @@ blocks AS (
   SELECT doc_id, label, count(*)::DOUBLE / any_value(n) AS containment
   FROM hits JOIN sizes USING (template) GROUP BY doc_id, s, template, label
   HAVING count(*) >= {license_scan.THRESHOLD} * any_value(n) - 1e-9),
-found AS (SELECT doc_id, max(containment) AS containment FROM blocks GROUP BY doc_id),
+spots AS (
+  SELECT doc_id, i, template, label, t.word
+  FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM split) AS w JOIN template AS t ON w.word = t.word),
+held AS (
+  SELECT doc_id, template, any_value(n) AS n, any_value(width) AS width
+  FROM spots JOIN sizes USING (template) JOIN (VALUES {widths}) AS v(template, width) USING (template)
+  GROUP BY doc_id, template HAVING count(DISTINCT word) >= {license_scan.THRESHOLD} * any_value(n) - 1e-9),
+windows AS (
+  SELECT doc_id, label, n, count(DISTINCT word) OVER (
+      PARTITION BY doc_id, template ORDER BY i RANGE BETWEEN CURRENT ROW AND width - 1 FOLLOWING) AS k
+  FROM spots JOIN held USING (doc_id, template)),
+matched AS (
+  SELECT doc_id, label, containment FROM blocks
+  UNION ALL SELECT doc_id, label, k::DOUBLE / n FROM windows WHERE k >= {license_scan.THRESHOLD} * n - 1e-9),
+found AS (SELECT doc_id, max(containment) AS containment FROM matched GROUP BY doc_id),
 every AS (
   SELECT doc_id, string_agg(DISTINCT label, ',' ORDER BY label) AS labels
-  FROM (SELECT doc_id, label FROM blocks UNION SELECT doc_id, label FROM places) GROUP BY doc_id)
+  FROM (SELECT doc_id, label FROM matched UNION SELECT doc_id, label FROM places) GROUP BY doc_id)
 SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(base.n, 0)::BIGINT AS n_base, a::BIGINT AS first_word,
        b::BIGINT AS last_word, coalesce(base.labels, '') AS base_labels, coalesce(every.labels, '') AS labels,
        CASE WHEN base.n > 0 THEN 1.0::DOUBLE ELSE coalesce(containment, 0.0::DOUBLE) END AS score

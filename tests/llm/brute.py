@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 import zlib
 from collections import Counter, defaultdict
@@ -165,6 +166,14 @@ def license_scan(text, templates, threshold=0.8, block_lines=3):
             if len(t & block) >= threshold * len(t) - 1e-9:
                 found.add(label)
                 best = max(best, len(t & block) / len(t))
+    for label, template in templates:
+        t = set(license_words(template))
+        width = math.ceil(len(license_words(template)) / threshold - 1e-9)
+        for i in range(len(w)):
+            share = len(t & set(w[i : i + width])) / len(t)
+            if share >= threshold - 1e-9:
+                found.add(label)
+                best = max(best, share)
     return {
         "n_words": len(w), "n_base": len(places), "first_word": min(places, default=None),
         "last_word": max(places, default=None), "base_labels": ",".join(sorted(base)),

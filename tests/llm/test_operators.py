@@ -1,6 +1,7 @@
 """Operators against brute force on small documents."""
 
 import hashlib
+import math
 
 import public_tokenizers
 import pytest
@@ -145,6 +146,23 @@ def test_license_blocks_meet_every_threshold(docs):
         assert sorted((r["doc_id"], r["line"], r["label"], r["containment"]) for r in got) == sorted(want)
 
 
+def test_license_windows_meet_every_threshold(docs):
+    templates = [("a", "the an on er ti"), ("b", "the ou re ing st an an"), ("c", "")]
+    for threshold in (0.3, 0.6, 1.0):
+        got = license_scan.matching_windows(docs, templates, threshold).collect()
+        want = {}
+        for i, text in data.texts().items():
+            w = brute.license_words(text)
+            for label, template in templates[:2]:
+                t, width = set(template.split()), math.ceil(len(template.split()) / threshold - 1e-9)
+                best = max((len(t & set(w[k : k + width])) for k in range(len(w))), default=0)
+                if best >= threshold * len(t) - 1e-9:
+                    want[(i, label)] = best / len(t)
+        assert {(r["doc_id"], r["label"]): r["containment"] for r in got} == want
+    with pytest.raises(ValueError):
+        license_scan.matching_windows(docs, templates, max_templates=2)
+
+
 def test_sharding(docs):
     got = by_id(sharding.documents_sharded(docs))
     again = by_id(sharding.documents_sharded(docs.repartition(7)))
