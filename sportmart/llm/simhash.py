@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from sportmart.llm import golay
 from sportmart.llm.common import NO_ID, importable, staged
-from sportmart.llm.components import components
+from sportmart.llm.components import components, with_least
 
 SEED = 42
 WORDS = 3
@@ -28,6 +28,8 @@ SEGMENTS = (23, 23, 18)
 BLOCK = 1 << 16
 #: Members up to which a bucket's pairs are all compared together with those of other buckets.
 SMALL = 16
+#: Members beyond which a bucket is dealt out in blocks, every two of which are compared in a task of their own.
+LARGE = 1 << 16
 
 
 def fingerprint(text: bytes, words: int = WORDS) -> int:
@@ -134,48 +136,83 @@ def large_links(prints, own, max_bits: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(left), np.concatenate(right)) if left else (none, none)
 
 
-def links_of_buckets(max_bits: int = MAX_BITS):
-    """Rows sorted by key in, links out. The last bucket of a batch waits for the next batch."""
+def links_of_buckets(max_bits: int = MAX_BITS, large: int | None = None):
+    """Rows sorted by key in, links ``a``, ``b`` out. The last bucket of a batch waits for the next batch.
+
+    Of a bucket that waits with more than ``large`` members only the key (as ``a``) and its number of members ``n`` come out.
+    """
 
     def links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
+        passed, n = None, 0
+
+        def rows(a, b, n=None) -> pa.RecordBatch:
+            counts = pa.nulls(len(a), pa.int64()) if n is None else pa.array(n, pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), counts], ["a", "b", "n"])
 
-        def found(key, prints, own) -> Iterator[pa.RecordBatch]:
+        def found(key, prints, own) -> pa.RecordBatch:
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
             sizes = np.diff(np.append(starts, len(key)))
             several = np.repeat(sizes, sizes)
             few = (several > 1) & (several <= SMALL)
             parts = [small_links(key[few], prints[few], own[few], max_bits)]
-            for at, n in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
-                parts.append(large_links(prints[at : at + n], own[at : at + n], max_bits))
-            a, b = (np.concatenate([p[k] for p in parts]) for k in (0, 1))
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            for at, size in zip(starts[sizes > SMALL], sizes[sizes > SMALL]):
+                parts.append(large_links(prints[at : at + size], own[at : at + size], max_bits))
+            return rows(*(np.concatenate([p[k] for p in parts]) for k in (0, 1)))
 
         for batch in batches:
-            if not batch.num_rows:
+            columns = tuple(batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1, 2))
+            if passed is not None:
+                more = int(np.searchsorted(columns[0], passed, side="right"))
+                n += more
+                if more == batch.num_rows:
+                    continue
+                yield rows([passed], [passed], [n])
+                passed, columns = None, tuple(x[more:] for x in columns)
+            if not len(columns[0]):
                 continue
-            key, prints = (batch.column(k).to_numpy(zero_copy_only=False) for k in (0, 1))
-            held.append((key, prints, batch.column(2).to_numpy(zero_copy_only=False)))
-            if held[0][0][0] == key[-1]:
+            held.append(columns)
+            if held[0][0][0] == columns[0][-1]:
+                waiting = sum(len(h[0]) for h in held)
+                if large is not None and waiting > large:
+                    passed, n, held = int(columns[0][-1]), waiting, []
                 continue
             joined = [np.concatenate([h[k] for h in held]) for k in (0, 1, 2)]
             cut = int(np.searchsorted(joined[0], joined[0][-1]))
             held = [tuple(x[cut:] for x in joined)]
-            yield from found(*(x[:cut] for x in joined))
+            yield found(*(x[:cut] for x in joined))
+        if passed is not None:
+            yield rows([passed], [passed], [n])
         if held:
-            yield from found(*(np.concatenate([h[k] for h in held]) for k in (0, 1, 2)))
+            yield found(*(np.concatenate([h[k] for h in held]) for k in (0, 1, 2)))
 
     return links
 
 
-def linked_prints(prints: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
+def linked_prints(prints: DataFrame, max_bits: int = MAX_BITS, large: int = LARGE) -> DataFrame:
     """Links ``a``, ``b`` between distinct fingerprints (column ``print``) that connect all that differ in
-    ``max_bits`` bits or fewer; ``max_bits`` up to 3."""
+    ``max_bits`` bits or fewer; ``max_bits`` up to 3.
+
+    A task holds ``large`` members of a bucket (and a batch). Members of a larger one are dealt out by their digest in
+    blocks of half of that, and every two blocks meet in a group, which finds all links of its members.
+    """
     if not 0 <= max_bits <= MAX_BITS:
         raise ValueError("the segments hold for 0 to 3 differing bits")
+    spark = prints.sparkSession
+    kind = "a long, b long, n long"
     keyed = prints.select("print").mapInArrow(emit_keys, "key long, print long, own boolean")
-    sorted_keys = keyed.repartition("key").sortWithinPartitions("key")
-    return sorted_keys.mapInArrow(links_of_buckets(max_bits), "a long, b long").distinct()
+    in_order = keyed.repartition("key").sortWithinPartitions("key")
+    found = staged(spark, in_order.mapInArrow(links_of_buckets(max_bits, large), kind), "links")
+    links = found.where("n IS NULL").select("a", "b")
+    crowded = found.where("n IS NOT NULL").select(F.col("a").alias("key"), F.ceil(F.col("n") * 2 / large).alias("blocks"))
+    if not crowded.isEmpty():
+        dealt = keyed.join(crowded, "key").withColumn("block", F.pmod(F.xxhash64("print"), F.col("blocks")))
+        dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        group = F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other"))
+        dealt = dealt.where("block <> other").select(group.alias("key"), "print", "own")
+        in_order = dealt.repartition("key").sortWithinPartitions("key")
+        links = links.unionByName(in_order.mapInArrow(links_of_buckets(max_bits), kind).select("a", "b"))
+    return links.distinct()
 
 
 def near_duplicates(
@@ -200,8 +237,8 @@ def near_duplicates(
     roots = components(linked_prints(prints, max_bits))
     known = prints.join(roots, prints["print"] == roots["node"], "left")
     known = known.select("print", "first", F.coalesce("root", "print").alias("root"))
-    least = known.groupBy("root").agg(F.min("first").alias("component"))
-    known = staged(spark, known.join(least, "root").select("print", "root", "component"), "components")
+    known = with_least(known, "root", "first", "print").select("print", "root", F.col("least").alias("component"))
+    known = staged(spark, known, "components")
     return rows.join(known, "print").select("id", "text_hash", "print", "root", "component")
 
 

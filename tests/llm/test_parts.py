@@ -7,6 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from hypothesis import given, settings
@@ -64,6 +65,45 @@ def test_links_connect_all_prints_within_three_bits(spark):
         assert sorted(map(sorted, got.values())) == sorted(map(sorted, expected.values()))
 
 
+def test_crowded_buckets_are_dealt_out_in_blocks(spark):
+    r = random.Random(5)
+    center = r.getrandbits(64)
+    near = {center ^ sum(1 << b for b in r.sample(range(64), r.randint(0, 5))) for _ in range(150)}
+    # Steps of three bits: links that pass through members of different blocks.
+    chain = {center ^ sum(1 << b for b in range(3 * k)) for k in range(8)}
+    prints = sorted(near | chain | {r.getrandbits(64) for _ in range(40)})
+    signed = np.array(prints, np.uint64).astype(np.int64).tolist()
+    want = {frozenset(p) for p in groups_of(brute.components([(p, p) for p in prints]))}
+    batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(batch)
+    spark.conf.set(batch, 7)
+    try:
+        frame = spark.createDataFrame([(p,) for p in signed], "print long")
+        for large in (3, 10, 1000):
+            root = {row["node"]: row["root"] for row in components(simhash.linked_prints(frame, large=large)).collect()}
+            assert {frozenset(p) for p in groups_of({(p, p): root.get(s, s) for p, s in zip(prints, signed)})} == want
+    finally:
+        spark.conf.set(batch, before)
+
+
+def groups_of(root):
+    groups = {}
+    for (p, _), at in root.items():
+        groups.setdefault(at, set()).add(p)
+    return groups.values()
+
+
+def test_crowded_buckets_are_counted():
+    def batch(keys):
+        return pa.RecordBatch.from_pydict({"key": keys, "print": list(range(len(keys))), "own": [True] * len(keys)})
+
+    out = list(simhash.links_of_buckets(0, 3)(iter([batch([1, 2]), batch([2, 2]), batch([2, 2]), batch([]), batch([2, 3, 3])])))
+    rows = [(r["a"], r["n"]) for b in out for r in b.to_pylist()]
+    assert rows == [(2, 6)]
+    out = list(simhash.links_of_buckets(0, 3)(iter([batch([2, 2]), batch([2, 2, 2])])))
+    assert [(r["a"], r["n"]) for b in out for r in b.to_pylist()] == [(2, 5)]
+
+
 def test_components_of_a_long_chain_and_a_star(spark):
     edges = [(i, i + 1) for i in range(100)] + [(500, 600 + i) for i in range(50)] + [(900, 900)]
     random.Random(4).shuffle(edges)
