@@ -48,8 +48,9 @@ def staged(spark: SparkSession, df: DataFrame, purpose: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-#: Documents are long rows: so many of them go to a Python worker at a time.
+#: Documents are long rows: so many of them, and about so many bytes, go to a Python worker at a time.
 BATCH_ROWS = 1000
+BATCH_BYTES = 4 << 20
 
 
 def importable(spark: SparkSession) -> None:
@@ -58,5 +59,8 @@ def importable(spark: SparkSession) -> None:
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
         spark.conf.set(batch, BATCH_ROWS)
+    size = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if size not in spark.conf.getAll:
+        spark.conf.set(size, BATCH_BYTES)
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     spark.sparkContext.environment.setdefault("PYTHONPATH", root)

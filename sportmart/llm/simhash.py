@@ -26,6 +26,8 @@ MAX_BITS = 3
 SEGMENTS = (23, 23, 18)
 #: Shingles hashed at a time.
 BLOCK = 1 << 16
+#: Fingerprints whose keys, some 85 each, are made at a time.
+KEYED = 1024
 #: Members up to which a bucket's pairs are all compared together with those of other buckets.
 SMALL = 16
 #: Members beyond which a bucket is dealt out in blocks, every two of which are compared in a task of their own.
@@ -86,8 +88,8 @@ def bucket_keys(prints: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]
 
 def emit_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for at in range(0, batch.num_rows, 4096):
-            prints = batch.column(0).slice(at, 4096).to_numpy(zero_copy_only=False).astype(np.int64)
+        for at in range(0, batch.num_rows, KEYED):
+            prints = batch.column(0).slice(at, KEYED).to_numpy(zero_copy_only=False).astype(np.int64)
             key, place, own = bucket_keys(prints.view(np.uint64))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(key), pa.array(prints[place]), pa.array(own)], ["key", "print", "own"]

@@ -15,6 +15,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from sportmart.llm import golay, language_id, quality_rules, rolling, sharding, simhash
+from sportmart.llm.common import BATCH_BYTES, BATCH_ROWS, importable
 from sportmart.llm.components import components
 from sportmart.llm.decontamination import tiles
 from sportmart.llm.fm_index import FmIndex
@@ -393,3 +394,16 @@ def test_sliding_least(values, width):
 def test_fingerprints_as_defined():
     for text in ("", "a", "a b", "A b\tC d", "é É x y z " * 50):
         assert simhash.fingerprint(text.encode()) == brute.fingerprint(text)
+
+
+def test_batches_of_long_texts_are_bounded_in_bytes(spark):
+    importable(spark)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows])], ["n"])
+
+    texts = spark.range(0, 200, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+    rows = [r["n"] for r in texts.mapInArrow(sizes, "n long").collect()]
+    assert sum(rows) == 200 and max(rows) <= 2 * BATCH_BYTES // 100_000
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= BATCH_ROWS
