@@ -55,7 +55,7 @@ BATCH_BYTES = 4 << 20
 
 def importable(spark: SparkSession) -> None:
     """Let Python workers import this package also when the driver found it through ``sys.path`` alone, and keep the
-    batches that they get small (a smaller setting of the session stays)."""
+    batches that they get small (a smaller number of rows, and any bound of bytes that the session sets, stay)."""
     batch = "spark.sql.execution.arrow.maxRecordsPerBatch"
     if not 0 < int(spark.conf.get(batch)) <= BATCH_ROWS:
         spark.conf.set(batch, BATCH_ROWS)
