@@ -44,8 +44,9 @@ def columns(docs: DataFrame, **changed: Column) -> list[Column]:
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Take repeated chunks of lines out. A text of which nothing is left stands whole in documents with smaller ids, and goes."""
-    done = line_dedup.dedup_lines(docs.select(whole(docs), "doc_id", "text"))
-    emptied = (F.btrim("row.text", F.lit(BLANKS)) != "") & (F.btrim("text", F.lit(BLANKS)) == "")
+    # The text is no part of the row that is carried along: it would be shuffled twice.
+    done = line_dedup.dedup_lines(docs.select(whole(docs.drop("text")), "doc_id", "text"))
+    emptied = (F.col("n_removed") > 0) & (F.btrim("text", F.lit(BLANKS)) == "")
     done = done.where(~F.coalesce(emptied, F.lit(False)))
     changed = {"text": F.col("text")}
     if "n_chars" in docs.columns:
