@@ -7,6 +7,9 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Up to so many names become columns in one aggregate. Its rows hold every column, so with more names a pivot is cheaper.
+FEW_NAMES = 16
+
 AGGREGATES: dict[str, Callable[[Column], Column]] = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
@@ -39,8 +42,9 @@ def long_to_wide(
     ``listed_only`` drops those rows before the aggregate. Rows with a null
     key part are dropped, as they match nothing in the joins that follow,
     unless ``null_keys`` keeps them as a group.
-    Rows fold to one per key and name before the shuffle and to one per key
-    behind it, whatever the number of names.
+    Up to ``FEW_NAMES`` names, rows fold to one per key before the only
+    shuffle. With more, they fold to one per key and name before a shuffle and
+    to one per key behind it, as a row of all columns would be mostly nulls.
     """
     fold = AGGREGATES[agg]
     if not null_keys:
@@ -49,4 +53,6 @@ def long_to_wide(
         df = df.where(F.col(name).isin(list(names)))
     if not names:
         return df.select(*keys).distinct()
+    if len(names) <= FEW_NAMES:
+        return df.groupBy(*keys).agg(*[fold(F.when(F.col(name) == each, F.col(value))).alias(each) for each in names])
     return df.groupBy(*keys).pivot(name, list(names)).agg(fold(value))

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+from sportmart.operators import reshape
 from sportmart.operators.audit import audit_row, freshness
 from sportmart.operators.nested import collect_flatten, explode_path, stack_array_columns
 from sportmart.operators.pages import current_season, documents_for_ids, envelope, first_seasons, link_codes
@@ -62,6 +63,18 @@ def test_pivot_names_are_case_sensitive_and_can_hold_dots(spark):
     assert rows(long_to_wide(df, ["k"], "n", "v", ["a.b"])) == [(1, 1.0)]
 
 
+@pytest.mark.parametrize("agg", ["sum", "max", "min"])
+def test_few_names_fold_in_one_shuffle_like_the_pivot(spark, monkeypatch, agg):
+    data = [(i % 5 or None, "ab.A"[i % 4], None if i % 7 == 0 else float(i % 11)) for i in range(300)] + [(8, None, 1.0), (9, "z", 1.0)]
+    df = frame(spark, data * 2, "k INT, n STRING, v DOUBLE")
+    make = lambda few, **how: (monkeypatch.setattr(reshape, "FEW_NAMES", few), long_to_wide(df, ["k"], "n", "v", ["a", ".", "none"], agg, **how))[1]
+    for how in ({}, {"null_keys": True}, {"listed_only": True}):
+        one, two = make(16, **how), make(0, **how)
+        plans = [wide._jdf.queryExecution().executedPlan().toString() for wide in (one, two)]
+        assert [plan.count("Exchange hashpartitioning") for plan in plans] == [1, 2]
+        assert one.schema == two.schema and rows(one) == rows(two)
+
+
 def test_too_many_names_is_an_error(spark):
     df = spark.range(20).select(F.col("id").cast("string").alias("n"))
     assert len(distinct_sorted(df, "n", limit=20)) == 20
